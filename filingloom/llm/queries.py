@@ -6,11 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from filingloom.llm.chat_format import format_conversations, read_back
 from filingloom.llm.common import table
+from filingloom.llm.jaccard_join import jaccard_classes
 from filingloom.llm.mixing import mix
+from filingloom.llm.quality_classifier import score_quality
 from filingloom.llm.quality_rules import apply_rules
 from filingloom.llm.topk import exact_top_k
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     tricky = spark.sql("select -1L conv_id, cast(t as long) turn, r role, '</s>[INST] ok [/INST]' text from values (0, 'user'), (1, 'assistant') as v(t, r)")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(tricky)
@@ -29,7 +35,18 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op3_chat_format": op3_chat_format, "op5_exact_top_k": op5_exact_top_k, "op7_mixing": op7_mixing, "op9_quality_rules": op9_quality_rules}
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_classes(table(spark, sf_dir, "documents"), n=4, num=85, den=100)
+
+
+QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op3_chat_format": op3_chat_format,
+    "op5_exact_top_k": op5_exact_top_k,
+    "op7_mixing": op7_mixing,
+    "op9_quality_rules": op9_quality_rules,
+    "op10_ngram_jaccard": op10_ngram_jaccard,
+}
 
 ORACLE: dict[str, str] = {
     "op5_exact_top_k": """
