@@ -8,8 +8,10 @@ from filingloom.llm.chat_format import format_conversations, read_back
 from filingloom.llm.common import table
 from filingloom.llm.jaccard_join import jaccard_classes
 from filingloom.llm.mixing import mix
+from filingloom.llm.pii import digests, find_personal_data
 from filingloom.llm.quality_classifier import score_quality
 from filingloom.llm.quality_rules import apply_rules
+from filingloom.llm.secret_scan import scan_secrets
 from filingloom.llm.topk import exact_top_k
 
 
@@ -23,6 +25,10 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_conversations(rows))
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(find_personal_data(table(spark, sf_dir, "documents")))
+
+
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"), k=20, query_every=20)
 
@@ -31,6 +37,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -42,8 +52,10 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op3_chat_format": op3_chat_format,
+    "op4_personal_data": op4_personal_data,
     "op5_exact_top_k": op5_exact_top_k,
     "op7_mixing": op7_mixing,
+    "op8_secret_scan": op8_secret_scan,
     "op9_quality_rules": op9_quality_rules,
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }
