@@ -16,7 +16,7 @@ from filingloom.llm.common import WORD, cut
 #: A document's copies at most, and so a source's growth; Newton's relative tolerance and steps at most.
 MOST, TOLERANCE, STEPS = 3, 1e-6, 60
 #: Documents of a stratum that are ranked together; larger strata are split by a hash.
-RANKED = 4096
+RANKED = 256
 
 
 def sizes(documents: DataFrame) -> DataFrame:
