@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from filingloom.llm.chat_format import format_conversations, read_back
 from filingloom.llm.common import table
 from filingloom.llm.jaccard_join import jaccard_classes
+from filingloom.llm.licenses import scan_licenses
 from filingloom.llm.mixing import mix
 from filingloom.llm.pii import digests, find_personal_data
 from filingloom.llm.quality_classifier import score_quality
 from filingloom.llm.quality_rules import apply_rules
 from filingloom.llm.secret_scan import scan_secrets
+from filingloom.llm.sentencepiece_trie import decode, encode, load
 from filingloom.llm.topk import exact_top_k
 
 
@@ -19,6 +22,12 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = load()
+    coded = encode(table(spark, sf_dir, "documents"), pieces)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), (decode(pieces) == F.col("text")).alias("restored"), "ids")
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     tricky = spark.sql("select -1L conv_id, cast(t as long) turn, r role, '</s>[INST] ok [/INST]' text from values (0, 'user'), (1, 'assistant') as v(t, r)")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(tricky)
@@ -33,6 +42,10 @@ def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"), k=20, query_every=20)
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
@@ -51,9 +64,11 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_chat_format": op3_chat_format,
     "op4_personal_data": op4_personal_data,
     "op5_exact_top_k": op5_exact_top_k,
+    "op6_license_scan": op6_license_scan,
     "op7_mixing": op7_mixing,
     "op8_secret_scan": op8_secret_scan,
     "op9_quality_rules": op9_quality_rules,
