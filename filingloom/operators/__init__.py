@@ -1 +1 @@
-
+"""Jobs on manifests, filings, tables, sections and chunks."""

@@ -1 +1 @@
-
+"""Inputs derived from the given tables, and the registered queries over them."""

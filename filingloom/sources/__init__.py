@@ -1 +1,92 @@
+"""Reading and writing manifests, filings, markdown, chunks and reports."""
 
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+TEXTS = ["doc_id", "rcept_no", "corp_name", "listed_name", "corp_code", "stock_code", "industry", "sector", "doc_group", "doc_subtype", "report_nm", "rcept_dt", "file_path"]
+MANIFEST = T.StructType([T.StructField(n, T.StringType()) for n in TEXTS] + [T.StructField("is_correction", T.BooleanType()), T.StructField("base_year", T.IntegerType()), T.StructField("base_month", T.IntegerType())])
+CHUNKS = T.StructType([T.StructField(n, T.StringType()) for n in ["chunk_id", "text", "embedding_text", "section", "heading_path", "chunk_type", *TEXTS]] + [T.StructField("chunk_index", T.LongType()), T.StructField("n_chars", T.LongType()), T.StructField("char_count", T.LongType()), T.StructField("has_table", T.BooleanType())])
+
+
+def parse_manifest(lines: DataFrame, key: str = "rcept_no", on_bad: str = "fail") -> DataFrame:
+    """Lines (value, position) of JSON to one record per key, the last of each; records without a key are dropped."""
+    row = F.from_json("value", T.StructType([*MANIFEST.fields, T.StructField("_bad", T.StringType())]), {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"})
+    rows = lines.where(F.trim("value") != "").select("position", row.alias("r")).select("position", "r.*")
+    if on_bad == "fail":
+        rows = rows.withColumn(key, F.when(F.col("_bad").isNotNull(), F.raise_error(F.concat(F.lit("bad manifest line: "), "_bad")).cast("string")).otherwise(F.col(key)))
+    else:
+        rows = rows.where("_bad is null")
+    last = F.max_by(F.struct(*MANIFEST.names), "position").alias("r")
+    return rows.drop("_bad").where(F.col(key).isNotNull() & (F.col(key) != "")).groupBy(F.col(key).alias("_key")).agg(last).select("r.*")
+
+
+def read_manifest(spark: SparkSession, path: str, key: str = "rcept_no", on_bad: str = "fail", missing_ok: bool = False) -> DataFrame:
+    """A JSON-lines manifest; the id Spark gives to the lines of a file rises with their position."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        lines = spark.read.text(path)
+    except AnalysisException as e:
+        if missing_ok and "PATH_NOT_FOUND" in str(e):
+            return spark.createDataFrame([], MANIFEST)
+        raise
+    return parse_manifest(lines.withColumn("position", F.monotonically_increasing_id()), key, on_bad)
+
+
+def scan_filings(spark: SparkSession, root: str, pattern: str = "*.xml", limit: int | None = None) -> DataFrame:
+    """(rcept_no, path, content) of all files below root; the first `limit` by path, chosen before contents are read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
+    if limit is not None:
+        files = files.join(F.broadcast(files.select("path").orderBy("path").limit(limit)), "path", "left_semi")
+    return files.select(F.regexp_extract("path", r"([^/]+?)(\.[^./]*)?$", 1).alias("rcept_no"), "path", "content")
+
+
+def scan_markdown(spark: SparkSession, root: str, pattern: str = "*.md") -> DataFrame:
+    files = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(root)
+    return files.select(F.regexp_extract(F.url_decode("_metadata.file_path"), r"([^/]+?)\.[^./]*$", 1).alias("doc_id"), F.col("value").alias("text"))
+
+
+def read_chunks(spark: SparkSession, root: str, pattern: str = "*.jsonl") -> DataFrame:
+    return spark.read.schema(CHUNKS).option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").json(root).where("chunk_id is not null or text is not null")
+
+
+def write_chunks(df: DataFrame, path: str, fmt: str = "json", by: str = "rcept_no") -> None:
+    """Documents whole within a file, chunks in order; nulls are written."""
+    rows = df.repartition(by).sortWithinPartitions(by, "chunk_index")
+    rows.write.mode("overwrite").option("ignoreNullFields", "false").format(fmt).save(path)
+
+
+def normalized_payload(meta: DataFrame, fields: DataFrame, paragraphs: DataFrame, manifest: DataFrame) -> DataFrame:
+    """A row per document: its meta, its fields and paragraphs in order, and the manifest's columns as manifest_<name>."""
+    in_order = lambda df, name: df.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("pos", *[c for c in df.columns if c not in ("doc_id", "pos")]))).alias(name))
+    known = manifest.select(F.col("doc_id").alias("_doc"), *(F.col(c).alias(f"manifest_{c}") for c in manifest.columns))
+    out = meta.join(in_order(fields, "fields"), "doc_id", "left").join(in_order(paragraphs, "paragraphs"), "doc_id", "left")
+    return out.join(known, F.col("doc_id") == F.col("_doc"), "left").drop("_doc")
+
+
+def write_normalized(payload: DataFrame, path: str) -> None:
+    payload.write.mode("overwrite").parquet(path)
+
+
+def write_run_report(run_log: DataFrame, summary: DataFrame, path: str) -> None:
+    """The log, its summary, the failed and the empty documents, from one pass over the log."""
+    log = run_log.persist()
+    log.write.mode("overwrite").parquet(f"{path}/run_log")
+    summary.write.mode("overwrite").json(f"{path}/summary")
+    log.where("status = 'error'").write.mode("overwrite").json(f"{path}/failed")
+    log.where("empty_blocks").write.mode("overwrite").json(f"{path}/empty")
+    log.unpersist()
+
+
+def append_embeddings(df: DataFrame, path: str) -> None:
+    df.write.mode("append").parquet(path)
+
+
+def merge_chunks(parts: list[DataFrame]) -> DataFrame:
+    """Chunks of several families in one table; columns that a family lacks are null."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
