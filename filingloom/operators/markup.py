@@ -99,7 +99,7 @@ def decoded(filings: DataFrame) -> DataFrame:
     """rcept_no and markup: UTF-8 with or without a mark, bad bytes replaced; text columns pass as they are."""
     if "markup" in filings.columns:
         return filings.select("rcept_no", F.coalesce("markup", F.lit("")).alias("markup"))
-    text = F.expr("try_validate_utf8(decode(content, 'UTF-8'))")
+    text = F.make_valid_utf8(F.col("content").cast("string"))
     return filings.select("rcept_no", F.regexp_replace(F.coalesce(text, F.lit("")), "^﻿", "").alias("markup"))
 
 
