@@ -43,9 +43,9 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it. Rows of one id (or none) share their copies evenly, rounded."""
-    copies = mix(docs).groupBy("doc_id").agg(F.round(F.avg("copies")).cast("int").alias("_copies")).withColumnRenamed("doc_id", "_id")
-    taken = docs.join(small(cut(copies), SOME), F.expr("doc_id <=> _id")).where("_copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(docs.columns)
+    copies = mix(docs).groupBy("doc_id").agg(F.round(F.avg("copies")).cast("int").alias("__copies")).withColumnRenamed("doc_id", "__id")
+    taken = docs.join(small(cut(copies), SOME), F.expr("doc_id <=> __id")).where("__copies > 0")
+    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(docs.columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

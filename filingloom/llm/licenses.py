@@ -67,7 +67,7 @@ RULES = [
 ]
 # Every known sentence holds one of these; a text without any is not cut into sentences.
 TRIGGERS = ["licens", "permission", "copyright", "warrant", "redistribut", "unencumbered", "rights reserved"]
-END = r"(?<=[.!?;:])\s+"
+END = r"(?<=[.!?;:])(?<!identifier:)\s+"
 
 
 def normalised(sentence: Column) -> Column:

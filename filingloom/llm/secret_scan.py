@@ -90,6 +90,7 @@ class Forest:
         self.trees = [part.splitlines()[1:] for part in re.split(r"\n  (?=Tree \d+)", text)[1:]]
 
     def vote(self, f: Column) -> Column:
+        """f: a column or a lambda variable; as an expression it would be written out at every node."""
         total = F.lit(0.0)
         for tree in self.trees:
             total = total + grow(tree, f)[0]
@@ -104,27 +105,27 @@ def train(findings: DataFrame) -> Forest:
 
 
 def with_findings(documents: DataFrame, forest: Forest, text: str = "text") -> DataFrame:
-    """documents with _found: array of (start, end, value, vote) of every candidate, in code points, ends excluded."""
+    """documents with __found: array of (start, end, value, vote) of every candidate, in code points, ends excluded."""
     pattern = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z_+/-]*+[0-9])" + VALUE
-    d = documents.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
+    d = documents.withColumn("__text", F.coalesce(F.col(text), F.lit("")))
     none = F.array().cast("array<string>")
-    d = d.withColumn("_hits", F.when(F.col("_text").rlike("[0-9]"), F.regexp_extract_all("_text", F.lit(f"({pattern})"), F.lit(1))).otherwise(none))
-    d = d.withColumn("_gaps", F.when(F.size("_hits") > 0, F.split("_text", pattern, -1)).otherwise(none))
+    d = d.withColumn("__hits", F.when(F.col("__text").rlike("[0-9]"), F.regexp_extract_all("__text", F.lit(f"({pattern})"), F.lit(1))).otherwise(none))
+    d = d.withColumn("__gaps", F.when(F.size("__hits") > 0, F.split("__text", pattern, -1)).otherwise(none))
 
     def step(acc: Column, i: Column) -> Column:
-        gap = F.get("_gaps", i)
+        gap = F.get("__gaps", i)
         start = acc["at"] + F.length(gap)
-        end = start + F.length(F.get("_hits", i))
-        before = F.when(F.length(gap) >= CONTEXT, F.right(gap, F.lit(CONTEXT))).otherwise(F.substring(F.col("_text"), F.greatest(start - CONTEXT + 1, F.lit(1)), F.least(start, F.lit(CONTEXT))))
-        f = features(F.get("_hits", i), before)
-        item = F.struct(start.alias("start"), end.alias("end"), F.get("_hits", i).alias("value"), f.alias("f"))
+        end = start + F.length(F.get("__hits", i))
+        before = F.when(F.length(gap) >= CONTEXT, F.right(gap, F.lit(CONTEXT))).otherwise(F.substring(F.col("__text"), F.greatest(start - CONTEXT + 1, F.lit(1)), F.least(start, F.lit(CONTEXT))))
+        f = features(F.get("__hits", i), before)
+        item = F.struct(start.alias("start"), end.alias("end"), F.get("__hits", i).alias("value"), f.alias("f"))
         return F.struct(end.alias("at"), F.array_append(acc["out"], item).alias("out"))
 
     kind = "array<struct<start:int,end:int,value:string,f:struct<" + ",".join(f"{n}:double" for n in FEATURES) + ">>>"
-    every = F.when(F.size("_hits") > 0, F.sequence(F.lit(0), F.least(F.size("_hits"), F.size("_gaps")) - 1)).otherwise(F.array().cast("array<int>"))
-    d = d.withColumn("_all", F.aggregate(every, F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out")), step, lambda a: a["out"]))
-    found = F.transform("_all", lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), c["value"].alias("value"), forest.vote(c["f"]).alias("vote")))
-    return d.withColumn("_found", found).drop("_text", "_hits", "_gaps", "_all")
+    every = F.when(F.size("__hits") > 0, F.sequence(F.lit(0), F.least(F.size("__hits"), F.size("__gaps")) - 1)).otherwise(F.array().cast("array<int>"))
+    d = d.withColumn("__all", F.aggregate(every, F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out")), step, lambda a: a["out"]))
+    found = F.transform("__all", lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), c["value"].alias("value"), forest.vote(c["f"]).alias("vote")))
+    return d.withColumn("__found", found).drop("__text", "__hits", "__gaps", "__all")
 
 
 def scan_secrets(documents: DataFrame, forest: Forest | None = None) -> DataFrame:
@@ -135,14 +136,14 @@ def scan_secrets(documents: DataFrame, forest: Forest | None = None) -> DataFram
     """
     forest = forest or train(labelled_findings(documents.sparkSession))
     d = with_findings(documents.select("doc_id", "text"), forest)
-    secrets = F.filter("_found", lambda c: c["vote"] > 0.5)
-    return d.select("doc_id", F.size("_found").cast("long").alias("n_candidates"), secrets.alias("s")).select("doc_id", "n_candidates", F.size("s").cast("long").alias("n_secrets"), F.array_join(F.transform("s", lambda c: F.concat_ws(":", c["start"], c["end"])), ",").alias("secrets"))
+    secrets = F.filter("__found", lambda c: c["vote"] > 0.5)
+    return d.select("doc_id", F.size("__found").cast("long").alias("n_candidates"), secrets.alias("s")).select("doc_id", "n_candidates", F.size("s").cast("long").alias("n_secrets"), F.array_join(F.transform("s", lambda c: F.concat_ws(":", c["start"], c["end"])), ",").alias("secrets"))
 
 
 def redact_secrets(documents: DataFrame, forest: Forest | None = None) -> DataFrame:
     """documents, each secret in text replaced by [SECRET]; other columns, and texts without secrets, stay as they are."""
     forest = forest or train(labelled_findings(documents.sparkSession))
-    d = with_findings(documents, forest).withColumn("_s", F.filter("_found", lambda c: c["vote"] > 0.5))
+    d = with_findings(documents, forest).withColumn("__s", F.filter("__found", lambda c: c["vote"] > 0.5))
     step = lambda acc, s: F.struct(s["end"].alias("at"), F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit("[SECRET]")).alias("out"))
-    whole = F.aggregate("_s", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.length("text"))))
-    return d.withColumn("text", F.when(F.size("_s") > 0, whole).otherwise(F.col("text"))).select(*documents.columns)
+    whole = F.aggregate("__s", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.length("text"))))
+    return d.withColumn("text", F.when(F.size("__s") > 0, whole).otherwise(F.col("text"))).select(*documents.columns)

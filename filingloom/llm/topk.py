@@ -26,7 +26,7 @@ def planes(up: np.ndarray, bits: int) -> np.ndarray:
     """Non-negative attributes (rows, dims) as bitmaps (dims, bits, words)."""
     up = np.pad(up.astype(np.uint64), ((0, -len(up) % 64), (0, 0)))
     plane = ((up.T[:, None, :] >> np.arange(bits, dtype=np.uint64)[None, :, None]) & np.uint64(1)).astype(np.uint8)
-    return np.packbits(plane, axis=2, bitorder="little").view(np.uint64)
+    return np.ascontiguousarray(np.packbits(plane, axis=2, bitorder="little")).view(np.uint64)
 
 
 def slices(q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
