@@ -266,7 +266,34 @@ _SECTIONS = f"""{_O}, s as (
   union all select o.*, 3, '2) Lines', '2', l.body from o join (
     select l_orderkey, string_agg(l_linenumber || ' | part ' || l_partkey || ' | ' || l_quantity::decimal(15,2)::varchar, chr(10) order by l_linenumber, l_partkey, l_quantity, l_extendedprice) body from lineitem group by 1) l on l_orderkey = o_orderkey)"""
 
+# Every order with its lines in order, and the texts that the XML holds.
+_X = f"""{_O}, {_N}, x as (
+  select *, case when o_orderstatus = 'F' then '[기재정정]' else '' end || 'Order report' doc, format('{{:,.2f}}', o_totalprice) tot from o join n using (o_orderkey)),
+  l as (select x.*, l_linenumber no, l_partkey part, format('{{:,.2f}}', l_extendedprice) price, strftime(l_shipdate, '%Y년 %m월 %d일') shipped,
+    row_number() over w i, coalesce(lag(l_linenumber) over w = l_linenumber, false) again
+  from x join lineitem on l_orderkey = o_orderkey window w as (partition by o_orderkey order by l_linenumber, l_partkey, l_quantity, l_extendedprice, l_shipdate, l_returnflag))"""
+_AMOUNTS = "'| Amounts | Total | ' || tot || ' |' || chr(10) || '| --- | --- | --- |' || chr(10)"
+_LINE = "'| Price | ' || price || ' | Shipped | ' || shipped || ' |' || chr(10) || '| --- | --- | --- | --- |'"
+
 ORACLE = {
+    "toc_sections": f"""with {_X}, t as (
+          select rcept_no, 1 section_no, 'L-0' section_id, '1. Order' title, '1. Order ' || o_orderpriority || ' Amounts Total ' || tot || ' Lines ' || lines "text" from x
+          union all select rcept_no, 2, 'L-1', '2. Lines', '2. Lines' from x
+          union all select rcept_no, 2 + i, 'L-' || no, 'Line ' || no, 'Line ' || no || ' Part ' || part || ' A&B Price ' || price || ' Shipped ' || shipped from l)
+        select rcept_no, section_no::bigint section_no, section_id, title, "text", length("text")::bigint char_count from t""",
+    "filing_markdown": f"""with {_X}, b as (select rcept_no, string_agg(chr(10) || chr(10) || '### Line ' || no || chr(10) || chr(10) || 'Part ' || part || ' A&B' || chr(10) || chr(10) || {_LINE}, '' order by i) b from l group by 1)
+        select rcept_no, '# ' || doc || case when o_orderstatus = 'F' then chr(10) || chr(10) || '> ⚠️ 본 문서는 [기재정정] 정정공시입니다.' else '' end || chr(10) || chr(10) || '**제출인/회사명:** (주) ' || c_name || chr(10) || chr(10)
+          || '## 1. Order' || chr(10) || chr(10) || o_orderpriority || chr(10) || chr(10) || {_AMOUNTS} || '|  | Lines | ' || lines || ' |' || chr(10) || chr(10) || '## 2. Lines' || coalesce(b, '') markdown from x left join b using (rcept_no)""",
+    "periodic_markdown": f"""with {_X}, b as (select rcept_no, string_agg(chr(10) || case when i = 1 then chr(10) || '## 2. Lines' || chr(10) else '' end || case when again then '' else chr(10) || '### Line ' || no || chr(10) end
+            || 'Part ' || part || ' A&B' || chr(10) || chr(10) || {_LINE} || chr(10), '' order by i) b from l group by 1)
+        select rcept_no, '# (주) ' || c_name || ' - ' || doc || chr(10) || chr(10) || chr(10) || '## 1. Order' || chr(10) || o_orderpriority || chr(10) || chr(10) || {_AMOUNTS} || '| Amounts | Lines | ' || lines || ' |' || chr(10) || coalesce(b, '') markdown
+        from x left join b using (rcept_no)""",
+    "periodic_chunks": f"""with {_X}, c as (
+          select o_orderkey, 1 idx, 'text' chunk_type, '1. Order' section, o_orderpriority "text" from x union all select o_orderkey, 2, 'table', '1. Order', {_AMOUNTS} || '| Amounts | Lines | ' || lines || ' |' from x
+          union all select o_orderkey, 1 + 2 * i, 'text', '2. Lines > Line ' || no, 'Part ' || part || ' A&B' from l union all select o_orderkey, 2 + 2 * i, 'table', '2. Lines > Line ' || no, {_LINE} from l)
+        select rcept_no || '_' || lpad(idx::varchar, 4, '0') chunk_id, idx::int chunk_index, chunk_type, section, length("text")::int n_chars, "text", case when known then {_GROUP} else '정기공시' end source_doc_type,
+          case when known then c_name else '(주) ' || c_name end corp_name, case when known then 'Order report' else doc end report_nm, case when known then year(o_orderdate)::int end base_year,
+          case when known then 'orders/' || o_custkey else 'raw/' || rcept_no end || '/' || rcept_no || '.xml' source_file from c join x using (o_orderkey)""",
     "exchange_chunks": f"""with {_SECTIONS}, t as (select *, '[' || c_name || '] Order report (' || case when known then dt else '' end || ')' || chr(10) || '섹션: ' || section || chr(10) || body t from s)
         select rcept_no || '_' || lpad(idx::varchar, 4, '0') chunk_id, idx::int chunk_index, section, code section_code, t "text", length(t)::int n_chars,
           case when known then {_GROUP} else '거래소공시' end source_doc_type, c_name corp_name, case when known then dt else '' end rcept_dt, known and o_orderstatus = 'F' is_correction,
