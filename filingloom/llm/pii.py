@@ -95,24 +95,29 @@ def neighbours(text: Column, span: Column) -> Column:
     return F.concat(F.slice(left, F.greatest(F.size(left) - NEAR + 1, F.lit(1)), F.lit(NEAR)), F.slice(right, 1, NEAR))
 
 
-def disclosing_terms(documents: DataFrame, based: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(term, revealed) of terms that reveal at least GENERALISE, and (row_key, term) of the documents that hold a candidate.
+def term_rows(documents: DataFrame) -> DataFrame:
+    """(row_key, term): the distinct terms of every row."""
+    key = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
+    return documents.select(key.alias("row_key"), F.explode(F.array_distinct(terms(F.col("text")))).alias("term"))
 
-    based: row_key, text_hash, near (array of value hash and terms).
+
+def disclosing_terms(documents: DataFrame, based: DataFrame) -> DataFrame:
+    """(term, revealed) of terms that reveal at least GENERALISE.
+
+    based: near, the protected values (hashed) of every row with their terms. Counts of rows are summed where the rows
+    are read; only sums a term are shuffled.
     """
-    beside = cut(based.select("row_key", F.explode("near").alias("x")).select("row_key", "x.value", F.explode(F.array_distinct("x.terms")).alias("term")).distinct())
+    beside = based.select(F.inline("near")).select("value", F.explode("terms").alias("term"))
     support = beside.groupBy("term", "value").agg(F.count("*").alias("c")).groupBy("term").agg(F.count("*").alias("n_values")).where(F.col("n_values") >= SUPPORT)
-    candidates = cut(support)
-    held = documents.select(F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("row_key"), F.explode(F.array_distinct(terms(F.col("text")))).alias("term"))
-    held = cut(held.join(small(candidates, BROADCAST), "term").select("row_key", "term"))
-    n_t = held.groupBy("term").agg(F.count("*").alias("n_t"))
-    n_te = beside.select("term", "row_key").distinct().join(held.groupBy("term", "row_key").agg(F.count("*").alias("rows")), ["term", "row_key"]).groupBy("term").agg(F.sum("rows").alias("n_te"))
-    whole = based.agg(F.count("*").alias("n"), F.count_if(F.size("near") > 0).alias("n_e"))
-    p = F.col("n_te") / F.col("n_t")
-    # documents that hold no value at all, or all of them, leave nothing to reveal
+    candidates = cut(support.select("term"))
+    n_t = term_rows(documents).join(small(candidates, BROADCAST), "term").groupBy("term").agg(F.count("*").alias("n_t"))
+    n_te = based.select(F.explode(F.array_distinct(F.flatten("near.terms"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_te"))
+    whole = based.agg(F.count("*").alias("n"), F.count_if(F.size("near") > 0).alias("n_e"))  # one row
+    p = F.least(F.col("n_te") / F.col("n_t"), F.lit(1.0))
+    # rows that hold no value at all, or all of them, leave nothing to reveal
     revealed = F.when((F.col("n_e") > 0) & (F.col("n_e") < F.col("n")), 1 - F.log(p) / F.log(F.col("n_e") / F.col("n"))).otherwise(0.0)
     out = n_t.join(n_te, "term").join(F.broadcast(whole), F.lit(True)).select("term", revealed.alias("revealed"))
-    return cut(out.where(F.col("revealed") >= GENERALISE)), held
+    return cut(out.where(F.col("revealed") >= GENERALISE))
 
 
 def find_personal_data(documents: DataFrame) -> DataFrame:
@@ -124,8 +129,8 @@ def find_personal_data(documents: DataFrame) -> DataFrame:
     d = base_spans(documents)
     near = F.transform("base", lambda s: F.struct(F.xxhash64(s["value"]).alias("value"), neighbours(F.col("text"), s).alias("terms")))
     based = cut(d.select("row_key", "doc_id", "base", near.alias("near")))
-    strong, held = disclosing_terms(documents, based)
-    by_doc = held.distinct().join(small(strong, BROADCAST), "term").groupBy("row_key").agg(F.sort_array(F.collect_set(F.struct("term", "revealed"))).alias("strong"))
+    strong = disclosing_terms(documents, based)
+    by_doc = term_rows(documents).join(small(strong, BROADCAST), "term").groupBy("row_key").agg(F.sort_array(F.collect_set(F.struct("term", "revealed"))).alias("strong"))
     by_doc = cut(by_doc)
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("row_key", F.xxhash64("doc_id", "text"))
     texts = texts.join(small(by_doc, BROADCAST), "row_key").dropDuplicates(["row_key"])
@@ -140,18 +145,18 @@ def find_personal_data(documents: DataFrame) -> DataFrame:
 
 def sanitised(documents: DataFrame) -> DataFrame:
     """documents with text rewritten: base values and terms as [KIND], removed terms as nothing; all other columns stay."""
-    spans = find_personal_data(documents).select(F.col("row_key").alias("_key"), F.sort_array(F.transform(F.concat("base", "found"), lambda s: F.struct(s["start"], s["end"], s["kind"]))).alias("_spans")).dropDuplicates(["_key"])
-    touched = spans.where(F.size("_spans") > 0)
-    d = documents.withColumn("_key", F.xxhash64("doc_id", F.coalesce("text", F.lit("")))).join(touched, "_key", "left")
+    spans = find_personal_data(documents).select(F.col("row_key").alias("__key"), F.sort_array(F.transform(F.concat("base", "found"), lambda s: F.struct(s["start"], s["end"], s["kind"]))).alias("__spans")).dropDuplicates(["__key"])
+    touched = spans.where(F.size("__spans") > 0)
+    d = documents.withColumn("__key", F.xxhash64("doc_id", F.coalesce("text", F.lit("")))).join(touched, "__key", "left")
 
     def step(acc: Column, s: Column) -> Column:
         label = F.when(s["col3"] == "drop", F.lit("")).otherwise(F.concat(F.lit("["), F.upper(s["col3"]), F.lit("]")))
         more = F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.greatest(s["col1"] - acc["at"], F.lit(0))), F.when(s["col1"] >= acc["at"], label).otherwise(F.lit("")))
         return F.struct(F.greatest(acc["at"], s["col2"]).alias("at"), more.alias("out"))
 
-    plain = F.transform("_spans", lambda s: F.struct(s["start"].alias("col1"), s["end"].alias("col2"), s["kind"].alias("col3")))
+    plain = F.transform("__spans", lambda s: F.struct(s["start"].alias("col1"), s["end"].alias("col2"), s["kind"].alias("col3")))
     whole = F.aggregate(plain, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.length("text"))))
-    return d.withColumn("text", F.when(F.size("_spans") > 0, whole).otherwise(F.col("text"))).select(*documents.columns)
+    return d.withColumn("text", F.when(F.size("__spans") > 0, whole).otherwise(F.col("text"))).select(*documents.columns)
 
 
 def digests(found: DataFrame) -> DataFrame:
