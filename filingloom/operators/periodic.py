@@ -62,11 +62,12 @@ def buffered(blocks: DataFrame, most: int = MAX_CHARS) -> DataFrame:
     same = F.col("section_path").eqNullSafe(F.lag("section_path").over(order)) & (F.lag("type").over(order) == "text")
     texts = blocks.withColumn("breaks", ~F.coalesce(same, F.lit(False))).where("type = 'text'").withColumn("length", F.length("text"))
 
-    def number(doc: pd.DataFrame) -> pd.DataFrame:
-        doc = doc.sort_values("block_no")
-        return pd.DataFrame({KEY: doc[KEY], "block_no": doc["block_no"], "buffer": flushes(doc["breaks"].tolist(), doc["length"].tolist(), most)})
+    @F.pandas_udf("array<int>")
+    def number(docs: pd.Series) -> pd.Series:
+        return pd.Series([flushes([b["breaks"] for b in d], [b["length"] for b in d], most) for d in docs])
 
-    numbers = texts.select(KEY, "block_no", "breaks", "length").groupBy(KEY).applyInPandas(number, f"{KEY} string, block_no int, buffer int")
+    docs = texts.groupBy(KEY).agg(F.sort_array(F.collect_list(F.struct("block_no", "breaks", "length"))).alias("b"))
+    numbers = docs.select(KEY, F.inline(F.arrays_zip(F.col("b.block_no").alias("block_no"), number("b").alias("buffer"))))
     joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block_no", "text"))), lambda x: x["text"]), "\n")
     bodies = texts.join(numbers, [KEY, "block_no"]).groupBy(KEY, "buffer").agg(F.min("block_no").alias("pos"), F.max_by("section_path", "block_no").alias("section_path"), joined.alias("text"))
     tables = blocks.where("type = 'table'").select(KEY, F.col("block_no").alias("pos"), "type", "section_path", "text")

@@ -18,7 +18,7 @@ from filingloom.sources import merge_chunks, normalized_payload, parse_manifest
 def exchange_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """filings, their titles and their sections."""
     filings = fx.exchange_filings(spark, sf_dir)
-    blocks = markup.filing_blocks(filings, "exchange")
+    blocks = markup.filing_blocks(filings, "exchange").persist()  # parsed once for titles and tables
     rows = exc.exchange_rows(tables.expand_spans(blocks, "origin"))
     return filings, exc.exchange_titles(blocks), exc.collect_sections(exc.carry_section(rows))
 
@@ -46,7 +46,7 @@ def exchange_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pipeline_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = fx.xml_filings(spark, sf_dir).withColumn("markup", fn.sanitize_markup(F.col("markup")))
-    return markup.filing_blocks(clean, "pipeline")
+    return markup.filing_blocks(clean, "pipeline").persist()  # most queries read it more than once
 
 
 def fields_of(blocks: DataFrame) -> DataFrame:
@@ -87,7 +87,7 @@ def document_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def periodic_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """filings, their header, and their blocks with text."""
     filings = fx.xml_filings(spark, sf_dir)
-    blocks = markup.filing_blocks(filings, "periodic")
+    blocks = markup.filing_blocks(filings, "periodic").persist()
     return filings, docs_.document_header(blocks), docs_.periodic_texts(blocks, tables.expand_spans(blocks, "repeat"))
 
 
