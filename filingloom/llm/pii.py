@@ -1,8 +1,9 @@
 """Personal data: base patterns, and terms that disclose them (information-theoretic sanitisation).
 
-A term that stands next to protected values discloses them as far as it lowers their surprisal. Over the corpus,
-a protected value is in a document with probability p(e) and in one that holds term t, next to it, with p(e | t);
-the share of its information that t reveals is 1 - log p(e | t) / log p(e). Terms above GENERALISE are replaced
+A term discloses a protected value as far as it lowers the value's surprisal. Over the corpus, a protected value e is in a
+document with probability p(e) and in one that holds term t, anywhere, with p(e | t); the share of its information that t
+reveals is 1 - log p(e | t) / log p(e). The same is asked of the values as a whole (that a document holds any), there of
+terms that stand next to them. What a term reveals is the most that it reveals of any. Terms above GENERALISE are replaced
 by their kind, those above REMOVE leave nothing. All of it is DataFrame work; texts aren't shuffled.
 """
 
@@ -25,8 +26,11 @@ HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 OCTET = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{0,2})"
 SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
 
-#: Distinct protected values that a term must stand next to; shares of information; words and characters of a context.
+#: Distinct protected values that a term of the values as a whole must stand next to; shares of information; words and
+#: characters of its context.
 SUPPORT, GENERALISE, REMOVE, NEAR, CONTEXT = 5, 0.8, 0.95, 5, 80
+#: Rows that must hold a term and one protected value together.
+PAIR = 3
 #: Rows up to which a table of terms, or of documents that hold disclosing terms, is broadcast.
 BROADCAST = 200_000
 
@@ -95,6 +99,12 @@ def neighbours(text: Column, span: Column) -> Column:
     return F.concat(F.slice(left, F.greatest(F.size(left) - NEAR + 1, F.lit(1)), F.lit(NEAR)), F.slice(right, 1, NEAR))
 
 
+def same_value(span: Column) -> Column:
+    """A hash of a protected value, however it is written: digits of numbers, lower-case letters."""
+    bare = F.when(span["kind"].isin("card", "phone"), F.regexp_replace(span["value"], "[^0-9]", "")).otherwise(F.lower(span["value"]))
+    return F.xxhash64(bare)
+
+
 def term_rows(documents: DataFrame) -> DataFrame:
     """(row_key, term): the distinct terms of every row."""
     key = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
@@ -102,22 +112,29 @@ def term_rows(documents: DataFrame) -> DataFrame:
 
 
 def disclosing_terms(documents: DataFrame, based: DataFrame) -> DataFrame:
-    """(term, revealed) of terms that reveal at least GENERALISE.
+    """(term, revealed) of terms that reveal at least GENERALISE of one protected value, or of the values as a whole.
 
-    based: near, the protected values (hashed) of every row with their terms. Counts of rows are summed where the rows
-    are read; only sums a term are shuffled.
+    based: of every row, near, the protected values (hashed) with the terms next to them; values, each once; and terms, those
+    of the whole row if it holds values. Counts of rows are summed where the rows are read; only sums are shuffled. Only
+    values of PAIR rows at least are paired with terms, since no other pair can reach PAIR rows.
     """
     beside = based.select(F.inline("near")).select("value", F.explode("terms").alias("term"))
-    support = beside.groupBy("term", "value").agg(F.count("*").alias("c")).groupBy("term").agg(F.count("*").alias("n_values")).where(F.col("n_values") >= SUPPORT)
-    candidates = cut(support.select("term"))
-    n_t = term_rows(documents).join(small(candidates, BROADCAST), "term").groupBy("term").agg(F.count("*").alias("n_t"))
-    n_te = based.select(F.explode(F.array_distinct(F.flatten("near.terms"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_te"))
-    whole = based.agg(F.count("*").alias("n"), F.count_if(F.size("near") > 0).alias("n_e"))  # one row
+    support = cut(beside.groupBy("term", "value").agg(F.count("*").alias("c")).groupBy("term").agg(F.count("*").alias("n_values")).where(F.col("n_values") >= SUPPORT).select("term"))
+    held = based.select(F.explode("values").alias("value"), "terms")
+    often = cut(held.groupBy("value").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= PAIR))
+    pairs = held.join(small(often, BROADCAST), "value").select("value", "n_e", F.explode("terms").alias("term"))
+    pairs = cut(pairs.groupBy("term", "value").agg(F.count("*").alias("n_te"), F.first("n_e").alias("n_e")).where(F.col("n_te") >= PAIR))
+    candidates = cut(support.union(pairs.select("term")).distinct())
+    n_t = cut(term_rows(documents).join(small(candidates, BROADCAST), "term").groupBy("term").agg(F.count("*").alias("n_t")))
+    n_te = based.select(F.explode(F.array_distinct(F.flatten("near.terms"))).alias("term")).join(small(support, BROADCAST), "term").groupBy("term").agg(F.count("*").alias("n_te"))
+    whole = based.agg(F.count("*").alias("n"), F.count_if(F.size("near") > 0).alias("n_any"))  # one row
     p = F.least(F.col("n_te") / F.col("n_t"), F.lit(1.0))
     # rows that hold no value at all, or all of them, leave nothing to reveal
     revealed = F.when((F.col("n_e") > 0) & (F.col("n_e") < F.col("n")), 1 - F.log(p) / F.log(F.col("n_e") / F.col("n"))).otherwise(0.0)
-    out = n_t.join(n_te, "term").join(F.broadcast(whole), F.lit(True)).select("term", revealed.alias("revealed"))
-    return cut(out.where(F.col("revealed") >= GENERALISE))
+    each = n_te.join(F.broadcast(whole), F.lit(True)).select("term", "n_te", F.col("n_any").alias("n_e"), "n")
+    each = each.union(pairs.join(F.broadcast(whole), F.lit(True)).select("term", "n_te", "n_e", "n"))
+    out = each.join(n_t, "term").select("term", revealed.alias("revealed")).where(F.col("revealed") >= GENERALISE)
+    return cut(out.groupBy("term").agg(F.max("revealed").alias("revealed")))
 
 
 def find_personal_data(documents: DataFrame) -> DataFrame:
@@ -127,8 +144,10 @@ def find_personal_data(documents: DataFrame) -> DataFrame:
     too, further columns take no part, an empty table gives no rows. Offsets count code points, ends excluded.
     """
     d = base_spans(documents)
-    near = F.transform("base", lambda s: F.struct(F.xxhash64(s["value"]).alias("value"), neighbours(F.col("text"), s).alias("terms")))
-    based = cut(d.select("row_key", "doc_id", "base", near.alias("near")))
+    near = F.transform("base", lambda s: F.struct(same_value(s).alias("value"), neighbours(F.col("text"), s).alias("terms")))
+    values = F.array_distinct(F.transform("base", same_value))
+    every = F.when(F.size("base") > 0, F.array_distinct(terms(F.col("text")))).otherwise(F.array().cast("array<string>"))
+    based = cut(d.select("row_key", "doc_id", "base", near.alias("near"), values.alias("values"), every.alias("terms")))
     strong = disclosing_terms(documents, based)
     by_doc = term_rows(documents).join(small(strong, BROADCAST), "term").groupBy("row_key").agg(F.sort_array(F.collect_set(F.struct("term", "revealed"))).alias("strong"))
     by_doc = cut(by_doc)
@@ -140,7 +159,7 @@ def find_personal_data(documents: DataFrame) -> DataFrame:
     gone = F.transform(F.filter("strong", lambda s: s["revealed"] >= REMOVE), lambda s: s["term"])
     named = F.transform(placed("term", "gaps", "hits"), lambda s: F.struct(F.when(F.array_contains(gone, F.lower(s["value"])), F.lit("drop")).otherwise(F.lit("term")).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
     found = texts.select("row_key", named.alias("found"))
-    return based.drop("near").join(found, "row_key", "left").withColumn("found", F.coalesce("found", F.array().cast(SPAN)))
+    return based.drop("near", "values", "terms").join(found, "row_key", "left").withColumn("found", F.coalesce("found", F.array().cast(SPAN)))
 
 
 def sanitised(documents: DataFrame) -> DataFrame:

@@ -178,6 +178,17 @@ def test_disclosing_terms(spark, odd):
     assert pii.sanitised(odd).count() == len(ODD) and pii.find_personal_data(odd.limit(0)).count() == 0
 
 
+def test_terms_of_one_value(spark):
+    rnd = random.Random(12)
+    fill = lambda k: " ".join(rnd.choice(["alpha", "beta", "gamma", "delta", "omega", "sigma"]) for _ in range(k))
+    rows = [(i, f"Zelda {fill(60)} {['zk@mail.example', 'ZK@Mail.example'][i % 2]} {fill(20)}") for i in range(4)]
+    rows += [(10 + i, f"{fill(9)} Quirin {fill(9)} {['+1 (017) 555-7713', '+1 017 555 7713'][i % 2]}") for i in range(3)]
+    rows += [(20, "Once here once@mail.example")] + [(100 + i, f"Other {fill(40)}") for i in range(60)]
+    got = {r.doc_id: [s.split(":")[0] for s in r.spans.split(",")] for r in pii.digests(pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert got[0] == got[1] == ["email", "drop"] and got[10] == got[11] == ["phone", "drop"]
+    assert got[20] == ["email"] and all(got[100 + i] == [""] for i in range(60))
+
+
 # 5: exact top-k
 def test_top_k(spark):
     rnd = random.Random(6)
