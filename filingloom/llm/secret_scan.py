@@ -15,11 +15,18 @@ from pyspark.sql import functions as F
 
 # What a candidate looks like, and the words looked for in and around it.
 VALUE = r"[A-Za-z0-9+/_-]{16,}+={0,2}"
+NAMES = "passw|pwd|passphrase|secret|token|api|key|auth|credential|bearer|private"
+#: What is given to a name with one of NAMES, quoted or not, from six characters on: up to a blank, quote or next parameter,
+#: without final stops. Lookbehinds are bounded, the cheap one comes first.
+GIVEN = (
+    r"(?<=[=:]>?[ \t]{0,8}[\"'`]?)(?<=(?i:" + NAMES + r")[A-Za-z0-9_.-]{0,24}[\"'`]?[ \t]{0,8}[=:]{1,2}>?[ \t]{0,8}[\"'`]?)(?![=:>])"
+    r"(?=[^\s\"'`<>]{6})(?:[^\s\"'`<>&,;.:)\]}]++|[,;.:)\]}]++(?=[^\s\"'`<>&])|&(?!\w+=)(?=[^\s\"'`<>&]))++"
+)
 KEYWORDS = r"(?i)(passw|pwd|secret|token|api|key|auth|credential|bearer|private)"
 HARMLESS = r"(?i)(commit|sha|md5|hash|checksum|digest|uuid|revision|version|example|order|invoice|card|phone|build)"
 DICTIONARY = "access account address admin alpha application archive article assets background backup beta binary branch browser build button category channel client cluster code column commit component config connection container content context controller country customer data database date default delete demo detail device digest directory document domain download element email engine error event example export feature field file filter folder format function gateway generic group handler header health helper history home host image import index info input install instance interface internal invoice item language layout library license line link list local location login main manager map master media member memory message method model module month name network node number object option order output package page param parser password path payment period placeholder plugin policy port prefix process product profile project property public query queue record release remote report request resource response result route sample schema script search section secret server service session setting site size source stage start state static status storage stream string style system table target task template test text thread time title token tool type update upload user utils value version video view web width window worker your".split()  # noqa: E501, SIM905
 
-FEATURES = ["length", "digits", "upper", "lower", "transitions", "distinct", "dictionary", "slashes", "separators", "path_before", "keyword", "assigned", "harmless"]
+FEATURES = ["length", "digits", "upper", "lower", "transitions", "distinct", "dictionary", "slashes", "separators", "path_before", "keyword", "assigned", "harmless", "equals"]
 CONTEXT, TREES, DEPTH, FINDINGS = 40, 15, 6, 6000
 
 
@@ -39,6 +46,7 @@ def features(value: Column, before: Column) -> Column:
         near.rlike(KEYWORDS).cast("double").alias("keyword"),
         before.rlike(r"[=:]\s*[\"']?$").cast("double").alias("assigned"),
         near.rlike(HARMLESS).cast("double").alias("harmless"),
+        before.rlike(r"(=>?\s*|[\"'`])$").cast("double").alias("equals"),
     )
 
 
@@ -57,6 +65,15 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
     assign = F.concat(prose, name, gives)
     digits = F.regexp_replace(hexed(F.lit(100), "d"), "[a-f]", "")
     dashed = F.concat_ws("-", hexed(F.lit(8), "u"), hexed(F.lit(4), "v"), hexed(F.lit(4), "w"), hexed(F.lit(4), "x"), hexed(F.lit(12), "y"))
+    letters = F.translate(base64, "0123456789+/", "qWzXvKjYpRtB")
+    short = (6 + F.pmod(F.xxhash64(F.lit("s"), i), F.lit(7))).cast("int")
+    mark = pick(["!", "@", "#", "$", ".", "%", "*"], "m")
+    phrase = lambda salt: pick(["correct", "horse", "battery", "staple", "purple", "monkey", "tractor", "velvet", "sunny", "river", "dragon", "pepper"], salt)
+    stem = lambda salt: F.concat(pick(["under", "with", "over", "some", "nobody", "every", "through", "inter", "mean", "south", "verantwort"], salt + "1"), pick(["stand", "thing", "whelm", "where", "ward", "body", "holden", "national", "lich", "keit", "respons"], salt + "2"), pick(["", "ing", "s", "ation", "heiten", "ungs"], salt + "3"))
+    plain = F.when(i % 3 == 0, F.initcap(stem("v"))).otherwise(stem("v"))
+    long = F.concat(plain, stem("w"))
+    told = F.concat(prose, pick(["the key", "a secret", "token", "authors", "private", "password", "keywords"], "t"), F.lit(": "))
+    firmly = F.concat(prose, name, pick(["=", " = \"", "='", ": \""], "f"))
     kinds = [
         (assign, hexed(size, "a"), 1), (assign, F.substring(base64, F.lit(1), size), 1), (prose, F.concat(F.lit("AKIA"), F.substring(upper, 1, 16)), 1),
         (prose, F.concat(pick(["ghp_", "sk-live-", "xoxb-", "glpat-"], "p"), F.substring(F.regexp_replace(base64, "[+/]", "z"), 1, 36)), 1),
@@ -66,6 +83,14 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
         (prose, F.concat_ws("_", some("1"), some("2"), some("3"), F.substring(digits, 1, 2)), 0), (F.concat(prose, F.lit("https://host/")), F.concat_ws("/", some("4"), some("5"), F.substring(digits, 1, 4), some("6")), 0),
         (assign, F.concat_ws("_", F.lit("your"), some("7"), some("8"), F.lit("here1")), 0), (assign, F.concat(F.repeat(pick(["x", "0", "1", "a"], "r"), 18), F.lit("1")), 0), (prose, F.concat(some("9"), some("0"), some("11"), F.substring(digits, 1, 4)), 0),
         (F.concat(prose, F.lit("/")), F.concat_ws("-", some("12"), some("13"), F.substring(digits, 1, 8)), 0),
+        (assign, hexed(F.lit(12) + i % 4, "e"), 1), (assign, F.concat(F.substring(base64, F.lit(1), short), mark, F.substring(base64, 30, 3)), 1),
+        (assign, F.concat(phrase("p0"), mark, F.substring(digits, 1, 4), mark), 1), (firmly, F.concat_ws("-", phrase("p1"), phrase("p2"), phrase("p3"), phrase("p4")), 1),
+        (assign, F.substring(letters, F.lit(1), size), 1), (firmly, F.lower(F.substring(letters, F.lit(1), short + 8)), 1),
+        (prose, F.concat(F.lit("AKIA"), F.upper(F.substring(letters, 1, 16))), 1),
+        (told, plain, 0), (assign, some("13"), 0), (assign, F.concat_ws(".", some("14"), F.concat(some("15"), F.lit("("))), 0),
+        (assign, F.concat(F.lit("${"), F.upper(some("16")), F.lit("_"), F.upper(some("17"))), 0), (assign, F.repeat(pick(["*", "x", ".", "#"], "r2"), 10), 0),
+        (prose, F.concat(plain, F.lower(some("18")), plain), 0), (prose, F.repeat(pick(["-", "_", "+", "/", "a"], "r3"), 24), 0),
+        (prose, long, 0), (told, long, 0), (prose, F.concat(long, stem("y")), 0), (prose, F.upper(long), 0), (prose, F.concat_ws("-", plain, some("19"), plain), 0), (prose, F.concat(some("20"), F.initcap(some("21")), F.initcap(some("22"))), 0), (assign, F.lit("[SECRET"), 0),
     ]
     turn = F.pmod(i, F.lit(len(kinds)))
     each = F.array(*(F.struct(b.alias("before"), v.alias("value"), F.lit(float(y)).alias("label")) for b, v, y in kinds))
@@ -106,10 +131,10 @@ def train(findings: DataFrame) -> Forest:
 
 def with_findings(documents: DataFrame, forest: Forest, text: str = "text") -> DataFrame:
     """documents with __found: array of (start, end, value, vote) of every candidate, in code points, ends excluded."""
-    pattern = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z_+/-]*+[0-9])" + VALUE
+    pattern = rf"(?:{GIVEN}|(?<![A-Za-z0-9+/_-]){VALUE})"
     d = documents.withColumn("__text", F.coalesce(F.col(text), F.lit("")))
     none = F.array().cast("array<string>")
-    d = d.withColumn("__hits", F.when(F.col("__text").rlike("[0-9]"), F.regexp_extract_all("__text", F.lit(f"({pattern})"), F.lit(1))).otherwise(none))
+    d = d.withColumn("__hits", F.regexp_extract_all("__text", F.lit(f"({pattern})"), F.lit(1)))
     d = d.withColumn("__gaps", F.when(F.size("__hits") > 0, F.split("__text", pattern, -1)).otherwise(none))
 
     def step(acc: Column, i: Column) -> Column:

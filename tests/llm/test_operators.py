@@ -285,6 +285,16 @@ def test_secrets(spark, docs, odd, forest):
     assert secret_scan.redact_secrets(odd, forest).exceptAll(odd).count() == 0
 
 
+def test_given_secrets(spark, forest):
+    given = {"password=": "0a1b2c3d4e5f", 'db_password = "': "Tr.u!b4@dor", "api_key: ": "QwRtYpLkJhGfDsAzXcVb", "passwd='": "purple-monkey-river-dragon", "secret=": "aZ3#kP$w9", "token: ": "f3a9c1b77d20e4"}
+    texts = [f"with {k}{v}{'' if k[-1] not in chr(34) + chr(39) else k[-1]} and more" for k, v in given.items()]
+    plain = ["The key: understanding comes before", "password: required", "see https://host/?token=${TOKEN_VALUE}", "Verantwortungsbewusstsein and responsibilities"]
+    d = spark.createDataFrame(list(enumerate(texts + plain)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in secret_scan.redact_secrets(d, forest).collect()}
+    assert [got[i] for i in range(len(texts))] == [x.replace(v, "[SECRET]") for x, v in zip(texts, given.values())]
+    assert [got[len(texts) + i] for i in range(len(plain))] == plain
+
+
 def test_forest_on_unseen_findings(spark, forest):
     f = secret_scan.labelled_findings(spark, 9000).where(f"id >= {secret_scan.FINDINGS}")
     f = f.select("label", F.array(secret_scan.features(F.col("value"), F.col("before"))).alias("all"))
