@@ -67,7 +67,8 @@ RULES = [
 ]
 # Every known sentence holds one of these; a text without any is not cut into sentences.
 TRIGGERS = ["licens", "permission", "copyright", "warrant", "redistribut", "unencumbered", "rights reserved"]
-END = r"(?<=[.!?;:])(?<!identifier:)\s+"
+END = r"(?<=[.!?;:]\s)(?<!identifier:\s)"
+FOUND = "array<struct<start:int,end:int,id:string>>"
 
 
 def normalised(sentence: Column) -> Column:
@@ -78,8 +79,8 @@ def normalised(sentence: Column) -> Column:
 def scan_licenses(documents: DataFrame) -> DataFrame:
     """doc_id, n_sentences, sentences (identifiers) and licenses (by rule, each once) of every row.
 
-    A sentence is looked for in each line, and in lines joined up to a blank one, since licence texts are wrapped; where
-    both ways find something, the one that finds more counts (lines, if equal). A null or empty text has none.
+    A sentence is looked for in each line, and in lines joined up to a blank one, since licence texts are wrapped. Findings
+    of both ways count, in the order of the text; a line's within a joined sentence that is known is left out. A null or empty text has none.
     Repeated rows each get a row, further columns take no part, an empty table gives no rows.
     """
     low = F.lower(F.coalesce("text", F.lit("")))
@@ -88,13 +89,21 @@ def scan_licenses(documents: DataFrame) -> DataFrame:
         there = there | F.col("low").contains(t)
     d = documents.select("doc_id", low.alias("low")).select("doc_id", F.when(there, F.col("low")).otherwise(F.lit("")).alias("low"))
     known = F.create_map(*(F.lit(x) for pair in SENTENCES.items() for x in pair))
-    name = lambda sentences: F.filter(F.transform(sentences, lambda s: F.try_element_at(known, normalised(s))), lambda i: i.isNotNull())
-    lines = F.split("low", rf"\n|{END}")
-    joined = F.split(F.regexp_replace("low", r"\n(?!\s*\n)", " "), rf"\n|{END}")
+    # pieces keep every character, and joining changes no length, so both ways count the same offsets
+    lines = F.split("low", rf"(?<=\n)|{END}")
+    joined = F.split(F.regexp_replace("low", r"\n(?!\s*\n)", " "), rf"(?<=\n)|{END}")
     none = F.array().cast("array<string>")
-    found = lambda s: F.when(F.length("low") > 0, name(s)).otherwise(none)
+
+    def step(acc: Column, piece: Column) -> Column:
+        end = acc["at"] + F.length(piece)
+        named = F.transform(F.array(F.try_element_at(known, normalised(piece))), lambda i: F.struct(acc["at"].alias("start"), end.alias("end"), i.alias("id")))
+        return F.struct(end.alias("at"), F.concat(acc["out"], F.filter(named, lambda f: f["id"].isNotNull())).cast(FOUND).alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(FOUND).alias("out"))
+    found = lambda s: F.when(F.length("low") > 0, F.aggregate(s, start, step, lambda a: a["out"])).otherwise(F.array().cast(FOUND))
     d = d.select("doc_id", found(lines).alias("a"), found(joined).alias("b"))
-    d = d.select("doc_id", F.when(F.size("b") > F.size("a"), F.col("b")).otherwise(F.col("a")).alias("ids"))
+    alone = F.filter("a", lambda x: ~F.exists("b", lambda y: (x["start"] < y["end"]) & (y["start"] < x["end"])))
+    d = d.select("doc_id", F.transform(F.array_sort(F.concat(alone, "b")), lambda f: f["id"]).alias("ids"))
     d = d.withColumns({"rest": F.concat(F.array_join("ids", ";"), F.when(F.size("ids") > 0, F.lit(";")).otherwise(F.lit(""))), "out": none})
     for licence, rule in RULES:
         whole = rf"(?:^|(?<=;)){rule}"

@@ -220,6 +220,14 @@ def test_licenses(spark, docs, odd):
     assert all(any(t in s for t in licenses.TRIGGERS) for s in licenses.SENTENCES if s not in ("you may not use this file except in compliance with the license",) or "licens" in s)
 
 
+def test_licenses_of_both_readings(spark):
+    wrapped = "This work is licensed under the GNU General Public\nLicense, version 3."
+    texts = [f"All rights reserved\nand some prose.\n\n{wrapped}", f"{wrapped} More.\n\n{wrapped}\n\nAll rights reserved\nand some prose"]
+    got = licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.sentences for r in got] == ["rights-reserved;gpl3-name", "gpl3-name;gpl3-name;rights-reserved"]
+    assert [r.licenses for r in got] == ["GPL-3.0-only,Proprietary"] * 2
+
+
 # 7: mixing
 def water(sizes):
     order = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + [None] * (None in sizes)
