@@ -7,10 +7,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from filingloom.llm import chat_format, jaccard_join, licenses, mixing, pii, quality_classifier, quality_rules, secret_scan, sentencepiece_trie, topk
+from filingloom.llm import chat_format, hashing, jaccard_join, licenses, mixing, pii, quality_classifier, quality_rules, secret_scan, sentencepiece_trie, topk
 from filingloom.llm.common import connected, table
 
 SF = "/root/testdata/sf0.001"
@@ -371,7 +372,7 @@ def brute_components(rows, n, num, den):
 
 @pytest.mark.parametrize(("n", "num"), [(4, 85), (5, 80)])
 def test_jaccard_classes(spark, docs, odd, n, num, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "COMMON", 5)  # so that common grams and crowded shards occur here too
+    monkeypatch.setattr(jaccard_join, "LEAF", 4)  # so that shards of several trees occur here too
     monkeypatch.setattr(jaccard_join, "TREE", 8)
     rnd = random.Random(n)
     bases = [[f"w{rnd.randrange(40 if i % 3 else 4000)}" for _ in range(rnd.choice([3, 8, 20, 60, 150]))] for i in range(12)]
@@ -387,6 +388,48 @@ def test_jaccard_classes(spark, docs, odd, n, num, monkeypatch):
     assert jaccard_join.jaccard_classes(d.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("more", [[], [(5, "seldom seen words "), (70, None), (70, "some other text altogether"), (71, "")]])
+def test_jaccard_repeated_ids(spark, more):
+    """Rows of one id with different texts: each set links on its own, and all that they reach is one component."""
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    a, b, c = text(1), text(2), text(3)
+    rows = [(1, a), (5, a), (5, b), (9, b.rsplit(" ", 1)[0]), (11, c), (12, c + " more"), (12, c), (3, b + " end"), (20, "alone"), *more]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_classes(d).collect()}
+    sets = [(i, shingles(t, 4)) for i, t in rows]
+    root = {i: i for i, _ in rows}
+    again = True
+    while again:
+        again = False
+        for i, x in sets:
+            for j, y in sets:
+                if (i == j or x and y and 100 * len(x & y) >= 85 * len(x | y)) and root[i] != root[j]:
+                    root[i] = root[j] = min(root[i], root[j])
+                    again = True
+    assert got == {(i, len(x), root[i]) for i, x in sets}
+
+
+def shingles(text, n):
+    w = re.findall(r"[^ \t-\r]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
+
+
+def test_hashes_of_many_texts():
+    """Words and grams of texts hashed together equal those of each text alone, wherever portions end."""
+    texts = [None, "", " \n", "a b", "A B c", "b a", "ab", "x" * 100, "one two three four five six", "é ü\tß\x0bÀ", "y", "\x1fno blank", *(" ".join(random.Random(i).choices("abc", k=i)) for i in range(40))]
+    data, offsets = hashing.text_bytes(pa.array(texts))
+    for most in (7, 64, 1 << 20):
+        h, many = hashing.word_hashes(data, offsets, {}, most)
+        assert many.tolist() == [len(WORD.findall(t or "")) for t in texts]
+        names = [re.sub("[A-Z]", lambda m: m[0].lower(), w) for t in texts for w in WORD.findall(t or "")]
+        assert len(set(zip(names, h.tolist()))) == len(set(names)) == len(set(h.tolist()))
+    h, many = hashing.gram_sets(data, offsets, 3, {})
+    assert many.tolist() == [len(shingles(t, 3)) for t in texts]
+    assert len(set(h.tolist())) == len(set().union(*(shingles(t, 3) for t in texts)))
+    sliced = pa.array(["skip", *texts, "skip"]).slice(1, len(texts))
+    assert (hashing.text_bytes(sliced)[0] == data).all() and (hashing.text_bytes(sliced)[1] == offsets).all()
+
+
 def test_r_tree_loses_nothing():
     rng = np.random.default_rng(3)
     sizes = rng.integers(30, 80, 700)
@@ -394,7 +437,7 @@ def test_r_tree_loses_nothing():
     points[350:] = points[:350]
     sizes = points.sum(1)
     tree = jaccard_join.RTree(points, sizes)
-    for i in range(0, 700, 37):
-        bound = np.minimum(points, points[i]).sum(1)
-        want = np.flatnonzero(bound * 185 >= 85 * (sizes + sizes[i]))
-        assert sorted(tree.search(points[i], sizes[i], 85, 100)) == sorted(want)
+    asked = np.arange(0, 700, 37)
+    got = set(zip(*(x.tolist() for x in tree.search(points[asked], sizes[asked], 85, 100))))
+    bound = np.minimum(points[asked][:, None, :], points[None, :, :]).sum(2)
+    assert got == set(zip(*(x.tolist() for x in np.nonzero(bound * 185 >= 85 * (sizes[asked][:, None] + sizes[None, :])))))
