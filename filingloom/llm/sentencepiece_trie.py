@@ -22,9 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from filingloom.llm.hashing import portions, text_bytes
+
 MARK = "▁"
-#: Words, and verdicts on pairs of pieces, that a task remembers; texts handled together.
-REMEMBER, AT_ONCE = 200_000, 1000
+#: Words, and verdicts on pairs of pieces, that a task remembers; bytes of texts encoded together.
+REMEMBER, AT_ONCE = 200_000, 1 << 20
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -153,8 +155,8 @@ def encode(documents: DataFrame, pieces: Pieces, text: str = "text", keep: tuple
     def batch(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[str, bytes] = {}
         for b in it:
-            for at in range(0, b.num_rows, AT_ONCE):
-                part = b.slice(at, AT_ONCE)
+            for at, end in portions(text_bytes(b.column(b.num_columns - 1))[1], AT_ONCE):
+                part = b.slice(at, end - at)
                 texts = part.column(part.num_columns - 1).to_pylist()
                 words = [split.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
                 if len(cache) > REMEMBER:
