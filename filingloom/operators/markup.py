@@ -6,15 +6,19 @@ broken beyond that gives fewer rows, or a row with an error, but never a failed
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from filingloom.functions import sanitize_markup
+from filingloom.sources import spread
+
 EVENTS = "rcept_no string, seq int, kind string, section_id string, text string, error string"
-CELL = "struct<row:int,tag:string,text:string,acode:string,aunit:string,aunitvalue:string,rowspan:string,colspan:string>"
+CELL = "struct<row:int,at:int,tag:string,text:string,acode:string,aunit:string,aunitvalue:string,rowspan:string,colspan:string>"
 BLOCKS = f"rcept_no string, block_no int, type string, tag string, level int, text string, section_path array<string>, aclass string, n_cols int, cells array<{CELL}>, error string"
 
 # Elements of filings, and those of HTML that never have an end.
@@ -95,16 +99,42 @@ def tree(markup: str, html: bool = False) -> Node:
     return reader.root
 
 
-def decoded(filings: DataFrame) -> DataFrame:
-    """rcept_no and markup: UTF-8 with or without a mark, bad bytes replaced; text columns pass as they are."""
+DECLARED = re.compile(rb"""(?:encoding|charset)\s*=\s*["']?([A-Za-z0-9._-]+)""")
+
+
+def declared_text(contents: Column) -> Column:
+    """Bytes in the encoding that their head declares; null where there is none, or where it doesn't fit."""
+
+    def text(raw: bytes | None) -> str | None:
+        named = DECLARED.search(raw[:300]) if raw is not None else None
+        try:
+            return raw.decode(named[1].decode()) if named else None
+        except (LookupError, ValueError):
+            return None
+
+    def texts(rows: pd.Series) -> pd.Series:
+        return pd.Series([text(raw) for raw in rows], dtype=object)
+
+    return F.pandas_udf(texts, "string")(contents)
+
+
+def decoded(filings: DataFrame, sanitize: bool = False) -> DataFrame:
+    """rcept_no and markup: text columns pass as they are. Bytes are UTF-8, with or without a mark; what isn't valid UTF-8 is
+    read in the encoding that its head declares, or else with bad bytes replaced."""
     if "markup" in filings.columns:
-        return filings.select("rcept_no", F.coalesce("markup", F.lit("")).alias("markup"))
-    text = F.make_valid_utf8(F.col("content").cast("string"))
-    return filings.select("rcept_no", F.regexp_replace(F.coalesce(text, F.lit("")), "^﻿", "").alias("markup"))
+        text = F.coalesce("markup", F.lit(""))
+    else:
+        raw = F.col("content").cast("string")
+        text = F.when(F.is_valid_utf8(raw), raw).otherwise(F.coalesce(declared_text(F.when(~F.is_valid_utf8(raw), F.col("content"))), F.make_valid_utf8(raw)))
+        text = F.regexp_replace(F.coalesce(text, F.lit("")), "^\ufeff", "")
+    return filings.select("rcept_no", (sanitize_markup(text) if sanitize else text).alias("markup"))
 
 
-def per_filing(filings: DataFrame, rows: Callable[[str], list[tuple]], schema: str, on_error: str) -> DataFrame:
-    """rows(markup) of every filing, after its key; an exception becomes one row with an error, or fails the job."""
+def per_filing(filings: DataFrame, rows: Callable[[str], list[tuple]], schema: str, on_error: str, dealt: bool) -> DataFrame:
+    """rows(markup) of every filing, after its key; an exception becomes one row with an error, or fails the job.
+
+    Filings are small in bytes but dear to parse, so they are dealt to all cores, unless the caller has done that.
+    """
     names = [part.strip().split(" ")[0] for part in schema.replace(CELL, "cell").split(",")]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -119,10 +149,10 @@ def per_filing(filings: DataFrame, rows: Callable[[str], list[tuple]], schema: s
                     out.append((key, *[None] * (len(names) - 2), f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(out, columns=names).astype({n: "Int32" for n in names if n in ("seq", "block_no", "level", "n_cols")})
 
-    return filings.mapInPandas(read, schema)
+    return filings.mapInPandas(read, schema) if dealt else spread(filings, "rcept_no").mapInPandas(read, schema)
 
 
-def markup_events(filings: DataFrame, on_error: str = "warn") -> DataFrame:
+def markup_events(filings: DataFrame, on_error: str = "warn", sanitize: bool = False, dealt: bool = False) -> DataFrame:
     """Text nodes and contents titles in order: kind name, company (once each), title (with its id), text."""
 
     def rows(markup: str) -> list[tuple]:
@@ -138,17 +168,16 @@ def markup_events(filings: DataFrame, on_error: str = "warn") -> DataFrame:
                 out.append((len(out), "title", n.attrs.get("aassocnote", ""), "".join(t.strip() for t in n.texts())))
         return out
 
-    return per_filing(decoded(filings), rows, EVENTS, on_error)
+    return per_filing(decoded(filings, sanitize), rows, EVENTS, on_error, dealt)
 
 
 def cells_of(table: Node) -> tuple[int, list[dict]]:
     """Columns that COLGROUP names, and the cells of all rows, inner tables' rows included."""
     cells = []
     for r, tr in enumerate(table.all("tr")):
-        for c in tr.kids:
-            if isinstance(c, Node) and c.tag in CELLS:
-                a = c.attrs
-                cells.append({"row": r, "tag": c.tag.upper(), "text": "".join(c.texts()), "acode": a.get("acode"), "aunit": a.get("aunit"), "aunitvalue": a.get("aunitvalue"), "rowspan": a.get("rowspan"), "colspan": a.get("colspan")})
+        for at, c in enumerate(k for k in tr.kids if isinstance(k, Node) and k.tag in CELLS):
+            a = c.attrs
+            cells.append({"row": r, "at": at, "tag": c.tag.upper(), "text": "".join(c.texts()), "acode": a.get("acode"), "aunit": a.get("aunit"), "aunitvalue": a.get("aunitvalue"), "rowspan": a.get("rowspan"), "colspan": a.get("colspan")})
     group = table.first("colgroup")
     return sum(isinstance(k, Node) and k.tag == "col" for k in group.kids) if group is not None else 0, cells
 
@@ -217,7 +246,7 @@ def exchange_blocks(root: Node) -> list[tuple]:
     joined = lambda n: " ".join(t.strip() for t in n.texts() if t.strip())
     out = [("title", "TITLE", None, joined(title) if title is not None else "", [], None, None, None)]
     for t in root.all("table"):
-        cells = [{"row": r, "tag": c.tag.upper(), "text": joined(c), "acode": None, "aunit": None, "aunitvalue": None, "rowspan": c.attrs.get("rowspan"), "colspan": c.attrs.get("colspan")} for r, tr in enumerate(t.all("tr")) for c in tr.all("td", "th")]
+        cells = [{"row": r, "at": at, "tag": c.tag.upper(), "text": joined(c), "acode": None, "aunit": None, "aunitvalue": None, "rowspan": c.attrs.get("rowspan"), "colspan": c.attrs.get("colspan")} for r, tr in enumerate(t.all("tr")) for at, c in enumerate(tr.all("td", "th"))]
         out.append(("table", "TABLE", None, None, [], None, 0, cells))
     return out
 
@@ -225,11 +254,15 @@ def exchange_blocks(root: Node) -> list[tuple]:
 WALKERS = {"pipeline": pipeline_blocks, "periodic": periodic_blocks, "exchange": exchange_blocks}
 
 
-def filing_blocks(filings: DataFrame, style: str, on_error: str = "warn") -> DataFrame:
-    """Blocks of every filing in order, tables with their cells; style: pipeline, periodic or exchange."""
+def filing_blocks(filings: DataFrame, style: str, on_error: str = "warn", sanitize: bool = False, dealt: bool = False) -> DataFrame:
+    """Blocks of every filing in order, tables with their cells; style: pipeline, periodic or exchange.
+
+    sanitize escapes bare ampersands and drops control characters first (the pipeline's way); dealt: the filings already lie
+    in as many partitions as they should be parsed in.
+    """
     walker, html = WALKERS[style], style == "exchange"
 
     def rows(markup: str) -> list[tuple]:
         return [(i, *b) for i, b in enumerate(walker(tree(markup, html)))]
 
-    return per_filing(decoded(filings), rows, BLOCKS, on_error)
+    return per_filing(decoded(filings, sanitize), rows, BLOCKS, on_error, dealt)

@@ -2,45 +2,76 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from filingloom.functions import numbered_id, split_sentences
-from filingloom.operators.markdown import split_table
+from filingloom.operators.markdown import guarded, split_table, unfolded
 
 KEY = "rcept_no"
 MAX_CHARS, OVERLAP, TABLE_CHARS = 1400, 150, 3000
 
 
-def overlapping(text: str, sentences: list[str], most: int, overlap: int) -> list[str]:
-    """Sentences packed up to `most` characters, each piece beginning with the end of the one before."""
-    if len(text) <= most:
-        return [text]
-    out, cur = [], ""
-    for s in sentences:
-        if len(cur) + len(s) + 1 <= most:
-            cur = f"{cur} {s}".strip()
-            continue
-        if cur:
-            out.append(cur)
-        cur = f"{cur[-overlap:]} {s}".strip()
-        while len(cur) > most:
-            out.append(cur[:most])
-            cur = cur[most - overlap :]
-    return [*out, cur] if cur else out
-
-
-def split_overlap(rows: DataFrame, most: int = MAX_CHARS, overlap: int = OVERLAP) -> DataFrame:
-    """rows with one row per piece of text, and its part (from 1)."""
-
-    @F.pandas_udf("array<string>")
-    def cut(texts: pd.Series, sentences: pd.Series) -> pd.Series:
-        return pd.Series([overlapping(t, list(s), most, overlap) for t, s in zip(texts, sentences)])
-
-    short = F.array().cast("array<string>")
-    p = rows.withColumn("_pieces", cut("text", F.when(F.length("text") > most, split_sentences(F.col("text"), "periodic")).otherwise(short)))
-    return p.select(*(c for c in rows.columns if c != "text"), F.posexplode("_pieces").alias("part", "text")).withColumn("part", F.col("part") + 1)
+def overlap_offsets(lengths: np.ndarray, kept: np.ndarray, text: str, most: int, overlap: int) -> list[tuple[int, int]]:
+    """Ranges of text, the sentences joined by single spaces, of `most` characters at most; each begins `overlap` characters
+    before the end of the one before (not with a space). lengths: of the sentences; kept: without trailing space.
+
+    A sentence belongs to the open range if the range, a space and the sentence as it was fit. Ends of sentences in the
+    text are running sums, so a range's last sentence is found by one comparison of arrays.
+    """
+    ends = np.cumsum(kept + (kept > 0)) - 1  # a sentence of spaces adds nothing
+    ends = np.maximum(ends, 0)
+    reach = np.r_[0, ends[:-1]] + lengths + 1  # what a sentence asks of the range, from the text's beginning
+    out, start, at = [], 0, 0
+    while at < len(ends):
+        if reach[at] <= start + most:  # with the first sentence that joins it, a cut range loses leading space
+            start += leading(text, start, int(ends[at]))
+        stop = len(ends)
+        for some in range(at, len(ends), most):
+            beyond = np.flatnonzero(reach[some : some + most] > start + most)
+            if len(beyond):
+                stop = some + int(beyond[0])
+                break
+        end = int(ends[stop - 1]) if stop else 0
+        if stop == len(ends):
+            break
+        if end > start:
+            out.append((start, end))
+        start = max(start, end - overlap)
+        end = int(ends[stop])
+        start += leading(text, start, end)
+        while end - start > most:
+            out.append((start, start + most))
+            start += most - overlap
+        at = stop + 1
+    last = int(ends[-1]) if len(ends) else 0
+    return [*out, (start, last)] if last > start else out
+
+
+def leading(text: str, start: int, end: int) -> int:
+    return end - start - len(text[start:end].lstrip())
+
+
+def split_overlap(rows: DataFrame, most: int = MAX_CHARS, overlap: int = OVERLAP, on_error: str = "raise") -> DataFrame:
+    """rows with one row per piece of text, and its part (from 1). A null text is empty. on_error "warn" adds a column error,
+    and keeps a row that can't be split with it."""
+
+    def cut(text: str, sentences: np.ndarray) -> list[dict]:
+        if len(text) <= most:
+            return [{"text": text}]
+        first = next((i for i, s in enumerate(sentences) if s.strip()), len(sentences))
+        some = [s.lstrip() if i == 0 else s for i, s in enumerate(sentences[first:])]
+        bare = [s.rstrip() for s in some]
+        whole = " ".join(b for b in bare if b)
+        size = np.array([len(s) for s in sentences[first:]], np.int64)
+        return [{"text": whole[a:b]} for a, b in overlap_offsets(size, np.array([len(b) for b in bare], np.int64), whole, most, overlap)]
+
+    text = F.coalesce("text", F.lit(""))
+    sentences = F.when(F.length(text) > most, split_sentences(text, "periodic")).otherwise(F.array().cast("array<string>"))
+    made = rows.select(*(c for c in rows.columns if c != "text"), guarded(cut, on_error, "array<struct<text:string>>")(text, sentences).alias("_made"))
+    return unfolded(made, "_made", ["text"], on_error).withColumn("part", F.col("_at") + 1).drop("_at")
 
 
 def flushes(breaks: list[bool], lengths: list[int], most: int) -> list[int]:
@@ -63,13 +94,14 @@ def buffered(blocks: DataFrame, most: int = MAX_CHARS) -> DataFrame:
     texts = blocks.withColumn("breaks", ~F.coalesce(same, F.lit(False))).where("type = 'text'").withColumn("length", F.length("text"))
 
     @F.pandas_udf("array<int>")
-    def number(docs: pd.Series) -> pd.Series:
-        return pd.Series([flushes([b["breaks"] for b in d], [b["length"] for b in d], most) for d in docs])
+    def number(breaks: pd.Series, lengths: pd.Series) -> pd.Series:
+        return pd.Series([flushes([bool(x) for x in b], [int(x) for x in n], most) for b, n in zip(breaks, lengths)])
 
-    docs = texts.groupBy(KEY).agg(F.sort_array(F.collect_list(F.struct("block_no", "breaks", "length"))).alias("b"))
-    numbers = docs.select(KEY, F.inline(F.arrays_zip(F.col("b.block_no").alias("block_no"), number("b").alias("buffer"))))
+    # a filing's texts are one row while they are numbered, so all that follows keeps the partitioning by filing
+    docs = texts.groupBy(KEY).agg(F.sort_array(F.collect_list(F.struct("block_no", "breaks", "length", "section_path", "text"))).alias("b"))
+    numbered = docs.select(KEY, F.inline(F.zip_with("b", number(F.col("b.breaks"), F.col("b.length")), lambda b, n: F.struct(b["block_no"].alias("block_no"), b["section_path"].alias("section_path"), b["text"].alias("text"), n.alias("buffer")))))
     joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block_no", "text"))), lambda x: x["text"]), "\n")
-    bodies = texts.join(numbers, [KEY, "block_no"]).groupBy(KEY, "buffer").agg(F.min("block_no").alias("pos"), F.max_by("section_path", "block_no").alias("section_path"), joined.alias("text"))
+    bodies = numbered.groupBy(KEY, "buffer").agg(F.min("block_no").alias("pos"), F.max_by("section_path", "block_no").alias("section_path"), joined.alias("text"))
     tables = blocks.where("type = 'table'").select(KEY, F.col("block_no").alias("pos"), "type", "section_path", "text")
     return bodies.select(KEY, "pos", F.lit("text").alias("type"), "section_path", "text").unionByName(tables)
 

@@ -2,113 +2,138 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from filingloom.functions import clean_cell, clean_text, escape_cell, joined_labels, normalize_scalar, strip
+from filingloom.sources import spread
 
 TABLE = ["rcept_no", "block_no"]
-PLACES = "struct<error:string,places:array<struct<row:int,col:int,cell:int>>>"
+PLACE = "array<struct<row:int,col:int,cell:int>>"
+#: Cell numbers of a place without a cell, and of one that is still free.
+BLANK, FREE = -1, -2
+
+
+@dataclass(frozen=True)
+class Policy:
+    """How merged cells fill a grid. strict: a span that is no number fails the table, else it counts as 1. shown: places after
+    a merged cell's first show it too. walked: places below a merged cell fill only as a row's own cells reach them, and
+    the grid's width is given. overhang: rows below the last one exist where merged cells reach them."""
+
+    strict: bool
+    shown: bool
+    walked: bool
+    overhang: bool
+
+
+# The three families.
+POLICIES = {"shared": Policy(False, True, False, False), "repeat": Policy(True, True, True, False), "origin": Policy(True, False, False, True)}
 
 
 def span(text: Any, strict: bool) -> int:
-    """A span attribute; missing or empty is 1. Anything else that is no number fails, or is 1 where that is the policy."""
+    """A span attribute; missing or empty is 1, below 0 is 0."""
     try:
-        return int(text or 1)
+        return max(0, int(text or 1))
     except ValueError:
         if strict:
             raise
         return 1
 
 
-def shared_places(rows: list[list[tuple[int, int, int]]]) -> list[tuple[int, int, int]]:
-    """Merged cells share one cell number; gaps have number -1. A colspan overwrites columns held from above."""
-    out, held = [], {}
-    for r, cells in enumerate(rows):
-        here, fresh, col = {c: n for c, (_, n) in held.items()}, {}, 0
-        for n, down, right in cells:
-            while col in here and col not in fresh:
-                col += 1
-            for c in range(col, col + right):
-                here[c] = n
-                if down > 1:
-                    fresh[c] = (down - 1, n)
-            col += right
-        out += [(r, c, here.get(c, -1)) for c in range(max(here, default=-1) + 1)]
-        held = {c: (left - 1, n) for c, (left, n) in held.items() if left > 1} | {c: (left, here[c]) for c, (left, _) in fresh.items()}
-    return out
-
+def grid_places(row: np.ndarray, down: np.ndarray, right: np.ndarray, n_cols: int, policy: Policy) -> list[tuple[int, int, int]]:
+    """(row, col, cell number) of a table's grid, from its cells in order.
 
-def repeat_places(rows: list[list[tuple[int, int, int]]], n_cols: int) -> list[tuple[int, int, int]]:
-    """Values repeat over their spans, within a fixed width; a row ends where its cells run out, spans further right wait."""
-    width, held, out = max([n_cols, *(sum(right for _, _, right in cells) for cells in rows)], default=0), {}, []
-    for r, cells in enumerate(rows):
-        left, col, here = iter(cells), 0, {}
-        while col < width:
-            if held.get(col, (0, 0))[0] > 0:
-                here[col] = held[col][1]
-                held[col] = (held[col][0] - 1, held[col][1])
-                col += 1
-                continue
-            cell = next(left, None)
-            if cell is None:
+    Two arrays over the columns carry what merged cells still owe to the rows below: owed counts rows, owner names the
+    cell. A row is an array too: debts and own cells are written to slices of it, own cells into the first free column.
+    """
+    n_rows = int(row.max(initial=-1)) + 1
+    starts = np.searchsorted(row, np.arange(n_rows + 1))
+    sums = np.add.reduceat(np.r_[right, 0], starts[:-1]) * (starts[1:] > starts[:-1]) if n_rows else np.zeros(0, int)
+    width = max(n_cols, int(sums.max(initial=0))) if policy.walked else int(right.sum())
+    owed, owner, out = np.zeros(width, np.int64), np.full(width, BLANK), []
+    r = 0
+    while r < n_rows or policy.overhang and (owed > 0).any():
+        line = np.full(width, FREE)
+        if not policy.walked:
+            due = owed > 0
+            line[due] = owner[due]
+            owed[due] -= 1
+            below = owed.copy()
+        at = 0
+        for i in range(starts[r], starts[r + 1]) if r < n_rows else ():
+            free = np.flatnonzero((owed if policy.walked else line - FREE)[at:] == 0)
+            to = at + int(free[0]) if len(free) else width
+            if policy.walked:
+                settle(line, owed, owner, at, to)
+            if to == width and policy.walked:
+                at = width
                 break
-            n, down, right = cell
-            for c in range(col, min(col + right, width)):
-                here[c] = n
-                if down > 1:
-                    held[c] = (down - 1, n)
-            col += right
-        out += [(r, c, here.get(c, -1)) for c in range(width)]
+            end = min(to + int(right[i]), width)
+            if policy.overhang and not down[i]:  # no row, no place
+                at = end
+                continue
+            line[to:end] = i if policy.shown else BLANK
+            line[to : min(to + 1, end)] = i
+            if down[i] > 1:
+                debts = owed if policy.walked else below
+                debts[to:end] = down[i] - 1 if policy.shown else np.maximum(debts[to:end], down[i] - 1)
+                owner[to:end] = i if policy.shown else BLANK
+            at = to + int(right[i])
+        if policy.walked:
+            free = np.flatnonzero(owed[at:] == 0)
+            settle(line, owed, owner, at, at + int(free[0]) if len(free) else width)
+            line[line == FREE] = BLANK
+        else:
+            owed = below
+            if policy.shown:  # gaps left of a row's last place are blank
+                used = np.flatnonzero(line != FREE)
+                last = int(used[-1]) + 1 if len(used) else 0
+                line[:last][line[:last] == FREE] = BLANK
+        cols = np.flatnonzero(line != FREE)
+        out += zip([r] * len(cols), cols.tolist(), line[cols].tolist())
+        r += 1
     return out
 
 
-def origin_places(rows: list[list[tuple[int, int, int]]]) -> list[tuple[int, int, int]]:
-    """A cell's text stands at its first place only; the rest of its span is empty, below the last row too."""
-    grid: list[dict[int, int]] = []
-    for r, cells in enumerate(rows):
-        col = 0
-        while len(grid) <= r:
-            grid.append({})
-        for n, down, right in cells:
-            while col in grid[r]:
-                col += 1
-            for i in range(down):
-                while len(grid) <= r + i:
-                    grid.append({})
-                for c in range(col, col + right):
-                    grid[r + i][c] = n if i == 0 and c == col else -1
-            col += right
-    return [(r, c, n) for r, row in enumerate(grid) for c, n in sorted(row.items())]
+def settle(line: np.ndarray, owed: np.ndarray, owner: np.ndarray, start: int, end: int) -> None:
+    """Columns that a row walks through take what is owed to them."""
+    line[start:end] = owner[start:end]
+    owed[start:end] -= 1
 
 
 def expand_spans(tables: DataFrame, policy: str) -> DataFrame:
     """Rows of a grid: the tables' key columns, row, col, cell_no (-1: no cell) and the cell's columns.
 
-    policy shared takes a bad span for 1; under repeat and origin it fails the table, whose error says so.
+    policy shared takes a bad span for 1; under repeat and origin it fails the table, whose error says so. Tables without
+    spans whose rows are equally long are grids already; only the others need the helper, which sees positions alone.
     """
+    how = POLICIES[policy]
 
-    def places(cells: pd.Series, n_cols: pd.Series) -> pd.DataFrame:
+    def places(rows: pd.Series, downs: pd.Series, rights: pd.Series, n_cols: pd.Series) -> pd.DataFrame:
         out = []
-        for some, width in zip(cells, n_cols):
+        for row, down, right, width in zip(rows, downs, rights, n_cols):
             try:
-                rows: list[list[tuple[int, int, int]]] = []
-                for i, c in enumerate(some if some is not None else []):
-                    while len(rows) <= c["row"]:
-                        rows.append([])
-                    rows[c["row"]].append((i, span(c["rowspan"], policy != "shared"), span(c["colspan"], policy != "shared")))
-                found = shared_places(rows) if policy == "shared" else repeat_places(rows, int(width or 0)) if policy == "repeat" else origin_places(rows)
-                out.append((None, [{"row": r, "col": c, "cell": n} for r, c, n in found]))
+                sizes = [np.array([span(x, how.strict) for x in some], np.int64) for some in (down, right)]
+                out.append((None, [{"row": r, "col": c, "cell": n} for r, c, n in grid_places(np.asarray(row, np.int64), *sizes, int(width or 0), how)]))
             except ValueError as e:
                 out.append((f"ValueError: {e}", []))
         return pd.DataFrame(out, columns=["error", "places"])
 
-    put = F.pandas_udf(places, PLACES)
+    put = F.pandas_udf(places, f"struct<error:string,places:{PLACE}>")
     keys = [c for c in tables.columns if c not in ("cells", "n_cols", "error")]
-    placed = tables.where("type = 'table'").withColumn("p", put("cells", "n_cols"))
+    t = spread(tables.where("type = 'table'").withColumn("cells", F.coalesce("cells", F.array().cast(tables.schema["cells"].dataType))), TABLE[0])
+    merged = F.exists("cells", lambda c: (F.coalesce(c["rowspan"], F.lit("")).isin("", "1") & F.coalesce(c["colspan"], F.lit("")).isin("", "1")) == F.lit(False))
+    full = F.size("cells") == (F.array_max("cells.row") + 1) * (F.array_max("cells.at") + 1)
+    regular = ~merged & F.coalesce(full & (F.coalesce("n_cols", F.lit(0)) <= F.array_max("cells.at") + 1), F.lit(False))
+    as_is = F.struct(F.lit(None).cast("string").alias("error"), F.transform("cells", lambda c, i: F.struct(c["row"].alias("row"), c["at"].alias("col"), i.alias("cell"))).alias("places"))
+    odd = F.when(~F.col("regular"), F.col("cells"))
+    t = t.withColumn("regular", regular).withColumn("p", put(F.coalesce(odd["row"], F.array().cast("array<int>")), F.coalesce(odd["rowspan"], F.array().cast("array<string>")), F.coalesce(odd["colspan"], F.array().cast("array<string>")), "n_cols"))
+    placed = t.withColumn("p", F.when(F.col("regular"), as_is).otherwise(F.col("p")))
     each = placed.select(*keys, F.col("p.error").alias("error"), "cells", F.inline_outer("p.places"))
     cell = F.get("cells", F.when(F.col("cell") >= 0, F.col("cell")))
     return each.select(*keys, "error", "row", "col", F.col("cell").alias("cell_no"), *(cell[c].alias(f"cell_{c}") for c in ("tag", "text", "acode", "aunit", "aunitvalue")))

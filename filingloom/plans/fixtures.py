@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from filingloom.sources import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -23,11 +25,11 @@ def day(c: Column) -> Column:
 
 
 def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with their customer and their lines in order."""
+    """Orders with their customer and their lines in order, dealt to all cores: markup is written and read where they lie."""
     o, c, li = (table(spark, sf_dir, n) for n in ("orders", "customer", "lineitem"))
     line = F.struct("l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate", "l_returnflag")
     lines = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sort_array(F.collect_list(line)).alias("lines"))
-    named = o.join(c.select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment"), "o_custkey").join(lines, "o_orderkey", "left")
+    named = spread(o.join(c.select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment"), "o_custkey").join(lines, "o_orderkey", "left"), "o_orderkey")
     return named.withColumn("rcept_no", receipt(F.col("o_orderkey"))).withColumn("lines", F.coalesce("lines", F.array().cast(lines.schema["lines"].dataType)))
 
 
@@ -50,6 +52,12 @@ def tag(name: str, body: Column | str, attrs: str = "") -> Column:
     return F.concat(F.lit(f"<{name}{attrs}>"), inner, F.lit(f"</{name}>"))
 
 
+def filing_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """rcept_no, file_name and path of every filing, without its markup."""
+    no = receipt(F.col("o_orderkey"))
+    return table(spark, sf_dir, "orders").select(no.alias("rcept_no"), F.concat(no, F.lit(".xml")).alias("file_name"), F.concat(F.lit("raw/"), no).alias("path"))
+
+
 def exchange_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """HTML with two tables: the order's data under spans, and its lines."""
     o = order_rows(spark, sf_dir)
@@ -58,7 +66,7 @@ def exchange_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = lambda x: row(tag("td", x["l_linenumber"].cast("string")), tag("td", F.concat(F.lit("part "), x["l_partkey"].cast("string"))), tag("td", money(x["l_quantity"])))
     body = tag("table", F.concat(row(tag("th", "2) Lines")), F.array_join(F.transform("lines", line), "\n")))
     html = F.concat(F.lit("<html><head><title>"), "c_name", F.lit(" / Order report</title></head><body>"), head, body, F.lit("</body></html>"))
-    return o.select("rcept_no", html.alias("markup"), F.concat("rcept_no", F.lit(".xml")).alias("file_name"))
+    return o.select("rcept_no", html.alias("markup"))
 
 
 def xml_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +82,7 @@ def xml_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = lambda x: tag("SECTION-2", F.concat(F.lit('<TITLE ATOC="Y" AASSOCNOTE="L-'), x["l_linenumber"].cast("string"), F.lit('">'), F.lit("Line "), x["l_linenumber"].cast("string"), F.lit("</TITLE>"), tag("P", F.concat(F.lit("Part "), x["l_partkey"].cast("string"), F.lit(" A&B"))), cells(x)))
     body = tag("BODY", F.concat(tag("SECTION-1", F.concat(tag("TITLE", "1. Order", ' ATOC="Y" AASSOCNOTE="L-0"'), tag("P", F.col("o_orderpriority")), amounts)), tag("SECTION-1", F.concat(tag("TITLE", "2. Lines", ' ATOC="Y" AASSOCNOTE="L-1"'), F.array_join(F.transform("lines", line), "")))))
     xml = tag("DOCUMENT", F.concat(tag("DOCUMENT-NAME", name, ' ACODE="11011"'), tag("COMPANY-NAME", F.concat(F.lit("(주) "), "c_name"), ' AREGCIK="77"'), tag("SUMMARY", tag("EXTRACTION", F.col("o_orderstatus"), ' ACODE="STATUS" AFEATURE="N"')), body))
-    return o.select("rcept_no", xml.alias("markup"), F.concat("rcept_no", F.lit(".xml")).alias("file_name"), F.concat(F.lit("raw/"), "rcept_no").alias("path"))
+    return o.select("rcept_no", xml.alias("markup"))
 
 
 def markdown(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,15 +12,14 @@ from filingloom.operators import exchange as exc
 from filingloom.operators import markdown as md
 from filingloom.operators import markup, metadata, periodic, report, tables
 from filingloom.plans import fixtures as fx
-from filingloom.sources import merge_chunks, normalized_payload, parse_manifest
+from filingloom.sources import merge_chunks, normalized_payload, parse_manifest, staged
 
 
 def exchange_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """filings, their titles and their sections."""
-    filings = fx.exchange_filings(spark, sf_dir)
-    blocks = markup.filing_blocks(filings, "exchange").persist()  # parsed once for titles and tables
+    """File names, titles and sections of the filings."""
+    blocks = staged(markup.filing_blocks(fx.exchange_filings(spark, sf_dir), "exchange", dealt=True))  # parsed once for titles and tables
     rows = exc.exchange_rows(tables.expand_spans(blocks, "origin"))
-    return filings, exc.exchange_titles(blocks), exc.collect_sections(exc.carry_section(rows))
+    return fx.filing_names(spark, sf_dir), exc.exchange_titles(blocks), exc.collect_sections(exc.carry_section(rows))
 
 
 def exchange_chunk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,8 +44,7 @@ def exchange_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = fx.xml_filings(spark, sf_dir).withColumn("markup", fn.sanitize_markup(F.col("markup")))
-    return markup.filing_blocks(clean, "pipeline").persist()  # most queries read it more than once
+    return staged(markup.filing_blocks(fx.xml_filings(spark, sf_dir), "pipeline", sanitize=True, dealt=True))  # most queries read it more than once
 
 
 def fields_of(blocks: DataFrame) -> DataFrame:
@@ -75,8 +73,7 @@ def filing_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def toc_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = fx.xml_filings(spark, sf_dir).withColumn("markup", fn.sanitize_markup(F.col("markup")))
-    return docs_.toc_sections(markup.markup_events(clean)).select("rcept_no", F.col("section_no").cast("long").alias("section_no"), "section_id", "title", "text", F.col("char_count").cast("long").alias("char_count"))
+    return docs_.toc_sections(markup.markup_events(fx.xml_filings(spark, sf_dir), sanitize=True, dealt=True)).select("rcept_no", F.col("section_no").cast("long").alias("section_no"), "section_id", "title", "text", F.col("char_count").cast("long").alias("char_count"))
 
 
 def document_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,10 +82,9 @@ def document_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def periodic_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """filings, their header, and their blocks with text."""
-    filings = fx.xml_filings(spark, sf_dir)
-    blocks = markup.filing_blocks(filings, "periodic").persist()
-    return filings, docs_.document_header(blocks), docs_.periodic_texts(blocks, tables.expand_spans(blocks, "repeat"))
+    """File names, headers and blocks with text of the filings."""
+    blocks = staged(markup.filing_blocks(fx.xml_filings(spark, sf_dir), "periodic", dealt=True))
+    return fx.filing_names(spark, sf_dir), docs_.document_header(blocks), docs_.periodic_texts(blocks, tables.expand_spans(blocks, "repeat"))
 
 
 def periodic_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,8 +105,11 @@ def periodic_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def periodic_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     filings, names, blocks = periodic_parts(spark, sf_dir)
-    known = metadata.attach_manifest(filings.select("rcept_no"), fx.manifest(spark, sf_dir)).withColumn("error", F.lit(None).cast("string"))
-    return report.run_summary(report.run_log(known, blocks, blocks))
+    blocks = staged(blocks)
+    titles = names.select("rcept_no", "company_name", F.col("document_name").alias("report_name"))
+    known = metadata.attach_manifest(filings.join(titles, "rcept_no"), fx.manifest(spark, sf_dir))
+    chunks = periodic.chunk_periodic(blocks, metadata.document_metadata(known, "periodic"))
+    return report.run_summary(report.run_log(known.withColumn("error", F.lit(None).cast("string")), blocks, chunks))
 
 
 def merged_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:

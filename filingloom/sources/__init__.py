@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -13,6 +15,41 @@ MANIFEST = T.StructType([T.StructField(n, T.StringType()) for n in TEXTS] + [T.S
 CHUNKS = T.StructType([T.StructField(n, T.StringType()) for n in ["chunk_id", "text", "embedding_text", "section", "heading_path", "chunk_type", *TEXTS]] + [T.StructField("chunk_index", T.LongType()), T.StructField("n_chars", T.LongType()), T.StructField("char_count", T.LongType()), T.StructField("has_table", T.BooleanType())])
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the one that the session names. Only where all run on one machine, as
+    in tests, one of our own takes its place."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = tempfile.mkdtemp(prefix="checkpoints-")
+        spark.sparkContext.setCheckpointDir(named)
+    return named.rstrip("/")
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """Writes df to the shared folder and reads it back: it is computed once, and lost executors don't matter."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/staged-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Deletes what this application has staged. Results that still read it must have been written before."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/staged-{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def spread(rows: DataFrame, *by: str) -> DataFrame:
+    """rows dealt by a key to as many tasks as the session can run at once, and more: cheap rows whose work is dear. A stated
+    number isn't coalesced by their size."""
+    spark = rows.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    return rows.repartition(n, *by)
+
+
 def parse_manifest(lines: DataFrame, key: str = "rcept_no", on_bad: str = "fail") -> DataFrame:
     """Lines (value, position) of JSON to one record per key, the last of each; records without a key are dropped."""
     row = F.from_json("value", T.StructType([*MANIFEST.fields, T.StructField("_bad", T.StringType())]), {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"})

@@ -3,6 +3,8 @@
 import random
 import re
 
+import pytest
+
 from filingloom import sources
 from filingloom.functions import sanitize_markup
 from filingloom.operators import documents, embedding, exchange, markdown, markup, metadata, periodic, report, tables
@@ -137,12 +139,163 @@ def test_table_and_overlap_splits(spark):
     assert [len(p.text.split("\n")) - 2 for p in parts] == [2, 1, 2, 0] and all(p.text.startswith("|h|\n|---|") for p in parts)
     assert [p.n_chars for p in markdown.split_table(b, 120, "periodic").where("doc_id = 1").orderBy("part").collect()] == [102, 210, 112]
     assert markdown.split_table(b, 120, "periodic").where("doc_id = 2").count() == 0
-    assert periodic.overlapping("a" * 25, ["a" * 25], 10, 3) == ["a" * 10] * 3 + ["a" * 4]
-    assert periodic.overlapping("aaa bbb ccc", ["aaa", "bbb", "ccc"], 8, 2) == ["aaa bbb", "bb ccc"]
     assert periodic.flushes([True, False, True, False], [5, 5, 3, 20], 10) == [0, 0, 1, 1]
     assert periodic.flushes([True, False, False], [20, 3, 3], 10) == [0, 1, 1]
 
 
+def plain_texts(sentences, most):
+    """Sentences packed one after the other; what is too long is cut."""
+    out, cur = [], ""
+    for s in (x for x in sentences if x.strip()):
+        both = (cur + " " + s).strip() if cur else s
+        if cur and len(both) > most:
+            out, cur = [*out, cur], s
+        else:
+            cur = both
+        while len(cur) > most:
+            out, cur = [*out, cur[:most]], cur[most:]
+    return out + [cur] * bool(cur)
+
+
+def plain_overlap(sentences, most, overlap):
+    out, cur = [], ""
+    for s in sentences:
+        if len(cur) + len(s) + 1 <= most:
+            cur = (cur + " " + s).strip()
+            continue
+        out += [cur] * bool(cur)
+        cur = (cur[-overlap:] + " " + s).strip()
+        while len(cur) > most:
+            out, cur = [*out, cur[:most]], cur[most - overlap :]
+    return out + [cur] * bool(cur)
+
+
+def test_texts_split_as_by_loops(spark):
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choice("abcdé") for _ in range(rnd.choice([1, 2, 5, 9, 40])))
+    texts = ["".join(word() + rnd.choice([" ", " ", " ", ". ", ".  ", "\n", " \n ", "!\n", ": ", "다 "]) for _ in range(rnd.randint(0, 60))) for _ in range(300)]
+    texts += ["  " + "x" * 90 + "  y. z", "a. " * 50, "a" * 25, "q" * 60 + " " * 40 + "r. s", ". ".join("w" * n for n in range(1, 60)), " lead. " + "b" * 30]
+    df = spark.createDataFrame(list(enumerate([*texts, None])), "doc_id long, text string")
+    for most in (20, 50):
+        got = {}
+        for r in markdown.split_text(df, most).orderBy("doc_id", "part").collect():
+            got.setdefault(r.doc_id, []).append(r.text)
+            assert r.part == len(got[r.doc_id])
+        for i, t in enumerate(texts):
+            want = [t] if len(t) <= most else plain_texts(re.split(r"(?<=[.!?다요음함])\s+|\n", t), most)
+            assert got.get(i, []) == want, t
+        assert got[len(texts)] == [""]
+        got = {}
+        for r in periodic.split_overlap(df, most, 7).orderBy("doc_id", "part").collect():
+            got.setdefault(r.doc_id, []).append(r.text)
+        for i, t in enumerate(texts):
+            want = [t] if len(t) <= most else plain_overlap(re.split(r"(?<=[.?!다음:])\s+", t), most, 7)
+            assert got.get(i, []) == want, t
+
+
+def test_failed_rows_are_kept_or_raised(spark):
+    df = spark.createDataFrame([(1, "ab"), (2, "bad")], "doc_id long, text string")
+
+    def helper(text):
+        if text == "bad":
+            raise ValueError("no")
+        return [{"text": text}]
+
+    for how in ("warn", "raise"):
+        made = df.select("doc_id", markdown.guarded(helper, how, "array<struct<text:string>>")("text").alias("_made"))
+        rows = markdown.unfolded(made, "_made", ["text"], how)
+        if how == "warn":
+            assert sorted((r.doc_id, r.text, r.error) for r in rows.collect()) == [(1, "ab", None), (2, None, "ValueError: no")]
+        else:
+            with pytest.raises(Exception, match="no"):
+                rows.collect()
+
+
+def paint(rows, policy, n_cols=0):
+    """A grid painted cell by cell, straight from the rules of each family."""
+    grid, out, n = {}, [], 0
+    last = len(rows)
+    width = max([n_cols, *(sum(w for _, w in r) for r in rows)], default=0)
+    owed = {}
+    for r, cells in enumerate(rows):
+        col = 0
+        if policy == "repeat":
+            cells, line = list(cells), {}
+            while col < width:
+                if owed.get(col, (0, 0))[0]:
+                    left, who = owed[col]
+                    line[col], owed[col] = who, (left - 1, who)
+                    col += 1
+                elif cells:
+                    down, right = cells.pop(0)
+                    for c in range(col, min(col + right, width)):
+                        line[c] = n
+                        if down > 1:
+                            owed[c] = (down - 1, n)
+                    n, col = n + 1, col + right
+                else:
+                    break
+            n += len(cells)
+            out += [(r, c, line.get(c, -1)) for c in range(width)]
+            continue
+        for down, right in cells:
+            while (r, col) in grid:
+                col += 1
+            for c in range(col, col + right):
+                if policy == "shared":
+                    if down > 1:
+                        for k in [k for k in grid if k[1] == c and k[0] > r]:
+                            del grid[k]
+                    for i in range(max(1, down)):
+                        if r + i < last:
+                            grid[r + i, c] = n
+                else:
+                    for i in range(down):
+                        grid[r + i, c] = n if (i, c) == (0, col) else -1
+            n, col = n + 1, col + right
+    if policy == "shared":
+        for r in range(last):
+            used = [c for k, c in grid if k == r]
+            out += [(r, c, grid.get((r, c), -1)) for c in range(max(used, default=-1) + 1)]
+    elif policy == "origin":
+        out = sorted((r, c, v) for (r, c), v in grid.items())
+    return out
+
+
+def test_spans_as_painted(spark):
+    rnd = random.Random(2)
+    made = [[[(rnd.choice([1, 1, 1, 2, 3, 0]), rnd.choice([1, 1, 1, 2, 3])) for _ in range(rnd.randint(1, 5))] for _ in range(rnd.randint(1, 6))] for _ in range(250)]
+    made += [[[(1, 1)] * 3] * 3, [[(1, 1)] * 2, [(1, 1)]], [[(5, 2)]], [[(1, 4)], [(2, 1), (2, 1)], [(1, 3)]]]
+    data = []
+    for i, rows in enumerate(made):
+        cells = [{"row": r, "at": at, "tag": "TD", "text": "t", "acode": None, "aunit": None, "aunitvalue": None, "rowspan": None if d == 1 else str(d), "colspan": None if w == 1 else str(w)} for r, row in enumerate(rows) for at, (d, w) in enumerate(row)]
+        data.append((str(i), 1, "table", i % 4, cells))
+    df = spark.createDataFrame(data, f"rcept_no string, block_no int, type string, n_cols int, cells array<{markup.CELL}>")
+    for policy in ("shared", "repeat", "origin"):
+        got = {}
+        for r in tables.expand_spans(df, policy).collect():
+            assert r.error is None
+            if r.row is not None:  # a table without places keeps one empty row
+                got.setdefault(int(r.rcept_no), []).append((r.row, r.col, r.cell_no))
+        for i, rows in enumerate(made):
+            assert sorted(got.get(i, [])) == sorted(paint(rows, policy, i % 4)), (policy, rows)
+
+
+def test_declared_encodings(spark):
+    xml = "<?xml version='1.0' encoding='{}'?><DOCUMENT><BODY><P>한국 A&B</P></BODY></DOCUMENT>"
+    files = [xml.format("euc-kr").encode("euc-kr"), xml.format("utf-8").encode(), xml.format("nonsense").encode("euc-kr"), xml.format("utf-16").encode("euc-kr")]
+    df = spark.createDataFrame([(str(i), bytearray(f)) for i, f in enumerate(files)], "rcept_no string, content binary")
+    got = [r.text for r in markup.filing_blocks(df, "pipeline", sanitize=True).where("type = 'paragraph'").orderBy("rcept_no").collect()]
+    assert got[:2] == ["한국 A&B"] * 2 and all(t.endswith("A&B") for t in got)
+
+
+def test_table_of_many_rows(spark):
+    rows = "\n".join(["|h|", "|---|", *("|" + "r" * (i % 50) + "|" for i in range(100_000))])
+    b = spark.createDataFrame([(1, 1, "table", rows, [])], "doc_id long, block_no int, type string, text string, heading_path array<string>")
+    parts = markdown.split_table(b, 1000).collect()
+    assert sum(len(p.text.split("\n")) - 2 for p in parts) == 100_000 and all(len(p.text) <= 1000 for p in parts)
+
+
 def test_periodic_chunks(spark):
     blocks = spark.createDataFrame([("r", 1, "text", ["A"], "x" * 1000), ("r", 2, "text", ["A"], "y" * 500), ("r", 3, "text", ["A"], "z"), ("r", 4, "table", ["A"], "|t|"), ("r", 5, "text", ["B"], "w"), ("r", 6, "table", ["B"], "|h|\n|-|" + "\n|" + "q" * 2990 + "|" + "\n|" + "q" * 300 + "|")], "rcept_no string, block_no int, type string, section_path array<string>, text string")
     meta = spark.createDataFrame([("r", "c")], "rcept_no string, corp_name string")
