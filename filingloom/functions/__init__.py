@@ -29,9 +29,14 @@ def clean_cell(c: Column) -> Column:
     return strip(F.regexp_replace(F.regexp_replace(plain, r"[ \t]+", " "), rf"(?U)\n{SPACE}*\n+", "\n"))
 
 
+# Characters that markup can't hold, and ampersands that begin no entity which it knows.
+CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
+BARE_AMPERSAND = r"&(?!amp;|lt;|gt;|quot;|apos;|#\d+;|#x[0-9a-fA-F]+;)"
+
+
 def sanitize_markup(c: Column) -> Column:
     """Control characters dropped, bare ampersands escaped."""
-    return F.regexp_replace(F.regexp_replace(c, r"[\x00-\x08\x0b\x0c\x0e-\x1f]", ""), r"&(?!amp;|lt;|gt;|quot;|apos;|#\d+;|#x[0-9a-fA-F]+;)", "&amp;")
+    return F.regexp_replace(F.regexp_replace(c, CONTROL, ""), BARE_AMPERSAND, "&amp;")
 
 
 def iso_date(c: Column) -> Column:

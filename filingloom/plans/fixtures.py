@@ -95,14 +95,18 @@ def markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.join(rows, "doc_id", "left").select("doc_id", text.alias("text"))
 
 
+#: Orders whose lines share a table; it bounds a table, however many orders a customer has.
+TABLE_ORDERS = 4096
+
+
 def wide_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A pipe table per customer, a fixed-width row per order line: (doc_id, block_no, type, text, heading_path)."""
+    """A pipe table per customer and range of orders, a fixed-width row per order line: (doc_id, block_no, type, text, heading_path)."""
     o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
     row = F.concat(F.lit("| "), F.lpad(F.col("l_orderkey").cast("string"), 12, "0"), F.lit(" | "), F.lpad(F.col("l_linenumber").cast("string"), 3, "0"), F.lit(" |"))
     rows = F.transform(F.sort_array(F.collect_list(F.struct("l_orderkey", "l_linenumber", row.alias("r")))), lambda x: x["r"])
-    t = o.join(li, o.o_orderkey == li.l_orderkey).groupBy(F.col("o_custkey").alias("doc_id")).agg(rows.alias("rows"))
+    t = o.join(li, o.o_orderkey == li.l_orderkey).groupBy(F.col("o_custkey").alias("doc_id"), F.floor(F.col("o_orderkey") / TABLE_ORDERS).cast("long").alias("block_no")).agg(rows.alias("rows"))
     text = F.concat(F.lit("| order        | no. |\n| ------------ | --- |\n"), F.array_join("rows", "\n"))
-    return t.select("doc_id", F.lit(1).alias("block_no"), F.lit("table").alias("type"), text.alias("text"), F.array().cast("array<string>").alias("heading_path"))
+    return t.select("doc_id", "block_no", F.lit("table").alias("type"), text.alias("text"), F.array().cast("array<string>").alias("heading_path"))
 
 
 def document_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from filingloom import functions as fn
@@ -12,7 +15,7 @@ from filingloom.operators import exchange as exc
 from filingloom.operators import markdown as md
 from filingloom.operators import markup, metadata, periodic, report, tables
 from filingloom.plans import fixtures as fx
-from filingloom.sources import merge_chunks, normalized_payload, parse_manifest, staged
+from filingloom.sources import append_embeddings, bad_lines, merge_chunks, normalized_payload, parse_manifest, read_chunks, shared_dir, staged, write_chunks, write_normalized, write_run_report
 
 
 def exchange_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -122,16 +125,67 @@ def payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     by = lambda df: df.withColumn("doc_id", F.concat(F.lit("D"), "rcept_no")).drop("rcept_no")
     fields = by(fields_of(blocks)).select("doc_id", F.struct("block_no", "row", "col").alias("pos"), "label", "value", "value_type")
     text = by(docs_.paragraphs(blocks)).select("doc_id", F.col("block_no").alias("pos"), "text")
-    p = normalized_payload(by(docs_.document_header(blocks)), fields, text, fx.manifest(spark, sf_dir))
+    path = own_folder(spark)
+    write_normalized(normalized_payload(by(docs_.document_header(blocks)), fields, text, fx.manifest(spark, sf_dir)), path)
+    p = spark.read.parquet(path)
     return p.select("doc_id", "company_regcik", F.size("fields").alias("n_fields"), F.get("fields", F.lit(0))["label"].alias("first_label"), F.size("paragraphs").alias("n_paragraphs"), F.get("paragraphs", F.lit(0))["text"].alias("first_text"), "manifest_corp_name", "manifest_rcept_dt")
 
 
-def manifest_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+def manifest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest lines from orders, one per order with the customer as key; pending orders give broken lines."""
     o = fx.table(spark, sf_dir, "orders")
     record = F.to_json(F.struct(F.col("o_custkey").cast("string").alias("rcept_no"), F.col("o_orderpriority").alias("doc_subtype"), fx.day(F.col("o_orderdate")).alias("rcept_dt")))
-    lines = o.select(F.when(F.col("o_orderstatus") == "P", F.expr("'{\"rcept_no\": \"'")).otherwise(record).alias("value"), F.col("o_orderkey").alias("position"))
-    return parse_manifest(lines, "rcept_no", "skip").select("rcept_no", "doc_subtype", "rcept_dt")
+    return o.select(F.when(F.col("o_orderstatus") == "P", F.expr("'{\"rcept_no\": \"'")).otherwise(record).alias("value"), F.col("o_orderkey").alias("position"))
+
+
+def manifest_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_manifest(manifest_lines(spark, sf_dir), "rcept_no", "skip").select("rcept_no", "doc_subtype", "rcept_dt")
+
+
+def manifest_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bad_lines(manifest_lines(spark, sf_dir))
+
+
+def own_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/staged-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
+def chunk_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exchange chunks written as JSON lines, and read back."""
+    path = own_folder(spark)
+    write_chunks(exchange_chunk_table(spark, sf_dir), path)
+    return read_chunks(spark, path, "*.json").select("chunk_id", "rcept_no", "chunk_index", "section", "n_chars", "text", "corp_name", "rcept_dt", "is_correction")
+
+
+def chunk_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the written lines, in the order of their files: chunks, documents, and steps between neighbours that are out of order."""
+    path = own_folder(spark)
+    write_chunks(exchange_chunk_table(spark, sf_dir), path)
+    lines = spark.read.text(path).select(F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("at"), F.get_json_object("value", "$.rcept_no").alias("rcept_no"), F.get_json_object("value", "$.chunk_index").cast("int").alias("i"))
+    before = Window.partitionBy("f").orderBy("at")
+    odd = F.struct("rcept_no", "i") <= F.lag(F.struct("rcept_no", "i")).over(before)
+    spread_out = lines.groupBy("rcept_no").agg(F.count_distinct("f").alias("files")).where("files > 1")
+    return lines.withColumn("odd", F.coalesce(odd, F.lit(False))).agg(F.count("*").alias("chunks"), F.count_distinct("rcept_no").alias("documents"), F.count_if("odd").alias("out_of_order")).withColumn("cut_documents", F.lit(spread_out.count()))
+
+
+def report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a run written to files, and counted from them."""
+    path, log = own_folder(spark), event_log(spark, sf_dir)
+    write_run_report(log, report.run_summary(log), path)
+    n = lambda df, name: df.agg(F.count("*").alias(name))
+    kinds = "rcept_no string, status string, n_blocks long, n_chunks long"
+    parts = [n(spark.read.parquet(f"{path}/run_log"), "logged"), n(spark.read.schema(kinds).json(f"{path}/failed"), "failed"), n(spark.read.schema(kinds).json(f"{path}/empty"), "empty"), spark.read.json(f"{path}/summary").select("total", "ok", "ok_no_manifest", "error", "total_blocks", "total_chunks")]
+    return reduce(lambda a, b: a.withColumn("_", F.lit(1)).join(b.withColumn("_", F.lit(1)), "_").drop("_"), parts)  # single rows
+
+
+def embedding_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings appended by two runs, the second over all chunks but what the first has stored."""
+    path, chunks = own_folder(spark), fx.document_chunks(spark, sf_dir)
+    for some in (chunks.where("cast(doc_id as long) % 3 = 0"), chunks):
+        done = spark.read.parquet(path) if some is chunks else chunks.limit(0).select("chunk_id")
+        out = emb.embed_chunks(metadata.resume_candidates(some, done), sizes).where("outcome = 'done'")
+        append_embeddings(metadata.keep_metadata(out, "embedding"), path)
+    return spark.read.parquet(path).select("chunk_id", "doc_id", "sector", F.get("embedding", F.lit(0)).cast("double").alias("e0"))
 
 
 def manifest_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,11 +216,15 @@ def skip_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.run_summary(event_log(spark, sf_dir))
+
+
+def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run log from events, one document each."""
     e = fx.table(spark, sf_dir, "events")
     n = F.coalesce(F.get_json_object("props", "$.k").cast("int"), F.lit(0))
     status = F.when(F.col("event_id") % 11 == 0, "error").when(F.col("event_id") % 7 == 0, "ok_no_manifest").otherwise("ok")
-    log = e.select(F.col("event_id").cast("string").alias("rcept_no"), status.alias("status"), (F.col("event_id") % 5).cast("int").alias("n_blocks"), n.alias("n_chunks"), (F.col("event_id") % 7 != 0).alias("manifest_matched"), (F.col("event_id") % 5 == 0).alias("empty_blocks"))
-    return report.run_summary(log)
+    return e.select(F.col("event_id").cast("string").alias("rcept_no"), status.alias("status"), (F.col("event_id") % 5).cast("int").alias("n_blocks"), n.alias("n_chunks"), (F.col("event_id") % 7 != 0).alias("manifest_matched"), (F.col("event_id") % 5 == 0).alias("empty_blocks"))
 
 
 def markdown_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,12 +248,12 @@ def overlap_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def table_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = md.split_table(fx.wide_tables(spark, sf_dir))
-    return p.select("doc_id", F.col("part").cast("long").alias("part"), F.col("parts").cast("long").alias("parts"), F.length("text").cast("long").alias("chars"), F.substring("text", -20, 20).alias("last_row"))
+    return p.select("doc_id", "block_no", F.col("part").cast("long").alias("part"), F.col("parts").cast("long").alias("parts"), F.length("text").cast("long").alias("chars"), F.substring("text", -20, 20).alias("last_row"))
 
 
 def large_table_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = md.split_table(fx.wide_tables(spark, sf_dir), periodic.TABLE_CHARS, "periodic")
-    return p.select("doc_id", F.col("part").cast("long").alias("part"), F.col("parts").cast("long").alias("parts"), F.col("n_chars").cast("long").alias("n_chars"))
+    return p.select("doc_id", "block_no", F.col("part").cast("long").alias("part"), F.col("parts").cast("long").alias("parts"), F.col("n_chars").cast("long").alias("n_chars"))
 
 
 def chunk_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -250,7 +308,8 @@ QUERIES = {
     for f in (
         exchange_chunks, exchange_markdown, exchange_summary, filing_fields, filing_paragraphs, filing_markdown, filing_meta, toc_sections, document_counts, periodic_markdown,
         periodic_chunks, periodic_summary, merged_chunks, payload, manifest_last, manifest_filter, files_per_row, extraction_counts, skip_existing, run_summary, markdown_blocks,
-        markdown_chunks, text_parts, overlap_parts, table_parts, large_table_parts, chunk_metadata, chunk_batch, resume, embedded, embedding_counts, page_titles, scalar_values, sentence_counts,
+        markdown_chunks, text_parts, overlap_parts, table_parts, large_table_parts, chunk_metadata, chunk_batch, resume, embedded, embedding_counts, page_titles, scalar_values, sentence_counts, manifest_bad_lines,
+        chunk_files, chunk_file_order, report_files, embedding_files,
     )
 }
 
@@ -274,6 +333,19 @@ _X = f"""{_O}, {_N}, x as (
 _AMOUNTS = "'| Amounts | Total | ' || tot || ' |' || chr(10) || '| --- | --- | --- |' || chr(10)"
 _LINE = "'| Price | ' || price || ' | Shipped | ' || shipped || ' |' || chr(10) || '| --- | --- | --- | --- |'"
 
+# Texts as sentences, and the packing of them, one sentence a step: cur is the open text, out what a step finishes.
+_STRIP = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_MD_SENTENCES = r"string_split(regexp_replace(regexp_replace(text, '([.!?다요음함])\s+', '\1' || chr(1), 'g'), '\n', chr(1), 'g'), chr(1))"
+_PARTS = f"""s as (select doc_id, list_filter({_MD_SENTENCES}, lambda x: trim(x, {_STRIP}) <> '') s from t where length(text) > most),
+    r as (select doc_id, 0 i, '' cur, []::varchar[] "out" from s
+      union all select doc_id, i + 1, substr(nxt, (greatest(length(nxt) - 1, 0) // 1000) * 1000 + 1), list_concat(fin, list_transform(range(0, greatest(length(nxt) - 1, 0) // 1000), lambda k: substr(nxt, k * 1000 + 1, 1000))) from (
+        select doc_id, i, case when cur = '' then x when length(both_) > 1000 then x else both_ end nxt, case when cur <> '' and length(both_) > 1000 then [cur] else []::varchar[] end fin from (
+          select r.doc_id, r.i, r.cur, s.s[r.i + 1] x, trim(r.cur || ' ' || s.s[r.i + 1], {_STRIP}) both_ from r join s on s.doc_id = r.doc_id and r.i < len(s.s)))),
+    p as (select doc_id, i, unnest("out") text, generate_subscripts("out", 1) k from r
+      union all select r.doc_id, r.i + 1, cur, 0 from r join s on s.doc_id = r.doc_id and r.i = len(s.s) where cur <> ''
+      union all select doc_id, 0, text, 0 from t where length(text) <= most),
+    parts as (select doc_id, text, row_number() over (partition by doc_id order by i, k)::int part, (count(*) over (partition by doc_id))::int parts from p)"""
+
 ORACLE = {
     "toc_sections": f"""with {_X}, t as (
           select rcept_no, 1 section_no, 'L-0' section_id, '1. Order' title, '1. Order ' || o_orderpriority || ' Amounts Total ' || tot || ' Lines ' || lines "text" from x
@@ -332,13 +404,13 @@ ORACLE = {
         select doc_id, 1::bigint block_no, 'heading' "type", '# ' || source "text", '' path from d union all select doc_id, 2, 'heading', '## ' || lang, source from d
         union all select doc_id, 3, 'paragraph', text, source || ' > ' || lang from d
         union all select doc_id, 4, 'table', '| line | part |' || chr(10) || '| --- | --- |' || chr(10) || r, source || ' > ' || lang from d join t on l_orderkey = doc_id""",
-    "table_parts": """with n as (select o_custkey, count(*) n from orders join lineitem on l_orderkey = o_orderkey group by 1),
-        r as (select o_custkey, l_orderkey, l_linenumber, row_number() over (partition by o_custkey order by l_orderkey, l_linenumber) - 1 i from orders join lineitem on l_orderkey = o_orderkey),
-        p as (select o_custkey, i // ((1000 - 46) // 23) part, count(*) k, max('| ' || lpad(l_orderkey::varchar, 12, '0') || ' | ' || lpad(l_linenumber::varchar, 3, '0') || ' |') w from r group by 1, 2)
-        select o_custkey doc_id, part + 1 part, (n + 40) // 41 parts, 45 + 23 * k chars, right(w, 20) last_row from p join n using (o_custkey)""",
-    "large_table_parts": """with r as (select o_custkey, row_number() over (partition by o_custkey order by l_orderkey, l_linenumber) - 1 i, count(*) over (partition by o_custkey) n from orders join lineitem on l_orderkey = o_orderkey),
-        p as (select o_custkey, i // ((3000 - 44) // 22) part, count(*) k, any_value(n) n from r group by 1, 2)
-        select o_custkey doc_id, part + 1 part, (n + 133) // 134 parts, 44 + 22 * k n_chars from p""",
+    "table_parts": """with n as (select o_custkey, o_orderkey // 4096 b, count(*) n from orders join lineitem on l_orderkey = o_orderkey group by 1, 2),
+        r as (select o_custkey, o_orderkey // 4096 b, l_orderkey, l_linenumber, row_number() over (partition by o_custkey, o_orderkey // 4096 order by l_orderkey, l_linenumber) - 1 i from orders join lineitem on l_orderkey = o_orderkey),
+        p as (select o_custkey, b, i // ((1000 - 46) // 23) part, count(*) k, max('| ' || lpad(l_orderkey::varchar, 12, '0') || ' | ' || lpad(l_linenumber::varchar, 3, '0') || ' |') w from r group by 1, 2, 3)
+        select o_custkey doc_id, b::bigint block_no, part + 1 part, (n + 40) // 41 parts, 45 + 23 * k chars, right(w, 20) last_row from p join n using (o_custkey, b)""",
+    "large_table_parts": """with r as (select o_custkey, o_orderkey // 4096 b, row_number() over w - 1 i, count(*) over (partition by o_custkey, o_orderkey // 4096) n from orders join lineitem on l_orderkey = o_orderkey window w as (partition by o_custkey, o_orderkey // 4096 order by l_orderkey, l_linenumber)),
+        p as (select o_custkey, b, i // ((3000 - 44) // 22) part, count(*) k, any_value(n) n from r group by 1, 2, 3)
+        select o_custkey doc_id, b::bigint block_no, part + 1 part, (n + 133) // 134 parts, 44 + 22 * k n_chars from p""",
     "chunk_metadata": f"""with {_O} select 'D' || lpad(d.doc_id::varchar, 14, '0') doc_id, d.source sector, case when known then c_name end corp_name,
           case when known then (case o_orderkey % 4 when 0 then 'periodic' when 1 then 'major' when 2 then 'exchange' else 'holding' end) end doc_group, case when known then o_orderstatus = 'F' end is_correction
         from documents d left join o on o_orderkey = d.doc_id""",
@@ -351,6 +423,40 @@ ORACLE = {
         select case when doc_id % 7 <> 0 then 'c' || doc_id end chunk_id, doc_id::varchar doc_id, source sector, case when doc_id % 7 <> 0 then length(t)::double end e0,
           case when doc_id % 7 <> 0 then (length(t) - length(replace(t, chr(10), '')))::double end e1, case when doc_id % 7 = 0 then 'skipped' else 'done' end outcome from t""",
     "embedding_counts": """select count(*) total, count(*) filter (doc_id % 7 <> 0) done, count(*) filter (doc_id % 7 = 0) skipped, 0::bigint failed from documents""",
+    "manifest_bad_lines": "select count(*) lines, count(*) filter (o_orderstatus = 'P') bad from orders",
+    "chunk_files": f"""with {_SECTIONS}, t as (select *, '[' || c_name || '] Order report (' || case when known then dt else '' end || ')' || chr(10) || '섹션: ' || section || chr(10) || body t from s)
+        select rcept_no || '_' || lpad(idx::varchar, 4, '0') chunk_id, rcept_no, idx::bigint chunk_index, section, length(t)::bigint n_chars, t "text", c_name corp_name, case when known then dt else '' end rcept_dt, known and o_orderstatus = 'F' is_correction from t""",
+    "chunk_file_order": f"with {_SECTIONS} select count(*) chunks, count(distinct rcept_no) documents, 0::bigint out_of_order, 0::int cut_documents from s",
+    "report_files": """select count(*) logged, count(*) filter (event_id % 11 = 0) failed, count(*) filter (event_id % 5 = 0) "empty", count(*) total, count(*) filter (event_id % 11 <> 0 and event_id % 7 <> 0) ok,
+          count(*) filter (event_id % 11 <> 0 and event_id % 7 = 0) ok_no_manifest, count(*) filter (event_id % 11 = 0) error, sum(event_id % 5)::bigint total_blocks, coalesce(sum(coalesce(json_extract_string(props, '$.k')::int, 0)), 0)::bigint total_chunks from events""",
+    "embedding_files": """select 'c' || doc_id chunk_id, doc_id::varchar doc_id, source sector, length(case when doc_id % 5 = 0 then text else '[' || lang || ']' || chr(10) || text end)::double e0 from documents where doc_id % 7 <> 0""",
+    "text_parts": f"""with recursive t as (select doc_id, coalesce(text, '') text, 1000 most from documents), {_PARTS} select doc_id, text, part, parts from parts""",
+    "overlap_parts": rf"""with recursive t as (select doc_id, coalesce(text, '') text from documents),
+        s as (select doc_id, string_split(regexp_replace(text, '([.?!다음:])\s+', '\1' || chr(1), 'g'), chr(1)) s from t where length(text) > 1400),
+        r as (select doc_id, 0 i, '' cur, []::varchar[] "out" from s
+          union all select doc_id, i + 1, case when fits then trim(cur || ' ' || x, {_STRIP}) else substr(nxt, m * 1250 + 1) end,
+              case when fits then []::varchar[] else list_concat(case when cur <> '' then [cur] else []::varchar[] end, list_transform(range(0, m), lambda k: substr(nxt, k * 1250 + 1, 1400))) end from (
+            select *, greatest(length(nxt) - 1400 + 1249, 0) // 1250 m from (
+              select r.doc_id, r.i, r.cur, s.s[r.i + 1] x, length(r.cur) + length(s.s[r.i + 1]) + 1 <= 1400 fits, trim("right"(r.cur, 150) || ' ' || s.s[r.i + 1], {_STRIP}) nxt from r join s on s.doc_id = r.doc_id and r.i < len(s.s)))),
+        p as (select doc_id, i, unnest("out") text, generate_subscripts("out", 1) k from r
+          union all select r.doc_id, r.i + 1, cur, 0 from r join s on s.doc_id = r.doc_id and r.i = len(s.s) where cur <> '' union all select doc_id, 0, text, 0 from t where length(text) <= 1400)
+        select doc_id, row_number() over (partition by doc_id order by i, k)::int part, text from p""",
+    "markdown_chunks": f"""with recursive t as (select doc_id, text, 1150 most from documents where text is not null), {_PARTS},
+        l as (select l_orderkey, string_agg('| ' || l_linenumber || ' | ' || l_partkey || ' |', chr(10) order by l_linenumber, l_partkey) r from lineitem group by 1),
+        b as (select doc_id, 'heading' kind, '# ' || source text, '' path, 1 a, 0 c from documents where text is not null union all select doc_id, 'heading', '## ' || lang, source, 2, 0 from documents where text is not null
+          union all select doc_id, 'paragraph', parts.text, source || ' > ' || lang, 3, part from parts join documents using (doc_id)
+          union all select doc_id, 'table', '| line | part |' || chr(10) || '| --- | --- |' || chr(10) || r, source || ' > ' || lang, 4, 0 from documents join l on l_orderkey = doc_id where text is not null),
+        k as (select *, row_number() over (partition by doc_id order by a, c) pos, length(text) n from b),
+        -- one block a step: the open chunk, the blocks and characters that it holds, its last block, and whether that moved to this chunk
+        g as (select doc_id, 0::bigint pos, 0 chunk, 0 held, 0::bigint size, '' last_kind, 0::bigint last_n, false moved from k where pos = 1
+          union all select doc_id, pos, case when not fits and held > 0 and not (carry and held = 1) then chunk + 1 else chunk end, case when fits then held + 1 when carry then 2 else 1 end,
+              case when fits then joined when carry then n + last_n + 2 else n end, kind, n, not fits and carry from (
+            select k.doc_id, k.pos, g.chunk, g.held, k.kind, k.n, g.last_n, g.size + case when g.held = 0 then 0 else 2 end + k.n joined, g.held > 0 and g.last_kind = 'heading' carry,
+              case when g.held = 0 then k.kind <> 'table' else g.size + 2 + k.n <= 1000 or k.kind <> 'table' and g.size < 800 and g.size + 2 + k.n <= 1150 end fits
+            from g join k on k.doc_id = g.doc_id and k.pos = g.pos + 1)),
+        h as (select g.doc_id, g.pos, coalesce(max(case when later.moved then later.chunk end), any_value(g.chunk)) chunk from g left join g later on later.doc_id = g.doc_id and later.pos = g.pos + 1 where g.pos > 0 group by 1, 2),
+        m as (select k.doc_id, h.chunk, string_agg(k.text, chr(10) || chr(10) order by k.pos) text, coalesce(arg_max(path, k.pos) filter (kind <> 'heading'), arg_max(path, k.pos)) heading_path, bool_or(kind = 'table') has_table from k join h on h.doc_id = k.doc_id and h.pos = k.pos group by 1, 2)
+        select doc_id, doc_id || '_' || chunk chunk_id, chunk::int chunk_index, heading_path, has_table, length(text)::int char_count, text, case when heading_path <> '' then '[' || heading_path || ']' || chr(10) || text else text end embedding_text from m""",
     "page_titles": r"""with t as (select page_id, trim(regexp_replace(regexp_replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '[\s\x{A0}]+', ' ', 'g'), '&amp;', '&', 'g')) t from pages)
         select page_id::varchar page_id, '' company_name, t report_name from t""",
     "scalar_values": """with v as (select l_linenumber, case l_linenumber when 1 then 'number' when 2 then 'date' when 3 then 'empty' when 4 then (case when l_partkey < 1000 then 'number' else 'text' end) when 5 then 'date' else 'null' end value_type,

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 TEXTS = ["doc_id", "rcept_no", "corp_name", "listed_name", "corp_code", "stock_code", "industry", "sector", "doc_group", "doc_subtype", "report_nm", "rcept_dt", "file_path"]
 MANIFEST = T.StructType([T.StructField(n, T.StringType()) for n in TEXTS] + [T.StructField("is_correction", T.BooleanType()), T.StructField("base_year", T.IntegerType()), T.StructField("base_month", T.IntegerType())])
-CHUNKS = T.StructType([T.StructField(n, T.StringType()) for n in ["chunk_id", "text", "embedding_text", "section", "heading_path", "chunk_type", *TEXTS]] + [T.StructField("chunk_index", T.LongType()), T.StructField("n_chars", T.LongType()), T.StructField("char_count", T.LongType()), T.StructField("has_table", T.BooleanType())])
+CHUNKS = T.StructType([T.StructField(n, T.StringType()) for n in ["chunk_id", "text", "embedding_text", "section", "heading_path", "chunk_type", *TEXTS]] + [T.StructField("chunk_index", T.LongType()), T.StructField("n_chars", T.LongType()), T.StructField("char_count", T.LongType()), T.StructField("has_table", T.BooleanType()), T.StructField("is_correction", T.BooleanType())])
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -50,6 +50,12 @@ def spread(rows: DataFrame, *by: str) -> DataFrame:
     return rows.repartition(n, *by)
 
 
+def bad_lines(lines: DataFrame) -> DataFrame:
+    """(lines, bad): how many lines (value) aren't blank, and how many of them are no JSON record, which "skip" leaves out."""
+    row = F.from_json("value", T.StructType([*MANIFEST.fields, T.StructField("_bad", T.StringType())]), {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"})
+    return lines.where(F.trim("value") != "").select(row["_bad"].alias("_bad")).agg(F.count("*").alias("lines"), F.count("_bad").alias("bad"))
+
+
 def parse_manifest(lines: DataFrame, key: str = "rcept_no", on_bad: str = "fail") -> DataFrame:
     """Lines (value, position) of JSON to one record per key, the last of each; records without a key are dropped."""
     row = F.from_json("value", T.StructType([*MANIFEST.fields, T.StructField("_bad", T.StringType())]), {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"})

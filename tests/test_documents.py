@@ -351,3 +351,30 @@ def test_embedding_resumes(spark, tmp_path):
     assert embedding.embedding_summary(out).first().asDict() == {"total": 5, "done": 2, "skipped": 2, "failed": 1}
     again = metadata.resume_candidates(chunks, spark.read.parquet(str(tmp_path / "store")))
     assert sorted(str(r.chunk_id) for r in again.collect()) == ["None", "b", "d"]
+
+
+def test_staged_tables(spark):
+    df = spark.range(5)
+    kept = sources.staged(df)
+    assert kept.count() == 5 and sources.spread(df, "id").rdd.getNumPartitions() >= 4
+    sources.drop_staged(spark)
+    assert sources.staged(df).count() == 5
+
+    class Far:
+        """A session on a cluster that names no folder."""
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(ValueError):
+        sources.shared_dir(Far)
+
+
+def test_bad_manifest_lines(spark):
+    lines = ['{"rcept_no": "1"}', "", "  ", "{bad", "[1]", '{"rcept_no": "2"}']
+    r = sources.bad_lines(spark.createDataFrame([(x,) for x in lines], "value string")).first()
+    assert r.lines == 4 and r.bad >= 1
