@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from filingloom.sources import staged
+
 #: The six ASCII white-space characters that separate words everywhere in this subpackage.
 BLANKS = " \t\n\x0b\f\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -17,21 +18,51 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
-        named = tempfile.mkdtemp(prefix="checkpoints-")
-        spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
-
-
 def cut(df: DataFrame) -> DataFrame:
     """Writes df to the shared folder and reads it back: short lineage, column pruning, sizes known to the planner."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return staged(df)
+
+
+def taken(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that df has no column of, whatever the case."""
+    have, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in have:
+            name += "_"
+        have.add(name.lower())
+        out.append(name)
+    return out
+
+
+def running(n: Column, step: Callable[[Column, Column], tuple[Column, Column]], kind: str, block: int = 256) -> Column:
+    """array<kind> of n items: step(at, i) gives the position after item i, and the item; at starts from 0.
+
+    Appending to an array copies it, so items are gathered in blocks, whose arrays are joined at the end: the work
+    grows with the items, not with their square.
+    """
+
+    def one(acc: Column, i: Column) -> Column:
+        at, item = step(acc["at"], i)
+        return F.struct(at.alias("at"), F.array_append(acc["out"], item).alias("out"))
+
+    def some(acc: Column, first: Column) -> Column:
+        zero = F.struct(acc["at"].alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+        return F.aggregate(F.sequence(first, F.least(first + block, n) - 1), zero, one, lambda a: F.struct(a["at"].alias("at"), F.array_append(acc["out"], a["out"]).alias("out")))
+
+    firsts = F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(block))).otherwise(F.array().cast("array<int>"))
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{kind}>>").alias("out"))
+    return F.aggregate(firsts, zero, some, lambda a: F.flatten(a["out"]))
+
+
+def positions(gaps: str, hits: str) -> Column:
+    """array<struct<start,end>> of the hits that stand between the gaps of a text, in code points, ends excluded."""
+
+    def step(at: Column, i: Column) -> tuple[Column, Column]:
+        start = at + F.length(F.get(gaps, i))
+        end = start + F.length(F.get(hits, i))
+        return end, F.struct(start.alias("start"), end.alias("end"))
+
+    return running(F.least(F.size(hits), F.size(gaps)), step, "struct<start:int,end:int>")
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -57,7 +88,7 @@ def connected(links: DataFrame) -> DataFrame:
         before = now
 
 
-def words(text: str = "text") -> F.Column:
+def words(text: str = "text") -> Column:
     """The words of a text; none for a null or blank one."""
     bare = F.btrim(F.col(text), F.lit(BLANKS))
     return F.when(F.length(bare) > 0, F.split(bare, r"[\x20\x09-\x0D]+", -1)).otherwise(F.array().cast("array<string>"))

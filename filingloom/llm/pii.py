@@ -1,18 +1,22 @@
 """Personal data: base patterns, and terms that disclose them (information-theoretic sanitisation).
 
-A term discloses a protected value as far as it lowers the value's surprisal. Over the corpus, a protected value e is in a
-document with probability p(e) and in one that holds term t, anywhere, with p(e | t); the share of its information that t
-reveals is 1 - log p(e | t) / log p(e). The same is asked of the values as a whole (that a document holds any), there of
-terms that stand next to them. What a term reveals is the most that it reveals of any. Terms above GENERALISE are replaced
-by their kind, those above REMOVE leave nothing. All of it is DataFrame work; texts aren't shuffled.
+A term discloses a protected entity as far as it lowers the entity's surprisal. Over the corpus, an entity e is in a
+text with probability p(e) and in one that holds term t, anywhere, with p(e | t); the share of its information that t
+reveals is 1 - log p(e | t) / log p(e). Entities are each protected value, however it is written, and each kind of value
+(that a text holds an e-mail address, say). What a term reveals is the most that it reveals of any. Terms above
+GENERALISE are replaced by their kind, those above REMOVE leave nothing. Equal texts count once, since copies are no
+evidence. p(e | t) is the lower end of its confidence interval, so a term must recur with the entity before it counts.
+All of it is DataFrame work; texts aren't shuffled.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from filingloom.llm.common import cut, small
+from filingloom.llm.common import cut, positions, small, taken
 
 # The base kinds in their order. Starts are held to where a run of the class begins (or the last
 # match ends) and repeats are possessive, which finds the same matches without trying each start in a long run.
@@ -26,11 +30,8 @@ HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 OCTET = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{0,2})"
 SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
 
-#: Distinct protected values that a term of the values as a whole must stand next to; shares of information; words and
-#: characters of its context.
-SUPPORT, GENERALISE, REMOVE, NEAR, CONTEXT = 5, 0.8, 0.95, 5, 80
-#: Rows that must hold a term and one protected value together.
-PAIR = 3
+#: Shares of information; texts that must hold a term and an entity together; normal quantile of the confidence interval.
+GENERALISE, REMOVE, PAIR, QUANTILE = 0.8, 0.95, 3, 1.0
 #: Rows up to which a table of terms, or of documents that hold disclosing terms, is broadcast.
 BROADCAST = 200_000
 
@@ -60,21 +61,18 @@ def valid(kind: str, value: Column) -> Column:
 
 def placed(kind: str, gaps: str, hits: str) -> Column:
     """Spans of the hits between the gaps, counted in code points."""
+    span = lambda p, v: F.struct(F.lit(kind).alias("kind"), p["start"].alias("start"), p["end"].alias("end"), v.alias("value"))
+    return F.zip_with(positions(gaps, hits), F.slice(hits, F.lit(1), F.least(F.size(gaps), F.size(hits))), span)
 
-    def step(acc: Column, i: Column) -> Column:
-        start = acc["at"] + F.length(F.get(gaps, i))
-        end = start + F.length(F.get(hits, i))
-        span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), F.get(hits, i).alias("value"))
-        return F.struct(end.alias("at"), F.array_append(acc["out"], span).alias("out"))
 
-    n = F.least(F.size(gaps), F.size(hits))
-    every = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(every, F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out")), step, lambda a: a["out"])
+def identity(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """128 bits that name a row by its id and text."""
+    return F.md5(F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("-")), F.lit("|"), F.coalesce(text, F.lit(""))))
 
 
 def base_spans(documents: DataFrame) -> DataFrame:
     """row_key, doc_id, text and base: the valid base spans by kind, then start."""
-    d = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("row_key", F.xxhash64("doc_id", "text"))
+    d = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("row_key", identity())
     digit = F.col("text").rlike("[0-9]")
     for kind, pattern in KINDS.items():
         there = F.col("text").contains(HINTS[kind]) if HINTS[kind] else F.lit(True)
@@ -92,49 +90,73 @@ def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(1))
 
 
-def neighbours(text: Column, span: Column) -> Column:
-    """Terms of the NEAR words before and after a span; what has digits or @ is no term."""
-    left = terms(F.substring(text, F.greatest(span["start"] - CONTEXT + 1, F.lit(1)), F.least(span["start"], F.lit(CONTEXT))))
-    right = terms(F.substring(text, span["end"] + 1, F.lit(CONTEXT)))
-    return F.concat(F.slice(left, F.greatest(F.size(left) - NEAR + 1, F.lit(1)), F.lit(NEAR)), F.slice(right, 1, NEAR))
+def entities(base: str = "base") -> Column:
+    """What a row's spans protect, each once: hashes of the values, however they are written (digits of numbers, lower-case
+    letters), and of the kinds."""
+    bare = lambda s: F.when(s["kind"].isin("card", "phone"), F.regexp_replace(s["value"], "[^0-9]", "")).otherwise(F.lower(s["value"]))
+    return F.array_distinct(F.concat(F.transform(base, lambda s: F.xxhash64(F.lit("value"), bare(s))), F.transform(base, lambda s: F.xxhash64(F.lit("kind"), s["kind"]))))
 
 
-def same_value(span: Column) -> Column:
-    """A hash of a protected value, however it is written: digits of numbers, lower-case letters."""
-    bare = F.when(span["kind"].isin("card", "phone"), F.regexp_replace(span["value"], "[^0-9]", "")).otherwise(F.lower(span["value"]))
-    return F.xxhash64(bare)
+def once(rows: DataFrame, *more: str) -> DataFrame:
+    """Of rows with equal text_key one, its other columns being functions of the text."""
+    return rows.groupBy("text_key").agg(*(F.first(c).alias(c) for c in more))
 
 
-def term_rows(documents: DataFrame) -> DataFrame:
-    """(row_key, term): the distinct terms of every row."""
-    key = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
-    return documents.select(key.alias("row_key"), F.explode(F.array_distinct(terms(F.col("text")))).alias("term"))
+def disclosure(n_te: Column, n_t: Column, n_e: Column, n: Column) -> Column:
+    """The share of an entity's information that a term reveals: n_te of the n_t texts with the term hold it, n_e of all n do.
+    Of the share n_te / n_t the lower end of Wilson's interval counts."""
+    z = QUANTILE * QUANTILE
+    p = n_te / n_t
+    low = (p + z / (2 * n_t) - QUANTILE * F.sqrt(p * (1 - p) / n_t + z / (4 * n_t * n_t))) / (1 + z / n_t)
+    # an entity that all texts hold has nothing left to reveal
+    return F.when((n_e < n) & (low > 0), 1 - F.log(F.least(low, F.lit(1.0))) / F.log(n_e / n)).otherwise(0.0)
 
 
 def disclosing_terms(documents: DataFrame, based: DataFrame) -> DataFrame:
-    """(term, revealed) of terms that reveal at least GENERALISE of one protected value, or of the values as a whole.
+    """(term, revealed) of terms that reveal at least GENERALISE of an entity.
 
-    based: of every row, near, the protected values (hashed) with the terms next to them; values, each once; and terms, those
-    of the whole row if it holds values. Counts of rows are summed where the rows are read; only sums are shuffled. Only
-    values of PAIR rows at least are paired with terms, since no other pair can reach PAIR rows.
+    based: of every row text_key, and of rows with values entities and terms, both of the whole text. Counts are summed
+    where rows are read; only sums are shuffled. Entities of fewer than PAIR texts aren't paired with terms, since no pair
+    of theirs can reach PAIR texts. Exact copies are told by a hash; only rows with values, and rows that hold a candidate
+    term, meet by it.
     """
-    beside = based.select(F.inline("near")).select("value", F.explode("terms").alias("term"))
-    support = cut(beside.groupBy("term", "value").agg(F.count("*").alias("c")).groupBy("term").agg(F.count("*").alias("n_values")).where(F.col("n_values") >= SUPPORT).select("term"))
-    held = based.select(F.explode("values").alias("value"), "terms")
-    often = cut(held.groupBy("value").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= PAIR))
-    pairs = held.join(small(often, BROADCAST), "value").select("value", "n_e", F.explode("terms").alias("term"))
-    pairs = cut(pairs.groupBy("term", "value").agg(F.count("*").alias("n_te"), F.first("n_e").alias("n_e")).where(F.col("n_te") >= PAIR))
-    candidates = cut(support.union(pairs.select("term")).distinct())
-    n_t = cut(term_rows(documents).join(small(candidates, BROADCAST), "term").groupBy("term").agg(F.count("*").alias("n_t")))
-    n_te = based.select(F.explode(F.array_distinct(F.flatten("near.terms"))).alias("term")).join(small(support, BROADCAST), "term").groupBy("term").agg(F.count("*").alias("n_te"))
-    whole = based.agg(F.count("*").alias("n"), F.count_if(F.size("near") > 0).alias("n_any"))  # one row
-    p = F.least(F.col("n_te") / F.col("n_t"), F.lit(1.0))
-    # rows that hold no value at all, or all of them, leave nothing to reveal
-    revealed = F.when((F.col("n_e") > 0) & (F.col("n_e") < F.col("n")), 1 - F.log(p) / F.log(F.col("n_e") / F.col("n"))).otherwise(0.0)
-    each = n_te.join(F.broadcast(whole), F.lit(True)).select("term", "n_te", F.col("n_any").alias("n_e"), "n")
-    each = each.union(pairs.join(F.broadcast(whole), F.lit(True)).select("term", "n_te", "n_e", "n"))
-    out = each.join(n_t, "term").select("term", revealed.alias("revealed")).where(F.col("revealed") >= GENERALISE)
-    return cut(out.groupBy("term").agg(F.max("revealed").alias("revealed")))
+    held = cut(once(based.where(F.size("entities") > 0), "entities", "terms"))
+    often = cut(held.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= PAIR))
+    pairs = held.select(F.explode("entities").alias("entity"), "terms").join(small(often, BROADCAST), "entity").select("entity", "n_e", F.explode("terms").alias("term"))
+    pairs = cut(pairs.groupBy("term", "entity").agg(F.count("*").alias("n_te"), F.first("n_e").alias("n_e")).where(F.col("n_te") >= PAIR))
+    copies = cut(based.groupBy("text_key").agg(F.count("*").alias("copies")).where("copies > 1"))
+    n = based.count() - (copies.agg(F.sum(F.col("copies") - 1)).first()[0] or 0)
+    n_t = text_counts(documents, cut(pairs.select("term").distinct()), copies)
+    out = pairs.join(n_t, "term").select("term", disclosure(F.col("n_te"), F.greatest("n_t", "n_te"), F.col("n_e"), F.lit(n)).alias("revealed"))
+    return cut(out.groupBy("term").agg(F.max("revealed").alias("revealed")).where(F.col("revealed") >= GENERALISE))
+
+
+def text_counts(documents: DataFrame, candidates: DataFrame, copies: DataFrame) -> DataFrame:
+    """(term, n_t): how many different texts hold each candidate term; of a text's copies each counts its share."""
+    there = documents.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), F.explode(F.array_distinct(terms(F.col("text")))).alias("term"))
+    there = there.join(small(candidates, BROADCAST), "term").join(small(copies, BROADCAST), "text_key", "left")
+    return there.groupBy("term").agg(F.round(F.sum(F.coalesce(1 / F.col("copies"), F.lit(1.0)))).cast("long").alias("n_t"))
+
+
+def strong_terms(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """row_key, doc_id and base of every row; and of rows that hold disclosing terms row_key and strong (term, revealed)."""
+    d = base_spans(documents)
+    every = F.when(F.size("base") > 0, F.array_distinct(terms(F.col("text")))).otherwise(F.array().cast("array<string>"))
+    based = cut(d.select("row_key", "doc_id", F.xxhash64("text").alias("text_key"), "base", entities().alias("entities"), every.alias("terms")))
+    strong = disclosing_terms(documents, based)
+    held = documents.select(identity().alias("row_key"), F.explode(F.array_distinct(terms(F.col("text")))).alias("term"))
+    held = held.join(small(strong, BROADCAST), "term").groupBy("row_key").agg(F.sort_array(F.collect_set(F.struct("term", "revealed"))).alias("strong"))
+    return based.select("row_key", "doc_id", "base"), cut(held)
+
+
+def term_pattern(strong: str) -> Column:
+    """A pattern for whole words, any case."""
+    return F.concat(F.lit(r"(?iu)(?:(?<=[\s\p{P}])|^)(?:"), F.array_join(F.col(f"{strong}.term"), "|"), F.lit(r")(?=[\s\p{P}]|$)"))
+
+
+def gone(strong: str) -> Column:
+    """Terms of which nothing is to stay."""
+    return F.transform(F.filter(strong, lambda s: s["revealed"] >= REMOVE), lambda s: s["term"])
 
 
 def find_personal_data(documents: DataFrame) -> DataFrame:
@@ -143,39 +165,33 @@ def find_personal_data(documents: DataFrame) -> DataFrame:
     A null text is empty, as is a text without characters: no spans. Repeated rows each get a row, a null id
     too, further columns take no part, an empty table gives no rows. Offsets count code points, ends excluded.
     """
-    d = base_spans(documents)
-    near = F.transform("base", lambda s: F.struct(same_value(s).alias("value"), neighbours(F.col("text"), s).alias("terms")))
-    values = F.array_distinct(F.transform("base", same_value))
-    every = F.when(F.size("base") > 0, F.array_distinct(terms(F.col("text")))).otherwise(F.array().cast("array<string>"))
-    based = cut(d.select("row_key", "doc_id", "base", near.alias("near"), values.alias("values"), every.alias("terms")))
-    strong = disclosing_terms(documents, based)
-    by_doc = term_rows(documents).join(small(strong, BROADCAST), "term").groupBy("row_key").agg(F.sort_array(F.collect_set(F.struct("term", "revealed"))).alias("strong"))
-    by_doc = cut(by_doc)
-    texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("row_key", F.xxhash64("doc_id", "text"))
-    texts = texts.join(small(by_doc, BROADCAST), "row_key").dropDuplicates(["row_key"])
-    pattern = F.concat(F.lit(r"(?iu)(?:(?<=[\s\p{P}])|^)(?:"), F.array_join(F.col("strong.term"), "|"), F.lit(r")(?=[\s\p{P}]|$)"))
-    texts = texts.withColumn("pattern", pattern)
+    based, held = strong_terms(documents)
+    texts = documents.select(identity().alias("row_key"), F.coalesce("text", F.lit("")).alias("text")).join(small(held, BROADCAST), "row_key").dropDuplicates(["row_key"])
+    texts = texts.withColumn("pattern", term_pattern("strong"))
     texts = texts.withColumns({"hits": F.regexp_extract_all("text", F.concat(F.lit("("), "pattern", F.lit(")")), F.lit(1)), "gaps": F.split("text", F.col("pattern"), -1)})
-    gone = F.transform(F.filter("strong", lambda s: s["revealed"] >= REMOVE), lambda s: s["term"])
-    named = F.transform(placed("term", "gaps", "hits"), lambda s: F.struct(F.when(F.array_contains(gone, F.lower(s["value"])), F.lit("drop")).otherwise(F.lit("term")).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
+    named = F.transform(placed("term", "gaps", "hits"), lambda s: F.struct(F.when(F.array_contains(gone("strong"), F.lower(s["value"])), F.lit("drop")).otherwise(F.lit("term")).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
     found = texts.select("row_key", named.alias("found"))
-    return based.drop("near", "values", "terms").join(found, "row_key", "left").withColumn("found", F.coalesce("found", F.array().cast(SPAN)))
+    return based.join(found, "row_key", "left").withColumn("found", F.coalesce("found", F.array().cast(SPAN)))
 
 
 def sanitised(documents: DataFrame) -> DataFrame:
-    """documents with text rewritten: base values and terms as [KIND], removed terms as nothing; all other columns stay."""
-    spans = find_personal_data(documents).select(F.col("row_key").alias("__key"), F.sort_array(F.transform(F.concat("base", "found"), lambda s: F.struct(s["start"], s["end"], s["kind"]))).alias("__spans")).dropDuplicates(["__key"])
-    touched = spans.where(F.size("__spans") > 0)
-    d = documents.withColumn("__key", F.xxhash64("doc_id", F.coalesce("text", F.lit("")))).join(touched, "__key", "left")
-
-    def step(acc: Column, s: Column) -> Column:
-        label = F.when(s["col3"] == "drop", F.lit("")).otherwise(F.concat(F.lit("["), F.upper(s["col3"]), F.lit("]")))
-        more = F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.greatest(s["col1"] - acc["at"], F.lit(0))), F.when(s["col1"] >= acc["at"], label).otherwise(F.lit("")))
-        return F.struct(F.greatest(acc["at"], s["col2"]).alias("at"), more.alias("out"))
-
-    plain = F.transform("__spans", lambda s: F.struct(s["start"].alias("col1"), s["end"].alias("col2"), s["kind"].alias("col3")))
-    whole = F.aggregate(plain, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.length("text"))))
-    return d.withColumn("text", F.when(F.size("__spans") > 0, whole).otherwise(F.col("text"))).select(*documents.columns)
+    """documents with text rewritten: valid base values as [KIND], kind by kind in their order, then disclosing terms as [TERM],
+    removed terms as nothing; all other columns stay. What one kind has replaced the next doesn't see."""
+    key, strong, pattern, gaps, hits, now = taken(documents, "row", "strong", "pattern", "gaps", "hits", "now")
+    held = strong_terms(documents)[1].select(F.col("row_key").alias(key), F.col("strong").alias(strong))
+    d = documents.withColumn(key, identity()).join(small(held, BROADCAST), key, "left").withColumn(pattern, term_pattern(strong)).withColumn(now, F.col("text"))
+
+    def rewrite(d: DataFrame, found: Column, cut_at: Column, there: Column, label: Callable[[Column], Column]) -> DataFrame:
+        d = d.withColumn(hits, F.when(there, F.regexp_extract_all(F.col(now), found, F.lit(1)))).withColumn(gaps, F.when(F.size(hits) > 0, F.split(F.col(now), cut_at, -1)))
+        parts = F.zip_with(gaps, hits, lambda g, h: F.concat(g, F.coalesce(label(h), F.lit(""))))
+        return d.withColumn(now, F.when(F.size(hits) > 0, F.array_join(parts, "")).otherwise(F.col(now)))
+
+    for kind, at in KINDS.items():
+        there = F.col(now).contains(HINTS[kind]) if HINTS[kind] else F.col(now).rlike("[0-9]")
+        d = rewrite(d, F.lit(f"({at})"), F.lit(at), there, lambda h, kind=kind: F.when(h.isNotNull(), F.when(valid(kind, h), F.lit(f"[{kind.upper()}]")).otherwise(h)))
+    removed = gone(strong)
+    d = rewrite(d, F.concat(F.lit("("), pattern, F.lit(")")), F.col(pattern), F.col(pattern).isNotNull(), lambda h: F.when(h.isNotNull() & ~F.array_contains(removed, F.lower(h)), F.lit("[TERM]")))
+    return d.withColumn("text", F.col(now)).select(*documents.columns)
 
 
 def digests(found: DataFrame) -> DataFrame:

@@ -8,11 +8,13 @@ from __future__ import annotations
 
 import re
 
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from filingloom.llm.common import positions, taken
+
 # What a candidate looks like, and the words looked for in and around it.
 VALUE = r"[A-Za-z0-9+/_-]{16,}+={0,2}"
 NAMES = "passw|pwd|passphrase|secret|token|api|key|auth|credential|bearer|private"
@@ -51,7 +53,8 @@ def features(value: Column, before: Column) -> Column:
 
 
 def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
-    """n labelled findings (before, value, label) drawn by hashes: keys of common make, and the strings mistaken for them."""
+    """n labelled findings (id, maker, before, value, label) drawn by hashes: keys of common make, and the strings mistaken for
+    them. Makers are independent ways of making a finding, so that some can be held out whole."""
     i = F.col("id")
     hexed = lambda k, salt: F.substring(F.sha2(F.concat(i.cast("string"), F.lit(salt)), 512), F.lit(1), k)
     base64 = F.regexp_replace(F.base64(F.unhex(hexed(F.lit(64), "b"))), "=+$", "")
@@ -94,7 +97,7 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
     ]
     turn = F.pmod(i, F.lit(len(kinds)))
     each = F.array(*(F.struct(b.alias("before"), v.alias("value"), F.lit(float(y)).alias("label")) for b, v, y in kinds))
-    return spark.range(0, n, 1, 1).select("id", F.get(each, turn.cast("int")).alias("f")).select("id", "f.*")
+    return spark.range(0, n, 1, 1).select("id", turn.cast("int").alias("maker"), F.get(each, turn.cast("int")).alias("f")).select("id", "maker", "f.*")
 
 
 def grow(node: list[str], f: Column) -> tuple[Column, int]:
@@ -122,53 +125,63 @@ class Forest:
         return total / len(self.trees)
 
 
-def train(findings: DataFrame) -> Forest:
-    """A forest from labelled findings (before, value, label); its randomness is seeded and the rows are ordered."""
+def assembled(findings: DataFrame) -> DataFrame:
+    """label and the features of findings as a vector."""
     rows = findings.select("label", features(F.col("value"), F.col("before")).alias("f")).select("label", "f.*")
-    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows.repartition(1).sortWithinPartitions("label", *FEATURES))
-    return Forest(RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=11).fit(rows.select("label", "features")).toDebugString)
+    return VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)
+
 
+def fitted(findings: DataFrame) -> RandomForestClassificationModel:
+    """pyspark.ml's model of labelled findings (before, value, label), whose number is bounded; its randomness is seeded and the
+    rows are ordered."""
+    rows = assembled(findings).repartition(1).sortWithinPartitions("label", *FEATURES)
+    return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=11).fit(rows.select("label", "features"))
 
-def with_findings(documents: DataFrame, forest: Forest, text: str = "text") -> DataFrame:
-    """documents with __found: array of (start, end, value, vote) of every candidate, in code points, ends excluded."""
+
+def train(findings: DataFrame) -> Forest:
+    return Forest(fitted(findings).toDebugString)
+
+
+def with_findings(documents: DataFrame, forest: Forest, text: str = "text") -> tuple[DataFrame, dict[str, str]]:
+    """documents with further columns, and their names: found (start, end, value, vote of every candidate, in code points, ends
+    excluded), gaps (the text between candidates) and hits."""
     pattern = rf"(?:{GIVEN}|(?<![A-Za-z0-9+/_-]){VALUE})"
-    d = documents.withColumn("__text", F.coalesce(F.col(text), F.lit("")))
-    none = F.array().cast("array<string>")
-    d = d.withColumn("__hits", F.regexp_extract_all("__text", F.lit(f"({pattern})"), F.lit(1)))
-    d = d.withColumn("__gaps", F.when(F.size("__hits") > 0, F.split("__text", pattern, -1)).otherwise(none))
-
-    def step(acc: Column, i: Column) -> Column:
-        gap = F.get("__gaps", i)
-        start = acc["at"] + F.length(gap)
-        end = start + F.length(F.get("__hits", i))
-        before = F.when(F.length(gap) >= CONTEXT, F.right(gap, F.lit(CONTEXT))).otherwise(F.substring(F.col("__text"), F.greatest(start - CONTEXT + 1, F.lit(1)), F.least(start, F.lit(CONTEXT))))
-        f = features(F.get("__hits", i), before)
-        item = F.struct(start.alias("start"), end.alias("end"), F.get("__hits", i).alias("value"), f.alias("f"))
-        return F.struct(end.alias("at"), F.array_append(acc["out"], item).alias("out"))
-
-    kind = "array<struct<start:int,end:int,value:string,f:struct<" + ",".join(f"{n}:double" for n in FEATURES) + ">>>"
-    every = F.when(F.size("__hits") > 0, F.sequence(F.lit(0), F.least(F.size("__hits"), F.size("__gaps")) - 1)).otherwise(F.array().cast("array<int>"))
-    d = d.withColumn("__all", F.aggregate(every, F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out")), step, lambda a: a["out"]))
-    found = F.transform("__all", lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), c["value"].alias("value"), forest.vote(c["f"]).alias("vote")))
-    return d.withColumn("__found", found).drop("__text", "__hits", "__gaps", "__all")
+    c = dict(zip(("hits", "gaps", "at", "seen", "found"), taken(documents, "hits", "gaps", "at", "seen", "found")))
+    whole, none = F.coalesce(F.col(text), F.lit("")), F.array().cast("array<string>")
+    d = documents.withColumn(c["hits"], F.regexp_extract_all(whole, F.lit(f"({pattern})"), F.lit(1)))
+    d = d.withColumn(c["gaps"], F.when(F.size(c["hits"]) > 0, F.split(whole, pattern, -1)).otherwise(none))
+    d = d.withColumn(c["at"], positions(c["gaps"], c["hits"]))
+
+    def before(i: Column) -> Column:
+        """CONTEXT characters before candidate i, or as many as the seven candidates and gaps before it hold."""
+        gap = F.get(c["gaps"], i)
+        piece = lambda of, k: F.coalesce(F.get(c[of], i - k), F.lit(""))
+        near = F.concat(*(piece(of, k) for k in range(7, 0, -1) for of in ("gaps", "hits")), gap)
+        return F.right(F.when(F.length(gap) >= CONTEXT, gap).otherwise(near), F.lit(CONTEXT))
+
+    d = d.withColumn(c["seen"], F.transform(c["at"], lambda p, i: features(F.get(c["hits"], i), before(i))))
+    found = F.transform(c["seen"], lambda f, i: F.struct(F.get(c["at"], i)["start"].alias("start"), F.get(c["at"], i)["end"].alias("end"), F.get(c["hits"], i).alias("value"), forest.vote(f).alias("vote")))
+    return d.withColumn(c["found"], found), c
 
 
 def scan_secrets(documents: DataFrame, forest: Forest | None = None) -> DataFrame:
     """doc_id, n_candidates, n_secrets, secrets ("start:end,...") of every row.
 
-    A null or empty text has no candidates. Repeated rows and null ids each get a row, further columns take no part,
-    an empty table gives no rows.
+    Candidates are runs of 16 or more of [A-Za-z0-9+/_-], and whatever of six or more characters is given to a secret-like
+    name (GIVEN); what is neither isn't seen. A null or empty text has no candidates. Repeated rows and null ids each get
+    a row, further columns take no part, an empty table gives no rows.
     """
     forest = forest or train(labelled_findings(documents.sparkSession))
-    d = with_findings(documents.select("doc_id", "text"), forest)
-    secrets = F.filter("__found", lambda c: c["vote"] > 0.5)
-    return d.select("doc_id", F.size("__found").cast("long").alias("n_candidates"), secrets.alias("s")).select("doc_id", "n_candidates", F.size("s").cast("long").alias("n_secrets"), F.array_join(F.transform("s", lambda c: F.concat_ws(":", c["start"], c["end"])), ",").alias("secrets"))
+    d, c = with_findings(documents.select("doc_id", "text"), forest)
+    secrets = F.filter(c["found"], lambda x: x["vote"] > 0.5)
+    d = d.select("doc_id", F.size(c["found"]).cast("long").alias("n_candidates"), secrets.alias("s"))
+    return d.select("doc_id", "n_candidates", F.size("s").cast("long").alias("n_secrets"), F.array_join(F.transform("s", lambda x: F.concat_ws(":", x["start"], x["end"])), ",").alias("secrets"))
 
 
 def redact_secrets(documents: DataFrame, forest: Forest | None = None) -> DataFrame:
     """documents, each secret in text replaced by [SECRET]; other columns, and texts without secrets, stay as they are."""
     forest = forest or train(labelled_findings(documents.sparkSession))
-    d = with_findings(documents, forest).withColumn("__s", F.filter("__found", lambda c: c["vote"] > 0.5))
-    step = lambda acc, s: F.struct(s["end"].alias("at"), F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit("[SECRET]")).alias("out"))
-    whole = F.aggregate("__s", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.length("text"))))
-    return d.withColumn("text", F.when(F.size("__s") > 0, whole).otherwise(F.col("text"))).select(*documents.columns)
+    d, c = with_findings(documents, forest)
+    part = lambda x, i: F.concat(F.get(c["gaps"], i), F.when(x["vote"] > 0.5, F.lit("[SECRET]")).otherwise(x["value"]))
+    whole = F.concat(F.array_join(F.transform(c["found"], part), ""), F.array_join(F.slice(c["gaps"], F.size(c["found"]) + 1, F.size(c["gaps"])), ""))
+    return d.withColumn("text", F.when(F.exists(c["found"], lambda x: x["vote"] > 0.5), whole).otherwise(F.col("text"))).select(*documents.columns)
