@@ -1,16 +1,17 @@
 """Quality rules whose cutoffs come with a guarantee: exact binomial bounds on labelled holdouts.
 
-For each stratum (language) and rule, cutoffs are tested from the loosest to the tightest. The null
-hypothesis of a cutoff is that it rejects more than its share of good documents; its p-value is the
-exact binomial tail of the good holdouts that it rejects. Testing stops at the first cutoff that
-isn't proven (fixed-sequence testing), and Bonferroni's correction covers all pairs of rule and
-stratum. So with probability 1 - DELTA every stratum loses at most ALPHA of its good documents to
-the method, all rules together. A stratum with too few holdouts gets no cutoff, and loses nothing.
+Cutoffs of all rules lie on one path, laid down beforehand (PATH): round by round each rule takes its next tighter cutoff. A step of
+the path is the set of cutoffs reached so far. Per stratum (language) steps are tested in order. The null hypothesis of a step is
+that its rules together reject more than ALPHA of the good documents; its p-value is the exact binomial tail of the good
+holdouts that they reject. Testing stops at the first step that isn't proven (fixed-sequence testing, which needs no correction
+along the path), and Bonferroni's correction covers the strata. So with probability 1 - DELTA every stratum loses at most ALPHA
+of its good documents to the method. A stratum with too few holdouts for any proof (with four strata below 217, none of
+them rejected) gets no cutoff, and loses nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filingloom.llm.common import BLANKS, cut, words
@@ -27,6 +28,10 @@ RULES: dict[str, tuple[str, list[float]]] = {
 }
 
 
+#: The path: (rule, its cutoff's place), the loosest cutoffs of all rules first.
+PATH = [(rule, k) for k in range(max(len(c) for _, c in RULES.values())) for rule, (_, c) in RULES.items() if k < len(c)]
+
+
 def repeat_words(grams: str) -> Column:
     """Words covered by the 3-word windows (given as hashes, in order) that occur twice or more."""
     at = F.sort_array(F.transform(grams, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
@@ -69,26 +74,38 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(k < n * p, F.least(last * ratios, F.lit(1.0))).otherwise(F.lit(1.0))
 
 
+def first_step() -> Column:
+    """The first step of the path that rejects a document with measures r_<rule>; null if none does. Cutoffs fall, so of a rule's
+    n cutoffs the last m are exceeded."""
+    def of(rule: str) -> Column:
+        values = RULES[rule][1]
+        above = F.size(F.filter(F.array(*map(F.lit, values)), lambda x: x < F.col(f"r_{rule}")))
+        return F.get(F.array(*(F.lit(PATH.index((rule, k))) for k in range(len(values)))), F.when(above > 0, len(values) - above))
+
+    return F.least(*map(of, RULES))
+
+
 def cutoffs(measured_labelled: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """(lang, rule, cutoff, n, rejected, p_value): the tightest proven cutoff of each stratum and rule.
+    """(lang, step, n, rejected, p_value) of the last proven step of each stratum that has one.
 
     Equal texts count once, so that copies don't pass for independent holdouts.
     """
     good = measures(measured_labelled.where("quality = 1")).dropDuplicates(["lang", "text_hash"])
-    def step(rule: str, values: list[float]) -> Column:
-        above = F.size(F.filter(F.array(*map(F.lit, values)), lambda x: x < F.col(f"r_{rule}")))
-        return F.struct(F.lit(rule).alias("rule"), above.alias("above"))
+    hit = cut(good.select("lang", first_step().alias("at")).groupBy("lang", "at").agg(F.count("*").alias("docs")))
+    strata = hit.groupBy("lang").agg(F.sum("docs").alias("n"))
+    of = max(1, strata.count())
+    steps = strata.select("lang", "n", F.explode(F.sequence(F.lit(0), F.lit(len(PATH) - 1))).alias("step"))
+    tests = steps.alias("t").join(hit.alias("h"), F.expr("t.lang <=> h.lang and h.at <= t.step"), "left").groupBy("t.lang", "t.step", "t.n").agg(F.coalesce(F.sum("h.docs"), F.lit(0)).cast("long").alias("rejected"))
+    tests = tests.withColumn("p_value", binomial_tail(F.col("rejected"), F.col("n"), alpha))
+    failed = tests.groupBy("lang").agg(F.min(F.when(F.col("p_value") > delta / of, F.col("step"))).alias("failed")).withColumnRenamed("lang", "_lang")
+    proven = tests.join(failed, F.expr("lang <=> _lang and (failed is null or step < failed)"))
+    return proven.groupBy("lang").agg(F.max(F.struct("step", "n", "rejected", "p_value")).alias("best")).select("lang", "best.*")
+
 
-    steps = [step(r, c) for r, (_, c) in RULES.items()]
-    hit = good.select("lang", F.inline(F.array(*steps))).groupBy("lang", "rule", "above").agg(F.count("*").alias("docs"))
-    # a cutoff rejects the documents whose measure exceeds it; cutoffs fall, so the last `above` of them do
-    grid = F.array(*(F.struct(F.lit(r).alias("rule"), F.lit(i).alias("step"), F.lit(x).alias("cutoff"), F.lit(len(c) - i).alias("least")) for r, (_, c) in RULES.items() for i, x in enumerate(c)))
-    strata = good.groupBy("lang").agg(F.count("*").alias("n")).select("lang", "n", F.count("*").over(Window.partitionBy()).alias("strata"))
-    tests = strata.select("lang", "n", "strata", F.inline(grid)).alias("t").join(hit.alias("h"), F.expr("t.lang <=> h.lang and t.rule = h.rule and h.above >= t.least"), "left").groupBy("t.lang", "t.rule", "t.step", "t.cutoff", "t.n", "t.strata").agg(F.coalesce(F.sum("h.docs"), F.lit(0)).cast("long").alias("rejected"))
-    p = tests.withColumn("p_value", binomial_tail(F.col("rejected"), F.col("n"), alpha / len(RULES)))
-    chain = Window.partitionBy("lang", "rule").orderBy("step")
-    proven = p.withColumn("proven", F.min((F.col("p_value") <= delta / (len(RULES) * F.col("strata"))).cast("int")).over(chain)).where("proven = 1")
-    return proven.groupBy("lang", "rule").agg(F.max_by(F.struct("cutoff", "n", "rejected", "p_value"), "step").alias("best")).select("lang", "rule", "best.*")
+def reached(rule: str, step: Column) -> Column:
+    """A rule's cutoff at a step of the path; null before its first."""
+    known = [RULES[rule][1][max(k for r, k in PATH[: s + 1] if r == rule)] if any(r == rule for r, _ in PATH[: s + 1]) else None for s in range(len(PATH))]
+    return F.get(F.array(*(F.lit(x).cast("double") for x in known)), step)
 
 
 def apply_rules(documents: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
@@ -101,7 +118,7 @@ def apply_rules(documents: DataFrame, labels: DataFrame, alpha: float = ALPHA, d
     d = cut(measured(documents))
     marks = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"))
     best = cutoffs(d.join(marks, "doc_id"), alpha, delta)
-    wide = best.groupBy("lang").agg(*(F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"c_{r}") for r in RULES)).withColumnRenamed("lang", "stratum")
+    wide = best.select(F.col("lang").alias("stratum"), *(reached(r, F.col("step")).alias(f"c_{r}") for r in RULES))
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     out = measures(d).join(cut(wide), F.expr("lang <=> stratum"), "left").withColumn("base_failed", base)
     why = F.filter(F.array(*(F.when(F.col(f"r_{r}") > F.col(f"c_{r}"), F.lit(r)) for r in RULES)), lambda x: x.isNotNull())
