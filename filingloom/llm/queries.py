@@ -77,10 +77,10 @@ QUERIES = {
 
 ORACLE: dict[str, str] = {
     "op5_exact_top_k": """
-        with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) q from embeddings
+        with v as (select row_number() over () n, vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) q from embeddings
                    where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
-        s as (select a.vec_id query_id, b.vec_id, cast(list_inner_product(a.q::double[], b.q::double[]) as bigint) score
-              from v a join v b on a.vec_id % 20 = 0 and a.vec_id <> b.vec_id),
-        r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) "rank" from s)
+        s as (select a.n, a.vec_id query_id, b.vec_id, cast(list_inner_product(a.q::double[], b.q::double[]) as bigint) score
+              from v a join v b on a.vec_id % 20 = 0 and a.n <> b.n),
+        r as (select *, cast(row_number() over (partition by n order by score desc, vec_id) as integer) "rank" from s)
         select query_id, "rank", vec_id, score from r where "rank" <= 20""",
 }

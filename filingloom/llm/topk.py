@@ -9,24 +9,29 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of an index block, queries of a query block, and queries scored at once; they bound a task's memory.
-BLOCK, ASKED, AT_ONCE = 8192, 2048, 64
+from filingloom.llm.common import cut
+
+#: Rows of an index block at most, queries of a query block, and queries scored at once; they bound a task's memory.
+BLOCK, ASKED, AT_ONCE = 65536, 16384, 64
+#: Largest component, so that scores of vectors of up to 2 ** 23 components fit into 64 bits.
+LARGEST = 2**20
 
 
 def quantised(vectors: DataFrame) -> DataFrame:
-    """(vec_id, q array<int>): floor(64 x) of each component. A vector that is null, or holds a null or
-    non-finite component, takes no part; of rows that share a vec_id the largest vector stands for all."""
+    """(row, vec_id, q array<long>) of every row that takes part: floor(64 x) of each component. A vector that is null, or
+    holds a null or non-finite component, takes no part, nor does one without an id. Rows of one id are rows of their own.
+    A component whose floor exceeds LARGEST fails the job."""
     x = F.transform("embedding", lambda v: v.cast("double"))
     whole = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v.cast("double")) < float("inf")))
-    q = F.transform(x, lambda v: F.floor(v * 64).cast("long"))
-    return vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & whole).select(F.col("vec_id").cast("long"), q.alias("q")).groupBy("vec_id").agg(F.max("q").alias("q"))
+    q = F.transform(x, lambda v: F.when(F.abs(v) * 64 > LARGEST, F.raise_error(F.lit("a vector's component is too large"))).otherwise(F.floor(v * 64)).cast("long"))
+    return vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & whole).select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("vec_id"), q.alias("q"))
 
 
 def planes(up: np.ndarray, bits: int) -> np.ndarray:
-    """Non-negative attributes (rows, dims) as bitmaps (dims, bits, words)."""
+    """Non-negative attributes (rows, dims) as bitmaps (dims, bits, words), one attribute at a time."""
     up = np.pad(up.astype(np.uint64), ((0, -len(up) % 64), (0, 0)))
-    plane = ((up.T[:, None, :] >> np.arange(bits, dtype=np.uint64)[None, :, None]) & np.uint64(1)).astype(np.uint8)
-    return np.ascontiguousarray(np.packbits(plane, axis=2, bitorder="little")).view(np.uint64)
+    each = [np.packbits(((column[None, :] >> np.arange(bits, dtype=np.uint64)[:, None]) & np.uint64(1)).astype(np.uint8), axis=1, bitorder="little") for column in up.T]
+    return np.ascontiguousarray(each).view(np.uint64)
 
 
 def slices(q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,41 +88,46 @@ def top_rows(total: list[np.ndarray], part: np.ndarray, k: int) -> tuple[np.ndar
     return sure, tied
 
 
-def block_top(ids: np.ndarray, q: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple]:
-    """(query_id, vec_id, score) of each query's k best rows of this block; rows come sorted by id."""
+def block_top(rows: np.ndarray, ids: np.ndarray, q: np.ndarray, asked: tuple[np.ndarray, np.ndarray, np.ndarray], k: int) -> list[tuple]:
+    """(query's row, query_id, vec_id, score) of each query's k best rows of this block; rows come sorted by id."""
+    own, query_ids, queries = asked
     total = scores_by_slice(slices(q), queries)
     words = total[0].shape[1]
     live = np.zeros(words * 64, np.uint8)
     live[: len(ids)] = 1
     part = np.repeat(np.packbits(live, bitorder="little").view(np.uint64)[None, :], len(queries), axis=0)
-    own = np.searchsorted(ids, query_ids)
-    for i, (at, x) in enumerate(zip(own, query_ids)):
-        if at < len(ids) and ids[at] == x:
-            part[i, at // 64] &= ~(np.uint64(1) << np.uint64(at % 64))
+    at = {r: i for i, r in enumerate(rows.tolist())}
+    for i, r in enumerate(own.tolist()):
+        if r in at:
+            part[i, at[r] // 64] &= ~(np.uint64(1) << np.uint64(at[r] % 64))
     sure, tied = top_rows(total, part, k)
     found = []
     for i in range(len(queries)):
-        rows = np.flatnonzero(np.unpackbits(sure[i].view(np.uint8), bitorder="little"))
-        edge = np.flatnonzero(np.unpackbits(tied[i].view(np.uint8), bitorder="little"))[: k - len(rows)]  # equal scores: smaller ids first
-        rows = np.concatenate([rows, edge])
-        found += zip([int(query_ids[i])] * len(rows), ids[rows].tolist(), (q[rows] @ queries[i]).tolist())
+        best = np.flatnonzero(np.unpackbits(sure[i].view(np.uint8), bitorder="little"))
+        edge = np.flatnonzero(np.unpackbits(tied[i].view(np.uint8), bitorder="little"))[: k - len(best)]  # equal scores: smaller ids first
+        best = np.concatenate([best, edge])
+        found += zip([int(own[i])] * len(best), [int(query_ids[i])] * len(best), ids[best].tolist(), (q[best] @ queries[i]).tolist())
     return found
 
 
-def exact_top_k(vectors: DataFrame, k: int = 20, query_every: int = 20, block: int = BLOCK) -> DataFrame:
+def exact_top_k(vectors: DataFrame, k: int = 20, query_every: int = 20, block: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): the k highest integer inner products of each row whose id is divisible
-    by query_every with all other rows; ties go to the smaller vec_id.
+    by query_every with all other rows; ties go to the smaller vec_id. A query's own row is left out, other rows of its
+    id aren't; each row of a repeated id asks for itself.
 
-    Vectors are dealt into blocks by a hash of the id; a query block meets each index block once (cogrouped by the
-    two blocks' numbers), and only k rows a query leave a block. Vectors of other lengths than the query's meet as
-    if they ended in zeros. No vectors, no rows.
+    Vectors are dealt into blocks by a hash; a query block meets each index block once (cogrouped by the
+    two blocks' numbers), and only k rows a query leave a block. They travel in the narrowest integers that hold them.
+    Vectors of other lengths than the query's meet as if they ended in zeros. No vectors, no rows.
     """
-    q = quantised(vectors)
-    n, dims = q.agg(F.count("*"), F.max(F.size("q"))).first()
+    q = cut(quantised(vectors))
+    n, dims, largest = q.agg(F.count("*"), F.max(F.size("q")), F.max(F.array_max(F.transform("q", F.abs)))).first()
+    kind = "tinyint" if (largest or 0) < 128 else "smallint" if largest < 32768 else "int"
+    block = block or max(1024, min(BLOCK, -(-n // (2 * vectors.sparkSession.sparkContext.defaultParallelism))))
     blocks, askers = max(1, -(-n // block)), max(1, -(-n // (query_every * ASKED)))
     every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
-    rows = q.select(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("b"), every(askers).alias("a"), "vec_id", "q")
-    asks = q.where(F.col("vec_id") % query_every == 0).select(every(blocks).alias("b"), F.pmod(F.xxhash64(F.lit(7), "vec_id"), F.lit(askers)).cast("int").alias("a"), "vec_id", "q")
+    short = F.col("q").cast(f"array<{kind}>").alias("q")
+    rows = q.select(F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("b"), every(askers).alias("a"), "row", "vec_id", short)
+    asks = q.where(F.col("vec_id") % query_every == 0).select(every(blocks).alias("b"), F.pmod(F.xxhash64(F.lit(7), "row"), F.lit(askers)).cast("int").alias("a"), F.col("row").alias("own"), F.col("vec_id").alias("query_id"), short.alias("w"))
 
     def matrix(v: pd.Series) -> np.ndarray:
         out = np.zeros((len(v), max(1, dims or 0)), np.int64)
@@ -128,14 +138,14 @@ def exact_top_k(vectors: DataFrame, k: int = 20, query_every: int = 20, block: i
     def meet(index: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
         if len(index) and len(asked):
-            index = index.sort_values("vec_id")
-            ids, m = index["vec_id"].to_numpy(), matrix(index["q"])
-            asked = asked.sort_values("vec_id")
+            index = index.sort_values(["vec_id", "row"])
+            held = index["row"].to_numpy(), index["vec_id"].to_numpy(), matrix(index["q"])
+            asked = asked.sort_values("own")
             for at in range(0, len(asked), AT_ONCE):
                 some = asked.iloc[at : at + AT_ONCE]
-                out += block_top(ids, m, some["vec_id"].to_numpy(), matrix(some["q"]), k)
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
+                out += block_top(*held, (some["own"].to_numpy(), some["query_id"].to_numpy(), matrix(some["w"])), k)
+        return pd.DataFrame(out, columns=["row", "query_id", "vec_id", "score"]).astype("int64")
 
-    found = rows.groupBy("b", "a").cogroup(asks.groupBy("b", "a")).applyInPandas(meet, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = rows.groupBy("b", "a").cogroup(asks.groupBy("b", "a")).applyInPandas(meet, "row long, query_id long, vec_id long, score long")
+    best = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
