@@ -3,10 +3,11 @@
 The distinct words of a batch, marked by a leading "▁", are sorted, which walks their trie depth-first: a word keeps
 the forward states of the prefix that it shares with the word before it, and only its new characters are computed.
 
-For a piece model whose scores are merge ranks the best segmentation is the one that merging gives. Its prefixes are
-segmented alike (no merge crosses a final boundary), so a forward state is the last piece of its prefix, and a piece
-may follow another exactly if merging the two alone leaves them apart. That keeps the Viterbi recurrence: a prefix's
-state comes from the state where its last piece starts. The ids are those of the public library.
+For a unigram model this is Viterbi's recurrence: the state of a prefix is the highest sum of scores of a segmentation, and
+its last piece. A piece model whose scores are merge ranks isn't segmented by their sum; the best path by sums wouldn't
+give its ids. There the best segmentation is the one that merging gives. Its prefixes are segmented alike (no merge crosses
+a final boundary), so a forward state is the last piece of its prefix, and a piece may follow another exactly if merging
+the two alone leaves them apart: the recurrence stays, its maximum is replaced. The ids are those of the public library.
 """
 
 from __future__ import annotations
@@ -15,7 +16,9 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from os.path import commonprefix
+from struct import pack
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -41,7 +44,7 @@ class Pieces:
     byte: list[int]
     text: list[bytes]  # of each id; bytes themselves for byte pieces
     unknown: int
-    ends: dict[str, tuple[int, ...]]  # the last two characters of pieces: their lengths, longest first
+    scores: dict[str, float] | None = None  # of a unigram model
     verdicts: dict = field(default_factory=dict)
 
     def apart(self, one: str, two: str) -> bool:
@@ -70,36 +73,76 @@ class Pieces:
         self.verdicts[key] = out
         return out
 
+    def forward(self, words: list[str]) -> Iterator[tuple[str, list[str]]]:
+        """Of sorted, distinct words each with the last piece of the best segmentation of each of its prefixes (a unigram model)."""
+        scores = self.scores
+        longest, unknown = max(map(len, scores), default=1), min(scores.values(), default=0.0) - UNKNOWN
+        best, last, before = [0.0], [""], ""
+        for word in words:
+            shared = len(commonprefix((before, word)))
+            del best[shared + 1 :], last[shared + 1 :]
+            for i in range(shared + 1, len(word) + 1):
+                top, piece = best[i - 1] + unknown, word[i - 1 : i]  # an unknown character
+                for j in range(max(0, i - longest), i):
+                    if (s := scores.get(word[j:i])) is not None and best[j] + s > top:
+                        top, piece = best[j] + s, word[j:i]
+                best.append(top)
+                last.append(piece)
+            before = word
+            yield word, last
+
     def encode_words(self, words: list[str]) -> dict[str, bytes]:
         """Ids of each word, as little-endian int32. words: sorted and distinct."""
-        rank, ids, ends, apart, out = self.rank, self.ids, self.ends, self.apart, {}
+        if self.scores is None:
+            return {word: self.ids_of(word, last) for word, last in self.merging(words)}
+        return {word: self.ids_of(word, last) for word, last in self.forward(words)}
+
+    def ids_of(self, word: str, last: list[str]) -> bytes:
+        """The pieces of a word from its end, by the last pieces of its prefixes. Unknown characters that follow one another are one id."""
+        at, back = len(word), []
+        while at:
+            piece = last[at]
+            at -= len(piece)
+            one = self.ids.get(piece)
+            if one is not None:
+                back.append(one)
+            elif self.byte:
+                back += [self.byte[b] for b in reversed(piece.encode("utf-8", "surrogatepass"))]
+            elif not back or back[-1] != self.unknown:
+                back.append(self.unknown)
+        return pack(f"<{len(back)}i", *reversed(back))
+
+    def merging(self, words: list[str]) -> Iterator[tuple[str, list[str]]]:
+        """As forward, for a model of merge ranks."""
+        found, apart, longest = self.automaton(), self.apart, max(map(len, self.rank), default=1)
         last: list[str] = [""]  # last[i]: the last piece of the first i characters
         before = ""
         for word in words:
             shared = len(commonprefix((before, word)))
             del last[shared + 1 :]
-            for i in range(shared + 1, len(word) + 1):
-                for n in ends.get(word[i - 2 : i], ()) if i > 1 else ():
-                    if n <= i:
-                        piece = word[i - n : i]
-                        if piece in rank and (n == i or apart(last[i - n], piece)):
-                            last.append(piece)
-                            break
-                else:
-                    last.append(word[i - 1 : i])
-            before, at, back = word, len(word), []
-            while at:
-                piece = last[at]
-                at -= len(piece)
-                one = ids.get(piece)
-                if one is not None:
-                    back.append(one)
-                elif self.byte:
-                    back += [self.byte[b] for b in reversed(piece.encode("utf-8", "surrogatepass"))]
-                else:
-                    back.append(self.unknown)
-            out[word] = np.array(back[::-1], "<i4").tobytes()
-        return out
+            known = shared + 1  # prefixes that have a state, the empty one included
+            for end, piece in found.iter(word, max(0, known - longest)):  # longest first
+                if end + 1 >= known:
+                    while known <= end:  # no piece ends there
+                        last.append(word[known - 1])
+                        known += 1
+                    n = len(piece)
+                    if n > end or apart(last[end + 1 - n], piece):
+                        last.append(piece)
+                        known += 1
+            last.extend(word[known - 1 :])
+            before = word
+            yield word, last
+
+    def automaton(self) -> ahocorasick.Automaton:
+        """Finds the pieces that end at each character; made once in each process."""
+        if "automaton_" not in self.__dict__:
+            found = ahocorasick.Automaton()
+            for piece in self.rank:
+                found.add_word(piece, piece)
+            found.make_automaton()
+            self.__dict__["automaton_"] = found
+        return self.__dict__["automaton_"]
 
 
 def merged(text: str, rank: dict[str, int]) -> tuple[list[str], tuple[str, str] | None]:
@@ -114,33 +157,79 @@ def merged(text: str, rank: dict[str, int]) -> tuple[list[str], tuple[str, str]
         parts[i : i + 2] = ["".join(final)]
 
 
+def fields(message: bytes) -> dict[int, list]:
+    """The fields of a protocol-buffer message by number: integers, or bytes of strings and messages."""
+    out: dict[int, list] = {}
+    at = 0
+
+    def number() -> int:
+        nonlocal at
+        value = shift = 0
+        while True:
+            b = message[at]
+            at += 1
+            value |= (b & 127) << shift
+            shift += 7
+            if b < 128:
+                return value
+
+    while at < len(message):
+        key = number()
+        if key & 7 == 0:
+            value: int | bytes = number()
+        else:
+            size = number() if key & 7 == 2 else {1: 8, 5: 4}[key & 7]
+            value, at = message[at : at + size], at + size
+        out.setdefault(key >> 3, []).append(value)
+    return out
+
+
+# Numbers of the fields of a model file and of the kinds of models.
+TRAINER, NORMALIZER, KIND, CHARS_MAP, DUMMY_PREFIX, REMOVE_SPACES, ESCAPE = 2, 3, 3, 2, 3, 4, 5
+UNIGRAM, BPE = 1, 2
+#: How far an unknown character scores below the worst piece.
+UNKNOWN = 10.0
+
+
 def load(model: str = DEFAULT_MODEL) -> Pieces:
-    """Tables of a model file of merge ranks, read on the driver; they have the vocabulary's size."""
+    """Tables of a model file, read on the driver; they have the vocabulary's size. Models of merge ranks and unigram models
+    are read, if they leave text as it is but for a mark before it and for each space; others raise an error."""
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=model)
+    spec = fields(sp.serialized_model_proto())
+    trainer, normal = (fields(spec[k][-1]) if k in spec else {} for k in (TRAINER, NORMALIZER))
+    kind = trainer.get(KIND, [UNIGRAM])[-1]
+    if kind not in (UNIGRAM, BPE):
+        raise ValueError("neither a unigram model nor one of merge ranks")
+    if normal.get(CHARS_MAP, [b""])[-1] or not normal.get(DUMMY_PREFIX, [1])[-1] or normal.get(REMOVE_SPACES, [1])[-1] or not normal.get(ESCAPE, [1])[-1]:
+        raise ValueError("the model's normaliser changes text")
     size = sp.vocab_size()
     names = [sp.id_to_piece(i) for i in range(size)]
     plain = [i for i in range(size) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
-    order = sorted((i for i in plain if len(names[i]) > 1), key=lambda i: -sp.get_score(i))
-    rank = {names[i]: r for r, i in enumerate(order, 1)}
+    byte = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)] if any(sp.is_byte(i) for i in range(size)) else []
+    text = [b"" if sp.is_control(i) else bytes([int(names[i][3:5], 16)]) if sp.is_byte(i) else names[i].encode() for i in range(size)]
+    ids = {names[i]: i for i in plain}
+    if kind == UNIGRAM:
+        return Pieces(ids, {}, {}, {}, byte, text, sp.unk_id(), {names[i]: sp.get_score(i) for i in plain})
+    rank, left, right = merge_tables([names[i] for i in sorted((i for i in plain if len(names[i]) > 1), key=lambda i: -sp.get_score(i))])
+    return Pieces(ids, rank, left, right, byte, text, sp.unk_id())
+
+
+def merge_tables(pieces: list[str]) -> tuple[dict, dict, dict]:
+    """rank, left and right of Pieces, from the pieces of two characters or more in the order of their merges."""
+    rank = {piece: r for r, piece in enumerate(pieces, 1)}
     left, right = {}, {}
     for piece in list(rank):
         parts, final = merged(piece, rank)
         if len(parts) == 1 and final:
             left[piece], right[piece] = final
-    rank = {p: r for p, r in rank.items() if p in left}  # pieces that merging never reaches are never emitted
-    byte = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)] if any(sp.is_byte(i) for i in range(size)) else []
-    text = [b"" if sp.is_control(i) else bytes([int(names[i][3:5], 16)]) if sp.is_byte(i) else names[i].encode() for i in range(size)]
-    ends: dict[str, set[int]] = {}
-    for piece in rank:
-        ends.setdefault(piece[-2:], set()).add(len(piece))
-    return Pieces({names[i]: i for i in plain}, rank, left, right, byte, text, sp.unk_id(), {e: tuple(sorted(n, reverse=True)) for e, n in ends.items()})
+    return {p: r for p, r in rank.items() if p in left}, left, right  # pieces that merging never reaches are never emitted
 
 
 def splitter(pieces: Pieces) -> re.Pattern:
     """Words of a marked text: a run of marks and what follows, up to the next mark. Pieces with a mark inside forbid that."""
-    inside = any(re.search(f"[^{MARK}]{MARK}", p) for p in pieces.rank)
+    inside = any(re.search(f"[^{MARK}]{MARK}", p) for p in pieces.scores or pieces.rank)
     return re.compile("(?s).+" if inside else f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
