@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 
 U = np.uint64
 #: Bytes of text that are hashed together; they bound the arrays that a task holds, but for one text or word longer still.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

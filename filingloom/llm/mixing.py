@@ -19,8 +19,8 @@ MOST, TOLERANCE, STEPS = 3, 1e-6, 60
 RANKED = 256
 
 
-def sizes(documents: DataFrame) -> DataFrame:
-    return documents.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+def sizes(documents: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    return documents.select("doc_id", "source", *(F.col(c).alias(f"keep_{c}") for c in keep), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
 
 
 def targets(sized: DataFrame) -> DataFrame:
@@ -67,15 +67,16 @@ def balance(strata: DataFrame, goals: DataFrame) -> DataFrame:
     return lams.select("source", "n", "source_size", "target", "lam")
 
 
-def mix(documents: DataFrame) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies, taken of every document (taken = copies * size).
+def mix(documents: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, size, source_size, target, taken, source, copies of every document (taken = copies * size).
 
     Copies are rounded stratum by stratum: strata of a source follow one another by falling size, and each takes
     the difference of rounded running sums, so a source's error stays below its longest document; what remains
     goes to, or comes from, its short documents. Null texts have size 0 and one copy; a null source is a source,
-    repeated rows are documents of their own (ties by doc_id, then at will); an empty table gives no rows.
+    repeated rows are documents of their own (ties by doc_id, then by the columns in keep, which stay, as keep_<name>);
+    an empty table gives no rows.
     """
-    d = cut(sizes(documents).withColumn("h", F.xxhash64("doc_id")))
+    d = cut(sizes(documents, keep).withColumn("h", F.xxhash64("doc_id")))
     goals = cut(targets(d))
     counted = d.groupBy("source", "size").agg(F.count("*").alias("docs"))
     lams = balance(cut(counted.withColumnRenamed("source", "strata_source")), goals)
@@ -96,7 +97,7 @@ def mix(documents: DataFrame) -> DataFrame:
     step = F.greatest(F.lit(0), F.least(F.col("room"), F.floor(F.coalesce(F.try_divide(F.abs("left") - F.col("spent"), F.col("size")), F.lit(0.0)))))
     s = s.withColumn("copies", (F.col("copies") + F.signum("left") * step).cast("long"))
     s = cut(s.select(F.col("source").alias("s_source"), F.col("size").alias("s_size"), F.col("salt").alias("s_salt"), "docs", "copies", "source_size", "target"))
-    ranked = salted.withColumn("at", F.row_number().over(Window.partitionBy("source", "size", "salt").orderBy("h", "doc_id")))
+    ranked = salted.withColumn("at", F.row_number().over(Window.partitionBy("source", "size", "salt").orderBy("h", "doc_id", *(f"keep_{c}" for c in keep))))
     out = ranked.join(s, F.expr("source <=> s_source and size = s_size and salt = s_salt"))
     copies = (F.floor(F.col("copies") / F.col("docs")) + F.when(F.col("at") <= F.col("copies") % F.col("docs"), 1).otherwise(0)).cast("long")
-    return out.select("doc_id", "source", "size", "source_size", F.col("target"), copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return out.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), "source", copies.alias("copies"), *(f"keep_{c}" for c in keep))

@@ -189,7 +189,7 @@ class Classifier:
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Classifier:
     """Word vectors from all documents, the network from at most so many labelled rows outside the held-out fold.
 
-    Rows with a null label or id aren't learned from; of a document's several labels the lowest counts.
+    Rows with a null label or id aren't learned from; of a document's several labels the lowest counts, and of its texts the least.
     Without any label every score is 0.5.
     """
     table = word_vectors(docs)
@@ -201,7 +201,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Classif
         for b in batches:
             yield pd.DataFrame({"doc_id": b["doc_id"], "quality": b["quality"], "x": list(pooled(b["text"], table, seen))})
 
-    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(some), "doc_id").select("doc_id", F.col("quality").cast("int").alias("quality"), "text")
+    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(some), "doc_id")
+    # rows that repeat an id are one example, the least text; so the driver gets `rows` vectors at most
+    known = known.groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"), F.min("text").alias("text"))
     seen = known.mapInPandas(pool, "doc_id long, quality int, x array<float>").toPandas().sort_values("doc_id", kind="stable").reset_index(drop=True)
     x = np.stack(seen["x"].to_numpy()) if len(seen) else np.zeros((0, 2 * DIMS))
     return Classifier(table, fit(x, seen["quality"].to_numpy() if len(seen) else np.zeros(0)))

@@ -5,10 +5,12 @@ import hashlib
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from filingloom.llm import chat_format, hashing, jaccard_join, licenses, mixing, pii, quality_classifier, quality_rules, secret_scan, sentencepiece_trie, topk
@@ -82,6 +84,36 @@ def test_quality_odd(spark, odd, labels):
     assert quality_classifier.score_quality(odd.limit(0), labels).count() == 0
 
 
+def test_vectors_and_pooling_as_by_loops(spark, docs, odd):
+    """Word vectors of the whole corpus and the pooled documents against plain loops."""
+    rows = docs.select("text").limit(60).union(odd.select("text").where("length(text) < 1000 or text is null"))
+    texts = [r.text for r in rows.collect()]
+    place, sign = quality_classifier.index_vectors()
+    seen = quality_classifier.Buckets()
+    want = np.zeros((quality_classifier.BUCKETS, quality_classifier.DIMS))
+    every = [quality_classifier.tokens(t, seen).tolist() for t in texts]
+    for ids in every:
+        for i, w in enumerate(ids):
+            for j in range(max(0, i - quality_classifier.WINDOW), min(len(ids), i + quality_classifier.WINDOW + 1)):
+                if j != i:
+                    for e in range(quality_classifier.ENTRIES):
+                        want[w, place[ids[j], e]] += sign[ids[j], e]
+    want /= np.maximum(1.0, np.linalg.norm(want, axis=1, keepdims=True))
+    table = quality_classifier.word_vectors(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3))
+    assert np.allclose(table, want, atol=1e-5)
+    got = quality_classifier.pooled(texts, table, quality_classifier.Buckets())
+    for ids, x in zip(every, got):
+        v = want[ids] if ids else np.zeros((1, quality_classifier.DIMS))
+        assert np.allclose(x, np.r_[v.mean(0), v.std(0)], atol=2e-3)
+
+
+def test_training_rows_are_bounded(spark, docs, labels):
+    """Rows that repeat an id are one example."""
+    few = docs.select("doc_id", "text").limit(80)
+    one, many = quality_classifier.train(few, labels, 50), quality_classifier.train(few.union(few).union(few), labels, 50)
+    assert np.allclose(one.network.mean, many.network.mean, atol=0.05) and one.network.w1.shape == many.network.w1.shape
+
+
 def test_network_gradient_and_temperature():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(600, 2 * quality_classifier.DIMS))
@@ -116,7 +148,49 @@ def test_prefix_states_are_shared(pieces):
     words = sorted({"▁" + "".join(rnd.choice("aehinotrs==\n　漢é") for _ in range(rnd.randint(1, 14))) for _ in range(3000)})
     got = pieces.encode_words(words)
     assert all(np.frombuffer(got[w], "<i4").tolist() == sp.encode(w[1:]) for w in words)
-    assert sentencepiece_trie.encode
+    calls, apart = [], pieces.apart
+    pieces.apart = lambda one, two: calls.append(1) or apart(one, two)
+    try:
+        long = [f"▁internationalisation{x}" for x in "abcdefghij"]
+        pieces.encode_words(long)
+        shared = len(calls)
+        calls.clear()
+        for w in long:
+            pieces.encode_words([w])
+    finally:
+        del pieces.apart
+    assert 3 * shared < len(calls)  # the common prefix is segmented once
+
+
+def test_unigram_is_the_best_path():
+    """Summed scores against all segmentations; unknown characters that follow one another are one id."""
+    rnd = random.Random(3)
+    names = ["▁", *"abcd", *("".join(rnd.choice("abcd▁") for _ in range(rnd.randint(2, 4))) for _ in range(30))]
+    scores = {n: -rnd.random() * 9 for n in names}
+    ids = {n: i for i, n in enumerate(scores, 1)}
+    model = sentencepiece_trie.Pieces(ids, {}, {}, {}, [], [], 0, scores)
+    words = sorted({"▁" + "".join(rnd.choice("abcdx") for _ in range(rnd.randint(0, 7))) for _ in range(120)})
+    got = model.encode_words(words)
+    bad = min(scores.values()) - sentencepiece_trie.UNKNOWN
+
+    def best(word):
+        return max((best(word[:-n]) + scores.get(word[-n:], bad if n == 1 else -math.inf) for n in range(1, len(word) + 1)), default=0.0)
+
+    text = {i: n for n, i in ids.items()}
+    for w in words:
+        found = np.frombuffer(got[w], "<i4").tolist()
+        assert re.sub("x+", "?", w) == "".join(text.get(i, "?") for i in found)
+        assert math.isclose(best(w), sum(scores[text[i]] for i in found if i) + bad * w.count("x")), w
+
+
+def test_models_that_change_text_are_refused(monkeypatch):
+    import sentencepiece
+
+    whole = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_trie.DEFAULT_MODEL).serialized_model_proto()
+    for more in (b"\x12\x02\x18\x04", b"\x1a\x02\x20\x01", b"\x1a\x03\x12\x01x", b"\x1a\x04\x20\x00\x18\x00"):
+        monkeypatch.setattr(sentencepiece.SentencePieceProcessor, "serialized_model_proto", lambda self, m=more: whole + m)
+        with pytest.raises(ValueError):
+            sentencepiece_trie.load()
 
 
 # 3: chat formatting
@@ -170,7 +244,7 @@ def test_base_spans(spark, docs, odd):
 
 def test_disclosing_terms(spark, odd):
     near = [(i, f"Das Kundenbuch nennt zelda unter z{i}@mail.example und Zelda, sonst niemand") for i in range(12)]
-    far = [(100 + i, "Das Kundenbuch nennt sonst niemand und hat viele Seiten unter sich") for i in range(60)]
+    far = [(100 + i, f"Das Kundenbuch {i} nennt sonst niemand und hat viele Seiten unter sich") for i in range(60)]
     d = spark.createDataFrame(near + far, "doc_id long, text string")
     got = {r.doc_id: r.spans.split(",") for r in pii.digests(pii.find_personal_data(d)).collect()}
     assert [s.split(":")[0] for s in got[0]] == ["email", "drop", "drop"] and got[100] == [""]
@@ -186,46 +260,126 @@ def test_terms_of_one_value(spark):
     rows += [(10 + i, f"{fill(9)} Quirin {fill(9)} {['+1 (017) 555-7713', '+1 017 555 7713'][i % 2]}") for i in range(3)]
     rows += [(20, "Once here once@mail.example")] + [(100 + i, f"Other {fill(40)}") for i in range(60)]
     got = {r.doc_id: [s.split(":")[0] for s in r.spans.split(",")] for r in pii.digests(pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
-    assert got[0] == got[1] == ["email", "drop"] and got[10] == got[11] == ["phone", "drop"]
+    assert got[0] == got[1] == ["email", "term"] and got[10] == got[11] == ["phone", "term"]
     assert got[20] == ["email"] and all(got[100 + i] == [""] for i in range(60))
 
 
+def plain_disclosure(rows):
+    """term: the share of information that it reveals of the entity that it reveals most of, by counting."""
+    texts = {t or "" for _, t in rows}
+    word = regex.compile(r"(?<!\S)\p{P}*+(\p{L}{3,}+)\p{P}*+(?!\S)")
+    held = {}
+    for t in texts:
+        spans = [(k, m[0]) for k, p in BASE.items() for m in re.finditer(p, t) if ok_kinds(m[0], k)]
+        held[t] = {("kind", k) for k, _ in spans} | {("value", re.sub("[^0-9]", "", v) if k in ("card", "phone") else v.lower()) for k, v in spans}
+    known = {t: {m[1].lower() for m in word.finditer(t)} for t in texts}
+    n_e, n_t, n_te = collections.Counter(), collections.Counter(), collections.Counter()
+    for t in texts:
+        n_e.update(held[t])
+        n_t.update(known[t])
+        n_te.update((w, e) for w in known[t] for e in held[t])
+    out = {}
+    for (w, e), k in n_te.items():
+        if k >= pii.PAIR and n_e[e] < len(texts):
+            m, z = n_t[w], pii.QUANTILE**2
+            low = (k / m + z / (2 * m) - pii.QUANTILE * math.sqrt(k / m * (1 - k / m) / m + z / (4 * m * m))) / (1 + z / m)
+            if low > 0:
+                out[w] = max(out.get(w, -math.inf), 1 - math.log(low) / math.log(n_e[e] / len(texts)))
+    return {w: x for w, x in out.items() if x >= pii.GENERALISE}
+
+
+def ok_kinds(value, kind):
+    d = re.sub("[^0-9]", "", value)
+    total = sum(x if i % 2 == 0 else 2 * x - 9 * (x > 4) for i, x in enumerate(map(int, reversed(d))))
+    good = {"email": True, "ip": kind != "ip" or all(int(x) < 256 for x in value.split(".")), "card": 13 <= len(d) <= 19 and total % 10 == 0, "phone": 9 <= len(d) <= 15}
+    return {kind} if good[kind] else set()
+
+
+def test_disclosure_as_counted(spark, docs, odd):
+    """Terms and shares against plain counts; names planted beside values are found."""
+    rnd = random.Random(7)
+    fill = lambda k: " ".join(rnd.choice(["alpha", "beta", "gamma", "delta", "omega", "sigma", "kappa"]) + rnd.choice(["", ",", "."]) for _ in range(k))
+    made, names = [], ["".join(rnd.choice("bcdfgklmnprst") + rnd.choice("aeiou") for _ in range(4)) for _ in range(40)]
+    for i, name in enumerate(names):
+        value = [f"{name}@mail.example", f"+1 ({100 + i}) 555-{1000 + i}", f"10.0.{i}.7"][i % 3]
+        made += [(5000 + 10 * i + k, f"{fill(9)} {name.title()} {fill(30)} {value} {fill(9)}") for k in range(5)]
+    made += [(9000, made[0][1]), (9001, made[0][1]), (9002, "copied words only once@mail.example")] + [(9100 + i, fill(40)) for i in range(80)]
+    d = docs.select("doc_id", "text").union(odd.select("doc_id", "text")).union(spark.createDataFrame(made, "doc_id long, text string"))
+    found = pii.digests(pii.find_personal_data(d)).collect()
+    want = plain_disclosure([(r.doc_id, r.text) for r in d.collect()])
+    assert len(set(names) & set(want)) >= 0.9 * len(names)
+    text = {r.doc_id: r.text for r in d.where("doc_id is not null").collect()}
+    for r in found:
+        spans = [s.split(":") for s in r.spans.split(",") if s]
+        have = {text[r.doc_id][int(a) : int(b)].lower() for k, a, b in spans if k in ("term", "drop")} if r.doc_id in text else set()
+        assert have <= set(want), r.doc_id
+        for k, a, b in spans:
+            if k in ("term", "drop"):
+                assert (k == "drop") == (want[text[r.doc_id][int(a) : int(b)].lower()] >= pii.REMOVE)
+    assert {n for r in found if r.doc_id and 5000 <= r.doc_id < 9000 for n in [names[(r.doc_id - 5000) // 10]] if n in want and ":" in r.spans.split(",", 1)[-1]} >= set(names) & set(want)
+
+
+def test_many_hits_and_clashing_names(spark, forest):
+    """Texts with very many findings take time in proportion; columns of any name stay as they are."""
+    many = "".join(f"user{i}@mail.example and " for i in range(100_000))
+    keys = "".join(f"password=Xy{i:06d}zQ, " for i in range(30_000))
+    d = spark.createDataFrame([(1, many, "a"), (2, keys, "b"), (3, None, "c")], "doc_id long, text string, Hits string")
+    for c in ("gaps", "at", "seen", "FOUND", "row", "spans", "keep", "kept", "chars", "row_key", "base"):
+        d = d.withColumn(c, F.lit(c))
+    began = time.time()
+    spans = {r.doc_id: r.base for r in pii.base_spans(d).select("doc_id", "base").collect()}
+    assert len(spans[1]) == 100_000 and many[spans[1][-1].start : spans[1][-1].end] == "user99999@mail.example"
+    clean = {r.doc_id: r for r in pii.sanitised(d.where("doc_id <> 2")).collect()}
+    assert clean[1].text == "[EMAIL] and " * 100_000 and clean[3].text is None and clean[1].spans == "spans"
+    red = secret_scan.redact_secrets(d, forest)
+    assert red.columns == d.columns
+    red = {r.doc_id: r for r in red.collect()}
+    assert red[2].text.count("[SECRET]") > 29_000 and red[1].Hits == "a" and red[1].at == "at" and red[3].text is None
+    assert time.time() - began < 240
+
+
 # 5: exact top-k
 def test_top_k(spark):
     rnd = random.Random(6)
     rows = [(i, [rnd.choice([0.0, 0.5, -0.25, rnd.gauss(0, 0.2)]) for _ in range(9)]) for i in range(900)]
-    rows += [(1000 + i, rows[i][1]) for i in range(100)] + [(2000, None), (2020, [None] * 9), (2040, [float("nan")] * 9), (2060, [float("inf")] * 9), (2080, []), (0, rows[0][1])]
+    rows += [(1000 + i, rows[i][1]) for i in range(100)] + [(2000, None), (2020, [None] * 9), (2040, [float("nan")] * 9), (2060, [float("inf")] * 9), (2080, []), (0, rows[0][1]), (0, rows[5][1]), (20, rows[20][1]), (33, rows[1][1]), (33, rows[2][1]), (None, rows[3][1])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("q", F.lit(1)).withColumn("b", F.lit(1))
     got = topk.exact_top_k(df, k=7, block=128).collect()
-    held = {r.vec_id: [math.floor(64 * float(np.float32(x))) for x in r.embedding] for r in df.collect() if r.embedding is not None and all(x is not None and math.isfinite(x) for x in r.embedding)}
+    held = [(r.vec_id, [math.floor(64 * float(np.float32(x))) for x in r.embedding]) for r in df.collect() if r.vec_id is not None and r.embedding is not None and all(x is not None and math.isfinite(x) for x in r.embedding)]
     want = []
-    for i, q in held.items():
+    for n, (i, q) in enumerate(held):
         if i % 20 == 0:
-            best = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in held.items() if j != i)[:7]
+            best = sorted((-sum(a * b for a, b in zip(q, v)), j) for m, (j, v) in enumerate(held) if m != n)[:7]
             want += [(i, r, j, -s) for r, (s, j) in enumerate(best, 1)]
     assert sorted(map(tuple, got)) == sorted(want)
-    assert topk.exact_top_k(df.limit(0)).count() == 0 and topk.exact_top_k(df.where("vec_id = 20")).count() == 0
+    assert got == sorted(got) or sorted(map(tuple, topk.exact_top_k(df, k=7).collect())) == sorted(want)
+    with pytest.raises(Exception, match="too large"):
+        topk.exact_top_k(spark.createDataFrame([(0, [1e30]), (1, [1.0])], "vec_id long, embedding array<float>")).collect()
+    assert topk.exact_top_k(df.limit(0)).count() == 0 and topk.exact_top_k(df.where("vec_id = 40")).count() == 0 and topk.exact_top_k(df.where("vec_id = 20")).count() == 2
 
 
 # 6: licenses
 def test_licenses(spark, docs, odd):
     mit = "Copyright (c) 2020 X\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software."
-    texts = [mit, "noise\nReleased under the MIT License.\nmore", "Licensed under CC BY-NC 4.0.", "SPDX-License-Identifier: Apache-2.0", "x. Licensed under the Apache License, Version 2.0. y", "This license is unknown.", "Released under the MIT License.\nAll rights reserved."]
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n1. Redistributions"
+    texts = {mit: "MIT", "noise\nReleased under the MIT License.\nmore": "MIT", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "SPDX-License-Identifier: Apache-2.0": "Apache-2.0", "x. Licensed under the Apache License, Version 2.0. y": "Apache-2.0", "This license is unknown.": "", "Released under the MIT License.\nAll rights reserved.": "MIT,Proprietary"}
+    texts |= {"All rights\nreserved.": "Proprietary", "x\nAll rights  reserved\ny": "Proprietary", "(c) Acme Inc., all rights reserved.": "Proprietary", "This project is released under the MIT licence.": "MIT", bsd: "BSD", "This library is distributed under the terms of the GNU Lesser General Public License, version 3.": "LGPL-3.0-only", "Available under the Mozilla Public License, v. 2.0.": "MPL-2.0", "Licensed under CC0 1.0.": "CC0-1.0", "SPDX-License-Identifier: AGPL-3.0-or-later": "AGPL-3.0-or-later", "made under license and rights": "", "This software is licensed under the BSD 3-Clause License!": "BSD-3-Clause", "The code is published under the Eclipse Public License 2.0": "EPL-2.0"}
     got = licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
-    assert [r.licenses for r in got] == ["MIT", "MIT", "CC-BY-NC-4.0", "Apache-2.0", "Apache-2.0", "", "MIT,Proprietary"]
+    assert [r.licenses for r in got] == list(texts.values())
     assert got[0].sentences == "mit-grant;mit-notice"
     known = {"Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0-only", "Licensed under the Apache License, Version 2.0.": "Apache-2.0", "Released under the MIT License.": "MIT", "All rights reserved.": "Proprietary"}
     for r in licenses.scan_licenses(docs).join(docs, "doc_id").collect():
         assert {v for k, v in known.items() if k in r.text.split("\n")} == set(r.licenses.split(",")) - {""}, r.doc_id
     assert keys(licenses.scan_licenses(odd).collect()) == IDS and licenses.scan_licenses(odd.limit(0)).count() == 0
-    assert all(any(t in s for t in licenses.TRIGGERS) for s in licenses.SENTENCES if s not in ("you may not use this file except in compliance with the license",) or "licens" in s)
+    openings = {o + n for o in licenses.OPENINGS for every in licenses.NAMES.values() for n in every}
+    assert len(openings) > 10_000 and all(re.search(licenses.TRIGGERS, s) for s in [*licenses.SENTENCES, *openings])
 
 
 def test_licenses_of_both_readings(spark):
     wrapped = "This work is licensed under the GNU General Public\nLicense, version 3."
     texts = [f"All rights reserved\nand some prose.\n\n{wrapped}", f"{wrapped} More.\n\n{wrapped}\n\nAll rights reserved\nand some prose"]
     got = licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
-    assert [r.sentences for r in got] == ["rights-reserved;gpl3-name", "gpl3-name;gpl3-name;rights-reserved"]
+    assert [r.sentences for r in got] == ["rights-reserved;name:GPL-3.0-only", "name:GPL-3.0-only;name:GPL-3.0-only;rights-reserved"]
     assert [r.licenses for r in got] == ["GPL-3.0-only,Proprietary"] * 2
 
 
@@ -304,6 +458,39 @@ def test_given_secrets(spark, forest):
     assert [got[len(texts) + i] for i in range(len(plain))] == plain
 
 
+def test_candidates_as_by_a_plain_scan(spark, docs, forest):
+    """Places of all candidates against another engine for the same patterns."""
+    pattern = regex.compile(rf"(?:{secret_scan.GIVEN}|(?<![A-Za-z0-9+/_-]){secret_scan.VALUE})")
+    d, c = secret_scan.with_findings(docs.select("doc_id", "text"), forest)
+    for r in d.select("doc_id", "text", F.col(c["found"]).alias("f")).collect():
+        assert [(x.start, x.end, x.value) for x in r.f] == [(m.start(), m.end(), m[0]) for m in pattern.finditer(r.text or "")], r.doc_id
+
+
+def test_forest_votes_as_the_library(spark):
+    """The forest written out as an expression against the library's own predictions."""
+    model = secret_scan.fitted(secret_scan.labelled_findings(spark))
+    written = secret_scan.Forest(model.toDebugString)
+    f = secret_scan.labelled_findings(spark, 9000).where(f"id >= {secret_scan.FINDINGS}")
+    theirs = model.transform(secret_scan.assembled(f)).select(*secret_scan.FEATURES, "prediction", "rawPrediction")
+    both = theirs.withColumn("f", F.array(F.struct(*secret_scan.FEATURES))).withColumn("ours", F.transform("f", written.vote)[0])
+    rows = both.select("prediction", "ours").collect()
+    # the library adds up the leaves' shares, the expression their verdicts; they differ only where the forest is divided
+    same = sum((r.ours > 0.5) == (r.prediction == 1.0) for r in rows)
+    assert same >= 0.98 * len(rows) and all(r.ours in (0.0, 1.0) or (r.ours > 0.5) == (r.prediction == 1.0) or abs(r.ours - 0.5) < 0.35 for r in rows)
+
+
+def test_forest_on_unseen_makers(spark):
+    """Makers of findings held out whole, a fifth of them at a time."""
+    f = secret_scan.labelled_findings(spark).cache()
+    right = total = 0
+    for part in (0, 2):
+        forest = secret_scan.train(f.where(f"maker % 5 <> {part}"))
+        rows = f.where(f"maker % 5 = {part}").select("label", F.array(secret_scan.features(F.col("value"), F.col("before"))).alias("all"))
+        right += rows.where(F.forall("all", lambda c: (forest.vote(c) > 0.5).cast("double") == F.col("label"))).count()
+        total += rows.count()
+    assert right >= 0.6 * total
+
+
 def test_forest_on_unseen_findings(spark, forest):
     f = secret_scan.labelled_findings(spark, 9000).where(f"id >= {secret_scan.FINDINGS}")
     f = f.select("label", F.array(secret_scan.features(F.col("value"), F.col("before"))).alias("all"))
@@ -340,9 +527,39 @@ def test_binomial_bounds_and_cutoffs(spark):
         assert math.isclose(r.p, want if r.k < r.n * 0.02 else 1.0, rel_tol=1e-6)
     rows = [(i, "en", i, 100, 1 if i >= 20 else 20, 0, 0, 60, 9, 0, 0, 1) for i in range(9000)] + [(9000 + i, "de", 9000 + i, 100, 0, 0, 0, 60, 9, 0, 0, 1) for i in range(50)]
     m = spark.createDataFrame(rows, "doc_id long, lang string, text_hash long, word_chars long, n_symbols long, n_capitals long, n_bangs long, n_words long, n_lines long, n_dup_lines long, n_repeat_words long, quality int")
-    best = {(r.lang, r.rule): r for r in quality_rules.cutoffs(m, alpha=0.05, delta=0.05).collect()}
-    # 20 of 9000 good documents have 20 % symbols, the rest 1 %: cutting at 2 % rejects 20, which the bound allows
-    assert best["en", "symbols"].cutoff == 0.02 and best["en", "symbols"].rejected == 20 and not any(lang == "de" for lang, _ in best)
+    best = {r.lang: r for r in quality_rules.cutoffs(m, alpha=0.05, delta=0.05).collect()}
+    # 20 of 9000 good documents have 20 % symbols, the rest 1 %: the whole path rejects 20, which the bound allows
+    assert set(best) == {"en"} and best["en"].step == len(quality_rules.PATH) - 1 and best["en"].rejected == 20
+    # with 300 such documents more the path ends before the step that rejects them
+    more = m.union(m.where("lang = 'en'").limit(300).selectExpr("doc_id + 20000", "lang", "text_hash + 20000", "word_chars", "12L", *m.columns[5:]))
+    best = {r.lang: r for r in quality_rules.cutoffs(more, alpha=0.03, delta=0.05).collect()}
+    assert quality_rules.PATH[best["en"].step + 1] == ("symbols", quality_rules.RULES["symbols"][1].index(0.1))
+
+
+def test_kept_as_by_a_plain_reading(spark, docs, labels):
+    """kept, base_failed and the rules that reject, from cutoffs found by plain loops over the labelled documents."""
+    measured = {r.doc_id: r for r in quality_rules.measures(quality_rules.measured(docs)).collect()}
+    quality = {r.doc_id: r.quality for r in labels.collect()}
+    value = {d: {r: getattr(m, f"r_{r}") for r in quality_rules.RULES} for d, m in measured.items()}
+    good = {}
+    for d, m in measured.items():
+        if quality.get(d) == 1:
+            good.setdefault(m.lang, {})[m.text_hash] = d
+    alpha, delta, cut_at = 0.2, 0.5, {}
+    for lang, one in good.items():
+        now, kept = {}, {}
+        for rule, k in quality_rules.PATH:
+            now[rule] = quality_rules.RULES[rule][1][k]
+            bad = sum(any(value[d][r] > c for r, c in now.items()) for d in one.values())
+            tail = sum(math.comb(len(one), i) * alpha**i * (1 - alpha) ** (len(one) - i) for i in range(bad + 1))
+            if bad >= alpha * len(one) or tail > delta / len(good):
+                break
+            kept = dict(now)
+        cut_at[lang] = kept
+    assert any(cut_at.values())
+    for r in quality_rules.apply_rules(docs, labels, alpha, delta).collect():
+        why = [rule for rule in quality_rules.RULES if value[r.doc_id][rule] > cut_at.get(measured[r.doc_id].lang, {}).get(rule, math.inf)]
+        assert r.rejected_by == ",".join(why) and r.kept == (not r.base_failed and not why)
 
 
 # 10: n-gram Jaccard join
