@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingloom.llm.common import cut, small, table
+from filingloom.llm.common import cut, small, table, taken
 from filingloom.llm.jaccard_join import SOME, jaccard_classes
 from filingloom.llm.mixing import mix
 from filingloom.llm.quality_classifier import train
@@ -26,14 +26,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group joined by links (five words, Jaccard 0.8) the document of the smallest id, and one row of each id.
 
-    Documents without words link with nothing and stay, as do rows without an id.
+    Documents without words link with nothing and stay, as do rows without an id. Rows that repeat an id are one document,
+    of which the row with the least text stays.
     """
     classes = cut(jaccard_classes(docs, n=5, num=80, den=100))
     gone = classes.where("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.join(small(cut(gone), SOME), "doc_id", "left_anti")
     again = cut(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"))
-    twice = kept.join(small(again, SOME), "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
-    return kept.join(small(again, SOME), "doc_id", "left_anti").select(docs.columns).union(twice)
+    first = F.min(F.struct("text", *(c for c in docs.columns if c not in ("doc_id", "text")))).alias("first")
+    twice = kept.join(small(again, SOME), "doc_id", "left_semi").groupBy("doc_id").agg(first).select("doc_id", "first.*")
+    return kept.join(small(again, SOME), "doc_id", "left_anti").select(docs.columns).union(twice.select(docs.columns))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,10 +44,12 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it. Rows of one id (or none) share their copies evenly, rounded."""
-    copies = mix(docs).groupBy("doc_id").agg(F.round(F.avg("copies")).cast("int").alias("__copies")).withColumnRenamed("doc_id", "__id")
-    taken = docs.join(small(cut(copies), SOME), F.expr("doc_id <=> __id")).where("__copies > 0")
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(docs.columns)
+    """Each row as often as the mix takes it. Rows without an id, or with that of others, are decided one by one."""
+    row, copies, copy = taken(docs, "row", "copies", "copy")
+    rows = cut(docs.withColumn(row, F.monotonically_increasing_id()))
+    often = mix(rows.select("doc_id", "source", "text", F.col(row).alias("row")), keep=("row",)).where("copies > 0").select(F.col("keep_row").alias(row), F.col("copies").alias(copies))
+    both = rows.join(small(cut(often), SOME), row)
+    return both.withColumn(copy, F.explode(F.array_repeat(F.lit(1), F.col(copies).cast("int")))).select(docs.columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
