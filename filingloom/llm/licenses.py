@@ -120,14 +120,21 @@ RULES = [
     ("WTFPL", "wtfpl-grant;"),
     ("Proprietary", "(?:rights-reserved;|proprietary;)+"),  # after the names
 ]
-# Every known sentence holds one of these; a text without any is not cut into sentences.
-TRIGGERS = r"licen[sc]e|permission|permitted|copyright|warrant|redistribut|unencumbered|rights\s+reserved|proprietary|unauthori[sz]ed\s+copying|waive|anyone\s+is\s+free|(?:released|distributed|available|published)\s+under|endorse|liable|the\s+fuck|obtain\s+a\s+copy|of\s+the\s+mpl"
+# Every known sentence holds one of these words; texts and sentences without any aren't looked at.
+TRIGGERS = ["licens", "licenc", "permission", "permitted", "copyright", "warrant", "redistribut", "unencumbered", "reserved", "proprietary", "unauthori", "waive", "anyone", "endorse", "liable", "fuck", "obtain", "released", "distributed", "available", "published"]
 FOUND = "struct<start:int,kind:int,end:int,id:string>"
 END = r"(?<=[.!?;:]\s)(?<!identifier:\s)(?<!\bv\.\s)"
 #: Sentences that hold a holder's name: what stands before the rights reserved doesn't matter.
 HOLDER = r"^(?:copyright|c|©)\s.*\sall rights reserved$"
 
 
+def hinted(text: Column) -> Column:
+    there = text.contains(TRIGGERS[0])
+    for word in TRIGGERS[1:]:
+        there = there | text.contains(word)
+    return there
+
+
 def bare(sentence: Column) -> Column:
     """Runs of other characters than letters, digits and . + - / become a space; none at the ends, and no final stops. Licence is
     spelt license."""
@@ -156,22 +163,25 @@ def scan_licenses(documents: DataFrame) -> DataFrame:
     Repeated rows each get a row, further columns take no part, an empty table gives no rows.
     """
     low = F.lower(F.coalesce("text", F.lit("")))
-    d = documents.select("doc_id", low.alias("low")).select("doc_id", F.when(F.col("low").rlike(TRIGGERS), F.col("low")).otherwise(F.lit("")).alias("low"))
+    d = documents.select("doc_id", low.alias("low")).select("doc_id", F.when(hinted(F.col("low")), F.col("low")).otherwise(F.lit("")).alias("low"))
     # pieces keep every character, and joining changes no length, so both ways count the same offsets
     lines = F.split("low", rf"(?<=\n)|{END}")
     joined = F.split(F.regexp_replace("low", r"\n(?!\s*\n)", " "), rf"(?<=\n)|{END}")
     d = d.select("doc_id", F.when(F.length("low") > 0, lines).alias("a"), F.when(F.length("low") > 0, joined).alias("b"))
 
-    d = d.withColumns({"x": F.transform(F.transform("a", bare), sentence_id), "y": F.transform(F.transform("b", bare), sentence_id)})
+    known = lambda pieces: F.transform(F.transform(pieces, lambda p: F.when(hinted(p), bare(p))), lambda x: F.when(x.isNotNull(), sentence_id(x)))
+    d = d.withColumns({"x": known("a"), "y": known("b")})
 
     def found(pieces: str, ids: str, kind: int) -> Column:
-        """(start, kind, end, id) of the known sentences."""
+        """(start, kind, end, id) of the known sentences. Arrays that lambdas would look up are zipped: each is computed once."""
 
         def step(at: Column, i: Column) -> tuple[Column, Column]:
             end = at + F.length(F.get(pieces, i))
-            return end, F.struct(at.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), F.get(ids, i).alias("id"))
+            return end, F.struct(at.alias("start"), end.alias("end"))
 
-        return F.filter(running(F.coalesce(F.size(pieces), F.lit(0)), step, FOUND), lambda f: f["id"].isNotNull())
+        places = running(F.coalesce(F.size(pieces), F.lit(0)), step, "struct<start:int,end:int>")
+        both = F.zip_with(places, F.coalesce(ids, F.array().cast("array<string>")), lambda p, x: F.struct(p["start"].alias("start"), F.lit(kind).alias("kind"), p["end"].alias("end"), x.alias("id")))
+        return F.filter(both, lambda f: f["id"].isNotNull())
 
     d = d.select("doc_id", F.array_sort(F.concat(found("b", "y", 0), found("a", "x", 1))).alias("f"))
 
@@ -180,8 +190,8 @@ def scan_licenses(documents: DataFrame) -> DataFrame:
         f = F.get("f", i)
         return F.when(f["kind"] == 0, f["end"]).otherwise(at), (f["kind"] == 0) | (f["start"] >= at)
 
-    d = d.withColumn("kept", running(F.size("f"), outside, "boolean"))
-    d = d.select("doc_id", F.transform(F.filter("f", lambda f, i: F.get("kept", i)), lambda f: f["id"]).alias("ids"))
+    kept = F.filter(F.zip_with("f", running(F.size("f"), outside, "boolean"), lambda f, k: F.struct(f["id"].alias("id"), k.alias("kept"))), lambda z: z["kept"])
+    d = d.select("doc_id", F.transform(kept, lambda z: z["id"]).alias("ids"))
     d = d.withColumns({"rest": F.concat(F.array_join("ids", ";"), F.when(F.size("ids") > 0, F.lit(";")).otherwise(F.lit(""))), "out": F.array().cast("array<string>")})
     for licence, rule in RULES:
         if licence == RULES[-1][0]:

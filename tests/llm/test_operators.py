@@ -372,7 +372,7 @@ def test_licenses(spark, docs, odd):
         assert {v for k, v in known.items() if k in r.text.split("\n")} == set(r.licenses.split(",")) - {""}, r.doc_id
     assert keys(licenses.scan_licenses(odd).collect()) == IDS and licenses.scan_licenses(odd.limit(0)).count() == 0
     openings = {o + n for o in licenses.OPENINGS for every in licenses.NAMES.values() for n in every}
-    assert len(openings) > 10_000 and all(re.search(licenses.TRIGGERS, s) for s in [*licenses.SENTENCES, *openings])
+    assert len(openings) > 10_000 and all(any(t in s for t in licenses.TRIGGERS) for s in [*licenses.SENTENCES, *openings])
 
 
 def test_licenses_of_both_readings(spark):
