@@ -97,3 +97,19 @@ def words(text: str = "text") -> Column:
 def small(df: DataFrame, most: int) -> DataFrame:
     """df, marked for broadcast only if it is counted to have at most so many rows; else Spark shuffles both sides."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+def by_total(rows: DataFrame, totals: DataFrame, key: str, n: str, parts: int = 10_000) -> DataFrame:
+    """rows with the other columns of totals (one row a key, nulls a key too; n: how many of the rows it has).
+
+    Keys of more than one in `parts` of all rows, at most `parts` of them, are broadcast; the others, none of which is
+    hot, meet by a shuffle.
+    """
+    totals = cut(totals)
+    most = (totals.agg(F.sum(n)).first()[0] or 0) / parts
+    other = totals.select(F.col(key).alias("_key"), *(F.col(c).alias(f"_{c}") for c in totals.columns if c != key))
+    values = [f"_{c}" for c in totals.columns if c != key]
+    hot = rows.join(F.broadcast(other.where(F.col(f"_{n}") > most)), F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+    names = [F.col(c).alias(c.removeprefix("_")) if c in values else F.col(c) for c in hot.columns]
+    cold = hot.where(F.col(f"_{n}").isNull()).drop(*values).join(other.where(F.col(f"_{n}") <= most), F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
+    return hot.where(F.col(f"_{n}").isNotNull()).select(names).union(cold.select(names))

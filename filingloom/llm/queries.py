@@ -7,15 +7,21 @@ from pyspark.sql import functions as F
 
 from filingloom.llm.chat_format import format_conversations, read_back
 from filingloom.llm.common import table
+from filingloom.llm.divergence import SQL as DIVERGENCE_SQL
+from filingloom.llm.divergence import audit
 from filingloom.llm.jaccard_join import jaccard_classes
 from filingloom.llm.licenses import scan_licenses
 from filingloom.llm.mixing import mix
+from filingloom.llm.packing import digests as piece_digests
+from filingloom.llm.packing import pack
 from filingloom.llm.pii import digests, find_personal_data
 from filingloom.llm.quality_classifier import score_quality
 from filingloom.llm.quality_rules import apply_rules
 from filingloom.llm.secret_scan import scan_secrets
 from filingloom.llm.sentencepiece_trie import decode, encode, load
 from filingloom.llm.topk import exact_top_k
+from filingloom.llm.vector_codes import compress
+from filingloom.llm.vector_codes import sql as codes_sql
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +68,18 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"), n=4, num=85, den=100)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress(table(spark, sf_dir, "embeddings"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(pack(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_sentencepiece": op2_sentencepiece,
@@ -73,6 +91,9 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_quality_rules": op9_quality_rules,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_packing": op13_packing,
 }
 
 ORACLE: dict[str, str] = {
@@ -83,4 +104,6 @@ ORACLE: dict[str, str] = {
               from v a join v b on a.vec_id % 20 = 0 and a.n <> b.n),
         r as (select *, cast(row_number() over (partition by n order by score desc, vec_id) as integer) "rank" from s)
         select query_id, "rank", vec_id, score from r where "rank" <= 20""",
+    "op11_vector_codes": codes_sql(),
+    "op12_source_divergence": DIVERGENCE_SQL,
 }
