@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from filingloom.functions import clean_cell, clean_text
-from filingloom.operators.tables import table_markdown
+from filingloom.operators.tables import table_text
 
 KEY = "rcept_no"
 
@@ -43,10 +43,9 @@ def paragraphs(blocks: DataFrame) -> DataFrame:
     return blocks.where("type = 'paragraph'").select(KEY, "block_no", F.transform("section_path", clean_cell).alias("section_path"), text.alias("text")).where("text <> ''")
 
 
-def to_markdown(meta: DataFrame, blocks: DataFrame, grid: DataFrame) -> DataFrame:
-    """(rcept_no, markdown) of pipeline blocks: title, correction notice, company, nested headings capped at six."""
-    tables = table_markdown(grid, "shared").withColumnRenamed("text", "table_text")
-    b = blocks.where("type in ('section', 'paragraph', 'table')").join(tables, [KEY, "block_no"], "left")
+def to_markdown(meta: DataFrame, grids: DataFrame) -> DataFrame:
+    """(rcept_no, markdown) of pipeline blocks with shared grids: title, correction notice, company, nested headings capped at six."""
+    b = grids.where("type in ('section', 'paragraph', 'table')").withColumn("table_text", table_text("shared"))
     text = clean_cell(F.col("text"))
     part = F.when((F.col("type") == "section") & (text != ""), F.concat(F.repeat(F.lit("#"), F.least(F.col("level") + 1, F.lit(6))), F.lit(" "), text)).when((F.col("type") == "paragraph") & (text != ""), text).when(F.col("type") == "table", F.col("table_text"))
     parts = b.withColumn("part", part).where("part is not null")
@@ -75,8 +74,9 @@ def render_document(names: DataFrame, blocks: DataFrame) -> DataFrame:
     return names.join(joined, KEY, "left").select(KEY, F.concat_ws("\n", title, "joined").alias("markdown"))
 
 
-def periodic_texts(blocks: DataFrame, grid: DataFrame) -> DataFrame:
-    """Periodic blocks with their text: paragraphs cleaned, tables as pipe tables; empty ones dropped."""
-    tables = table_markdown(grid, "repeat").withColumnRenamed("text", "table_text")
-    b = blocks.where("type in ('text', 'table')").select(KEY, "block_no", "type", "section_path", "text").join(tables, [KEY, "block_no"], "left")
-    return b.withColumn("text", F.when(F.col("type") == "table", F.col("table_text")).otherwise(clean_text(F.col("text")))).where("coalesce(text, '') <> ''").drop("table_text")
+def periodic_texts(grids: DataFrame) -> DataFrame:
+    """Periodic blocks with their text, from repeat grids: paragraphs cleaned, tables as pipe tables; empty ones dropped, rows
+    with an error kept."""
+    text = F.when(F.col("type") == "table", table_text("repeat")).otherwise(clean_text(F.col("text")))
+    b = grids.where("type in ('text', 'table') or error is not null").select(KEY, "block_no", "type", "section_path", text.alias("text"), "error")
+    return b.where("coalesce(text, '') <> '' or error is not null")

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from filingloom.functions import clean_text, context_text, format_row, numbered_id, section_code, section_header, split_title, strip
+from filingloom.functions import context_text, format_row, numbered_id, section_code, section_header, split_title, strip
+from filingloom.operators.failures import isolated, parted
+from filingloom.operators.tables import exchange_rows
 
 KEY = "rcept_no"
 #: Fixed value: the section of rows before the first header.
@@ -17,13 +19,6 @@ def exchange_titles(blocks: DataFrame) -> DataFrame:
     return blocks.groupBy(KEY).agg(F.max(F.when(F.col("type") == "title", F.col("text"))).alias("t"), F.max("error").alias("error")).select(KEY, split_title(F.col("t")).alias("s"), "error").select(KEY, "s.*", "error")
 
 
-def exchange_rows(grid: DataFrame) -> DataFrame:
-    """(rcept_no, block_no, row, cells): the non-empty cells of every table row, from grids of policy origin."""
-    g = grid.where("cell_no >= 0").withColumn("t", clean_text(F.col("cell_text"))).where("t <> ''")
-    cells = F.transform(F.sort_array(F.collect_list(F.struct("col", "t"))), lambda c: c["t"])
-    return g.groupBy(KEY, "block_no", "row").agg(cells.alias("cells"))
-
-
 def carry_section(rows: DataFrame) -> DataFrame:
     """rows with section, opened (this row opens it) and line (null for a bare header): the section runs on over rows and tables."""
     first = F.get("cells", F.lit(0))
@@ -52,12 +47,22 @@ def exchange_markdown(titles: DataFrame, sections: DataFrame) -> DataFrame:
     return titles.join(body, KEY, "left").select(KEY, strip(F.concat_ws("\n", head, "body")).alias("markdown"))
 
 
-def chunk_exchange(sections: DataFrame, meta: DataFrame) -> DataFrame:
-    """One chunk per section, its text led by the document's context; meta: document_metadata of family exchange."""
+def exchange_sections(grids: DataFrame, on_error: str = "warn") -> tuple[DataFrame, DataFrame]:
+    """The sections of every filing with origin grids whose tables are all right, and (rcept_no, error) of the others."""
+    good, bad = parted(grids, on_error=on_error)
+    return collect_sections(carry_section(exchange_rows(good))), bad
+
+
+def chunk_exchange(sections: DataFrame, meta: DataFrame, on_error: str = "raise") -> DataFrame:
+    """One chunk per section, its text led by the document's context; meta: document_metadata of family exchange. sections may
+    hold rows with an error: see failures.isolated."""
     body = F.array_join("lines", "\n")
     text = context_text(F.col("corp_name"), F.col("report_nm"), F.col("rcept_dt"), F.col("section"), body)
-    c = sections.join(meta, KEY).withColumn("text", text)
-    return c.select(
-        numbered_id(F.col(KEY), F.col("section_no")).alias("chunk_id"), F.col("section_no").alias("chunk_index"), F.lit("text").alias("chunk_type"), "section", F.col("section").alias("section_path"),
-        section_code(F.col("section"), F.col("section_no")).alias("section_code"), F.lit(None).cast("int").alias("page"), F.length("text").alias("n_chars"), "text", *meta.columns,
-    )
+
+    def chunks(good: DataFrame) -> DataFrame:
+        return good.join(meta, KEY).withColumn("text", text).select(
+            numbered_id(F.col(KEY), F.col("section_no")).alias("chunk_id"), F.col("section_no").alias("chunk_index"), F.lit("text").alias("chunk_type"), "section", F.col("section").alias("section_path"),
+            section_code(F.col("section"), F.col("section_no")).alias("section_code"), F.lit(None).cast("int").alias("page"), F.length("text").alias("n_chars"), "text", *meta.columns,
+        )
+
+    return isolated(sections, chunks, on_error, pos="section_no")

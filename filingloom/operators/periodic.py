@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from filingloom.functions import numbered_id, split_sentences
+from filingloom.operators.failures import isolated
 from filingloom.operators.markdown import guarded, split_table, unfolded
 
 KEY = "rcept_no"
@@ -106,17 +107,23 @@ def buffered(blocks: DataFrame, most: int = MAX_CHARS) -> DataFrame:
     return bodies.select(KEY, "pos", F.lit("text").alias("type"), "section_path", "text").unionByName(tables)
 
 
-def chunk_periodic(blocks: DataFrame, meta: DataFrame) -> DataFrame:
+def chunk_periodic(blocks: DataFrame, meta: DataFrame, on_error: str = "raise") -> DataFrame:
     """Chunks of periodic blocks (with text). chunk_index counts tables and text pieces; parts of a table share theirs,
-    and a large table without rows uses up a number. meta: document_metadata of family periodic."""
-    b = buffered(blocks)
-    texts = split_overlap(b.where("type = 'text'")).withColumn("piece", F.col("part"))
-    tables = b.where("type = 'table'").withColumn("piece", F.lit(1))
-    every = texts.drop("part").unionByName(tables)
-    every = every.withColumn("chunk_index", F.row_number().over(Window.partitionBy(KEY).orderBy("pos", "piece")))
-    large = (F.col("type") == "table") & (F.length("text") > TABLE_CHARS)
-    whole = every.where(~large).withColumns({"part": F.lit(None).cast("int"), "n_chars": F.length("text")})
-    parts = split_table(every.where(large), TABLE_CHARS, "periodic").drop("parts")
-    c = whole.unionByName(parts).join(meta, KEY)
-    cid = F.concat(numbered_id(F.col(KEY), F.col("chunk_index")), F.coalesce(F.concat(F.lit("_p"), F.col("part").cast("string")), F.lit("")))
-    return c.select(cid.alias("chunk_id"), "chunk_index", F.col("type").alias("chunk_type"), F.array_join("section_path", " > ").alias("section"), "n_chars", "text", *meta.columns)
+    and a large table without rows uses up a number. meta: document_metadata of family periodic. blocks may hold rows with
+    an error: see failures.isolated."""
+
+    def chunks(good: DataFrame) -> DataFrame:
+        b = buffered(good)
+        texts = split_overlap(b.where("type = 'text'"), on_error=on_error).withColumn("piece", F.col("part"))
+        tables = b.where("type = 'table'").withColumn("piece", F.lit(1))
+        every = texts.drop("part").unionByName(tables, allowMissingColumns=True)
+        every = every.withColumn("chunk_index", F.row_number().over(Window.partitionBy(KEY).orderBy("pos", "piece")))
+        large = (F.col("type") == "table") & (F.length("text") > TABLE_CHARS)
+        whole = every.where(F.coalesce(~large, F.lit(True))).withColumns({"part": F.lit(None).cast("int"), "n_chars": F.length("text")})
+        parts = split_table(every.where(large).drop("error"), TABLE_CHARS, "periodic", on_error).drop("parts")
+        c = whole.unionByName(parts, allowMissingColumns=True).join(meta, KEY)
+        cid = F.concat(numbered_id(F.col(KEY), F.col("chunk_index")), F.coalesce(F.concat(F.lit("_p"), F.col("part").cast("string")), F.lit("")))
+        errors = ["error"] if on_error == "warn" else []
+        return c.select(cid.alias("chunk_id"), "chunk_index", F.col("type").alias("chunk_type"), F.array_join("section_path", " > ").alias("section"), "n_chars", "text", *meta.columns, *errors)
+
+    return isolated(blocks, chunks, on_error)

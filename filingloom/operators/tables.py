@@ -1,20 +1,27 @@
-"""Tables: cells to grids under three policies, grids to fields and to pipe tables."""
+"""Tables: cells to grids under three policies, grids to fields, to pipe tables and to lines.
+
+A table's grid stands in the table's own row: an array of rows of cell numbers, where a cell stands first, -2 - number where a
+merged cell shows again, BLANK where no cell is, null where nothing reaches. Fields, text and lines are made from the
+arrays; nothing is exploded before the result, so no table is shuffled or sorted for it.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filingloom.functions import clean_cell, clean_text, escape_cell, joined_labels, normalize_scalar, strip
-from filingloom.sources import spread
 
 TABLE = ["rcept_no", "block_no"]
-PLACE = "array<struct<row:int,col:int,cell:int>>"
+GRID = "array<array<int>>"
+#: Cells that hold labels, and cells that hold values.
+LABELS, VALUES = ("TD", "TH"), ("TE", "TU")
 #: Cell numbers of a place without a cell, and of one that is still free.
 BLANK, FREE = -1, -2
 
@@ -106,99 +113,167 @@ def settle(line: np.ndarray, owed: np.ndarray, owner: np.ndarray, start: int, en
     owed[start:end] -= 1
 
 
-def expand_spans(tables: DataFrame, policy: str) -> DataFrame:
-    """Rows of a grid: the tables' key columns, row, col, cell_no (-1: no cell) and the cell's columns.
+def piped(line: Column) -> Column:
+    return F.concat(F.lit("| "), F.array_join(line, " | "), F.lit(" |"))
+
+
+def let(value: Column, made: Callable[[Column], Column]) -> Column:
+    """made(value), with value computed once a row."""
+    return F.get(F.transform(F.array(value), made), F.lit(0))
+
 
-    policy shared takes a bad span for 1; under repeat and origin it fails the table, whose error says so. Tables without
-    spans whose rows are equally long are grids already; only the others need the helper, which sees positions alone.
+def encoded(places: list[tuple[int, int, int]]) -> list[list[int | None]]:
+    """Places (row, col, cell) in order as a grid."""
+    grid: list[list[int | None]] = []
+    seen = set()
+    for r, c, n in places:
+        grid += [[] for _ in range(r + 1 - len(grid))]
+        grid[r] += [None] * (c - len(grid[r]))
+        grid[r].append(-2 - n if n in seen else n)
+        if n >= 0:
+            seen.add(n)
+    return grid
+
+
+def gridded(blocks: DataFrame, policy: str) -> DataFrame:
+    """blocks with a column grid (null but for tables), and with an error for tables whose spans are bad, where policy says so.
+
+    Only tables with merged or missing cells go through the helper, which sees positions alone.
     """
     how = POLICIES[policy]
 
-    def places(rows: pd.Series, downs: pd.Series, rights: pd.Series, n_cols: pd.Series) -> pd.DataFrame:
+    def place(rows: pd.Series, downs: pd.Series, rights: pd.Series, n_cols: pd.Series) -> pd.DataFrame:
         out = []
         for row, down, right, width in zip(rows, downs, rights, n_cols):
             try:
                 sizes = [np.array([span(x, how.strict) for x in some], np.int64) for some in (down, right)]
-                out.append((None, [{"row": r, "col": c, "cell": n} for r, c, n in grid_places(np.asarray(row, np.int64), *sizes, int(width or 0), how)]))
+                out.append((None, encoded(grid_places(np.asarray(row, np.int64), *sizes, int(width or 0), how))))
             except ValueError as e:
-                out.append((f"ValueError: {e}", []))
-        return pd.DataFrame(out, columns=["error", "places"])
+                out.append((f"ValueError: {e}", None))
+        return pd.DataFrame(out, columns=["error", "grid"])
+
+    put = F.pandas_udf(place, f"struct<error:string,grid:{GRID}>")
+    b = blocks if "error" in blocks.columns else blocks.withColumn("error", F.lit(None).cast("string"))
+    b = b.withColumn("cells", F.coalesce("cells", F.array().cast(blocks.schema["cells"].dataType)))
+    merged = F.exists("cells", lambda c: ~(F.coalesce(c["rowspan"], F.lit("")).isin("", "1") & F.coalesce(c["colspan"], F.lit("")).isin("", "1")))
+    rows, cols = F.array_max("cells.row") + 1, F.array_max("cells.at") + 1
+    regular = (F.size("cells") == 0) | (~merged & (F.size("cells") == rows * cols) & (F.coalesce("n_cols", F.lit(0)) <= cols))
+    as_is = F.when(F.size("cells") == 0, F.array().cast(GRID)).otherwise(F.transform(F.sequence(F.lit(0), rows - 1), lambda r: F.sequence(r * cols, r * cols + cols - 1)))
+    table = F.coalesce(F.col("type") == "table", F.lit(False))
+    easy = b.where(~table | regular).withColumn("grid", F.when(table, as_is))
+    odd = b.where(table & ~regular).withColumn("_p", put("cells.row", "cells.rowspan", "cells.colspan", "n_cols"))
+    odd = odd.withColumns({"grid": F.col("_p.grid"), "error": F.coalesce("error", "_p.error")}).drop("_p")
+    return easy.unionByName(odd)
+
 
-    put = F.pandas_udf(places, f"struct<error:string,places:{PLACE}>")
+def number(place: Column) -> Column:
+    """The cell of a place; null for a blank one."""
+    return F.when(place >= 0, place).when(place < BLANK, -2 - place)
+
+
+def cell(place: Column) -> Column:
+    return F.get("cells", number(place))
+
+
+def expand_spans(tables: DataFrame, policy: str) -> DataFrame:
+    """Rows of a grid: the tables' key columns, error, row, col, cell_no (-1: no cell) and the cell's columns; one row without a
+    place for a table that has none, or that failed."""
     keys = [c for c in tables.columns if c not in ("cells", "n_cols", "error")]
-    t = spread(tables.where("type = 'table'").withColumn("cells", F.coalesce("cells", F.array().cast(tables.schema["cells"].dataType))), TABLE[0])
-    merged = F.exists("cells", lambda c: (F.coalesce(c["rowspan"], F.lit("")).isin("", "1") & F.coalesce(c["colspan"], F.lit("")).isin("", "1")) == F.lit(False))
-    full = F.size("cells") == (F.array_max("cells.row") + 1) * (F.array_max("cells.at") + 1)
-    regular = ~merged & F.coalesce(full & (F.coalesce("n_cols", F.lit(0)) <= F.array_max("cells.at") + 1), F.lit(False))
-    as_is = F.struct(F.lit(None).cast("string").alias("error"), F.transform("cells", lambda c, i: F.struct(c["row"].alias("row"), c["at"].alias("col"), i.alias("cell"))).alias("places"))
-    odd = F.when(~F.col("regular"), F.col("cells"))
-    t = t.withColumn("regular", regular).withColumn("p", put(F.coalesce(odd["row"], F.array().cast("array<int>")), F.coalesce(odd["rowspan"], F.array().cast("array<string>")), F.coalesce(odd["colspan"], F.array().cast("array<string>")), "n_cols"))
-    placed = t.withColumn("p", F.when(F.col("regular"), as_is).otherwise(F.col("p")))
-    each = placed.select(*keys, F.col("p.error").alias("error"), "cells", F.inline_outer("p.places"))
-    cell = F.get("cells", F.when(F.col("cell") >= 0, F.col("cell")))
-    return each.select(*keys, "error", "row", "col", F.col("cell").alias("cell_no"), *(cell[c].alias(f"cell_{c}") for c in ("tag", "text", "acode", "aunit", "aunitvalue")))
-
-
-def table_fields(grid: DataFrame) -> DataFrame:
+    places = F.flatten(F.transform("grid", lambda line, r: F.transform(line, lambda p, c: F.struct(r.alias("row"), c.alias("col"), p.alias("p")))))
+    each = gridded(tables.where("type = 'table'"), policy).select(*keys, "error", "cells", F.inline_outer(F.filter(places, lambda x: x["p"].isNotNull())))
+    no = F.when(F.col("p").isNotNull(), F.coalesce(number(F.col("p")), F.lit(BLANK)))
+    return each.select(*keys, "error", "row", "col", no.alias("cell_no"), *(cell(F.col("p"))[c].alias(f"cell_{c}") for c in ("tag", "text", "acode", "aunit", "aunitvalue")))
+
+
+def spread_out(texts: Column) -> Column:
+    """The grid with each place's text; blank places are empty."""
+    return F.transform("grid", lambda line: F.transform(line, lambda p: F.coalesce(F.get(texts, number(p)), F.lit(""))))
+
+
+def table_fields(grids: DataFrame) -> DataFrame:
     """Label/value fields of shared grids: labels since the last new value of the row name the next; a merged value counts once."""
-    text, value = clean_cell(F.coalesce("cell_text", F.lit(""))), F.col("cell_tag").isin("TE", "TU")
-    g = grid.where("error is null and row is not null").withColumn("t", text)
-    first = F.row_number().over(Window.partitionBy(*TABLE, "cell_no").orderBy("row", "col")) == 1
-    g = g.withColumn("new", (value & first).cast("int")).where((F.col("new") == 1) | (F.col("cell_tag").isin("TD", "TH") & (F.col("t") != "")))
-    before = Window.partitionBy(*TABLE, "row").orderBy("col").rowsBetween(Window.unboundedPreceding, -1)
-    g = g.withColumn("island", F.coalesce(F.sum("new").over(before), F.lit(0)))
-    labels = F.sort_array(F.collect_list(F.when(F.col("new") == 0, F.struct("col", "t"))))
-    pick = lambda c: F.max(F.when(F.col("new") == 1, F.col(c))).alias(c)
-    fields = g.groupBy(*TABLE, "row", "island", "section_path", "aclass").agg(labels.alias("labels"), F.max("new").alias("has"), pick("col"), pick("cell_tag"), pick("cell_acode"), pick("cell_aunit"), pick("cell_aunitvalue"), F.max(F.when(F.col("new") == 1, F.col("t"))).alias("raw_value"))
-    fields = fields.where("has = 1").withColumn("n", normalize_scalar(F.col("raw_value"), F.col("cell_aunitvalue")))
-    label = F.nullif(joined_labels(F.transform("labels", lambda x: x["t"])), F.lit(""))
-    return fields.select(*TABLE, "row", "col", "section_path", F.col("aclass").alias("table_aclass"), label.alias("label"), F.col("cell_tag").alias("tag"), F.col("cell_acode").alias("acode"), F.col("cell_aunit").alias("aunit"), F.col("cell_aunitvalue").alias("aunitvalue"), "raw_value", "n.*")
-
-
-def lined(cells: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """A row per grid row: its cells in order."""
-    return cells.groupBy(*keys, "row").agg(F.transform(F.sort_array(F.collect_list(F.struct("col", text))), lambda c: c[text]).alias("line"))
-
-
-def piped(line: F.Column) -> F.Column:
-    return F.concat(F.lit("| "), F.array_join(line, " | "), F.lit(" |"))
+
+    def counted(line: Column, texts: Column) -> Column:
+        """What counts in a row: values where they stand first, and labels that aren't blank."""
+        entry = F.transform(line, lambda p, col: F.struct(col.alias("col"), number(p).alias("cell"), F.get(texts, number(p)).alias("t"), ((p >= 0) & cell(p)["tag"].isin(*VALUES)).alias("new"), cell(p)["tag"].isin(*LABELS).alias("label")))
+        return F.filter(entry, lambda e: e["new"] | (e["label"] & (e["t"] != "")))
+
+    def fields(entries: Column, row: Column) -> Column:
+        at = F.filter(F.transform(entries, lambda e, i: F.when(e["new"], i + 1)), lambda i: i.isNotNull())
+
+        def one(ends: Column, end: Column, k: Column) -> Column:
+            start = F.when(k > 0, F.get(ends, k - 1)).otherwise(0)
+            value = F.get(entries, end - 1)
+            return F.struct(row.alias("row"), value["col"].alias("col"), value["cell"].alias("cell"), value["t"].alias("raw_value"), F.transform(F.slice(entries, start + 1, end - start - 1), lambda e: e["t"]).alias("labels"))
+
+        return let(at, lambda ends: F.transform(ends, lambda end, k: one(ends, end, k)))
+
+    texts = F.transform("cells", lambda c: clean_cell(F.coalesce(c["text"], F.lit(""))))
+    found = let(texts, lambda t: F.flatten(F.transform("grid", lambda line, r: let(counted(line, t), lambda entries: fields(entries, r)))))
+    t = grids.where("type = 'table' and error is null").select(*TABLE, "section_path", "aclass", "cells", F.inline(found))
+    c = F.get("cells", F.col("cell"))
+    label = F.nullif(joined_labels(F.col("labels")), F.lit(""))
+    f = t.select(*TABLE, "row", "col", "section_path", F.col("aclass").alias("table_aclass"), label.alias("label"), *(c[x].alias(x) for x in ("tag", "acode", "aunit", "aunitvalue")), "raw_value")
+    return f.select("*", normalize_scalar(F.col("raw_value"), F.col("aunitvalue")).alias("n")).select(*f.columns, "n.*")
+
+
+def pipe_text(lines: Column, width: Column | int = 0) -> Column:
+    """Header, rule and body; short rows are filled up."""
+
+    def text(rows: Column, w: Column) -> Column:
+        full = lambda x: piped(F.concat(x, F.array_repeat(F.lit(""), w - F.size(x))))
+        body = F.transform(F.slice(rows, 2, F.greatest(F.size(rows) - 1, F.lit(1))), full)
+        return F.array_join(F.concat(F.array(full(F.get(rows, F.lit(0))), piped(F.array_repeat(F.lit("---"), w))), body), "\n")
+
+    return let(lines, lambda rows: let(F.greatest(F.array_max(F.transform(rows, F.size)), F.lit(width) if isinstance(width, int) else width), lambda w: text(rows, w)))
+
+
+def periodic_text() -> Column:
+    """A repeat grid as text: blank rows dropped, the first row heads the table; null without any text."""
+    texts = F.transform("cells", lambda c: clean_text(c["text"]))
+    rows = let(texts, lambda t: F.filter(spread_out(t), lambda line: F.exists(line, lambda x: x != "")))
+    escaped = lambda r: F.transform(r, lambda line: F.transform(line, lambda x: escape_cell(x, "periodic")))
+    return let(rows, lambda r: F.when(F.size(r) > 0, pipe_text(escaped(r))))
+
+
+def pipeline_text() -> Column:
+    """A shared grid as text: leading rows without a value cell merge into one header, merged cells print once, a single
+    cell is a quote; null where the body has no text."""
+
+    def name(head: Column, col: Column) -> Column:
+        """The texts above a column, each run of equal ones once."""
+        some = F.filter(F.transform(head, lambda line: F.get(line, col)), lambda x: x != "")
+        return let(some, lambda ts: F.array_join(F.filter(ts, lambda x, i: (i == 0) | (x != F.get(ts, i - 1))), " "))
+
+    def text(t: Column, body_at: Column) -> Column:
+        shown = F.transform("grid", lambda line: F.transform(line, lambda p: F.when(p >= 0, escape_cell(F.get(t, p), "pipeline")).otherwise("")))
+        body = F.filter(F.slice(shown, body_at + 1, F.greatest(F.size("grid"), F.lit(1))), lambda line: F.exists(line, lambda x: strip(x) != ""))
+        width = F.array_max(F.transform("grid", F.size))
+        head = F.slice(spread_out(t), F.lit(1), body_at)
+        titles = let(head, lambda h: F.transform(F.sequence(F.lit(0), width - 1), lambda c: escape_cell(name(h, c), "pipeline")))
+
+        def whole(b: Column) -> Column:
+            single = (body_at == 0) & (F.size(b) == 1) & (F.size(F.get(b, F.lit(0))) == 1)
+            quote = F.concat(F.lit("> "), F.get(F.get(b, F.lit(0)), F.lit(0)))
+            return F.when(F.size(b) == 0, None).when(single, quote).when(body_at > 0, pipe_text(F.concat(F.array(titles), b), width)).otherwise(pipe_text(b))
+
+        return let(body, whole)
+
+    valued = F.filter(F.transform("grid", lambda line, r: F.when(F.exists(line, lambda p: cell(p)["tag"].isin(*VALUES)), r)), lambda r: r.isNotNull())
+    texts = F.transform("cells", lambda c: clean_cell(F.coalesce(c["text"], F.lit(""))))
+    return let(texts, lambda t: let(F.coalesce(F.get(valued, F.lit(0)), F.lit(0)), lambda body_at: text(t, body_at)))
+
+
+TEXTS = {"repeat": periodic_text, "shared": pipeline_text}
+
+
+def table_text(policy: str) -> Column:
+    """The pipe text of a row of gridded(blocks, policy) that is a whole table; null for other rows."""
+    return F.when((F.col("type") == "table") & F.col("grid").isNotNull(), TEXTS[policy]())
 
 
-def whole(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Header, separator and body of each table, as text."""
-    lines = F.sort_array(F.collect_list(F.struct("row", "line")))
-    t = rows.groupBy(*keys).agg(lines.alias("lines"), F.max(F.size("line")).alias("_widest"), F.first("width", ignorenulls=True).alias("width") if "width" in rows.columns else F.lit(None).cast("int").alias("width"))
-    w = F.greatest("_widest", F.coalesce("width", F.lit(0)))
-    full = F.transform("lines", lambda x: F.concat(x["line"], F.array_repeat(F.lit(""), w - F.size(x["line"]))))
-    body = F.transform(F.slice(full, 2, F.greatest(F.size(full) - 1, F.lit(1))), piped)
-    text = F.array_join(F.concat(F.array(piped(F.get(full, F.lit(0))), piped(F.array_repeat(F.lit("---"), w))), body), "\n")
-    return t.withColumn("text", text).withColumn("only", F.get(F.get("lines", F.lit(0))["line"], F.lit(0))).withColumn("single", (F.size("lines") == 1) & (F.size(F.get("lines", F.lit(0))["line"]) == 1))
-
-
-def table_markdown(grid: DataFrame, policy: str) -> DataFrame:
-    """(key, text) of each table that has any text. repeat: blank rows dropped, the first row heads the table. shared:
-    leading rows without a value cell merge into one header, merged cells print once, a single cell is a quote."""
-    g = grid.where("error is null and row is not null")
-    if policy == "repeat":
-        g = g.withColumn("t", clean_text(F.col("cell_text")))
-        kept = g.withColumn("any", F.max((F.col("t") != "").cast("int")).over(Window.partitionBy(*TABLE, "row"))).where("any = 1")
-        return whole(lined(kept.withColumn("t", escape_cell(F.col("t"), "periodic")), TABLE, "t"), TABLE).select(*TABLE, "text")
-    g = g.withColumn("t", clean_cell(F.coalesce("cell_text", F.lit(""))))
-    value_row = F.min(F.when(F.col("cell_tag").isin("TE", "TU"), F.col("row"))).over(Window.partitionBy(*TABLE))
-    # without a value cell, or with one in the first row, no row is a header by its cells
-    g = g.withColumn("body_at", F.when(F.coalesce(value_row, F.lit(0)) > 0, value_row).otherwise(F.lit(0)))
-    seen = F.row_number().over(Window.partitionBy(*TABLE, "cell_no").orderBy("row", "col"))
-    g = g.withColumn("shown", F.when((F.col("cell_no") >= 0) & (seen > 1), F.lit("")).otherwise(escape_cell(F.col("t"), "pipeline")))
-    g = g.withColumn("width", F.max(F.col("col") + 1).over(Window.partitionBy(*TABLE)))
-    body = g.where("row >= body_at").withColumn("any", F.max((strip(F.col("shown")) != "").cast("int")).over(Window.partitionBy(*TABLE, "row"))).where("any = 1")
-    rows = lined(body, [*TABLE, "body_at", "width"], "shown")
-    above = Window.partitionBy(*TABLE, "col").orderBy("row")
-    head = g.where("row < body_at and t <> ''").withColumn("last", F.lag("t").over(above)).where("last is null or last <> t")
-    names = head.groupBy(*TABLE, "col").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("row", "t"))), lambda x: x["t"]), " ").alias("name"))
-    names = names.groupBy(*TABLE).agg(F.map_from_entries(F.collect_list(F.struct("col", "name"))).alias("names"))
-    first = g.where("body_at > 0").groupBy(*TABLE, "body_at", "width").agg(F.lit(-1).alias("row")).join(names, TABLE, "left")
-    line = F.transform(F.sequence(F.lit(0), F.col("width") - 1), lambda c: escape_cell(F.coalesce(F.try_element_at("names", c), F.lit("")), "pipeline"))
-    headed = first.join(rows.select(*TABLE).distinct(), TABLE, "left_semi").select(*TABLE, "body_at", "width", "row", line.alias("line"))
-    both = rows.unionByName(headed).withColumn("width", F.when(F.col("body_at") > 0, F.col("width")))
-    out = whole(both, TABLE)
-    return out.withColumn("text", F.when(F.col("single"), F.concat(F.lit("> "), "only")).otherwise(F.col("text"))).select(*TABLE, "text")
+def exchange_rows(grids: DataFrame) -> DataFrame:
+    """(rcept_no, block_no, row, cells): the non-empty cells of every row of origin grids."""
+    line = lambda places: F.filter(F.transform(F.filter(places, lambda p: p >= 0), lambda p: clean_text(F.get("cells", p)["text"])), lambda t: t != "")
+    rows = grids.where("type = 'table' and error is null").select(*TABLE, F.posexplode(F.transform("grid", line)).alias("row", "cells"))
+    return rows.where(F.size("cells") > 0)

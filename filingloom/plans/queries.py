@@ -13,7 +13,7 @@ from filingloom.operators import documents as docs_
 from filingloom.operators import embedding as emb
 from filingloom.operators import exchange as exc
 from filingloom.operators import markdown as md
-from filingloom.operators import markup, metadata, periodic, report, tables
+from filingloom.operators import failures, markup, metadata, periodic, report, tables
 from filingloom.plans import fixtures as fx
 from filingloom.sources import append_embeddings, bad_lines, merge_chunks, normalized_payload, parse_manifest, read_chunks, shared_dir, staged, write_chunks, write_normalized, write_run_report
 
@@ -21,8 +21,8 @@ from filingloom.sources import append_embeddings, bad_lines, merge_chunks, norma
 def exchange_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """File names, titles and sections of the filings."""
     blocks = staged(markup.filing_blocks(fx.exchange_filings(spark, sf_dir), "exchange", dealt=True))  # parsed once for titles and tables
-    rows = exc.exchange_rows(tables.expand_spans(blocks, "origin"))
-    return fx.filing_names(spark, sf_dir), exc.exchange_titles(blocks), exc.collect_sections(exc.carry_section(rows))
+    sections, _ = exc.exchange_sections(tables.gridded(blocks, "origin"), "raise")
+    return fx.filing_names(spark, sf_dir), exc.exchange_titles(blocks), sections
 
 
 def exchange_chunk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +51,7 @@ def pipeline_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fields_of(blocks: DataFrame) -> DataFrame:
-    return tables.table_fields(tables.expand_spans(blocks, "shared"))
+    return tables.table_fields(tables.gridded(blocks, "shared"))
 
 
 def filing_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +66,7 @@ def filing_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def filing_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = pipeline_blocks(spark, sf_dir)
-    return docs_.to_markdown(metadata.document_meta(docs_.document_header(blocks)), blocks, tables.expand_spans(blocks, "shared"))
+    return docs_.to_markdown(metadata.document_meta(docs_.document_header(blocks)), tables.gridded(blocks, "shared"))
 
 
 def filing_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,12 +87,12 @@ def document_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def periodic_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """File names, headers and blocks with text of the filings."""
     blocks = staged(markup.filing_blocks(fx.xml_filings(spark, sf_dir), "periodic", dealt=True))
-    return fx.filing_names(spark, sf_dir), docs_.document_header(blocks), docs_.periodic_texts(blocks, tables.expand_spans(blocks, "repeat"))
+    return fx.filing_names(spark, sf_dir), docs_.document_header(blocks), docs_.periodic_texts(tables.gridded(blocks, "repeat"))
 
 
 def periodic_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, names, blocks = periodic_parts(spark, sf_dir)
-    return docs_.render_document(names, blocks)
+    return docs_.render_document(names, failures.parted(blocks, on_error="raise")[0])
 
 
 def periodic_chunk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,8 +111,8 @@ def periodic_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = staged(blocks)
     titles = names.select("rcept_no", "company_name", F.col("document_name").alias("report_name"))
     known = metadata.attach_manifest(filings.join(titles, "rcept_no"), fx.manifest(spark, sf_dir))
-    chunks = periodic.chunk_periodic(blocks, metadata.document_metadata(known, "periodic"))
-    return report.run_summary(report.run_log(known.withColumn("error", F.lit(None).cast("string")), blocks, chunks))
+    chunks = periodic.chunk_periodic(blocks, metadata.document_metadata(known, "periodic"), "warn")
+    return report.run_summary(report.run_log(known, blocks, chunks))
 
 
 def merged_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,13 +23,13 @@ def filings(spark, *texts):
 def test_pipeline_document(spark):
     clean = filings(spark, XML).withColumn("markup", sanitize_markup(F.col("markup")))
     blocks = markup.filing_blocks(clean, "pipeline")
-    grid = tables.expand_spans(blocks, "shared")
+    grid = tables.gridded(blocks, "shared")
     got = [(r.label, r.tag, r.value, r.value_type, r.section_path) for r in tables.table_fields(grid).orderBy("block_no", "row").collect()]
     assert got == [("Sum / x", "TE", "1000", "number", ["One"]), ("Sum / y", "TU", "2020-01-02", "date", ["One"])]
     meta = metadata.document_meta(documents.document_header(blocks))
     m = meta.first()
     assert (m.is_correction, m.document_name_clean, m.company_name_clean, m.company_regcik) == (True, "Rep", "A&B", "9")
-    text = documents.to_markdown(meta, blocks, grid).first().markdown
+    text = documents.to_markdown(meta, grid).first().markdown
     assert text == "# [기재정정] Rep\n\n> ⚠️ 본 문서는 [기재정정] 정정공시입니다.\n\n**제출인/회사명:** (주) A&B\n\n## One\n\nfirst\n\n| Sum | x | 1,000 |\n| --- | --- | --- |\n|  | y | day |\n\n### Two\n\nodd\n\n> only"
     assert [r.value for r in documents.summary_items(blocks).collect()] == ["v"]
     counts = report.document_counts(blocks, tables.table_fields(grid)).first()
@@ -38,8 +38,8 @@ def test_pipeline_document(spark):
 
 def test_merged_header(spark):
     xml = "<DOCUMENT><BODY><TABLE><TR><TH ROWSPAN='2'>a</TH><TH COLSPAN='2'>b</TH></TR><TR><TH>c</TH><TH>d|</TH></TR><TR><TD>r</TD><TE>1</TE><TE>2</TE></TR><TR><TD> </TD></TR></TABLE></BODY></DOCUMENT>"
-    grid = tables.expand_spans(markup.filing_blocks(filings(spark, xml), "pipeline"), "shared")
-    assert tables.table_markdown(grid, "shared").first().text == "| a | b c | b d\\| |\n| --- | --- | --- |\n| r | 1 | 2 |"
+    grid = tables.gridded(markup.filing_blocks(filings(spark, xml), "pipeline"), "shared")
+    assert grid.select(tables.table_text("shared").alias("text")).first().text == "| a | b c | b d\\| |\n| --- | --- | --- |\n| r | 1 | 2 |"
 
 
 def test_toc_and_periodic(spark):
@@ -47,7 +47,7 @@ def test_toc_and_periodic(spark):
     assert [(s.section_id, s.title) for s in sections] == [("L0", "One"), ("", "Two")]
     assert sections[0].text == "One first Sum x 1,000 y day" and sections[1].text == "Two odd only"
     blocks = markup.filing_blocks(filings(spark, XML), "periodic")
-    texts = documents.periodic_texts(blocks, tables.expand_spans(blocks, "repeat"))
+    texts = documents.periodic_texts(tables.gridded(blocks, "repeat"))
     got = documents.render_document(documents.document_header(blocks), texts).first().markdown
     assert "\n## One\nfirst\n\n| Sum | x | 1,000 |\n| --- | --- | --- |\n| Sum | y | day |\n\n\n### Two\n\n| only |\n| --- |\n" in got + "\n"
 
@@ -56,9 +56,9 @@ def test_spans_bad_and_broken(spark):
     bad = "<html><title>A/B</title><table><tr><td rowspan='x'>1</td></tr></table></html>"
     two = "<html><title>A/B</title><table><tr><td rowspan=2>k</td><td>v</td></tr><tr><td>w<td></tr></table><table><tr><td>2. S<b> t</b></td><td>z</td></tr></table>"
     blocks = markup.filing_blocks(filings(spark, bad, two, "", "<<<>>> &"), "exchange")
-    grid = tables.expand_spans(blocks, "origin")
+    grid = tables.gridded(blocks, "origin")
     assert [r.rcept_no for r in grid.where("error is not null").collect()] == ["r0"]
-    rows = exchange.carry_section(exchange.exchange_rows(grid))
+    rows = exchange.carry_section(tables.exchange_rows(grid))
     got = exchange.collect_sections(rows).orderBy("rcept_no", "section_no").collect()
     assert [(r.section, r.lines) for r in got] == [("기본사항", ["- k: v", "- w"]), ("2. S t", ["- z"])]
     assert exchange.exchange_titles(blocks).count() == 4
