@@ -194,7 +194,7 @@ def sequences(pieces: DataFrame, size: int = SIZE, pad: int = 0) -> DataFrame:
     parts = pieces.groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "length", "ids"))).alias("p"))
     ids = F.aggregate("p", F.lit(b""), lambda a, x: F.concat(a, x["ids"]))
     n = F.aggregate("p", F.lit(0).cast("long"), lambda a, x: a + x["length"])
-    padded = F.when(F.bit_count(n) == 1, F.col("ids")).otherwise(F.rpad("ids", F.lit(4 * size), F.lit(int(pad).to_bytes(4, "little"))))
+    padded = F.when(F.bit_count("n") == 1, F.col("ids")).otherwise(F.rpad("ids", F.lit(4 * size), F.lit(int(pad).to_bytes(4, "little"))))
     return parts.select("sequence_id", ids.alias("ids"), F.transform("p", lambda x: x["length"]).alias("lengths"), n.alias("n")).select("sequence_id", padded.alias("ids"), "lengths")
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import heapq
+import math
 
 import numpy as np
 import pandas as pd
@@ -11,20 +12,38 @@ from pyspark.sql import functions as F
 
 from filingloom.llm.common import cut
 
-#: Rows of an index block at most, queries of a query block, and queries scored at once; they bound a task's memory.
-BLOCK, ASKED, AT_ONCE = 65536, 16384, 64
-#: Largest component, so that scores of vectors of up to 2 ** 23 components fit into 64 bits.
+#: Rows of an index block at most, its components at most, queries of a query block, and queries scored at once; they bound a
+#: task's memory.
+BLOCK, CELLS, ASKED, AT_ONCE = 65536, 1 << 22, 16384, 64
+#: Largest component of a narrow row, so that scores of vectors of up to 2 ** 23 components fit into 64 bits. Rows with
+#: larger ones are wide: scored one by one, in integers of any size.
 LARGEST = 2**20
+LIMIT = 1 << 63
 
 
 def quantised(vectors: DataFrame) -> DataFrame:
-    """(row, vec_id, q array<long>) of every row that takes part: floor(64 x) of each component. A vector that is null, or
-    holds a null or non-finite component, takes no part, nor does one without an id. Rows of one id are rows of their own.
-    A component whose floor exceeds LARGEST fails the job."""
+    """(row, vec_id, q array<long>, x array<double>) of every row that takes part: floor(64 x) of each component, or, in wide rows,
+    the components themselves. A vector that is null, or holds a null or non-finite component, takes no part, nor does one
+    without an id. Rows of one id are rows of their own."""
     x = F.transform("embedding", lambda v: v.cast("double"))
     whole = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v.cast("double")) < float("inf")))
-    q = F.transform(x, lambda v: F.when(F.abs(v) * 64 > LARGEST, F.raise_error(F.lit("a vector's component is too large"))).otherwise(F.floor(v * 64)).cast("long"))
-    return vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & whole).select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("vec_id"), q.alias("q"))
+    kept = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & whole).select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("vec_id"), x.alias("x"))
+    wide = F.exists("x", lambda v: F.abs(v) * 64 > LARGEST)
+    return kept.select("row", "vec_id", F.when(~wide, F.transform("x", lambda v: F.floor(v * 64).cast("long"))).alias("q"), F.when(wide, F.col("x")).alias("x"))
+
+
+def exact(x: list[float]) -> list[int]:
+    """floor(64 x) of each component, of any size."""
+    return [int(v) * 64 if abs(v) >= 2**53 else math.floor(v * 64) for v in x]
+
+
+def product(one: list[int], two: list[int]) -> int:
+    return sum(a * b for a, b in zip(one, two))
+
+
+def sortable(score: int) -> bytes:
+    """Bytes that sort as the scores do: of finite doubles no score has more bits."""
+    return (score + (1 << 2175)).to_bytes(272, "big")
 
 
 def planes(up: np.ndarray, bits: int) -> np.ndarray:
@@ -110,19 +129,57 @@ def block_top(rows: np.ndarray, ids: np.ndarray, q: np.ndarray, asked: tuple[np.
     return found
 
 
+def wide_pairs(q: DataFrame, k: int, query_every: int) -> DataFrame:
+    """(row, query_id, vec_id, score, exact): of each query the k best among the pairs in which it or the candidate is wide. The
+    wide rows, few or many, are dealt into blocks; all others meet each block."""
+    blocks = max(1, -(-q.where("x is not null").count() // 256))
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    wide = q.where("x is not null").select(F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("b"), "row", "vec_id", "x")
+    parts = 4 * q.sparkSession.sparkContext.defaultParallelism
+    every_part = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    rows = q.select(every.alias("b"), F.pmod(F.xxhash64(F.lit(3), "row"), F.lit(parts)).cast("int").alias("p"), "row", "vec_id", "q", "x")
+
+    def meet(held: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        best: dict[int, list[tuple]] = {}
+
+        def pair(own: int, query: int, candidate: int, score: int) -> None:
+            heap = best.setdefault(own, [])
+            heapq.heappush(heap, (score, -candidate, query))
+            if len(heap) > k:
+                heapq.heappop(heap)
+
+        big = [(int(r), int(v), exact(x)) for r, v, x in zip(held["row"], held["vec_id"], held["x"])]
+        for row, vec_id, q, x in zip(others["row"], others["vec_id"], others["q"], others["x"]):
+            mine = exact(x) if q is None else q.tolist()
+            for r, v, y in big:
+                if r == row:
+                    continue
+                score = product(mine, y)
+                if vec_id % query_every == 0:
+                    pair(int(row), int(vec_id), v, score)
+                if q is not None and v % query_every == 0:  # two wide rows meet twice, so each asks once
+                    pair(r, v, int(vec_id), score)
+        out = [(own, query, -candidate, max(-LIMIT, min(LIMIT - 1, s)), sortable(s)) for own, some in best.items() for s, candidate, query in some]
+        return pd.DataFrame(out, columns=["row", "query_id", "vec_id", "score", "exact"]).astype({c: "int64" for c in ("row", "query_id", "vec_id", "score")})
+
+    placed = wide.withColumn("p", every_part)
+    return placed.groupBy("b", "p").cogroup(rows.groupBy("b", "p")).applyInPandas(meet, "row long, query_id long, vec_id long, score long, exact binary")
+
+
 def exact_top_k(vectors: DataFrame, k: int = 20, query_every: int = 20, block: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): the k highest integer inner products of each row whose id is divisible
     by query_every with all other rows; ties go to the smaller vec_id. A query's own row is left out, other rows of its
-    id aren't; each row of a repeated id asks for itself.
+    id aren't; each row of a repeated id asks for itself. A score beyond 64 bits ranks by its value and is given as the nearest long.
 
     Vectors are dealt into blocks by a hash; a query block meets each index block once (cogrouped by the
     two blocks' numbers), and only k rows a query leave a block. They travel in the narrowest integers that hold them.
     Vectors of other lengths than the query's meet as if they ended in zeros. No vectors, no rows.
     """
-    q = cut(quantised(vectors))
+    both = cut(quantised(vectors))
+    q = both.where("q is not null")
     n, dims, largest = q.agg(F.count("*"), F.max(F.size("q")), F.max(F.array_max(F.transform("q", F.abs)))).first()
     kind = "tinyint" if (largest or 0) < 128 else "smallint" if largest < 32768 else "int"
-    block = block or max(1024, min(BLOCK, -(-n // (2 * vectors.sparkSession.sparkContext.defaultParallelism))))
+    block = block or max(1024, min(BLOCK, CELLS // max(1, dims or 0), -(-n // (2 * vectors.sparkSession.sparkContext.defaultParallelism))))
     blocks, askers = max(1, -(-n // block)), max(1, -(-n // (query_every * ASKED)))
     every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
     short = F.col("q").cast(f"array<{kind}>").alias("q")
@@ -147,5 +204,11 @@ def exact_top_k(vectors: DataFrame, k: int = 20, query_every: int = 20, block: i
         return pd.DataFrame(out, columns=["row", "query_id", "vec_id", "score"]).astype("int64")
 
     found = rows.groupBy("b", "a").cogroup(asks.groupBy("b", "a")).applyInPandas(meet, "row long, query_id long, vec_id long, score long")
-    best = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
+    score = [F.desc("score")]
+    if both.where("x is not null").limit(1).count():
+        bits = F.lpad(F.unhex(F.hex(F.col("score"))), 272, b"\x00")
+        narrow = F.when(F.col("score") >= 0, F.overlay(bits, F.lit(b"\x80"), 1, 1)).otherwise(F.concat(F.lit(b"\x7f" + b"\xff" * 263), F.substring(bits, 265, 8)))
+        found = found.withColumn("exact", narrow).union(wide_pairs(both, k, query_every))
+        score = [F.desc("exact")]
+    best = Window.partitionBy("row").orderBy(*score, "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

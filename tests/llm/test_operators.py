@@ -13,7 +13,7 @@ import pytest
 import regex
 from pyspark.sql import functions as F
 
-from filingloom.llm import chat_format, hashing, jaccard_join, licenses, mixing, pii, quality_classifier, quality_rules, secret_scan, sentencepiece_trie, topk
+from filingloom.llm import chat_format, divergence, hashing, jaccard_join, licenses, mixing, packing, pii, quality_classifier, quality_rules, secret_scan, sentencepiece_trie, topk, vector_codes
 from filingloom.llm.common import connected, table
 
 SF = "/root/testdata/sf0.001"
@@ -353,11 +353,24 @@ def test_top_k(spark):
             want += [(i, r, j, -s) for r, (s, j) in enumerate(best, 1)]
     assert sorted(map(tuple, got)) == sorted(want)
     assert got == sorted(got) or sorted(map(tuple, topk.exact_top_k(df, k=7).collect())) == sorted(want)
-    with pytest.raises(Exception, match="too large"):
-        topk.exact_top_k(spark.createDataFrame([(0, [1e30]), (1, [1.0])], "vec_id long, embedding array<float>")).collect()
     assert topk.exact_top_k(df.limit(0)).count() == 0 and topk.exact_top_k(df.where("vec_id = 40")).count() == 0 and topk.exact_top_k(df.where("vec_id = 20")).count() == 2
 
 
+def test_top_k_of_any_finite_component(spark):
+    rnd = random.Random(7)
+    wide = [20000.0, -20000.0, 1e30, -1e300, 1.7e308, 2.0**60 + 2**10]
+    rows = [(i % 70, [rnd.choice([rnd.gauss(0, 1), 0.0, *wide]) if i % 9 == 0 else rnd.gauss(0, 1) for _ in range(rnd.choice([3, 5]))]) for i in range(140)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    floor = lambda x: int(x) * 64 if abs(x) > 2**53 else math.floor(64 * x)
+    held = [(i, [floor(x) for x in v]) for i, v in rows]
+    want = []
+    for n, (i, q) in enumerate(held):
+        if i % 20 == 0:
+            best = sorted((-sum(a * b for a, b in zip(q, v)), j) for m, (j, v) in enumerate(held) if m != n)[:6]
+            want += [(i, r, j, max(-(2**63), min(2**63 - 1, -s))) for r, (s, j) in enumerate(best, 1)]
+    assert sorted(map(tuple, topk.exact_top_k(df, k=6).collect())) == sorted(want)
+
+
 # 6: licenses
 def test_licenses(spark, docs, odd):
     mit = "Copyright (c) 2020 X\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software."
@@ -658,3 +671,215 @@ def test_r_tree_loses_nothing():
     got = set(zip(*(x.tolist() for x in tree.search(points[asked], sizes[asked], 85, 100))))
     bound = np.minimum(points[asked][:, None, :], points[None, :, :]).sum(2)
     assert got == set(zip(*(x.tolist() for x in np.nonzero(bound * 185 >= 85 * (sizes[asked][:, None] + sizes[None, :])))))
+
+
+# 11: vector codes
+def plain_codes(rows):
+    """(vec_id, code, error, label_error) of complete vectors, and the codebooks, by loops over Python's integers."""
+    floor = lambda x: int(x) * 1024 if abs(x) > 2**53 else math.floor(1024 * x)
+    kept = sorted((r for r in rows if r[1] is not None and all(x is not None and math.isfinite(x) for x in r[1])), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    kept = [(i, label, [floor(x) for x in v]) for i, v, label in kept]
+    dims = -(-max((len(v) for *_, v in kept), default=0) // 4) * 4
+    kept = [(i, label, v + [0] * (dims - len(v))) for i, label, v in kept]
+    w = dims // 4
+    books = [[v[p * w : (p + 1) * w] for *_, v in kept[:256]] for p in range(4)]
+
+    def nearest(part, book):
+        return min((sum((a - b) ** 2 for a, b in zip(part, e)), n) for n, e in enumerate(book))
+
+    for _ in range(4):
+        for p, book in enumerate(books):
+            got = collections.defaultdict(list)
+            for *_, v in kept:
+                got[nearest(v[p * w : (p + 1) * w], book)[1]].append(v[p * w : (p + 1) * w])
+            books[p] = [[sum(c) // len(got[n]) for c in zip(*got[n])] if n in got else e for n, e in enumerate(book)]
+    final = [[nearest(v[p * w : (p + 1) * w], books[p]) for p in range(4)] for *_, v in kept]
+    largest = 2**63 - 1
+    errors = [min(largest, sum(d for d, _ in f)) for f in final]
+    by = collections.Counter()
+    for (_, label, _), e in zip(kept, errors):
+        by[label] += e
+    digest = hashlib.sha256(",".join(str(x) for book in books for e in book for x in e).encode()).hexdigest()
+    return [(i, "".join(f"{n:02x}" for _, n in f), e, min(largest, by[label]), digest) for (i, label, _), f, e in zip(kept, final, errors)]
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e7, 1e36])
+def test_vector_codes_as_by_loops(spark, scale, monkeypatch):
+    """Ties, repeated rows and ids, null ids and labels, unlike lengths, and components of any finite size."""
+    rnd = random.Random(int(scale) % 97)
+    rows = [(rnd.randrange(700), [rnd.choice([0.0, 0.5, -0.25, rnd.gauss(0, 0.3)]) * (scale if i % 3 == 0 else 1) for _ in range(rnd.choice([10, 10, 7]))], rnd.choice([1, 2, None])) for i in range(420)]
+    rows += [(r[0], r[1], 3) for r in rows[:20]] + [(None, rows[0][1], 1), (1, None, 1), (2, [None] * 10, 1), (3, [float("nan")] * 10, 2), (4, [float("-inf")] * 10, 2), (5, [], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").select("*", *(F.lit(1).alias(c) for c in ("code", "error", "x", "rows", "n", "label_error")))
+    monkeypatch.setattr(vector_codes, "AT_ONCE", 64)
+    got = vector_codes.compress(df).select("vec_id", "code", "error", "label_error", "codebooks_sha256").collect()
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    assert sorted(map(tuple, got), key=key) == sorted(plain_codes(rows), key=key)
+
+
+def test_vector_codes_of_few_rows(spark):
+    kinds = "vec_id long, embedding array<float>, label string"
+    assert vector_codes.compress(spark.createDataFrame([], kinds)).count() == 0
+    one = vector_codes.compress(spark.createDataFrame([(9, [1.0, 2.0], "a"), (9, [1.0, 2.0], None)], kinds)).collect()
+    assert [(r.code, r.error, r.label_error) for r in one] == [("00000000", 0, 0)] * 2 or [(r.code, r.error) for r in one] == [("00000000", 0)] * 2
+    none = vector_codes.compress(spark.createDataFrame([(1, [], "a")], kinds)).first()
+    assert (none.code, none.error, none.codebooks_sha256) == ("00000000", 0, hashlib.sha256(b"").hexdigest())
+
+
+def test_totals_of_hot_keys(spark):
+    from filingloom.llm.common import by_total
+
+    rows = spark.createDataFrame([("hot" if i % 3 else None if i % 2 else str(i), i) for i in range(3000)], "k string, i long")
+    totals = rows.groupBy("k").agg(F.sum("i").alias("s"), F.count("*").alias("n"))
+    want = {r.k: r.s for r in totals.collect()}
+    got = by_total(rows, totals, "k", "n", 100).collect()
+    assert len(got) == 3000 and all(r.s == want[r.k] for r in got)
+
+
+# 12: source divergence
+def plain_audit(rows, least, top):
+    term = re.compile("[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+")
+    lower = str.maketrans({c: c + 32 for c in range(65, 91)})
+    docs = [(lang or "", source or "", term.findall((text or "").translate(lower))) for text, lang, source in rows]
+    seen, counts = collections.Counter(), collections.defaultdict(collections.Counter)
+    for lang, source, found in docs:
+        counts[lang, source].update(found)
+        seen.update((lang, t) for t in set(found))
+    out = []
+    for lang in {k[0] for k in counts}:
+        kept = [t for (at, t), n in seen.items() if at == lang and n >= least]
+        sources = [s for at, s in counts if at == lang]
+        share = lambda c: {t: 1 + 10**9 * (c[t] + 2) // (sum(c[x] for x in kept) + 2 * len(kept)) for t in kept}
+        whole = collections.Counter()
+        for s in sources:
+            whole.update(counts[lang, s])
+        p, q = {s: share(counts[lang, s]) for s in sources}, share(whole)
+        f = lambda a, b: (a - b) ** 2 // (a + b)
+        for s in sources:
+            pairs = [(sum(f(p[s][t], p[o][t]) for t in kept), o) for o in sources if o != s]
+            terms = [(f(p[s][t], q[t]), t) for t in kept if counts[lang, s][t] and p[s][t] > q[t]]
+            for part, items in (("pair", pairs), ("term", terms)):
+                ranked = sorted(items, key=lambda x: (-x[0], x[1].encode()))
+                out += [(lang, s, part, item, v, r) for r, (v, item) in enumerate(ranked if part == "pair" else ranked[:top], 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("small_parts", [False, True])
+def test_divergence_as_by_loops(spark, small_parts, monkeypatch):
+    """Null and empty texts, languages of one source, no kept terms, ties, and ranges, tiles and flushes of a few items."""
+    rnd = random.Random(12)
+    words = [f"{a}{b}" for a in "abcdéßЖ中" for b in ("x", "Y", "z", "É")]
+    rows = [(" ".join(rnd.choice(words[: rnd.choice([4, 12, 32])]) + rnd.choice(["", ",", "1", "\t-"]) for _ in range(rnd.choice([0, 1, 5, 30]))), rnd.choice(["en", "de", None]), rnd.choice(["a", "b", "c", "", None, "é", "Z", "d1", "d2", "d3", "d4", "d5"])) for _ in range(400)]
+    rows += [(None, "xx", "one"), ("rare words only", "yy", "s"), ("", "yy", "t"), ("same same", "zz", "s")] + [("same", "zz", "t")] * 12
+    df = spark.createDataFrame(rows, "text string, lang string, source string").select("*", *(F.lit("c").alias(c) for c in ("term", "count", "docs", "n", "v", "id", "range", "rank", "value")))
+    if small_parts:
+        for name, value in (("RANGE", 5), ("TILE", 2), ("AT_ONCE", 200), ("REMEMBER", 10), ("HELD", 40)):
+            monkeypatch.setattr(divergence, name, value)
+    got = sorted(map(tuple, divergence.audit(df).collect()))
+    assert got == plain_audit(rows, 10, 10)
+    assert divergence.audit(df.limit(0)).count() == 0
+
+
+def test_galloping_and_exact_weights():
+    rnd = np.random.default_rng(3)
+    for _ in range(200):
+        long = np.unique(rnd.integers(0, 5000, rnd.integers(0, 900)))
+        short = np.unique(rnd.integers(-5, 5005, rnd.integers(0, 300)))
+        assert divergence.gallop(short, long).tolist() == np.searchsorted(long, short).tolist()
+    for c, n, v in ((0, 0, 1), (2 * 10**14, 2 * 10**14, 5), (7, 10**12, 10**6), (10**9, 3 * 10**9 + 1, 17)):
+        assert divergence.weights(np.array([c]), n, v)[0] == 1 + 10**9 * (c + 2) // (n + 2 * v)
+
+
+# 13: packing
+def check_packing(pieces, rows, size):
+    """Every id of every document once, in order; sequences gapless; no padding."""
+    tokens = packing.Words(packing.tokenizer_path())
+    want = collections.Counter()
+    for i, text in rows:
+        ids = np.frombuffer(tokens.library(text or ""), "<u4").tolist() + [1]
+        want[i, tuple(ids)] += 1
+    by_sequence = collections.defaultdict(list)
+    for p in pieces:
+        by_sequence[p.sequence_id].append(p)
+        assert len(p.ids) == 4 * p.length > 0
+    lengths = collections.Counter()
+    for parts in by_sequence.values():
+        at = 0
+        for p in sorted(parts, key=lambda p: p.offset):
+            assert p.offset == at
+            at += p.length
+        assert at == size or at < size and not at & (at - 1)
+        lengths[at] += 1
+    assert all(n == 1 for k, n in lengths.items() if k < size)
+    at = collections.defaultdict(list)
+    for p in pieces:
+        at[p.doc_id].append(p)
+    for i, parts in at.items():
+        if len([1 for d, _ in rows if d == i]) == 1:
+            ids = []
+            for p in sorted(parts, key=lambda p: p.start):
+                assert p.start == len(ids)
+                ids += np.frombuffer(p.ids, "<u4").tolist()
+            assert want[i, tuple(ids)] == 1 and all(p.doc_tokens == len(ids) for p in parts)
+    assert sum(p.length for p in pieces) == sum(len(k[1]) * n for k, n in want.items())
+
+
+def test_packing_loses_nothing(spark, docs, odd):
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    check_packing(packing.pack(docs.repartition(3)).collect(), rows, 2048)
+    rows = [(r.doc_id, r.text) for r in odd.collect()]
+    pieces = packing.pack(odd, size=64)
+    check_packing(pieces.collect(), rows, 64)
+    assert sorted({(r.doc_id is None, r.doc_id) for r in pieces.collect()}) == sorted(set(IDS))
+    assert packing.pack(odd.limit(0)).count() == 0
+    one = packing.pack(spark.createDataFrame([(1, None), (1, None), (2, "")], "doc_id long, text string"))
+    assert sorted((r.doc_id, r.length) for r in one.collect()) == [(1, 1), (1, 1), (2, 1)]
+    whole = packing.sequences(packing.pack(docs.limit(20), size=256), 256).collect()
+    assert all(len(r.ids) == 4 * sum(r.lengths) for r in whole)
+    pieces = spark.createDataFrame([(1, 0, 3, bytearray(b"abcdefghijkl"))], "sequence_id long, offset long, length long, ids binary")
+    assert bytes(packing.sequences(pieces, 5, 2).first().ids) == b"abcdefghijkl" + b"\x02\0\0\0" * 2
+
+
+def test_packing_without_broadcast(spark, docs, monkeypatch):
+    digest = lambda: sorted(map(tuple, packing.digests(packing.pack(docs)).collect()))
+    before = digest()
+    monkeypatch.setattr(packing, "SOME", 0)
+    assert digest() == before
+
+
+def test_patterns():
+    rnd = random.Random(9)
+    for size in (8, 64, 2048):
+        for _ in range(30):
+            counts = {rnd.randint(1, size - 1): rnd.choice([1, 3, 50, 10**6]) for _ in range(rnd.randint(0, 60))}
+            rows, packs = packing.place(counts, size)
+            total = sum(k * n for k, n in counts.items())
+            assert packs == total // size + (total % size).bit_count() and len(rows) < 40 * size + 100
+            assert sum((high - low) * put for _, low, high, _, put, *_ in rows) == total
+            if total > 10**5:
+                continue
+            ids, filled = collections.defaultdict(list), collections.defaultdict(list)
+            for rest, low, high, start, put, pack, offset in rows:
+                for r in range(low, high):
+                    ids[rest, r].append((start, put))
+                    filled[pack + r - low].append((offset, put))
+            for (rest, _), parts in ids.items():
+                parts.sort()
+                assert parts[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(parts, parts[1:])) and sum(parts[-1]) == rest
+            assert {k: n for k, n in counts.items()} == dict(collections.Counter(rest for rest, _ in ids))
+            for parts in filled.values():
+                parts.sort()
+                assert parts[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(parts, parts[1:]))
+
+
+def test_token_ids_equal_the_library():
+    w, rnd = packing.Words(packing.tokenizer_path()), random.Random(1)
+    assert w.known
+    odd = "\u0300\u0307\u0130\u0149\u2019\u2028\u3000\u4e2d\U0001f600αΣςªº²³¹¼½¾µ×÷\x1c\x1f\x7f\x85\xa0\xad"
+    for c in [chr(i) for i in range(1, 0x250)] + list(odd):
+        for t in (c, f"a{c}b", c * 3, f"'{c}", f"1{c}"):
+            assert w.ids(t) == w.library(t), repr(t)
+    for _ in range(3000):
+        t = "".join(rnd.choice(odd) if rnd.random() < 0.2 else rnd.choice("abcAB '12.,\n<|>sSdeéÉ&#") for _ in range(rnd.randrange(1, 14)))
+        assert w.ids(t) == w.library(t), repr(t)
+    t = "x <|endoftext|>y<|startoftext|> it's DON'T we'LL"
+    assert w.ids(t) == w.library(t)
