@@ -24,18 +24,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group joined by links (five words, Jaccard 0.8) the document of the smallest id, and one row of each id.
+    """Of each group joined by links (five words, Jaccard 0.8) the document of the smallest id stays.
 
-    Documents without words link with nothing and stay, as do rows without an id. Rows that repeat an id are one document,
-    of which the row with the least text stays.
+    Each row is a document of its own, also where ids repeat or are null (null comes last, ties go to the row read first), so no
+    text goes that isn't linked with one that stays. Documents without words link with nothing and stay.
     """
-    classes = cut(jaccard_classes(docs, n=5, num=80, den=100))
-    gone = classes.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(small(cut(gone), SOME), "doc_id", "left_anti")
-    again = cut(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"))
-    first = F.min(F.struct("text", *(c for c in docs.columns if c not in ("doc_id", "text")))).alias("first")
-    twice = kept.join(small(again, SOME), "doc_id", "left_semi").groupBy("doc_id").agg(first).select("doc_id", "first.*")
-    return kept.join(small(again, SOME), "doc_id", "left_anti").select(docs.columns).union(twice.select(docs.columns))
+    (row,) = taken(docs, "row")
+    rows = cut(docs.withColumn(row, F.monotonically_increasing_id()))
+    classes = cut(jaccard_classes(rows.select(F.col(row).alias("doc_id"), "text"), n=5, num=80, den=100).select(F.col("doc_id").alias(row), F.col("component_id").alias("_c")))
+    copied = classes.where(F.col(row) != F.col("_c"))
+    groups = small(cut(copied.select("_c").distinct()), SOME)
+    members = cut(classes.join(groups, "_c").join(rows.select(row, "doc_id"), row))
+    first = members.groupBy("_c").agg(F.min_by(row, F.struct(F.col("doc_id").isNull(), "doc_id", row)).alias("_first"))
+    gone = members.join(small(cut(first), SOME), "_c").where(F.col(row) != F.col("_first")).select(row)
+    return rows.join(small(cut(gone), SOME), row, "left_anti").select(docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
