@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from filingloom.operators.metadata import embedding_candidates
+from filingloom.operators.metadata import embedding_candidates, keep_metadata, resume_candidates
+from filingloom.sources import append_embeddings, shared_dir
 
 Embedder = Callable[[list[str]], list[list[float]]]
 
@@ -56,6 +61,51 @@ def embed_chunks(chunks: DataFrame, embedder: Embedder, max_retries: int = 5, ba
     return rows.mapInPandas(embed, f"{kinds}, embedding array<float>, outcome string, error string")
 
 
+OUTCOMES = ("done", "skipped", "failed")
+
+
+def outcome_counts() -> list[Column]:
+    return [F.count("*").alias("total"), *(F.count_if(F.col("outcome") == o).alias(o) for o in OUTCOMES)]
+
+
 def embedding_summary(outcomes: DataFrame) -> DataFrame:
     """total, done, skipped, failed, from the outcomes (read them back from the store, or embedding runs again)."""
-    return outcomes.agg(F.count("*").alias("total"), *(F.count_if(F.col("outcome") == o).alias(o) for o in ("done", "skipped", "failed")))
+    return outcomes.agg(*outcome_counts())
+
+
+def embed_and_append(chunks: DataFrame, embedder: Embedder, path: str, **how: Any) -> dict[str, int]:
+    """Embeds chunks and appends what is done to the store at path; returns embedding_summary, counted in the same job."""
+    seen = Observation()
+    out = embed_chunks(chunks, embedder, **how).observe(seen, *outcome_counts())
+    append_embeddings(keep_metadata(out.where("outcome = 'done'"), "embedding"), path)
+    return seen.get
+
+
+def embed_in_waves(chunks: DataFrame, embedder: Embedder, path: str, waves: int = 16, **how: Any) -> dict[str, int]:
+    """embed_and_append of the chunks that aren't in the store at path yet, in waves by a hash of their ids: each is appended before
+    the next one starts, so a run that breaks off loses its last wave only, and the next run asks for the rest.
+
+    Chunks without an id are in the first wave, which skips them. Chunks that repeat an id are in one wave, and each is embedded.
+    """
+    spark = chunks.sparkSession
+    wave = F.coalesce(F.pmod(F.xxhash64("chunk_id"), F.lit(waves)), F.lit(0)).cast("int")
+    where = f"{shared_dir(spark)}/staged-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    chunks.withColumn("_wave", wave).write.partitionBy("_wave").parquet(where)  # each wave reads its own folder
+    rows = spark.read.schema(T.StructType([*chunks.schema.fields, T.StructField("_wave", T.IntegerType())])).parquet(where)
+    total = dict.fromkeys(("total", *OUTCOMES), 0)
+    for i in range(waves):
+        mine = rows.where(F.col("_wave") == i).drop("_wave")
+        done = embed_and_append(resume_candidates(mine, stored(spark, path)), embedder, path, **how)
+        total = {k: n + done[k] for k, n in total.items()}
+    return total
+
+
+def stored(spark: SparkSession, path: str) -> DataFrame:
+    """The store's ids; none where there is no store yet."""
+    ids = spark.createDataFrame([], "chunk_id string")
+    try:
+        return spark.read.parquet(path).select("chunk_id")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return ids
+        raise

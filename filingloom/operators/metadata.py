@@ -72,27 +72,30 @@ def keep_metadata(df: DataFrame, *more: str) -> DataFrame:
     return df.select(*(c for c in KEPT if c in df.columns), *more)
 
 
-def source_file(family: str, name: Column, path: Column | None = None) -> Column:
+def source_file(family: str, folder: Column, name: Column, path: Column | None = None) -> Column:
     if family == "exchange":
-        return F.concat(F.lit("corpus/"), F.coalesce("m_file_path", F.lit("")), F.lit("/"), name)
-    return F.concat(F.coalesce(F.col("m_file_path"), path), F.lit("/"), name)
+        return F.concat(F.lit("corpus/"), F.coalesce(folder, F.lit("")), F.lit("/"), name)
+    return F.concat(F.coalesce(folder, path), F.lit("/"), name)
 
 
 def document_metadata(docs: DataFrame, family: str) -> DataFrame:
     """The base columns of chunks, from docs that attach_manifest completed: rcept_no, company_name, report_name, file_name.
 
-    The manifest's value comes before the parsed one. A JSON null counts as missing and takes the default.
+    The manifest's value comes before the parsed one. From a manifest with `given`, a null that a record states stays null and only
+    a missing key takes the default; else both take it. Labels and folders have no null: there it always takes the default.
     """
     label = F.create_map(*(F.lit(x) for pair in GROUP_LABELS.items() for x in pair))
-    blank = lambda c: F.coalesce(F.col(f"m_{c}"), F.lit("")).alias(c)
+    stated = lambda c: F.coalesce(F.array_contains("m_given", c), F.lit(False)) if "m_given" in docs.columns else F.lit(False)
+    known = lambda c, other: F.when(stated(c), F.col(f"m_{c}")).otherwise(F.coalesce(F.col(f"m_{c}"), other)).alias(c)
+    blank = lambda c: known(c, F.lit(""))
     base = [
         F.coalesce(F.try_element_at(label, F.coalesce("m_doc_group", F.lit(family))), F.lit(GROUP_LABELS[family])).alias("source_doc_type"),
-        blank("doc_subtype"), F.coalesce("m_corp_name", "company_name").alias("corp_name"), blank("corp_code"), blank("stock_code"), blank("industry"), blank("sector"),
-        F.col("rcept_no"), blank("rcept_dt"), F.coalesce("m_report_nm", "report_name").alias("report_nm"), F.coalesce("m_is_correction", F.lit(False)).alias("is_correction"),
+        blank("doc_subtype"), known("corp_name", F.col("company_name")), blank("corp_code"), blank("stock_code"), blank("industry"), blank("sector"),
+        F.col("rcept_no"), blank("rcept_dt"), known("report_nm", F.col("report_name")), known("is_correction", F.lit(False)),
     ]
     if family != "exchange":
         base += [F.col("m_base_year").alias("base_year"), F.col("m_base_month").alias("base_month")]
-    return docs.select(*base, source_file(family, F.col("file_name"), F.col("path") if "path" in docs.columns else F.lit("")).alias("source_file"))
+    return docs.select(*base, source_file(family, F.col("m_file_path"), F.col("file_name"), F.col("path") if "path" in docs.columns else F.lit("")).alias("source_file"))
 
 
 def document_meta(docs: DataFrame) -> DataFrame:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from filingloom.functions import numbered_id, split_sentences
 from filingloom.operators.failures import isolated
-from filingloom.operators.markdown import guarded, split_table, unfolded
+from filingloom.operators.markdown import guarded, long_ones, split_table, unfolded
 
 KEY = "rcept_no"
 MAX_CHARS, OVERLAP, TABLE_CHARS = 1400, 150, 3000
@@ -57,11 +59,9 @@ def leading(text: str, start: int, end: int) -> int:
 
 def split_overlap(rows: DataFrame, most: int = MAX_CHARS, overlap: int = OVERLAP, on_error: str = "raise") -> DataFrame:
     """rows with one row per piece of text, and its part (from 1). A null text is empty. on_error "warn" adds a column error,
-    and keeps a row that can't be split with it."""
+    and keeps a row that can't be split with it. Only long texts go to the helper."""
 
     def cut(text: str, sentences: np.ndarray) -> list[dict]:
-        if len(text) <= most:
-            return [{"text": text}]
         first = next((i for i, s in enumerate(sentences) if s.strip()), len(sentences))
         some = [s.lstrip() if i == 0 else s for i, s in enumerate(sentences[first:])]
         bare = [s.rstrip() for s in some]
@@ -70,41 +70,70 @@ def split_overlap(rows: DataFrame, most: int = MAX_CHARS, overlap: int = OVERLAP
         return [{"text": whole[a:b]} for a, b in overlap_offsets(size, np.array([len(b) for b in bare], np.int64), whole, most, overlap)]
 
     text = F.coalesce("text", F.lit(""))
-    sentences = F.when(F.length(text) > most, split_sentences(text, "periodic")).otherwise(F.array().cast("array<string>"))
-    made = rows.select(*(c for c in rows.columns if c != "text"), guarded(cut, on_error, "array<struct<text:string>>")(text, sentences).alias("_made"))
+    some = lambda c: F.when(F.length(text) > most, c)
+    pieces = guarded(cut, on_error, "array<struct<text:string>>")(some(text), some(split_sentences(text, "periodic")))
+    made = long_ones(rows, text, most, pieces, F.struct(text.alias("text")))
     return unfolded(made, "_made", ["text"], on_error).withColumn("part", F.col("_at") + 1).drop("_at")
 
 
-def flushes(breaks: list[bool], lengths: list[int], most: int) -> list[int]:
+class Buffers:
     """The buffer of each text: a new one at a break, and after one that outgrew `most` (a line break between texts)."""
-    out, n, size = [], 0, 0
-    for new, length in zip(breaks, lengths):
-        if new and size:
-            n, size = n + 1, 0
-        size += length + (1 if size else 0)
-        out.append(n)
-        if size > most:
-            n, size = n + 1, 0
-    return out
+
+    def __init__(self, most: int):
+        self.most, self.n, self.size = most, 0, 0
+
+    def push(self, new: bool, length: int) -> int:
+        if self.size > self.most or new and self.size:
+            self.n, self.size = self.n + 1, 0
+        self.size += length + (1 if self.size else 0)
+        return self.n
+
+
+def flushes(breaks: list[bool], lengths: list[int], most: int) -> list[int]:
+    buffers = Buffers(most)
+    return [buffers.push(new, length) for new, length in zip(breaks, lengths)]
 
 
 def buffered(blocks: DataFrame, most: int = MAX_CHARS) -> DataFrame:
-    """Texts of one section without a table between them, joined; tables as they are: (rcept_no, pos, type, section_path, text)."""
-    order = Window.partitionBy(KEY).orderBy("block_no")
-    same = F.col("section_path").eqNullSafe(F.lag("section_path").over(order)) & (F.lag("type").over(order) == "text")
-    texts = blocks.withColumn("breaks", ~F.coalesce(same, F.lit(False))).where("type = 'text'").withColumn("length", F.length("text"))
-
-    @F.pandas_udf("array<int>")
-    def number(breaks: pd.Series, lengths: pd.Series) -> pd.Series:
-        return pd.Series([flushes([bool(x) for x in b], [int(x) for x in n], most) for b, n in zip(breaks, lengths)])
-
-    # a filing's texts are one row while they are numbered, so all that follows keeps the partitioning by filing
-    docs = texts.groupBy(KEY).agg(F.sort_array(F.collect_list(F.struct("block_no", "breaks", "length", "section_path", "text"))).alias("b"))
-    numbered = docs.select(KEY, F.inline(F.zip_with("b", number(F.col("b.breaks"), F.col("b.length")), lambda b, n: F.struct(b["block_no"].alias("block_no"), b["section_path"].alias("section_path"), b["text"].alias("text"), n.alias("buffer")))))
-    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block_no", "text"))), lambda x: x["text"]), "\n")
-    bodies = numbered.groupBy(KEY, "buffer").agg(F.min("block_no").alias("pos"), F.max_by("section_path", "block_no").alias("section_path"), joined.alias("text"))
-    tables = blocks.where("type = 'table'").select(KEY, F.col("block_no").alias("pos"), "type", "section_path", "text")
-    return bodies.select(KEY, "pos", F.lit("text").alias("type"), "section_path", "text").unionByName(tables)
+    """Texts of one section without a table between them, joined; tables as they are: (rcept_no, pos, type, section_path, text).
+
+    Blocks stream through sorted partitions; of a filing no more is held than the open buffer, `most` characters and a block.
+    """
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        buffers, filing, before, number = Buffers(most), None, None, None
+        held: list[tuple] = []  # (rcept_no, block_no, section_path, text) of the open buffer
+
+        def closed() -> list[tuple]:
+            return [(held[0][0], held[0][1], "text", held[-1][2], "\n".join(t for *_, t in held))] if held else []
+
+        for b in batches:
+            out = []
+            for key, pos, kind, path, text in zip(*(c.to_pylist() for c in b.columns)):
+                if key != filing:
+                    buffers, filing, before = Buffers(most), key, None
+                    out += closed()
+                    held, number = [], None
+                if kind == "table":
+                    out.append((key, pos, kind, path, text))
+                else:
+                    now = buffers.push(before != ("text", path), len(text))
+                    if now != number:
+                        out += closed()
+                        held, number = [], now
+                    held.append((key, pos, path, text))
+                before = (kind, path)
+            yield batch(out, b.schema)
+            schema = b.schema
+        if held:
+            yield batch(closed(), schema)
+
+    def batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 5, schema)], ["rcept_no", "pos", "type", "section_path", "text"])
+
+    rows = blocks.where("type in ('text', 'table')").select(KEY, "block_no", "type", "section_path", F.coalesce("text", F.lit("")).alias("text"))
+    kinds = f"{KEY} string, pos {rows.schema['block_no'].dataType.simpleString()}, type string, section_path array<string>, text string"
+    return rows.repartition(KEY).sortWithinPartitions(KEY, "block_no").mapInArrow(join, kinds)
 
 
 def chunk_periodic(blocks: DataFrame, meta: DataFrame, on_error: str = "raise") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from filingloom.operators.failures import parted, with_errors
@@ -28,12 +28,29 @@ def run_log(docs: DataFrame, blocks: DataFrame, chunks: DataFrame, family: str =
     return d.select(KEY, status.otherwise("ok").alias("status"), "n_blocks", "n_chunks", "manifest_matched", ((F.col("n_blocks") == 0) & F.col("error").isNull()).alias("empty_blocks"), "error")
 
 
-def run_summary(log: DataFrame, family: str = "periodic") -> DataFrame:
+def counts(family: str = "periodic") -> list[Column]:
+    """What a run's summary counts over its log."""
     is_ = lambda s: F.count_if(F.col("status") == s)
-    if family == "exchange":
-        return log.agg(is_("ok").alias("ok"), is_("error").alias("error"), F.coalesce(F.sum("n_chunks"), F.lit(0)).alias("total_chunks"))
     total = lambda c: F.coalesce(F.sum(c), F.lit(0))
-    return log.agg(F.count("*").alias("total"), is_("ok").alias("ok"), is_("ok_no_manifest").alias("ok_no_manifest"), is_("error").alias("error"), F.count_if("empty_blocks").alias("empty"), total("n_blocks").alias("total_blocks"), total("n_chunks").alias("total_chunks"))
+    if family == "exchange":
+        return [is_("ok").alias("ok"), is_("error").alias("error"), total("n_chunks").alias("total_chunks")]
+    return [F.count("*").alias("total"), is_("ok").alias("ok"), is_("ok_no_manifest").alias("ok_no_manifest"), is_("error").alias("error"), F.count_if("empty_blocks").alias("empty"), total("n_blocks").alias("total_blocks"), total("n_chunks").alias("total_chunks")]
+
+
+def run_summary(log: DataFrame, family: str = "periodic") -> DataFrame:
+    return log.agg(*counts(family))
+
+
+def observed_report(log: DataFrame, path: str, family: str = "periodic") -> dict[str, int]:
+    """Writes what write_run_report writes, and returns the summary. The log is computed once: the summary is counted as
+    its rows are written, the lists of failed and empty documents are read from what is written."""
+    spark, seen = log.sparkSession, Observation()
+    log.observe(seen, *counts(family)).write.mode("overwrite").parquet(f"{path}/run_log")
+    written = spark.read.parquet(f"{path}/run_log")
+    spark.createDataFrame([seen.get]).write.mode("overwrite").json(f"{path}/summary")
+    written.where("status = 'error'").write.mode("overwrite").json(f"{path}/failed")
+    written.where("empty_blocks").write.mode("overwrite").json(f"{path}/empty")
+    return seen.get
 
 
 def chunk_batch_summary(docs: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from filingloom.operators import exchange as exc
 from filingloom.operators import markdown as md
 from filingloom.operators import failures, markup, metadata, periodic, report, tables
 from filingloom.plans import fixtures as fx
-from filingloom.sources import append_embeddings, bad_lines, merge_chunks, normalized_payload, parse_manifest, read_chunks, shared_dir, staged, write_chunks, write_normalized, write_run_report
+from filingloom.sources import append_embeddings, append_store, bad_lines, counted_manifest, merge_chunks, normalized_payload, parse_manifest, read_chunks, scan_filings, scan_markdown, shared_dir, staged, write_chunks, write_families, write_normalized, write_run_report
 
 
 def exchange_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -115,6 +115,21 @@ def periodic_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.run_summary(report.run_log(known, blocks, chunks))
 
 
+def failed_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run log of both families over filings some of which are damaged: failed ones have their error and no chunks."""
+    known = metadata.attach_manifest(fx.filing_names(spark, sf_dir), fx.manifest(spark, sf_dir))
+    texts = staged(docs_.periodic_texts(tables.gridded(staged(markup.filing_blocks(fx.damaged(fx.xml_filings(spark, sf_dir), ' ROWSPAN="2"', "<BODY>"), "periodic", dealt=True)), "repeat")))
+    named = known.withColumns({"company_name": F.lit(""), "report_name": F.lit("")})
+    chunks = staged(periodic.chunk_periodic(texts, metadata.document_metadata(named, "periodic"), "warn"))
+    periodic_log = report.run_log(known, texts, chunks).select(F.lit("periodic").alias("family"), "*")
+    tables_ = staged(tables.gridded(staged(markup.filing_blocks(fx.damaged(fx.exchange_filings(spark, sf_dir), ' rowspan="1"', "<table>"), "exchange", dealt=True)), "origin"))
+    sections, failed = exc.exchange_sections(tables_)
+    sections = staged(sections.withColumn("error", F.lit(None).cast("string")).unionByName(failed, allowMissingColumns=True))
+    chunks = staged(exc.chunk_exchange(sections, metadata.document_metadata(named.drop("path"), "exchange"), "warn"))
+    exchange_log = report.run_log(known, sections.withColumnRenamed("section_no", "block_no"), chunks, "exchange").select(F.lit("exchange").alias("family"), "*")
+    return periodic_log.union(exchange_log).drop("manifest_matched")
+
+
 def merged_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     every = merge_chunks([exchange_chunk_table(spark, sf_dir), periodic_chunk_table(spark, sf_dir)])
     return every.groupBy("source_doc_type", "chunk_type").agg(F.count("*").alias("chunks"), F.count("section_code").alias("coded"), F.count_distinct("rcept_no").alias("documents"))
@@ -303,13 +318,88 @@ def sentence_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", F.size(fn.split_sentences(F.col("text"), "markdown")).cast("long").alias("markdown"), F.size(fn.split_sentences(F.col("text"), "periodic")).cast("long").alias("periodic"))
 
 
+def observed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts that come out of the jobs that write the data: of a manifest's lines, of a run's log, of embedding."""
+    _, lines = counted_manifest(manifest_lines(spark, sf_dir))
+    run = report.observed_report(event_log(spark, sf_dir), own_folder(spark))
+    done = emb.embed_and_append(fx.document_chunks(spark, sf_dir), sizes, own_folder(spark))
+    rows = [(job, name, int(n)) for job, counts in (("manifest", lines), ("run", run), ("embedding", done)) for name, n in counts.items()]
+    return spark.createDataFrame(rows, "job string, name string, value long")
+
+
+def page_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with a file for each page, in a folder of its own."""
+    path = own_folder(spark)
+    pages = fx.table(spark, sf_dir, "pages").select("page_id", F.coalesce("html", F.lit("")).alias("value"))
+    pages.repartition("page_id").write.partitionBy("page_id").text(path)
+    return path
+
+
+def file_facts(files: DataFrame) -> DataFrame:
+    return files.select(F.regexp_extract("rcept_no", r"=(\d+)$", 1).cast("long").alias("page_id"), F.octet_length("content").cast("long").alias("bytes"), F.md5("content").alias("digest"))
+
+
+def scanned_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return file_facts(scan_filings(spark, page_files(spark, sf_dir), "*.txt", named_by="folder"))
+
+
+def first_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dry run over the first 25 files by path."""
+    return file_facts(scan_filings(spark, page_files(spark, sf_dir), "*.txt", limit=25, named_by="folder"))
+
+
+def scanned_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written to a file each, in folders with blanks, signs and other letters in their names, and read back."""
+    path = own_folder(spark)
+    d = fx.table(spark, sf_dir, "documents").select(F.concat(F.lit("Gerät + 보고서 100 "), F.coalesce("lang", F.lit("")), F.lit(" "), F.col("doc_id").cast("string")).alias("name"), F.coalesce("text", F.lit("")).alias("value"))
+    d.repartition("name").write.partitionBy("name").text(path)
+    read = scan_markdown(spark, path, "*.txt", named_by="folder")
+    return read.select(F.regexp_replace("doc_id", "^name=", "").alias("name"), F.regexp_replace("text", r"\n\z", "").alias("text"))
+
+
+def manifest_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata from a manifest whose records state a value, state null, or lack the key."""
+    o = fx.table(spark, sf_dir, "orders")
+    key = fx.receipt(F.col("o_orderkey"))
+    case = lambda name, n, value: F.get(F.array(F.concat(F.lit(f', "{name}": "'), value, F.lit('"')), F.lit(f', "{name}": null'), F.lit("")), ((F.col("o_orderkey") / n).cast("long") % 3).cast("int"))
+    line = F.concat(F.lit('{"rcept_no": "'), key, F.lit('"'), case("sector", 1, F.col("o_orderpriority")), case("corp_name", 3, F.col("o_custkey").cast("string")), case("report_nm", 9, F.lit("Stated")), F.lit("}"))
+    known = parse_manifest(o.select(line.alias("value"), F.col("o_orderkey").alias("position")), given=True)
+    docs = metadata.attach_manifest(fx.filing_names(spark, sf_dir).withColumns({"company_name": F.lit("Parsed"), "report_name": F.lit("Found")}), known)
+    return metadata.document_metadata(docs, "periodic").select("rcept_no", "sector", "corp_name", "report_nm", "industry", "is_correction")
+
+
+def resume_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As resume, against a store whose files are bucketed by id, so that it isn't shuffled."""
+    name = f"store_{uuid.uuid4().hex}"
+    append_store(fx.embedding_store(spark, sf_dir), name, own_folder(spark), 8)
+    left = metadata.resume_candidates(fx.document_chunks(spark, sf_dir), spark.table(name))
+    return metadata.embedding_candidates(left).select("chunk_id", "doc_id", "embed_text", "skip_reason")
+
+
+def rewritten_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks in a folder for each language, and a second run that rewrites the German ones alone."""
+    path = own_folder(spark)
+    d = fx.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("chunk_id"), "text", F.col("lang").alias("family"))
+    write_families(d.withColumn("run", F.lit(1)), path)
+    write_families(d.where("family = 'de' and cast(chunk_id as long) % 2 = 0").withColumn("run", F.lit(2)), path)
+    return spark.read.parquet(path).groupBy("family", "run").agg(F.count("*").alias("chunks"), F.sum(F.length("text")).alias("chars"))
+
+
+def embedded_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store after a run over some chunks and a run in waves over all."""
+    path, chunks = own_folder(spark), fx.document_chunks(spark, sf_dir)
+    emb.embed_and_append(chunks.where("cast(doc_id as long) % 3 = 0"), sizes, path)
+    emb.embed_in_waves(chunks, sizes, path, 4)
+    return spark.read.parquet(path).select("chunk_id", "doc_id", "sector", F.get("embedding", F.lit(0)).cast("double").alias("e0"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         exchange_chunks, exchange_markdown, exchange_summary, filing_fields, filing_paragraphs, filing_markdown, filing_meta, toc_sections, document_counts, periodic_markdown,
         periodic_chunks, periodic_summary, merged_chunks, payload, manifest_last, manifest_filter, files_per_row, extraction_counts, skip_existing, run_summary, markdown_blocks,
         markdown_chunks, text_parts, overlap_parts, table_parts, large_table_parts, chunk_metadata, chunk_batch, resume, embedded, embedding_counts, page_titles, scalar_values, sentence_counts, manifest_bad_lines,
-        chunk_files, chunk_file_order, report_files, embedding_files,
+        chunk_files, chunk_file_order, report_files, embedding_files, failed_filings, observed_counts, scanned_filings, first_filings, scanned_markdown, manifest_nulls, resume_bucketed, rewritten_families, embedded_waves,
     )
 }
 
@@ -346,7 +436,27 @@ _PARTS = f"""s as (select doc_id, list_filter({_MD_SENTENCES}, lambda x: trim(x,
       union all select doc_id, 0, text, 0 from t where length(text) <= most),
     parts as (select doc_id, text, row_number() over (partition by doc_id order by i, k)::int part, (count(*) over (partition by doc_id))::int parts from p)"""
 
+_BAD_SPAN = "ValueError: invalid literal for int() with base 10: ''x''"
+
 ORACLE = {
+    "failed_filings": f"""with d as (select lpad(o_orderkey::varchar, 14, '0') rcept_no, o_orderstatus, o_orderkey % 10 kind, coalesce(n, 0) n from orders left join (select l_orderkey, count(*) n from lineitem group by 1) on l_orderkey = o_orderkey),
+        f as (select 'periodic' family, *, case when kind in (3, 4) then 0 else 2 + 2 * n end m from d union all select 'exchange', *, case when kind in (3, 4) then 0 else 2 + (n > 0)::int end from d)
+        select family, rcept_no, case when kind = 3 then 'error' when o_orderstatus = 'P' and family = 'periodic' then 'ok_no_manifest' else 'ok' end status, m::bigint n_blocks, m::bigint n_chunks, kind = 4 empty_blocks,
+          case when kind = 3 then '{_BAD_SPAN}' end error from f""",
+    "observed_counts": """with m as (select count(*) lines, count(*) filter (o_orderstatus = 'P') bad from orders),
+        e as (select event_id, coalesce(cast(props->>'k' as bigint), 0) k from events),
+        r as (select count(*) total, count(*) filter (event_id % 11 <> 0 and event_id % 7 <> 0) ok, count(*) filter (event_id % 11 <> 0 and event_id % 7 = 0) ok_no_manifest, count(*) filter (event_id % 11 = 0) error, count(*) filter (event_id % 5 = 0) empty, sum(event_id % 5)::bigint total_blocks, sum(k)::bigint total_chunks from e),
+        d as (select count(*) total, count(*) filter (doc_id % 7 = 0 or (coalesce("text", '') = '' and (doc_id % 5 = 0 or lang is null or "text" is null))) skipped from documents)
+        select 'manifest' job, 'lines' "name", lines "value" from m union all select 'manifest', 'bad', bad from m
+        union all select 'run', u.k, u.v from r, lateral (values ('total', total), ('ok', ok), ('ok_no_manifest', ok_no_manifest), ('error', error), ('empty', empty), ('total_blocks', total_blocks), ('total_chunks', total_chunks)) u(k, v)
+        union all select 'embedding', u.k, u.v from d, lateral (values ('total', total), ('skipped', skipped), ('done', total - skipped), ('failed', 0)) u(k, v)""",
+    "scanned_filings": """select page_id, octet_length(encode(coalesce(html, '') || chr(10)))::bigint bytes, md5(coalesce(html, '') || chr(10)) digest from pages""",
+    "first_filings": """select page_id, octet_length(encode(coalesce(html, '') || chr(10)))::bigint bytes, md5(coalesce(html, '') || chr(10)) digest from pages order by page_id::varchar || '/' limit 25""",
+    "scanned_markdown": """select 'Gerät + 보고서 100 ' || coalesce(lang, '') || ' ' || doc_id "name", coalesce("text", '') "text" from documents""",
+    "manifest_nulls": """select lpad(o_orderkey::varchar, 14, '0') rcept_no, case o_orderkey % 3 when 0 then o_orderpriority when 2 then '' end sector, case (o_orderkey // 3) % 3 when 0 then o_custkey::varchar when 2 then 'Parsed' end corp_name,
+          case (o_orderkey // 9) % 3 when 0 then 'Stated' when 2 then 'Found' end report_nm, '' industry, false is_correction from orders""",
+    "rewritten_families": """select lang family, 1 run, count(*) chunks, sum(length("text"))::bigint chars from documents where lang <> 'de' group by 1
+        union all select lang, 2, count(*), sum(length("text"))::bigint from documents where lang = 'de' and doc_id % 2 = 0 group by 1""",
     "toc_sections": f"""with {_X}, t as (
           select rcept_no, 1 section_no, 'L-0' section_id, '1. Order' title, '1. Order ' || o_orderpriority || ' Amounts Total ' || tot || ' Lines ' || lines "text" from x
           union all select rcept_no, 2, 'L-1', '2. Lines', '2. Lines' from x
@@ -400,7 +510,7 @@ ORACLE = {
     "skip_existing": "select lpad(o_orderkey::varchar, 14, '0') rcept_no, 'raw/' || lpad(o_orderkey::varchar, 14, '0') path from orders where o_orderstatus <> 'F'",
     "run_summary": """select count(*) total, count(*) filter (event_id % 11 <> 0 and event_id % 7 <> 0) ok, count(*) filter (event_id % 11 <> 0 and event_id % 7 = 0) ok_no_manifest, count(*) filter (event_id % 11 = 0) error,
           count(*) filter (event_id % 5 = 0) empty, sum(event_id % 5)::bigint total_blocks, coalesce(sum(coalesce(json_extract_string(props, '$.k')::int, 0)), 0)::bigint total_chunks from events""",
-    "markdown_blocks": """with d as (select * from documents where text is not null), t as (select l_orderkey, string_agg('| ' || l_linenumber || ' | ' || l_partkey || ' |', chr(10) order by l_linenumber, l_partkey) r from lineitem group by 1)
+    "markdown_blocks": """with d as (select * from (select * replace (coalesce(text, '') as text) from documents)), t as (select l_orderkey, string_agg('| ' || l_linenumber || ' | ' || l_partkey || ' |', chr(10) order by l_linenumber, l_partkey) r from lineitem group by 1)
         select doc_id, 1::bigint block_no, 'heading' "type", '# ' || source "text", '' path from d union all select doc_id, 2, 'heading', '## ' || lang, source from d
         union all select doc_id, 3, 'paragraph', text, source || ' > ' || lang from d
         union all select doc_id, 4, 'table', '| line | part |' || chr(10) || '| --- | --- |' || chr(10) || r, source || ' > ' || lang from d join t on l_orderkey = doc_id""",
@@ -441,11 +551,11 @@ ORACLE = {
         p as (select doc_id, i, unnest("out") text, generate_subscripts("out", 1) k from r
           union all select r.doc_id, r.i + 1, cur, 0 from r join s on s.doc_id = r.doc_id and r.i = len(s.s) where cur <> '' union all select doc_id, 0, text, 0 from t where length(text) <= 1400)
         select doc_id, row_number() over (partition by doc_id order by i, k)::int part, text from p""",
-    "markdown_chunks": f"""with recursive t as (select doc_id, text, 1150 most from documents where text is not null), {_PARTS},
+    "markdown_chunks": f"""with recursive t as (select doc_id, text, 1150 most from (select * replace (coalesce(text, '') as text) from documents)), {_PARTS},
         l as (select l_orderkey, string_agg('| ' || l_linenumber || ' | ' || l_partkey || ' |', chr(10) order by l_linenumber, l_partkey) r from lineitem group by 1),
-        b as (select doc_id, 'heading' kind, '# ' || source text, '' path, 1 a, 0 c from documents where text is not null union all select doc_id, 'heading', '## ' || lang, source, 2, 0 from documents where text is not null
+        b as (select doc_id, 'heading' kind, '# ' || source text, '' path, 1 a, 0 c from (select * replace (coalesce(text, '') as text) from documents) union all select doc_id, 'heading', '## ' || lang, source, 2, 0 from (select * replace (coalesce(text, '') as text) from documents)
           union all select doc_id, 'paragraph', parts.text, source || ' > ' || lang, 3, part from parts join documents using (doc_id)
-          union all select doc_id, 'table', '| line | part |' || chr(10) || '| --- | --- |' || chr(10) || r, source || ' > ' || lang, 4, 0 from documents join l on l_orderkey = doc_id where text is not null),
+          union all select doc_id, 'table', '| line | part |' || chr(10) || '| --- | --- |' || chr(10) || r, source || ' > ' || lang, 4, 0 from documents join l on l_orderkey = doc_id),
         k as (select *, row_number() over (partition by doc_id order by a, c) pos, length(text) n from b),
         -- one block a step: the open chunk, the blocks and characters that it holds, its last block, and whether that moved to this chunk
         g as (select doc_id, 0::bigint pos, 0 chunk, 0 held, 0::bigint size, '' last_kind, 0::bigint last_n, false moved from k where pos = 1
@@ -465,3 +575,4 @@ ORACLE = {
     "sentence_counts": r"""select doc_id, len(string_split(regexp_replace(regexp_replace(text, '([.!?다요음함])\s+', '\1' || chr(1), 'g'), '\n', chr(1), 'g'), chr(1)))::bigint markdown,
           len(string_split(regexp_replace(text, '([.?!다음:])\s+', '\1' || chr(1), 'g'), chr(1)))::bigint periodic from documents""",
 }
+ORACLE["resume_bucketed"], ORACLE["embedded_waves"] = ORACLE["resume"], ORACLE["embedding_files"]

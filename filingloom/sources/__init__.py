@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,25 +51,46 @@ def spread(rows: DataFrame, *by: str) -> DataFrame:
     return rows.repartition(n, *by)
 
 
+def parsed_lines(lines: DataFrame) -> DataFrame:
+    """Lines (value, position) that aren't blank as (position, _bad, the manifest's columns, given): _bad is a line that is no
+    record; given names the keys that a record has, those whose value is null too."""
+    row = F.from_json("value", T.StructType([*MANIFEST.fields, T.StructField("_bad", T.StringType())]), {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"})
+    named = [F.when(F.expr(f"variant_get(_v, '$.{n}', 'variant')").isNotNull() | F.col(f"r.{n}").isNotNull(), F.lit(n)) for n in MANIFEST.names]
+    rows = lines.where(F.trim("value") != "").select("position", row.alias("r"), F.try_parse_json("value").alias("_v"))
+    return rows.select("position", "r.*", F.array_compact(F.array(*named)).alias("given"))
+
+
 def bad_lines(lines: DataFrame) -> DataFrame:
     """(lines, bad): how many lines (value) aren't blank, and how many of them are no JSON record, which "skip" leaves out."""
-    row = F.from_json("value", T.StructType([*MANIFEST.fields, T.StructField("_bad", T.StringType())]), {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"})
-    return lines.where(F.trim("value") != "").select(row["_bad"].alias("_bad")).agg(F.count("*").alias("lines"), F.count("_bad").alias("bad"))
+    return parsed_lines(lines.withColumn("position", F.lit(0))).agg(F.count("*").alias("lines"), F.count("_bad").alias("bad"))
 
 
-def parse_manifest(lines: DataFrame, key: str = "rcept_no", on_bad: str = "fail") -> DataFrame:
-    """Lines (value, position) of JSON to one record per key, the last of each; records without a key are dropped."""
-    row = F.from_json("value", T.StructType([*MANIFEST.fields, T.StructField("_bad", T.StringType())]), {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"})
-    rows = lines.where(F.trim("value") != "").select("position", row.alias("r")).select("position", "r.*")
+def last_records(rows: DataFrame, key: str, given: bool = False) -> DataFrame:
+    """Of parsed_lines, the last record of each key; records without a key are dropped. given keeps the column of that name."""
+    last = F.max_by(F.struct(*MANIFEST.names, *["given"] * given), "position").alias("r")
+    return rows.where(F.col(key).isNotNull() & (F.col(key) != "")).groupBy(F.col(key).alias("_key")).agg(last).select("r.*")
+
+
+def parse_manifest(lines: DataFrame, key: str = "rcept_no", on_bad: str = "fail", given: bool = False) -> DataFrame:
+    """Lines (value, position) of JSON to one record per key, the last of each; records without a key are dropped. given: see
+    parsed_lines; with it document_metadata tells a null from a key that is missing."""
+    rows = parsed_lines(lines)
     if on_bad == "fail":
         rows = rows.withColumn(key, F.when(F.col("_bad").isNotNull(), F.raise_error(F.concat(F.lit("bad manifest line: "), "_bad")).cast("string")).otherwise(F.col(key)))
     else:
         rows = rows.where("_bad is null")
-    last = F.max_by(F.struct(*MANIFEST.names), "position").alias("r")
-    return rows.drop("_bad").where(F.col(key).isNotNull() & (F.col(key) != "")).groupBy(F.col(key).alias("_key")).agg(last).select("r.*")
+    return last_records(rows, key, given)
+
 
+def counted_manifest(lines: DataFrame, key: str = "rcept_no", given: bool = False) -> tuple[DataFrame, dict[str, int]]:
+    """parse_manifest that skips bad lines, and {lines, bad} as of bad_lines: counted while the lines are parsed, once. The counts
+    are taken as parsed lines are written, where a task that is run again counts once."""
+    seen = Observation()
+    rows = staged(parsed_lines(lines).observe(seen, F.count("*").alias("lines"), F.count("_bad").alias("bad")))
+    return last_records(rows.where("_bad is null"), key, given), seen.get
 
-def read_manifest(spark: SparkSession, path: str, key: str = "rcept_no", on_bad: str = "fail", missing_ok: bool = False) -> DataFrame:
+
+def read_manifest(spark: SparkSession, path: str, key: str = "rcept_no", on_bad: str = "fail", missing_ok: bool = False, given: bool = False) -> DataFrame:
     """A JSON-lines manifest; the id Spark gives to the lines of a file rises with their position."""
     from pyspark.errors import AnalysisException
 
@@ -78,20 +100,29 @@ def read_manifest(spark: SparkSession, path: str, key: str = "rcept_no", on_bad:
         if missing_ok and "PATH_NOT_FOUND" in str(e):
             return spark.createDataFrame([], MANIFEST)
         raise
-    return parse_manifest(lines.withColumn("position", F.monotonically_increasing_id()), key, on_bad)
+    return parse_manifest(lines.withColumn("position", F.monotonically_increasing_id()), key, on_bad, given)
+
 
+def stem(path: Column, named_by: str) -> Column:
+    """A file's name without its extension, or, named_by "folder", the name of the folder that it lies in."""
+    return F.regexp_extract(path, r"([^/]+?)(\.[^./]*)?$" if named_by == "file" else r"([^/]+)/[^/]*$", 1)
 
-def scan_filings(spark: SparkSession, root: str, pattern: str = "*.xml", limit: int | None = None) -> DataFrame:
-    """(rcept_no, path, content) of all files below root; the first `limit` by path, chosen before contents are read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
+
+def scan_filings(spark: SparkSession, root: str, pattern: str = "*.xml", limit: int | None = None, named_by: str = "file") -> DataFrame:
+    """(rcept_no, path, content) of all files below root. limit: the first by path; the smallest paths are found without contents,
+    and only these files are opened."""
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    files = read.option("pathGlobFilter", pattern).load(root)
     if limit is not None:
-        files = files.join(F.broadcast(files.select("path").orderBy("path").limit(limit)), "path", "left_semi")
-    return files.select(F.regexp_extract("path", r"([^/]+?)(\.[^./]*)?$", 1).alias("rcept_no"), "path", "content")
+        first = [re.sub(r"([\\*?{}\[\]])", r"\\\1", r["path"]) for r in files.select("path").orderBy("path").limit(limit).collect()]  # `limit` paths
+        files = spark.read.format("binaryFile").load(first) if first else files.limit(0)
+    return files.select(stem(F.col("path"), named_by).alias("rcept_no"), "path", "content")
 
 
-def scan_markdown(spark: SparkSession, root: str, pattern: str = "*.md") -> DataFrame:
-    files = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(root)
-    return files.select(F.regexp_extract(F.url_decode("_metadata.file_path"), r"([^/]+?)\.[^./]*$", 1).alias("doc_id"), F.col("value").alias("text"))
+def scan_markdown(spark: SparkSession, root: str, pattern: str = "*.md", named_by: str = "file") -> DataFrame:
+    """(doc_id, text) of all files below root."""
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(root, wholetext=True)
+    return files.select(stem(F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))), named_by).alias("doc_id"), F.col("value").alias("text"))
 
 
 def read_chunks(spark: SparkSession, root: str, pattern: str = "*.jsonl") -> DataFrame:
@@ -130,6 +161,19 @@ def append_embeddings(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def append_store(df: DataFrame, name: str, path: str, buckets: int = 64, key: str = "chunk_id") -> None:
+    """Appends rows to a table whose files are bucketed and sorted by key. spark.table(name) then meets other rows by
+    that key (resume_candidates) without being shuffled; those rows are dealt to its buckets."""
+    rows = df.repartition(buckets, key)  # a bucket gets one file an append
+    rows.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).mode("append").saveAsTable(name)
+
+
+def write_families(df: DataFrame, path: str, by: str = "family") -> None:
+    """Chunks in a folder for each family. The families that occur in df take the place of their earlier chunks; others stay, so
+    a rerun of one family replaces its own part, and a merged set is all that lies there."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+
+
 def merge_chunks(parts: list[DataFrame]) -> DataFrame:
     """Chunks of several families in one table; columns that a family lacks are null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

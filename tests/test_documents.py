@@ -7,7 +7,7 @@ import pytest
 
 from filingloom import sources
 from filingloom.functions import sanitize_markup
-from filingloom.operators import documents, embedding, exchange, markdown, markup, metadata, periodic, report, tables
+from filingloom.operators import documents, embedding, exchange, failures, markdown, markup, metadata, periodic, report, tables
 from pyspark.sql import functions as F
 
 XML = """<DOCUMENT><DOCUMENT-NAME ACODE="1">[기재정정] Rep</DOCUMENT-NAME><COMPANY-NAME AREGCIK="9">(주) A&B</COMPANY-NAME>
@@ -378,3 +378,239 @@ def test_bad_manifest_lines(spark):
     lines = ['{"rcept_no": "1"}', "", "  ", "{bad", "[1]", '{"rcept_no": "2"}']
     r = sources.bad_lines(spark.createDataFrame([(x,) for x in lines], "value string")).first()
     assert r.lines == 4 and r.bad >= 1
+
+
+BAD = "<DOCUMENT><BODY><P>p</P><TABLE><TR><TD COLSPAN='x'>1</TD></TR></TABLE><P>q</P></BODY></DOCUMENT>"
+
+
+def test_failed_documents_are_parted(spark):
+    """A failed table takes its whole filing out, with the first of its errors, in both families; "raise" fails the job."""
+    good = "<DOCUMENT><BODY><P>p</P><TABLE><TR><TD ROWSPAN='2'>a</TD><TD>b</TD></TR><TR><TD>c</TD></TR></TABLE></BODY></DOCUMENT>"
+    blocks = sources.staged(markup.filing_blocks(filings(spark, good, BAD, "", "<DOCUMENT><BO"), "periodic"))
+    docs = spark.createDataFrame([(f"r{i}", i != 2) for i in range(5)], "rcept_no string, manifest_matched boolean")
+    meta = docs.select("rcept_no")
+    texts = documents.periodic_texts(tables.gridded(blocks, "repeat"))
+    chunks = periodic.chunk_periodic(texts, meta, "warn")
+    assert sorted((c.rcept_no, c.chunk_id, c.error is None) for c in chunks.collect()) == [("r0", "r0_0001", True), ("r0", "r0_0002", True), ("r1", None, False)]
+    log = {r.rcept_no: r for r in report.run_log(docs, texts, chunks).collect()}
+    assert [(log[f"r{i}"].status, log[f"r{i}"].n_blocks, log[f"r{i}"].n_chunks, log[f"r{i}"].empty_blocks) for i in range(5)] == [("ok", 2, 2, False), ("error", 0, 0, False), ("ok_no_manifest", 0, 0, True), ("ok", 0, 0, True), ("ok", 0, 0, True)]
+    assert log["r1"].error == "ValueError: invalid literal for int() with base 10: 'x'"
+    with pytest.raises(Exception, match="invalid literal"):
+        periodic.chunk_periodic(texts, meta).collect()
+    html = "<html><title>A/B</title><table><tr><td{}>k</td><td>v</td></tr></table></html>"
+    sections, bad = exchange.exchange_sections(tables.gridded(markup.filing_blocks(filings(spark, html.format(""), html.format(" rowspan='1.5'")), "exchange"), "origin"))
+    assert [r.rcept_no for r in sections.collect()] == ["r0"] and [r.rcept_no for r in bad.collect()] == ["r1"]
+    named = meta.select("rcept_no", *(F.lit("x").alias(c) for c in ("corp_name", "report_nm", "rcept_dt")))
+    both = sections.withColumn("error", F.lit(None).cast("string")).unionByName(bad, allowMissingColumns=True)
+    assert sorted((c.rcept_no, c.chunk_id) for c in exchange.chunk_exchange(both, named, "warn").collect()) == [("r0", "r0_0001"), ("r1", None)]
+    with pytest.raises(Exception, match="r1: ValueError"):
+        exchange.chunk_exchange(both, named).collect()
+
+
+def test_failure_while_chunking(spark):
+    """A document that fails within a job leaves its key and error alone; the others keep their chunks."""
+    rows = spark.createDataFrame([("a", 1, None), ("b", 1, None), ("b", 2, None), ("c", 1, "read")], "rcept_no string, block_no int, error string")
+
+    def job(good):
+        error = F.when((F.col("rcept_no") == "b") & (F.col("block_no") == 2), "split")
+        return good.select("rcept_no", F.col("block_no").alias("chunk_index"), F.lit("x").alias("text"), error.alias("error"))
+
+    got = failures.isolated(rows, job, "warn").collect()
+    assert sorted((r.rcept_no, r.chunk_index, r.text, r.error) for r in got) == [("a", 1, "x", None), ("b", None, None, "split"), ("c", None, None, "read")]
+    with pytest.raises(Exception, match="c: read"):
+        failures.isolated(rows, job, "raise").collect()
+    docs = spark.createDataFrame([(1, "# a\n\n" + "word. " * 300), (None, "short"), (3, None)], "doc_id long, text string")
+    same = [sorted((r.doc_id or 0, r.chunk_index, r.text) for r in markdown.chunk_markdown(docs, on_error=how).collect()) for how in ("warn", "raise")]
+    assert same[0] == same[1] and len(same[0]) == 3
+
+
+def test_errors_of_stages(spark):
+    docs = spark.createDataFrame([("a", None), ("b", "own"), ("c", None), ("d", None)], "rcept_no string, error string")
+    one = spark.createDataFrame([("a", 2, "later"), ("a", 1, "first"), ("b", 1, "other"), ("d", 1, None)], "rcept_no string, block_no int, error string")
+    two = spark.createDataFrame([("a", 1, "chunk"), ("c", 1, "chunk")], "rcept_no string, block_no int, error string")
+    out = failures.with_errors(docs, failures.first_errors(one), failures.first_errors(two))
+    assert sorted((r.rcept_no, r.error) for r in out.collect()) == [("a", "first"), ("b", "own"), ("c", "chunk"), ("d", None)]
+    good, bad = failures.parted(one)
+    assert [r.rcept_no for r in good.collect()] == ["d"] and sorted((r.rcept_no, r.error) for r in bad.collect()) == [("a", "first"), ("b", "other")]
+
+
+def plain_fields(grid, cells):
+    """Fields of a table, by a walk over its rows."""
+    out, seen = [], set()
+    for r, line in enumerate(grid):
+        labels = []
+        for col, n in enumerate(line):
+            if n is None or n < 0:
+                continue
+            tag, text = cells[n]
+            if tag in ("TE", "TU"):
+                if n not in seen:
+                    out.append((r, col, " / ".join(dict.fromkeys(labels)) or None, text))
+                    labels = []
+                seen.add(n)
+            elif text:
+                labels.append(text)
+    return out
+
+
+def plain_pipes(grid, cells):
+    """A shared grid as text, by loops."""
+    full = [["" if n is None or n < 0 else cells[n][1] for n in line] for line in grid]
+    seen, shown = set(), []
+    for line in grid:
+        shown.append(["" if n is None or n < 0 or n in seen or seen.add(n) else cells[n][1] for n in line])
+    first = next((r for r, line in enumerate(grid) if any(n is not None and n >= 0 and cells[n][0] in ("TE", "TU") for n in line)), 0)
+    body = [line for line in shown[first:] if any(line)]
+    if not body:
+        return None
+    if not first and len(body) == 1 and len(body[0]) == 1:
+        return "> " + body[0][0]
+    if first:
+        names = [[] for _ in range(max(map(len, grid)))]
+        for line in full[:first]:
+            for c, t in enumerate(line):
+                if t and (not names[c] or names[c][-1] != t):
+                    names[c].append(t)
+        body = [[" ".join(n) for n in names], *body]
+    width = max(map(len, body))
+    rows = ["| " + " | ".join(line + [""] * (width - len(line))) + " |" for line in body]
+    return "\n".join([rows[0], "| " + " | ".join(["---"] * width) + " |", *rows[1:]])
+
+
+def test_tables_as_walked(spark):
+    """Fields and texts from arrays equal loops over painted grids, with merged, missing, empty and repeated cells."""
+    rnd = random.Random(5)
+    made = []
+    for i in range(250):
+        plain = rnd.random() < 0.3
+        size = rnd.randint(1, 4)
+        made.append([[(1, 1) if plain else (rnd.choice([1, 1, 1, 2, 3]), rnd.choice([1, 1, 2])) for _ in range(size if plain else rnd.randint(1, 4))] for _ in range(rnd.randint(1, 5))])
+    data, texts = [], []
+    for i, rows in enumerate(made):
+        flat = [(rnd.choice(["TD", "TH", "TE", "TU"]), rnd.choice(["", "a", "b", "c", "1", "22"])) for r in rows for _ in r]
+        texts.append(flat)
+        cells = iter(flat)
+        data.append((str(i), 1, "table", ["s"], None, 0, [{"row": r, "at": at, "tag": t, "text": x, "acode": None, "aunit": None, "aunitvalue": None, "rowspan": str(d), "colspan": str(w)} for r, row in enumerate(rows) for at, (d, w) in enumerate(row) for t, x in [next(cells)]], None))
+    df = spark.createDataFrame(data, f"rcept_no string, block_no int, type string, section_path array<string>, aclass string, n_cols int, cells array<{markup.CELL}>, error string")
+    grids = tables.gridded(df, "shared")
+    fields, pipes = {}, {int(r.rcept_no): r.text for r in grids.select("rcept_no", tables.table_text("shared").alias("text")).collect()}
+    for r in tables.table_fields(grids).orderBy("row", "col").collect():
+        fields.setdefault(int(r.rcept_no), []).append((r.row, r.col, r.label, r.raw_value))
+    for i, rows in enumerate(made):
+        places = {}
+        for r, c, n in paint(rows, "shared"):
+            places.setdefault(r, {})[c] = n
+        grid = [[places[r].get(c, -1) for c in range(max(places[r]) + 1)] if r in places else [] for r in range(max(places, default=-1) + 1)]
+        assert fields.get(i, []) == plain_fields(grid, texts[i]), rows
+        assert pipes[i] == plain_pipes(grid, texts[i]), (rows, texts[i])
+
+
+def test_any_number_of_blocks_streams(spark):
+    """Chunks and buffers of a document of many blocks, cut into small batches, equal those of the loops."""
+    rnd = random.Random(4)
+    n = 60_000
+    kinds, sizes = [rnd.choice(["heading", "paragraph", "table", "list"]) for _ in range(n)], [rnd.choice([5, 90, 400, 900, 1500]) for _ in range(n)]
+    rows = spark.createDataFrame([(1, i, k, s) for i, (k, s) in enumerate(zip(kinds, sizes))] + [(2, 0, "heading", 3)], "doc_id long, pos int, type string, length int")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = {(r.doc_id, r.pos): r.chunk_index for r in markdown.pack_chunks(rows).collect()}
+        assert [got[1, i] for i in range(n)] == markdown.packed(kinds, sizes, 800, 1000) and got[2, 0] == 0
+        paths = [[str(i // 50)] for i in range(3000)]
+        types = [rnd.choice(["text", "text", "text", "table"]) for _ in paths]
+        lengths = [rnd.choice([10, 300, 900]) for _ in paths]
+        b = spark.createDataFrame([("r", i, t, p, chr(97 + i % 26) * k) for i, (t, p, k) in enumerate(zip(types, paths, lengths))], "rcept_no string, block_no int, type string, section_path array<string>, text string")
+        out = periodic.buffered(b).orderBy("pos").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want: list = []
+    open_: list = []
+    for i, (t, p, k) in enumerate(zip(types, paths, lengths)):
+        if open_ and (t == "table" or paths[open_[-1]] != p or types[i - 1] == "table" or sum(lengths[j] + 1 for j in open_) - 1 > 1400):
+            want.append((open_[0], "text", len(open_)))
+            open_ = []
+        if t == "table":
+            want.append((i, "table", 1))
+        else:
+            open_.append(i)
+    if open_:
+        want.append((open_[0], "text", len(open_)))
+    assert [(r.pos, r.type, r.text.count("\n") + 1) for r in out] == want
+
+
+def test_scanned_files(spark, tmp_path):
+    names = ["a [1]*.xml", "b {x}.xml", "ä b+%20.xml", "z.xml"]
+    for n in names:
+        (tmp_path / n).write_text(f"<P>{n}</P>")
+        (tmp_path / n.replace(".xml", ".md")).write_text(f"# {n}\n\nbody\n")
+    first = sources.scan_filings(spark, str(tmp_path), limit=2)
+    assert sorted(r.rcept_no for r in first.collect()) == ["a [1]*", "b {x}"]
+    assert len(first.inputFiles()) == 2  # the others are never opened
+    assert sorted((r.doc_id, r.text) for r in sources.scan_markdown(spark, str(tmp_path)).collect()) == sorted((n[:-4], f"# {n}\n\nbody\n") for n in names)
+    assert sources.scan_filings(spark, str(tmp_path), "*.none", limit=3).count() == 0
+
+
+def test_counts_come_with_the_data(spark, tmp_path):
+    lines = spark.createDataFrame([(0, '{"rcept_no": "1"}'), (1, ""), (2, "{bad"), (3, '{"rcept_no": "1", "sector": null}')], "position long, value string")
+    rows, seen = sources.counted_manifest(lines, given=True)
+    assert seen == sources.bad_lines(lines).first().asDict() == {"lines": 3, "bad": 1}
+    assert [(r.rcept_no, sorted(r.given)) for r in rows.collect()] == [("1", ["rcept_no", "sector"])]
+    calls = spark.sparkContext.accumulator(0)
+
+    def embedder(texts):
+        calls.add(len(texts))
+        if "bad" in texts:
+            raise ValueError("no")
+        return [[1.0]] * len(texts)
+
+    chunks = spark.createDataFrame([(str(i), "bad" if i == 3 else "t") for i in range(8)] + [(None, "t"), ("n", "")], "chunk_id string, text string").coalesce(1)
+    done = embedding.embed_and_append(chunks, embedder, str(tmp_path / "store"), max_retries=1, batch=1)
+    assert done == {"total": 10, "done": 7, "skipped": 2, "failed": 1} and calls.value == 8  # one job: no text is asked for twice
+    assert spark.read.parquet(str(tmp_path / "store")).count() == 7
+
+
+def test_waves_survive_a_crash(spark, tmp_path):
+    chunks = spark.createDataFrame([(str(i), f"t{i}") for i in range(80)] + [(None, "x")], "chunk_id string, text string")
+    wave = {r.chunk_id: r.w for r in chunks.select("chunk_id", F.pmod(F.xxhash64("chunk_id"), F.lit(5)).alias("w")).collect()}
+    doomed, path = {f"t{k}" for k, w in wave.items() if k and w == 3}, str(tmp_path / "store")
+
+    def crashing(texts):
+        if doomed & set(texts):
+            raise SystemExit("worker lost")
+        return [[1.0]] * len(texts)
+
+    with pytest.raises(Exception):
+        embedding.embed_in_waves(chunks, crashing, path, 5)
+    kept = {r.chunk_id for r in spark.read.parquet(path).collect()}
+    assert kept == {k for k, w in wave.items() if k and w < 3}
+    asked = spark.sparkContext.accumulator(0)
+
+    def counting(texts):
+        asked.add(len(texts))
+        return [[2.0]] * len(texts)
+
+    done = embedding.embed_in_waves(chunks, counting, path, 5)
+    assert asked.value == done["done"] == 80 - len(kept) and done["skipped"] == 1
+    assert spark.read.parquet(path).select("chunk_id").distinct().count() == spark.read.parquet(path).count() == 80
+
+
+def test_bucketed_store_is_not_shuffled(spark, tmp_path):
+    ids = spark.range(500).select(F.col("id").cast("string").alias("chunk_id"))
+    for some in (ids.where("chunk_id % 3 = 0"), ids.where("chunk_id % 7 = 0")):
+        sources.append_store(some, "bucketed_store", str(tmp_path / "store"), 4)
+    left = metadata.resume_candidates(ids.withColumn("text", F.lit("t")), spark.table("bucketed_store"))
+    assert {int(r.chunk_id) for r in left.collect()} == {i for i in range(500) if i % 3 and i % 7}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = metadata.resume_candidates(ids, spark.table("bucketed_store"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("drop table bucketed_store")
+    store = plan[: plan.index("bucketed_store")].splitlines()[-8:]
+    assert plan.count("Exchange hashpartitioning") == 1 and not any("Exchange" in line for line in store if "store" in line)
+
+
+def test_families_are_rewritten(spark, tmp_path):
+    rows = lambda family, n: spark.range(n).select(F.lit(family).alias("family"), "id")
+    sources.write_families(rows("a", 5).union(rows("b", 7)), str(tmp_path))
+    sources.write_families(rows("b", 2), str(tmp_path))
+    assert {(r.family, r["count"]) for r in spark.read.parquet(str(tmp_path)).groupBy("family").count().collect()} == {("a", 5), ("b", 2)}
