@@ -17,13 +17,13 @@ NAMES = {
     "ISC": ["isc license", "isc"],
     "Zlib": ["zlib license", "zlib/libpng license"],
     "BSL-1.0": ["boost software license version 1.0", "boost software license 1.0", "boost software license"],
-    "GPL-2.0-only": ["gnu general public license version 2", "gnu general public license v2", "gnu gpl version 2", "gnu gpl v2", "gpl version 2", "gplv2", "gpl-2.0"],
-    "GPL-3.0-only": ["gnu general public license version 3", "gnu general public license v3", "gnu gpl version 3", "gnu gpl v3", "gpl version 3", "gplv3", "gpl-3.0"],
+    "GPL-2.0-only": ["gnu general public license version 2", "gnu general public license v2", "gnu gpl version 2", "gnu gpl v2", "gpl version 2", "gplv2", "gpl v2", "gnu gplv2", "gpl-2.0"],
+    "GPL-3.0-only": ["gnu general public license version 3", "gnu general public license v3", "gnu gpl version 3", "gnu gpl v3", "gpl version 3", "gplv3", "gpl v3", "gnu gplv3", "gpl-3.0"],
     "GPL": ["gnu general public license", "gnu gpl", "gpl"],
-    "LGPL-2.1-only": ["gnu lesser general public license version 2.1", "gnu lgpl version 2.1", "lgpl version 2.1", "lgplv2.1", "lgpl-2.1"],
-    "LGPL-3.0-only": ["gnu lesser general public license version 3", "gnu lgpl version 3", "lgpl version 3", "lgplv3", "lgpl-3.0"],
+    "LGPL-2.1-only": ["gnu lesser general public license version 2.1", "gnu lgpl version 2.1", "lgpl version 2.1", "lgplv2.1", "gnu lgplv2.1", "lgpl-2.1"],
+    "LGPL-3.0-only": ["gnu lesser general public license version 3", "gnu lgpl version 3", "lgpl version 3", "lgplv3", "gnu lgplv3", "lgpl-3.0"],
     "LGPL": ["gnu lesser general public license", "gnu lgpl", "lgpl"],
-    "AGPL-3.0-only": ["gnu affero general public license version 3", "gnu agpl version 3", "agpl version 3", "agplv3", "agpl-3.0"],
+    "AGPL-3.0-only": ["gnu affero general public license version 3", "gnu agpl version 3", "agpl version 3", "agplv3", "gnu agplv3", "agpl-3.0"],
     "AGPL": ["gnu affero general public license", "gnu agpl", "agpl"],
     "MPL-2.0": ["mozilla public license version 2.0", "mozilla public license 2.0", "mozilla public license v. 2.0", "mpl 2.0", "mpl-2.0"],
     "EPL-1.0": ["eclipse public license version 1.0", "eclipse public license 1.0", "eclipse public license v1.0", "epl-1.0"],
@@ -96,16 +96,26 @@ SENTENCES = {
     "this software is proprietary and confidential": "proprietary",
     "unauthorized copying of this file via any medium is strictly prohibited": "proprietary",
 }
+# The GNU notices' clauses. Their texts have a colon, a semicolon or a comma between them, or nothing.
+GNU = {"gpl": "general public license", "lgpl": "lesser general public license", "agpl": "affero general public license"}
+TERMS = {k: f"you can redistribute it and/or modify it under the terms of the gnu {name} as published by the free software foundation" for k, name in GNU.items()}
+LATER = {v: f"either version {v} of the license or at your option any later version" for v in ("2", "2.1", "3")}
+SENTENCES |= {text: f"{k}-terms" for k, text in TERMS.items()} | {text: f"later-{v}" for v, text in LATER.items()}
+SENTENCES |= {f"{TERMS[k]} {LATER[v]}": f"{k}{v.replace('.', '')}-later" for k, v in (("gpl", "2"), ("gpl", "3"), ("lgpl", "2.1"), ("lgpl", "3"), ("agpl", "3"))}
+SENTENCES |= {f"{TERMS['gpl']} version 2": "gpl2-only", f"{TERMS['gpl']} version 2 of the license": "gpl2-only", "version 2 of the license": "only-2"}
+SENTENCES |= {TERMS["gpl"].replace("license as", "license version 2 as"): "gpl2-only"}
+SENTENCES |= {f"you should have received a copy of the gnu {name} along with this {what}": "gnu-copy" for name in GNU.values() for what in ("program", "library")}
+REST = "(?:gnu-no-warranty;)?(?:gnu-implied;)?(?:gnu-see;)?(?:gnu-copy;)?"
 # Rules in order; each reads a sequence of identifiers (";" ends one) and takes what it matches. Rules of names follow.
 RULES = [
     ("MIT", "mit-grant;(?:mit-notice;)?(?:mit-as-is;)?(?:mit-liability;)?"),
     ("Apache-2.0", "apache-grant;(?:apache-use;)?(?:apache-copy;)?(?:apache-as-is;)?(?:apache-see;)?"),
-    ("GPL-3.0-or-later", "gpl3-later;(?:gnu-no-warranty;)?(?:gnu-implied;)?(?:gnu-see;)?(?:gnu-copy;)?"),
-    ("GPL-2.0-or-later", "gpl2-later;(?:gnu-no-warranty;)?(?:gnu-implied;)?(?:gnu-see;)?(?:gnu-copy;)?"),
-    ("GPL-2.0-only", "gpl2-only;(?:gnu-no-warranty;)?(?:gnu-implied;)?(?:gnu-see;)?(?:gnu-copy;)?"),
-    ("LGPL-2.1-or-later", "lgpl21-later;(?:gnu-no-warranty;)?(?:gnu-implied;)?(?:gnu-see;)?"),
-    ("LGPL-3.0-or-later", "lgpl3-later;(?:gnu-no-warranty;)?(?:gnu-implied;)?(?:gnu-see;)?"),
-    ("AGPL-3.0-or-later", "agpl3-later;(?:gnu-no-warranty;)?(?:gnu-implied;)?(?:gnu-see;)?"),
+    ("GPL-3.0-or-later", f"(?:gpl3-later|gpl-terms;later-3);{REST}"),
+    ("GPL-2.0-or-later", f"(?:gpl2-later|gpl-terms;later-2);{REST}"),
+    ("GPL-2.0-only", f"(?:gpl2-only|gpl-terms;only-2);{REST}"),
+    ("LGPL-2.1-or-later", f"(?:lgpl21-later|lgpl-terms;later-2.1);{REST}"),
+    ("LGPL-3.0-or-later", f"(?:lgpl3-later|lgpl-terms;later-3);{REST}"),
+    ("AGPL-3.0-or-later", f"(?:agpl3-later|agpl-terms;later-3);{REST}"),
     ("BSD-3-Clause", "bsd-grant;bsd-source;bsd-binary;bsd-names;(?:bsd-as-is;)?"),
     ("BSD-2-Clause", "bsd-grant;bsd-source;bsd-binary;(?:bsd-as-is;)?"),
     ("BSD", "bsd-grant;(?:bsd-source;)?"),
@@ -123,7 +133,9 @@ RULES = [
 # Every known sentence holds one of these words; texts and sentences without any aren't looked at.
 TRIGGERS = ["licens", "licenc", "permission", "permitted", "copyright", "warrant", "redistribut", "unencumbered", "reserved", "proprietary", "unauthori", "waive", "anyone", "endorse", "liable", "fuck", "obtain", "released", "distributed", "available", "published"]
 FOUND = "struct<start:int,kind:int,end:int,id:string>"
-END = r"(?<=[.!?;:]\s)(?<!identifier:\s)(?<!\bv\.\s)"
+END = r"(?<=[.!?;:]\s)(?<!identifier:\s)(?<!\blicen[sc]e:\s)(?<!\bv\.\s)"
+#: What stands before a line of a comment, in any language: its marks go, and a line of marks alone is blank.
+MARKS = r"(?m)^[ \t]*(?:#+|//+!?|/\*+|\*+/?|--+|;+|%+|!+|<!--|dnl|rem|\x22{3}|'{3})(?:[ \t]+|$)"
 #: Sentences that hold a holder's name: what stands before the rights reserved doesn't matter.
 HOLDER = r"^(?:copyright|c|©)\s.*\sall rights reserved$"
 
@@ -136,9 +148,10 @@ def hinted(text: Column) -> Column:
 
 
 def bare(sentence: Column) -> Column:
-    """Runs of other characters than letters, digits and . + - / become a space; none at the ends, and no final stops. Licence is
-    spelt license."""
-    kept = F.regexp_replace(F.regexp_replace(sentence, r"[^\p{L}\p{N}.+/©-]+", " "), r"^[\x20.+/-]+|[\x20.+/-]+$", "")
+    """Runs of other characters than letters, digits and . + - / become a space, as do words of only such signs and a number
+    before the first word; none at the ends, and no final stops. Licence is spelt license."""
+    kept = F.regexp_replace(F.regexp_replace(sentence, r"[^\p{L}\p{N}.+/©-]+", " "), r"(?<=\x20)[.+/-]+\x20", "")
+    kept = F.regexp_replace(F.regexp_replace(kept, r"^[\x20.+/-]+|[\x20./-]+$", ""), r"^[0-9] (?=\p{L})", "")
     return F.replace(kept, F.lit("licence"), F.lit("license"))
 
 
@@ -146,24 +159,35 @@ def table(pairs: dict[str, str]) -> Column:
     return F.create_map(*(F.lit(x) for pair in pairs.items() for x in pair))
 
 
+def listed(text: Column, known: Column) -> Column:
+    """name:<licence> of each licence that a text lists by and, or, with, joined by semicolons; null where it names none. "or any
+    later version" belongs to the name before it."""
+    later = F.regexp_replace(text, r" or (?:at your option )?(?:any )?(?:later|newer)(?: versions?)?(?= |$)", "+")
+    parts = F.split(F.regexp_replace(later, "^either (?:of )?(?:the )?|^both (?:the )?", ""), " (?:or|and|with) (?:the )?")
+    one = lambda p: F.coalesce(F.try_element_at(known, p), F.regexp_replace(F.try_element_at(known, F.regexp_replace(p, r"\+$", "")), "-only$", "-or-later"))
+    found = F.filter(F.transform(parts, one), lambda x: x.isNotNull())
+    return F.nullif(F.array_join(found, ";"), F.lit(""))
+
+
 def sentence_id(sentence: Column) -> Column:
-    """The identifier of a bare sentence, or null. Sentences by rule are told by their parts: an opening, then a name."""
+    """The identifier of a bare sentence, or null. Sentences by rule are told by their parts: an opening, or a tag, then names."""
     openings = "|".join(sorted({o.strip() for o in OPENINGS}, key=len, reverse=True))
-    names = table({n: f"name:{licence}" for licence, every in NAMES.items() for n in every})
-    tags = table({n: f"name:{licence}" for licence, every in NAMES.items() for n in every if " " not in n} | {t: f"name:{licence}" for t, licence in TAGS.items()})
+    names = {n: f"name:{licence}" for licence, every in NAMES.items() for n in every}
+    tags = names | {t: f"name:{licence}" for t, licence in TAGS.items()}
     held = F.when(sentence.rlike(HOLDER), F.lit("rights-reserved"))
-    return F.coalesce(F.try_element_at(table(SENTENCES), sentence), held, F.try_element_at(names, F.regexp_extract(sentence, rf"^(?:{openings}) (.+)$", 1)), F.try_element_at(tags, F.regexp_extract(sentence, r"^spdx-license-identifier (\S+)$", 1)))
+    after = lambda opening, known: F.when(sentence.rlike(rf"^(?:{opening}) "), listed(F.regexp_extract(sentence, rf"^(?:{opening}) (.+)$", 1), table(known)))
+    return F.coalesce(F.try_element_at(table(SENTENCES), sentence), held, after(openings, names), after("spdx-license-identifier|license", tags))
 
 
 def scan_licenses(documents: DataFrame) -> DataFrame:
     """doc_id, n_sentences, sentences (identifiers) and licenses (by rule, each once) of every row.
 
     A sentence is looked for in each line, and in lines joined up to a blank one, since licence texts are wrapped. Findings
-    of both ways count, in the order of the text; a line's within a joined sentence that is known is left out. A null or empty text has none.
+    of both ways count (comment marks before lines are no part of them), in the order of the text; a line's within a joined sentence that is known is left out. A null or empty text has none.
     Repeated rows each get a row, further columns take no part, an empty table gives no rows.
     """
     low = F.lower(F.coalesce("text", F.lit("")))
-    d = documents.select("doc_id", low.alias("low")).select("doc_id", F.when(hinted(F.col("low")), F.col("low")).otherwise(F.lit("")).alias("low"))
+    d = documents.select("doc_id", low.alias("low")).select("doc_id", F.when(hinted(F.col("low")), F.regexp_replace("low", MARKS, "")).otherwise(F.lit("")).alias("low"))
     # pieces keep every character, and joining changes no length, so both ways count the same offsets
     lines = F.split("low", rf"(?<=\n)|{END}")
     joined = F.split(F.regexp_replace("low", r"\n(?!\s*\n)", " "), rf"(?<=\n)|{END}")

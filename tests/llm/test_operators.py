@@ -396,6 +396,63 @@ def test_licenses_of_both_readings(spark):
     assert [r.licenses for r in got] == ["GPL-3.0-only,Proprietary"] * 2
 
 
+GNU = {
+    "GPL-2.0-or-later": ("program", ";", "General Public License", ";", "2"), "LGPL-2.1-or-later": ("library", ";", "Lesser General Public License", ";", "2.1"), "GPL-3.0-or-later": ("program", ":", "General Public License", ",", "3"),
+    "LGPL-3.0-or-later": ("program", ":", "Lesser General Public License", ",", "3"), "AGPL-3.0-or-later": ("program", ":", "Affero General Public License", ",", "3"),
+}
+OFFICIAL = {
+    k: f"""This {what} is free software{a} you can redistribute it and/or modify
+it under the terms of the GNU {name} as published by
+the Free Software Foundation{b} either version {v} of the License, or
+(at your option) any later version.
+
+This {what} is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU {name} for more details.
+
+You should have received a copy of the GNU {name}
+along with this {what}.  If not, see <https://www.gnu.org/licenses/>."""
+    for k, (what, a, name, b, v) in GNU.items()
+}
+OFFICIAL |= {
+    "GPL-2.0-only": "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation; version 2 of the License.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
+    "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,\nFITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+    "Apache-2.0": "Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed on an \"AS IS\" BASIS,\nWITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.\nSee the License for the specific language governing permissions and\nlimitations under the License.",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES\nWITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF\nMERCHANTABILITY AND FITNESS.",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.",
+}
+BSD = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n{0} Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.\n\n{1} Redistributions in binary form must reproduce the above copyright notice,\n   this list of conditions and the following disclaimer in the documentation\n   and/or other materials provided with the distribution.\n\n"
+NAMES = "{2} Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission.\n\n"
+AS_IS = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\"\nAND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE\nIMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE\nDISCLAIMED."
+
+
+def test_official_notices_behind_any_marks(spark):
+    """Every notice is found whole, and alone, bare and as a comment of any language."""
+    rows = list(OFFICIAL.items())
+    for items in (("1.", "2.", "3."), ("*", "*", "*"), ("1)", "2)", "3)"), ("(1)", "(2)", "(3)")):
+        rows += [("BSD-2-Clause", (BSD + AS_IS).format(*items)), ("BSD-3-Clause", (BSD + NAMES + AS_IS).format(*items))]
+    marked = []
+    for licence, text in rows:
+        marked.append((licence, text))
+        for mark in ("# ", "// ", " * ", "-- ", "; ", ";; ", "% ", "dnl ", "/// "):
+            marked.append((licence, "\n".join((mark + line).rstrip() for line in text.split("\n"))))
+        marked.append((licence, "/*\n" + text + "\n*/\nint main() {}"))
+    got = licenses.scan_licenses(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(marked)], "doc_id long, text string"))
+    wrong = [(marked[r.doc_id], r.sentences, r.licenses) for r in got.collect() if r.licenses != marked[r.doc_id][0]]
+    assert not wrong, (len(wrong), len(marked), wrong[:3])
+
+
+def test_lists_of_licenses(spark):
+    texts = {
+        "SPDX-License-Identifier: MIT OR Apache-2.0": "MIT,Apache-2.0", "SPDX-License-Identifier: (GPL-2.0+ WITH Classpath-exception-2.0)": "GPL-2.0-or-later", "// SPDX-License-Identifier: BSD-3-Clause AND (MIT OR ISC)": "BSD-3-Clause,MIT,ISC",
+        "License: MIT": "MIT", "# License: Apache-2.0\nname: x": "Apache-2.0", "Licensed under either of Apache License, Version 2.0 or MIT license.": "Apache-2.0,MIT", "Released under the GNU GPLv2 or later.": "GPL-2.0-or-later",
+        "This program is licensed under the GPL version 3 or any later version.": "GPL-3.0-or-later", "SPDX-License-Identifier: LicenseRef-Own": "", "Licensed under the terms of some licence or other.": "", "The license: see below": "",
+    }
+    got = licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.licenses for r in got] == list(texts.values())
+
+
 # 7: mixing
 def water(sizes):
     order = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + [None] * (None in sizes)
