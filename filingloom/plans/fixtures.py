@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from filingloom.sources import spread
@@ -105,6 +105,46 @@ def markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.join(rows, "doc_id", "left").select("doc_id", text.alias("text"))
 
 
+def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with no: their place in the order, from 1."""
+    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    return table(spark, sf_dir, "lineitem").withColumn("no", F.row_number().over(order))
+
+
+def outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A markdown text per order: for each of its lines a heading one level deeper (the seventh is none), a list that a plain line
+    goes on with, a quote and an indented sign; every other text has carriage returns."""
+    li, no = numbered_lines(spark, sf_dir), F.col("no")
+    part = F.concat(F.repeat(F.lit("#"), no), F.lit(" L"), no, F.lit("\n- part "), "l_partkey", F.lit("\nplain "), F.col("l_suppkey"), F.lit("\n> quote "), no, F.lit("\n # indented\n"))
+    texts = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("no", part.alias("t")))), lambda x: x["t"]), "\n")
+    d = li.groupBy(F.col("l_orderkey").alias("doc_id")).agg(texts.alias("text"))
+    return d.withColumn("text", F.when(F.col("doc_id") % 2 == 0, F.replace("text", F.lit("\n"), F.lit("\r\n"))).otherwise(F.col("text")))
+
+
+def long_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic blocks with text per order: 600 characters for each of its lines in one section, a table of 40 rows that is too
+    long, one that is too long and has no rows, and a last text."""
+    li, o = numbered_lines(spark, sf_dir), table(spark, sf_dir, "orders")
+    letter = lambda c: F.char((c % 26 + 97).cast("bigint"))
+    texts = li.select("l_orderkey", F.col("no").alias("block_no"), F.lit("text").alias("type"), F.repeat(letter(F.col("l_partkey")), F.lit(600)).alias("text"))
+    row = F.concat(F.lit("|"), F.repeat(letter(F.col("o_custkey")), F.lit(96)), F.lit("|"))
+    rows = F.concat(F.lit("|h|\n|-|\n"), F.array_join(F.array_repeat(row, 40), "\n"))
+    wide = F.concat(F.lit("|"), F.repeat(F.lit("w"), F.lit(3100)), F.lit("|"))
+    last = [(100, "table", rows), (101, "table", wide), (102, "text", F.lit("end"))]
+    more = o.select(F.col("o_orderkey").alias("l_orderkey"), F.inline(F.array(*(F.struct(F.lit(n).alias("block_no"), F.lit(t).alias("type"), x.alias("text")) for n, t, x in last))))
+    return texts.union(more).select(receipt(F.col("l_orderkey")).alias("rcept_no"), "block_no", "type", F.array(F.lit("S")).alias("section_path"), "text")
+
+
+def merged_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """XML with a table under a merged header, whose body has a cell over two rows and columns, and one of a single cell."""
+    o = table(spark, sf_dir, "orders")
+    tr = lambda *cells: tag("TR", F.concat(*cells))
+    head = [tr(tag("TH", "Order", ' ROWSPAN="2"'), tag("TH", "Amounts", ' COLSPAN="2"')), tr(tag("TH", "Total"), tag("TH", "a|b"))]
+    body = [tr(tag("TD", F.col("o_orderkey").cast("string")), tag("TE", money(F.col("o_totalprice"))), tag("TE", F.col("o_custkey").cast("string"))), tr(tag("TD", "Both", ' ROWSPAN="2" COLSPAN="2"'), tag("TE", F.col("o_orderstatus"))), tr(tag("TE", "last"))]
+    xml = tag("DOCUMENT", tag("BODY", F.concat(tag("TABLE", F.concat(*head, *body)), tag("TABLE", tr(tag("TD", F.col("o_orderpriority")))))))
+    return o.select(receipt(F.col("o_orderkey")).alias("rcept_no"), xml.alias("markup"))
+
+
 #: Orders whose lines share a table; it bounds a table, however many orders a customer has.
 TABLE_ORDERS = 4096
 

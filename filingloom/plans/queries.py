@@ -393,6 +393,30 @@ def embedded_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select("chunk_id", "doc_id", "sector", F.get("embedding", F.lit(0)).cast("double").alias("e0"))
 
 
+def outline_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = md.markdown_blocks(fx.outlines(spark, sf_dir))
+    return b.select("doc_id", F.col("block_no").cast("long").alias("block_no"), "type", "text", F.array_join("heading_path", " > ").alias("path"))
+
+
+def long_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic chunks where buffers run over, texts overlap, and tables are split or have no rows."""
+    chunks = periodic.chunk_periodic(fx.long_blocks(spark, sf_dir), fx.filing_names(spark, sf_dir).select("rcept_no"))
+    return chunks.select("chunk_id", "chunk_index", "chunk_type", "section", "n_chars", F.md5("text").alias("digest"))
+
+
+def merged_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pipe text of tables with merged headers and cells, in the ways of two families."""
+    filings = fx.merged_tables(spark, sf_dir)
+    texts = [tables.gridded(markup.filing_blocks(filings, style), policy).where("type = 'table'").select(F.lit(style).alias("family"), "rcept_no", F.row_number().over(Window.partitionBy("rcept_no").orderBy("block_no")).alias("table_no"), tables.table_text(policy).alias("text")) for style, policy in (("pipeline", "shared"), ("periodic", "repeat"))]
+    return texts[0].union(texts[1])
+
+
+def skip_existing_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the first 100 filings by path, those without an output."""
+    o = fx.table(spark, sf_dir, "orders")
+    return metadata.skip_existing(fx.filing_names(spark, sf_dir), o.where("o_orderstatus = 'F'").select(fx.receipt(F.col("o_orderkey")).alias("rcept_no")), limit=100).select("rcept_no", "path")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -400,6 +424,7 @@ QUERIES = {
         periodic_chunks, periodic_summary, merged_chunks, payload, manifest_last, manifest_filter, files_per_row, extraction_counts, skip_existing, run_summary, markdown_blocks,
         markdown_chunks, text_parts, overlap_parts, table_parts, large_table_parts, chunk_metadata, chunk_batch, resume, embedded, embedding_counts, page_titles, scalar_values, sentence_counts, manifest_bad_lines,
         chunk_files, chunk_file_order, report_files, embedding_files, failed_filings, observed_counts, scanned_filings, first_filings, scanned_markdown, manifest_nulls, resume_bucketed, rewritten_families, embedded_waves,
+        outline_blocks, long_chunks, merged_cells, skip_existing_first,
     )
 }
 
@@ -436,6 +461,7 @@ _PARTS = f"""s as (select doc_id, list_filter({_MD_SENTENCES}, lambda x: trim(x,
       union all select doc_id, 0, text, 0 from t where length(text) <= most),
     parts as (select doc_id, text, row_number() over (partition by doc_id order by i, k)::int part, (count(*) over (partition by doc_id))::int parts from p)"""
 
+_NUMBERED = "(select *, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_extendedprice) i from lineitem)"
 _BAD_SPAN = "ValueError: invalid literal for int() with base 10: ''x''"
 
 ORACLE = {
@@ -443,6 +469,25 @@ ORACLE = {
         f as (select 'periodic' family, *, case when kind in (3, 4) then 0 else 2 + 2 * n end m from d union all select 'exchange', *, case when kind in (3, 4) then 0 else 2 + (n > 0)::int end from d)
         select family, rcept_no, case when kind = 3 then 'error' when o_orderstatus = 'P' and family = 'periodic' then 'ok_no_manifest' else 'ok' end status, m::bigint n_blocks, m::bigint n_chunks, kind = 4 empty_blocks,
           case when kind = 3 then '{_BAD_SPAN}' end error from f""",
+    "outline_blocks": f"""with l as (select l_orderkey doc_id, i, l_partkey p, l_suppkey s from {_NUMBERED}),
+        h as (select doc_id, i, string_agg('L' || j, ' > ' order by j) path from l, range(1, 7) r(j) where j <= i group by 1, 2),
+        b as (select doc_id, i, 1 k, case when i < 7 then 'heading' else 'paragraph' end "type", repeat('#', i::int) || ' L' || i "text" from l
+          union all select doc_id, i, 2, 'list', '- part ' || p || chr(10) || 'plain ' || s from l union all select doc_id, i, 3, 'blockquote', '> quote ' || i from l union all select doc_id, i, 4, 'paragraph', ' # indented' from l)
+        select b.doc_id, ((b.i - 1) * 4 + k)::bigint block_no, "type", "text", coalesce(h.path, '') path from b left join h on h.doc_id = b.doc_id and h.i = case when "type" = 'heading' then b.i - 1 else b.i end""",
+    "long_chunks": f"""with o as (select o_orderkey, lpad(o_orderkey::varchar, 14, '0') no, chr((o_custkey % 26 + 97)::int) c, coalesce(n, 0) n from orders left join (select l_orderkey, count(*) n from lineitem group by 1) on l_orderkey = o_orderkey),
+        b as (select l_orderkey, (i - 1) // 3 b, string_agg(repeat(chr((l_partkey % 26 + 97)::int), 600), chr(10) order by i) t from {_NUMBERED} group by 1, 2),
+        p as (select l_orderkey, 2 * b + 1 i, case when length(t) > 1400 then t[1:1400] else t end t from b union all select l_orderkey, 2 * b + 2, t[1251:] from b where length(t) > 1400),
+        c as (select no || '_' || lpad(i::varchar, 4, '0') chunk_id, i, 'text' k, length(t) n, t from p join o on o_orderkey = l_orderkey
+          union all select no || '_' || lpad((last + 1)::varchar, 4, '0') || '_p' || part, last + 1, 'table', 6 + 98 * rows, '|h|' || chr(10) || '|-|' || repeat(chr(10) || '|' || repeat(c, 96) || '|', rows)
+            from (select *, 2 * (n // 3) + (n % 3 > 0)::int last from o), (values (1, 30), (2, 10)) v(part, rows)
+          union all select no || '_' || lpad((2 * (n // 3) + (n % 3 > 0)::int + 3)::varchar, 4, '0'), 2 * (n // 3) + (n % 3 > 0)::int + 3, 'text', 3, 'end' from o)
+        select chunk_id, i::int chunk_index, k chunk_type, 'S' section, n::int n_chars, md5(t) digest from c""",
+    "merged_cells": """with o as (select lpad(o_orderkey::varchar, 14, '0') rcept_no, o_orderkey::varchar k, o_totalprice::decimal(15, 2)::varchar t, o_custkey::varchar c, o_orderstatus s, o_orderpriority p from orders)
+        select 'pipeline' family, rcept_no, 1 table_no, '| Order | Amounts Total | Amounts a\\|b |' || chr(10) || '| --- | --- | --- |' || chr(10) || '| ' || k || ' | ' || t || ' | ' || c || ' |' || chr(10) || '| Both |  | ' || s || ' |' || chr(10) || '|  |  | last |' "text" from o
+        union all select 'pipeline', rcept_no, 2, '> ' || p from o
+        union all select 'periodic', rcept_no, 1, '| Order | Amounts | Amounts |' || chr(10) || '| --- | --- | --- |' || chr(10) || '| Order | Total | a\\|b |' || chr(10) || '| ' || k || ' | ' || t || ' | ' || c || ' |' || chr(10) || '| Both | Both | ' || s || ' |' || chr(10) || '| Both | Both | last |' from o
+        union all select 'periodic', rcept_no, 2, '| ' || p || ' |' || chr(10) || '| --- |' from o""",
+    "skip_existing_first": """with f as (select lpad(o_orderkey::varchar, 14, '0') rcept_no, o_orderstatus from orders order by 1 limit 100) select rcept_no, 'raw/' || rcept_no path from f where o_orderstatus <> 'F'""",
     "observed_counts": """with m as (select count(*) lines, count(*) filter (o_orderstatus = 'P') bad from orders),
         e as (select event_id, coalesce(cast(props->>'k' as bigint), 0) k from events),
         r as (select count(*) total, count(*) filter (event_id % 11 <> 0 and event_id % 7 <> 0) ok, count(*) filter (event_id % 11 <> 0 and event_id % 7 = 0) ok_no_manifest, count(*) filter (event_id % 11 = 0) error, count(*) filter (event_id % 5 = 0) empty, sum(event_id % 5)::bigint total_blocks, sum(k)::bigint total_chunks from e),
