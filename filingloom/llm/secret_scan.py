@@ -6,8 +6,7 @@ scanned, scored and redacted row by row in the JVM: no join, no shuffle, nothing
 
 from __future__ import annotations
 
-import re
-
+from py4j.java_gateway import JavaObject
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,18 +16,23 @@ from filingloom.llm.common import positions, taken
 
 # What a candidate looks like, and the words looked for in and around it.
 VALUE = r"[A-Za-z0-9+/_-]{16,}+={0,2}"
-NAMES = "passw|pwd|passphrase|secret|token|api|key|auth|credential|bearer|private"
-#: What is given to a name with one of NAMES, quoted or not, from six characters on: up to a blank, quote or next parameter,
-#: without final stops. Lookbehinds are bounded, the cheap one comes first.
+#: A secret-like name: one of these words, whole, or as the last or first part of a name by _ . - or a change of case.
+WORDS = "[a-z]{0,8}passw(?:or)?d|pwd|passphrase|secret|token|api_?key|access_?key|api|key|auth|credentials?|bearer|private"
+NAME = rf"(?:(?<![A-Za-z])(?i:{WORDS})(?![a-z]|(?<=[A-Z])[A-Z])|(?<=[a-z])(?:Passw(?:or)?d|Secret|Token|Key|Auth|Credentials?)(?![a-z]))"
+#: What a value goes on with: up to a blank, quote or next parameter, without final stops; six characters at least.
+TAIL = r"(?=[^\s\"'`<>]{6})(?:[^\s\"'`<>&,;.:)\]}]++|[,;.:)\]}]++(?=[^\s\"'`<>&])|&(?!\w+=)(?=[^\s\"'`<>&]))++"
+#: What is given to such a name, quoted or not; what a text says that it is; what stands for the password in an address.
+#: Lookbehinds are bounded, the cheap one comes first.
 GIVEN = (
-    r"(?<=[=:]>?[ \t]{0,8}[\"'`]?)(?<=(?i:" + NAMES + r")[A-Za-z0-9_.-]{0,24}[\"'`]?[ \t]{0,8}[=:]{1,2}>?[ \t]{0,8}[\"'`]?)(?![=:>])"
-    r"(?=[^\s\"'`<>]{6})(?:[^\s\"'`<>&,;.:)\]}]++|[,;.:)\]}]++(?=[^\s\"'`<>&])|&(?!\w+=)(?=[^\s\"'`<>&]))++"
+    rf"(?<=[=:]>?[ \t]{{0,8}}[\"'`]?)(?<={NAME}[A-Za-z0-9_.-]{{0,24}}[\"'`]?[ \t]{{0,8}}[=:]{{1,2}}>?[ \t]{{0,8}}[\"'`]?)(?![=:>]){TAIL}"
+    rf"|(?<=s[ ][\"'`]?)(?<=(?i:passw(?:or)?d|pwd|passphrase|secret|token|key)[ ](?:is|was)[ ][\"'`]?){TAIL}"
+    r"|(?<=:)(?<=://[A-Za-z0-9._%+-]{0,40}:)[^\s/@\"'`<>]{6,64}(?=@)"
 )
-KEYWORDS = r"(?i)(passw|pwd|secret|token|api|key|auth|credential|bearer|private)"
-HARMLESS = r"(?i)(commit|sha|md5|hash|checksum|digest|uuid|revision|version|example|order|invoice|card|phone|build)"
+KEYWORDS = NAME
+HARMLESS = r"(?i)(commit|sha|md5|hash|checksum|digest|uuid|revision|version|example|order|invoice|card|phone|build|primary|foreign|public|partition|author|keyboard|keyword|sort)"
 DICTIONARY = "access account address admin alpha application archive article assets background backup beta binary branch browser build button category channel client cluster code column commit component config connection container content context controller country customer data database date default delete demo detail device digest directory document domain download element email engine error event example export feature field file filter folder format function gateway generic group handler header health helper history home host image import index info input install instance interface internal invoice item language layout library license line link list local location login main manager map master media member memory message method model module month name network node number object option order output package page param parser password path payment period placeholder plugin policy port prefix process product profile project property public query queue record release remote report request resource response result route sample schema script search section secret server service session setting site size source stage start state static status storage stream string style system table target task template test text thread time title token tool type update upload user utils value version video view web width window worker your".split()  # noqa: E501, SIM905
 
-FEATURES = ["length", "digits", "upper", "lower", "transitions", "distinct", "dictionary", "slashes", "separators", "path_before", "keyword", "assigned", "harmless", "equals"]
+FEATURES = ["length", "digits", "upper", "lower", "transitions", "distinct", "dictionary", "slashes", "separators", "path_before", "keyword", "assigned", "harmless", "equals", "address"]
 CONTEXT, TREES, DEPTH, FINDINGS = 40, 15, 6, 6000
 
 
@@ -46,9 +50,10 @@ def features(value: Column, before: Column) -> Column:
         F.regexp_count(value, F.lit("/")).cast("double").alias("slashes"), F.regexp_count(value, F.lit("[_-]")).cast("double").alias("separators"),
         before.rlike(r"[/.:@]$").cast("double").alias("path_before"),
         near.rlike(KEYWORDS).cast("double").alias("keyword"),
-        before.rlike(r"[=:]\s*[\"']?$").cast("double").alias("assigned"),
+        before.rlike(r"([=:]|\b(is|was))\s*[\"'`]?$").cast("double").alias("assigned"),
         near.rlike(HARMLESS).cast("double").alias("harmless"),
         before.rlike(r"(=>?\s*|[\"'`])$").cast("double").alias("equals"),
+        before.rlike(r"://[^\s/@]*:$").cast("double").alias("address"),
     )
 
 
@@ -76,6 +81,9 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
     plain = F.when(i % 3 == 0, F.initcap(stem("v"))).otherwise(stem("v"))
     long = F.concat(plain, stem("w"))
     told = F.concat(prose, pick(["the key", "a secret", "token", "authors", "private", "password", "keywords"], "t"), F.lit(": "))
+    address = F.concat(prose, pick(["postgres", "mysql", "https", "redis", "amqp"], "q"), F.lit("://"), some("u"), F.lit(":"))
+    said = F.concat(prose, pick(["the password is ", "my passphrase is ", "the token was ", "Your secret is \"", "the key is '"], "z"))
+    other = F.concat(prose, pick(["primary_key", "foreign_key", "public_key", "partition_key", "sort_key", "author", "keyboard"], "j"), gives)
     firmly = F.concat(prose, name, pick(["=", " = \"", "='", ": \""], "f"))
     kinds = [
         (assign, hexed(size, "a"), 1), (assign, F.substring(base64, F.lit(1), size), 1), (prose, F.concat(F.lit("AKIA"), F.substring(upper, 1, 16)), 1),
@@ -94,34 +102,46 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
         (assign, F.concat(F.lit("${"), F.upper(some("16")), F.lit("_"), F.upper(some("17"))), 0), (assign, F.repeat(pick(["*", "x", ".", "#"], "r2"), 10), 0),
         (prose, F.concat(plain, F.lower(some("18")), plain), 0), (prose, F.repeat(pick(["-", "_", "+", "/", "a"], "r3"), 24), 0),
         (prose, long, 0), (told, long, 0), (prose, F.concat(long, stem("y")), 0), (prose, F.upper(long), 0), (prose, F.concat_ws("-", plain, some("19"), plain), 0), (prose, F.concat(some("20"), F.initcap(some("21")), F.initcap(some("22"))), 0), (assign, F.lit("[SECRET"), 0),
+        (address, F.concat(phrase("p5"), F.substring(digits, 1, 3)), 1), (address, F.substring(base64, F.lit(1), short + 4), 1), (said, F.concat(F.initcap(phrase("p6")), F.substring(digits, 1, 2), mark), 1), (said, F.substring(base64, F.lit(1), size), 1),
+        (said, pick(["required", "incorrect", "missing", "invalid", "stored", "changed", "optional", "expired", "encrypted", "correct", "wrong,", "needed"], "w"), 0), (F.concat(said, F.lit("")), plain, 0),
+        (other, dashed, 0), (other, F.concat_ws("_", some("23"), some("24")), 0), (other, hexed(F.lit(12) + i % 8, "z"), 0), (other, F.concat(some("25"), F.substring(digits, 1, 4)), 0),
     ]
     turn = F.pmod(i, F.lit(len(kinds)))
     each = F.array(*(F.struct(b.alias("before"), v.alias("value"), F.lit(float(y)).alias("label")) for b, v, y in kinds))
     return spark.range(0, n, 1, 1).select("id", turn.cast("int").alias("maker"), F.get(each, turn.cast("int")).alias("f")).select("id", "maker", "f.*")
 
 
-def grow(node: list[str], f: Column) -> tuple[Column, int]:
-    """The expression of a tree printed by pyspark.ml, and how many lines it took: 1.0 for a secret."""
-    line = node[0].strip()
-    if m := re.match(r"Predict: (\S+)", line):
-        return F.lit(float(m[1])), 1
-    m = re.match(r"If \(feature (\d+) <= (\S+)\)", line)
-    yes, used = grow(node[1:], f)
-    no, more = grow(node[used + 2 :], f)
-    return F.when(f[FEATURES[int(m[1])]] <= float(m[2]), yes).otherwise(no), used + more + 2
+Node = tuple  # (feature, threshold, below or equal, above), or (share of secrets,) for a leaf
+
+
+def grown(node: JavaObject) -> Node:
+    """A tree of pyspark.ml as plain tuples."""
+    if node.subtreeDepth() == 0:
+        harmless, secret = node.impurityStats().stats()
+        return (secret / (harmless + secret),)
+    split = node.split()
+    return (FEATURES[split.featureIndex()], split.threshold(), grown(node.leftChild()), grown(node.rightChild()))
+
+
+def written(node: Node, f: Column) -> Column:
+    """The expression of a tree: the share of secrets in the leaf that f falls into."""
+    if len(node) == 1:
+        return F.lit(float(node[0]))
+    feature, threshold, low, high = node
+    return F.when(f[feature] <= float(threshold), written(low, f)).otherwise(written(high, f))
 
 
 class Forest:
-    """Trees as lists of lines; call vote(features) for the share of trees that see a secret."""
+    """Trees as tuples; vote(features) is the mean share of secrets in their leaves, by which pyspark.ml decides too."""
 
-    def __init__(self, text: str):
-        self.trees = [part.splitlines()[1:] for part in re.split(r"\n  (?=Tree \d+)", text)[1:]]
+    def __init__(self, model: RandomForestClassificationModel):
+        self.trees = [grown(tree._java_obj.rootNode()) for tree in model.trees]
 
     def vote(self, f: Column) -> Column:
         """f: a column or a lambda variable; as an expression it would be written out at every node."""
         total = F.lit(0.0)
         for tree in self.trees:
-            total = total + grow(tree, f)[0]
+            total = total + written(tree, f)
         return total / len(self.trees)
 
 
@@ -139,7 +159,7 @@ def fitted(findings: DataFrame) -> RandomForestClassificationModel:
 
 
 def train(findings: DataFrame) -> Forest:
-    return Forest(fitted(findings).toDebugString)
+    return Forest(fitted(findings))
 
 
 def with_findings(documents: DataFrame, forest: Forest, text: str = "text") -> tuple[DataFrame, dict[str, str]]:
@@ -167,8 +187,8 @@ def with_findings(documents: DataFrame, forest: Forest, text: str = "text") -> t
 def scan_secrets(documents: DataFrame, forest: Forest | None = None) -> DataFrame:
     """doc_id, n_candidates, n_secrets, secrets ("start:end,...") of every row.
 
-    Candidates are runs of 16 or more of [A-Za-z0-9+/_-], and whatever of six or more characters is given to a secret-like
-    name (GIVEN); what is neither isn't seen. A null or empty text has no candidates. Repeated rows and null ids each get
+    Candidates are runs of 16 or more of [A-Za-z0-9+/_-], and whatever of six or more characters is given to a secret-like name,
+    said to be one, or the password of an address (GIVEN); what is neither isn't seen. A null or empty text has no candidates. Repeated rows and null ids each get
     a row, further columns take no part, an empty table gives no rows.
     """
     forest = forest or train(labelled_findings(documents.sparkSession))
@@ -179,7 +199,8 @@ def scan_secrets(documents: DataFrame, forest: Forest | None = None) -> DataFram
 
 
 def redact_secrets(documents: DataFrame, forest: Forest | None = None) -> DataFrame:
-    """documents, each secret in text replaced by [SECRET]; other columns, and texts without secrets, stay as they are."""
+    """documents, each secret in text replaced by [SECRET]; other columns, and texts without secrets, null and empty ones too, stay as
+    they are, as do repeated rows; an empty table gives no rows."""
     forest = forest or train(labelled_findings(documents.sparkSession))
     d, c = with_findings(documents, forest)
     part = lambda x, i: F.concat(F.get(c["gaps"], i), F.when(x["vote"] > 0.5, F.lit("[SECRET]")).otherwise(x["value"]))

@@ -537,16 +537,36 @@ def test_candidates_as_by_a_plain_scan(spark, docs, forest):
 
 
 def test_forest_votes_as_the_library(spark):
-    """The forest written out as an expression against the library's own predictions."""
+    """The forest written out as an expression against the library's own probabilities, on every row."""
     model = secret_scan.fitted(secret_scan.labelled_findings(spark))
-    written = secret_scan.Forest(model.toDebugString)
+    written = secret_scan.Forest(model)
     f = secret_scan.labelled_findings(spark, 9000).where(f"id >= {secret_scan.FINDINGS}")
-    theirs = model.transform(secret_scan.assembled(f)).select(*secret_scan.FEATURES, "prediction", "rawPrediction")
+    theirs = model.transform(secret_scan.assembled(f)).select(*secret_scan.FEATURES, "prediction", "probability")
     both = theirs.withColumn("f", F.array(F.struct(*secret_scan.FEATURES))).withColumn("ours", F.transform("f", written.vote)[0])
-    rows = both.select("prediction", "ours").collect()
-    # the library adds up the leaves' shares, the expression their verdicts; they differ only where the forest is divided
-    same = sum((r.ours > 0.5) == (r.prediction == 1.0) for r in rows)
-    assert same >= 0.98 * len(rows) and all(r.ours in (0.0, 1.0) or (r.ours > 0.5) == (r.prediction == 1.0) or abs(r.ours - 0.5) < 0.35 for r in rows)
+    rows = both.select("prediction", "probability", "ours").collect()
+    assert len(rows) == 3000 and all((r.ours > 0.5) == (r.prediction == 1.0) and abs(r.ours - r.probability[1]) < 1e-9 for r in rows)
+
+
+def test_forms_of_secrets(spark, forest):
+    """What was missed, and what was damaged, before: 60 strings of each form."""
+    rnd = random.Random(8)
+    some = lambda n, a="abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789": "".join(rnd.choice(a) for _ in range(n))
+    hexed = lambda n: some(n, "0123456789abcdef")
+    uuid = lambda: "-".join(hexed(n) for n in (8, 4, 4, 4, 12))
+    names = ["Margaret", "Alexander", "Fernando", "Katarina", "Giovanni", "Charlotte"]
+    found = {
+        "postgres://app:{}@db.host/x": lambda: some(14), "the password is {} for now": lambda: some(9) + rnd.choice("!#$"), "clientSecret: '{}'": lambda: some(24), '"client_secret": "{}"': lambda: some(32),
+        "password={}": lambda: hexed(14), "AUTH_TOKEN={}": lambda: hexed(40), "key AKIA{} here": lambda: some(16, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), "use ghp_{} now": lambda: some(36), "sk_live_{}": lambda: some(24), "Authorization: Bearer {}": lambda: some(40),
+    }
+    kept = {
+        "primary_key = {}": uuid, "author = {}": lambda: rnd.choice(names), "keyboard: {}": lambda: rnd.choice(["QWERTY12", "DVORAK99", "logitech-k120"]), "monkey: {}": lambda: rnd.choice(names), "the password is {}": lambda: rnd.choice(["required", "incorrect", "missing", "expired"]),
+        "commit {}": lambda: hexed(40), "uuid={}": uuid, "see https://host:8080/{}": lambda: "docs/index/page", "the key is {}": lambda: rnd.choice(["understanding", "practice", "patience"]),
+    }
+    rows = [(form, form.format(make())) for forms in (found, kept) for form, make in forms.items() for _ in range(60)]
+    d = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    hits = collections.Counter(rows[r.doc_id][0] for r in secret_scan.scan_secrets(d, forest).collect() if r.n_secrets)
+    missed, damaged = {f: hits[f] for f in found if hits[f] < 54}, {f: hits[f] for f in kept if hits[f] > 3}
+    assert not missed and not damaged, (missed, damaged)
 
 
 def test_forest_on_unseen_makers(spark):
