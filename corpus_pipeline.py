@@ -29,15 +29,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Each row is a document of its own, also where ids repeat or are null (null comes last, ties go to the row read first), so no
     text goes that isn't linked with one that stays. Documents without words link with nothing and stay.
     """
+    unclear = docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").limit(1).count()
     (row,) = taken(docs, "row")
-    rows = cut(docs.withColumn(row, F.monotonically_increasing_id()))
+    rows = cut(docs.withColumn(row, F.monotonically_increasing_id())) if unclear else docs.withColumn(row, F.col("doc_id"))
     classes = cut(jaccard_classes(rows.select(F.col(row).alias("doc_id"), "text"), n=5, num=80, den=100).select(F.col("doc_id").alias(row), F.col("component_id").alias("_c")))
-    copied = classes.where(F.col(row) != F.col("_c"))
-    groups = small(cut(copied.select("_c").distinct()), SOME)
-    members = cut(classes.join(groups, "_c").join(rows.select(row, "doc_id"), row))
-    first = members.groupBy("_c").agg(F.min_by(row, F.struct(F.col("doc_id").isNull(), "doc_id", row)).alias("_first"))
-    gone = members.join(small(cut(first), SOME), "_c").where(F.col(row) != F.col("_first")).select(row)
-    return rows.join(small(cut(gone), SOME), row, "left_anti").select(docs.columns)
+    gone = classes.where(F.col(row) != F.col("_c"))
+    if unclear:  # a component is named by its first row, which needn't have its smallest id
+        groups = small(cut(gone.select("_c").distinct()), SOME)
+        members = cut(classes.join(groups, "_c").join(rows.select(row, "doc_id"), row))
+        first = members.groupBy("_c").agg(F.min_by(row, F.struct(F.col("doc_id").isNull(), "doc_id", row)).alias("_first"))
+        gone = members.join(small(cut(first), SOME), "_c").where(F.col(row) != F.col("_first"))
+    return rows.join(small(cut(gone.select(row)), SOME), row, "left_anti").select(docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
