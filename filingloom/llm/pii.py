@@ -35,7 +35,8 @@ GENERALISE, REMOVE, PAIR, QUANTILE = 0.8, 0.95, 3, 1.0
 #: Rows up to which a table of terms, or of documents that hold disclosing terms, is broadcast.
 BROADCAST = 200_000
 
-TERM = r"(?<!\S)\p{P}*+(\p{L}{3,}+)\p{P}*+(?!\S)"
+#: A term: letters and digits, at least one letter, with hyphens and apostrophes inside; punctuation may stand around it.
+TERM = r"(?<!\S)\p{P}*+((?=[\p{N}'’-]*+\p{L})[\p{L}\p{M}\p{N}]++(?:['’-][\p{L}\p{M}\p{N}]++)*+)\p{P}*+(?!\S)"
 
 
 def luhn(digits: Column) -> Column:

@@ -264,10 +264,27 @@ def test_terms_of_one_value(spark):
     assert got[20] == ["email"] and all(got[100 + i] == [""] for i in range(60))
 
 
+def test_names_of_any_shape(spark):
+    """Six texts each beside one value: names with hyphens, apostrophes, digits, of two letters, of other scripts."""
+    rnd = random.Random(3)
+    fill = lambda k: " ".join(rnd.choice(["alpha", "beta", "gamma", "and", "or", "sigma"]) for _ in range(k))
+    names = ["Jean-Luc", "O'Neill", "O’Brien", "Agent47", "Wu", "王伟", "Quirinus", "Ньюман", "Zoë", "D'Arcy-Smith", "R2D2", "Ng"]
+    rows = [(10 * i + k, f"{fill(9)} {rnd.choice(['', '(', '\"'])}{name}{rnd.choice(['', ',', '.', ')'])} {fill(12)} p{i}@mail.example and 4111 1111 1111 1111 or +1 017 555 771{i % 10}.") for i, name in enumerate(names) for k in range(6)]
+    rows += [(1000 + i, fill(40)) for i in range(300)]
+    text = dict(rows)
+    found = collections.defaultdict(set)
+    for r in pii.digests(pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string"))).collect():
+        for s in r.spans.split(","):
+            kind, *at = s.split(":")
+            if kind in ("term", "drop"):
+                found[r.doc_id // 10].add(text[r.doc_id][int(at[0]) : int(at[1])])
+    assert {i: {n} for i, n in enumerate(names)} == dict(found)
+
+
 def plain_disclosure(rows):
     """term: the share of information that it reveals of the entity that it reveals most of, by counting."""
     texts = {t or "" for _, t in rows}
-    word = regex.compile(r"(?<!\S)\p{P}*+(\p{L}{3,}+)\p{P}*+(?!\S)")
+    word = regex.compile(pii.TERM)
     held = {}
     for t in texts:
         spans = [(k, m[0]) for k, p in BASE.items() for m in re.finditer(p, t) if ok_kinds(m[0], k)]
