@@ -1,5 +1,6 @@
 """Filings, tables, markdown and chunks, against loops written from the rules."""
 
+import collections
 import random
 import re
 
@@ -614,3 +615,38 @@ def test_families_are_rewritten(spark, tmp_path):
     sources.write_families(rows("a", 5).union(rows("b", 7)), str(tmp_path))
     sources.write_families(rows("b", 2), str(tmp_path))
     assert {(r.family, r["count"]) for r in spark.read.parquet(str(tmp_path)).groupBy("family").count().collect()} == {("a", 5), ("b", 2)}
+
+
+def test_both_readers_make_the_same_tree():
+    """The parser for well-formed markup against the tolerant reader, on random markup, whole and damaged."""
+    rnd = random.Random(6)
+    flat = lambda n: [k if isinstance(k, str) else (k.tag, k.attrs, flat(k)) for k in n.kids]
+    used = collections.Counter()
+
+    def made(depth=0):
+        out = ""
+        for _ in range(rnd.randint(0, 4)):
+            kind = rnd.random()
+            if kind < 0.4 or depth > 4:
+                out += rnd.choice(["text", " ", "\n", "a &amp; b", "&lt;x&gt;", "한국 é", "&quot;", ">", "]]", "tab\there", "&nbsp;", "&", "&#65;", "<!-- c -->", "<![CDATA[d]]>", "<?pi x?>", "\r\n"] + ["plain"] * 20)
+            else:
+                tag = rnd.choice(["P", "td", "Table", "SECTION-1", "br", "script", "a:b", "_x", "é"] + ["TD", "TR"] * 6)
+                attrs = "".join(f' {rnd.choice(["A", "b", "rowSpan"])}{i}={chr(34) + rnd.choice(["x", "&amp;&lt;", "1 2", "it" + chr(39) + "s", ""]) + chr(34)}' for i in range(rnd.randint(0, 2)))
+                out += f"<{tag}{attrs}/>" if rnd.random() < 0.2 else f"<{tag}{attrs}>{made(depth + 1)}</{tag}>"
+        return out
+
+    for _ in range(4000):
+        text = rnd.choice(["", "<?xml version='1.0' encoding='euc-kr'?>"]) + f"<DOCUMENT>{made()}{made()}</DOCUMENT>"
+        if rnd.random() < 0.3:
+            at = rnd.randrange(len(text))
+            text = text[:at] + rnd.choice(["", "<", ">", "&", "/", '"', "x"]) + text[at + 1 :]
+        for html in (False, True):
+            fast, reader = markup.well_formed(text, html), markup.Reader(html)
+            used[fast is not None] += 1
+            if fast is not None:
+                reader.feed(text)
+                reader.close()
+                assert flat(fast) == flat(reader.root), text
+    assert used[True] > 1000 and used[False] > 1000
+    long = "<DOCUMENT><P>" + "long text é " * 20_000 + "</P></DOCUMENT>"
+    assert len(markup.well_formed(long, False).kids[0].kids[0].kids) == 1
