@@ -17,8 +17,21 @@ from filingloom.llm.secret_scan import redact_secrets
 from filingloom.llm.sentencepiece_trie import encode, load
 
 
+#: Rows of an Arrow batch at most while the pipeline runs: texts are long, and a batch stands in the JVM and in Python at once.
+BATCH = 1000
+
+
+def bounded(spark: SparkSession) -> None:
+    """Holds the session's Arrow batches to BATCH rows, unless it asks for fewer. Batches are made when a stage's result is
+    written, so the setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH:
+        spark.conf.set(name, str(BATCH))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores 0.5 or more; a null or empty text is scored as any other."""
+    bounded(spark)
     model = train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return docs.where(model.score() >= 0.5)
 
@@ -29,6 +42,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Each row is a document of its own, also where ids repeat or are null (null comes last, ties go to the row read first), so no
     text goes that isn't linked with one that stays. Documents without words link with nothing and stay.
     """
+    bounded(spark)
     unclear = docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").limit(1).count()
     (row,) = taken(docs, "row")
     rows = cut(docs.withColumn(row, F.monotonically_increasing_id())) if unclear else docs.withColumn(row, F.col("doc_id"))
@@ -58,6 +72,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens and ids of every row."""
+    bounded(spark)
     coded = encode(docs, load(), keep=("doc_id", "source"))
     return coded.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
