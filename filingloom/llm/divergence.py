@@ -183,8 +183,7 @@ def audit(documents: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame
     their own; other columns are ignored; a language of one source has no pairs, an empty table gives no rows.
     Ties go to the smaller item by bytes.
     """
-    counted = term_counts(documents).groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs"))
-    # all that is rare in a language goes here; the sums of the rest are written once
+    counted = cut(term_counts(documents).groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs")))  # texts are read once
     terms = counted.where("term is not null").groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("count").alias("total")).where(F.col("docs") >= least)
     terms = cut(terms.select("lang", "term", "total"))
     langs = cut(terms.groupBy("lang").agg(F.count("*").alias("v"), F.sum("total").alias("lang_n")))
