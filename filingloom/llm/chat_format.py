@@ -79,7 +79,8 @@ def format_conversations(conversations: DataFrame, template: dict = TEMPLATE) ->
 def read_back(segments: DataFrame, template: dict = TEMPLATE) -> DataFrame:
     """What the formatted text holds, parsed from the text alone; hashes run along, so no conversation is held whole.
 
-    It expects the rows as format_conversations leaves them: a conversation within one partition, in order.
+    It expects the rows as format_conversations leaves them: a conversation within one partition, in order. A null conv_id
+    is a conversation; null and empty texts read back as empty turns; an empty table gives no rows.
     """
     control = controls(template)
     opens = {pair[0]: role for role, pair in template["roles"].items()}

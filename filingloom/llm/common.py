@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from filingloom.sources import staged
@@ -94,9 +94,31 @@ def words(text: str = "text") -> Column:
     return F.when(F.length(bare) > 0, F.split(bare, r"[\x20\x09-\x0D]+", -1)).otherwise(F.array().cast("array<string>"))
 
 
+#: Bytes of texts and arrays that a broadcast side may hold.
+BROADCAST_BYTES = 64 << 20
+
+
 def small(df: DataFrame, most: int) -> DataFrame:
-    """df, marked for broadcast only if it is counted to have at most so many rows; else Spark shuffles both sides."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+    """df, marked for broadcast only if it is counted to have at most so many rows, whose texts, arrays and the like are
+    measured to hold at most BROADCAST_BYTES; else Spark shuffles both sides."""
+    if df.limit(most + 1).count() > most:
+        return df
+    kinds = {f.name: f.dataType.typeName() for f in df.schema}
+    wide = [F.octet_length(c) for c, k in kinds.items() if k in ("string", "binary")] + [F.octet_length(F.to_json(F.struct(c))) for c, k in kinds.items() if k in ("array", "map", "struct")]
+    if wide and (df.agg(sum((F.coalesce(F.sum(w), F.lit(0)) for w in wide), F.lit(0))).first()[0] or 0) > BROADCAST_BYTES:
+        return df
+    return F.broadcast(df)
+
+
+def numbered(rows: DataFrame, name: str, *order: Column) -> DataFrame:
+    """rows with their places in an order, from 0, as column `name`. Ranges are sorted each on its own and follow one another by
+    their sums, so no task sees all rows; rows that tie in the order stay in one range."""
+    part, before = taken(rows, "part", "before")
+    ranged = cut(rows.repartitionByRange(*order).withColumn(part, F.spark_partition_id()))
+    sums = ranged.groupBy(part).agg(F.count("*").alias(before))  # a row for each range
+    sums = sums.select(part, F.coalesce(F.sum(before).over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(before))
+    at = F.row_number().over(Window.partitionBy(part).orderBy(*order)) - 1 + F.col(before)
+    return ranged.join(F.broadcast(cut(sums)), part).withColumn(name, at.cast("long")).drop(part, before)
 
 
 def by_total(rows: DataFrame, totals: DataFrame, key: str, n: str, parts: int = 10_000) -> DataFrame:

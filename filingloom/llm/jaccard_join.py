@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from filingloom.llm.common import connected, cut, small
+from filingloom.llm.common import connected, cut, numbered, small
 from filingloom.llm.hashing import U, changes, gram_sets, mix64, portions, text_bytes
 
 #: Ratio of a band's sizes; points of a leaf; points of a tree, and points that search it together.
@@ -34,6 +34,8 @@ GROUPS = (1024, 4096)
 GATHERED = 1 << 23
 #: Ids up to which the documents with a candidate partner are broadcast; beyond, texts are joined by a shuffle.
 SOME = 1_000_000
+#: Rows without an id are numbered from here on, so that those with one come first.
+FREE = 1 << 62
 
 
 def bands(num: int, den: int, size: int) -> np.ndarray:
@@ -314,12 +316,30 @@ def jaccard_classes(documents: DataFrame, n: int = 4, num: int = 85, den: int =
     the verified links of the document's class that joined its component: at least one for each class of a component
     of several, but not all pairs of it. A text with fewer than n words is one gram, a text without words (or null)
     an empty set that links with nothing. Rows that repeat a doc_id are one document: each of its sets links on its
-    own, and what they reach is one component. Rows without a doc_id, and further columns, take no part. An empty
-    table gives no rows. Hashes are of 64 bits a gram and of 128 bits a set.
+    own, and what they reach is one component. Rows without a doc_id are documents of their own, which link as others do, but
+    name nothing: component_id and class_id are null where no document with an id is reached, or has the set. Further
+    columns take no part. An empty table gives no rows. Hashes are of 64 bits a gram and of 128 bits a set.
     """
-    docs = documents.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     if 2 * num < den:
         raise ValueError("similarities below 1/2 aren't supported")
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    if not docs.where("doc_id is null").limit(1).count():
+        return classes_of(docs, n, num, den)
+    nameless = cut(docs.where("doc_id is null").withColumn("doc_id", F.lit(FREE) + F.monotonically_increasing_id()))
+    docs, ids = docs.where("doc_id is not null"), None
+    if (docs.agg(F.max("doc_id")).first()[0] or 0) >= FREE:  # no room above: ids are numbered in their order
+        ids = cut(numbered(docs.select("doc_id").distinct(), "place", F.col("doc_id")))
+        docs = docs.join(ids, "doc_id").select(F.col("place").alias("doc_id"), "text")
+    out = classes_of(docs.union(nameless), n, num, den)
+    for c in ("doc_id", "component_id", "class_id"):
+        out = out.withColumn(c, F.when(F.col(c) < FREE, F.col(c)))
+        if ids is not None:
+            out = out.join(ids.select(F.col("place").alias(c), F.col("doc_id").alias("_id")), c, "left").withColumn(c, F.col("_id")).drop("_id")
+    return out.select("doc_id", "n_shingles", "component_id", "class_id", "joining_links")
+
+
+def classes_of(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """jaccard_classes of (doc_id, text) without nulls."""
     rows = cut(outlined(docs, n, num, den))
     classes = rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("class_id"))
     own = cut(rows.where("n > 0").select("doc_id", "n", "key").join(classes, "key").select("doc_id", "n", "class_id"))

@@ -177,7 +177,10 @@ def find_personal_data(documents: DataFrame) -> DataFrame:
 
 def sanitised(documents: DataFrame) -> DataFrame:
     """documents with text rewritten: valid base values as [KIND], kind by kind in their order, then disclosing terms as [TERM],
-    removed terms as nothing; all other columns stay. What one kind has replaced the next doesn't see."""
+    removed terms as nothing; all other columns stay. What one kind has replaced the next doesn't see.
+
+    A null text stays null, an empty one empty. Repeated rows each stay, a null id too; names of further columns can't clash;
+    an empty table gives no rows."""
     key, strong, pattern, gaps, hits, now = taken(documents, "row", "strong", "pattern", "gaps", "hits", "now")
     held = strong_terms(documents)[1].select(F.col("row_key").alias(key), F.col("strong").alias(strong))
     d = documents.withColumn(key, identity()).join(small(held, BROADCAST), key, "left").withColumn(pattern, term_pattern(strong)).withColumn(now, F.col("text"))

@@ -263,7 +263,8 @@ def encode(documents: DataFrame, pieces: Pieces, text: str = "text", keep: tuple
 
 
 def decode(pieces: Pieces, ids: str = "ids") -> F.Column:
-    """The text of an ids column: bytes joined, marks as spaces, the first mark dropped."""
+    """The text of an ids column: bytes joined, marks as spaces, the first mark dropped. Null ids are a null text, no ids an
+    empty one; each row is read on its own, so repeated rows give equal texts and an empty table none."""
     text = pieces.text
 
     def texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -14,7 +14,7 @@ import regex
 from pyspark.sql import functions as F
 
 from filingloom.llm import chat_format, divergence, hashing, jaccard_join, licenses, mixing, packing, pii, quality_classifier, quality_rules, secret_scan, sentencepiece_trie, topk, vector_codes
-from filingloom.llm.common import connected, table
+from filingloom.llm.common import connected, numbered, small, table
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^ \t-\r]+")
@@ -514,6 +514,44 @@ def test_mixing(spark, docs, odd, which):
         assert mixing.mix(d.limit(0)).count() == 0
 
 
+def test_targets_of_many_sources(spark):
+    """Thousands of sources, most of them at their caps: weights in turn by code point, levels as by plain water-filling."""
+    rnd = random.Random(4)
+    sizes = {(f"s{i:05d}" if i % 7 else f"é{i}"): rnd.choice([0, 1, 3, 40, 1000, 10**6]) for i in range(3000)} | {None: 7}
+    sized = spark.createDataFrame([(s, n, i) for i, (s, n) in enumerate(sizes.items())], "source string, size long, doc_id long")
+    want = water(sizes)
+    got = {r.source: r.target for r in mixing.targets(sized).collect()}
+    assert got.keys() == want.keys() and all(math.isclose(got[s], want[s], rel_tol=1e-9, abs_tol=1e-9) for s in want)
+
+
+def test_mixing_of_a_hot_size_and_rows_without_ids(spark):
+    """A stratum is split by a hash of id and text, so rows without ids don't meet in one part, and reruns agree."""
+    rows = [(None if i % 2 else i, f"a b {i}", "hot") for i in range(4000)] + [(i, "w " * 50, "cold") for i in range(1000)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(d.withColumn("mark", F.xxhash64("text")), keep=("mark",)).collect()
+    assert sorted(map(str, got)) == sorted(map(str, mixing.mix(d.withColumn("mark", F.xxhash64("text")).repartition(5), keep=("mark",)).collect()))
+    assert len(got) == 5000
+    for source in ("hot", "cold"):
+        of = [r for r in got if r.source == source]
+        assert abs(sum(r.taken for r in of) - of[0].target) <= 50 and max(r.copies for r in of) - min(r.copies for r in of) <= 1
+    parts = mixing.sizes(d).where("source = 'hot'").select(F.pmod("h", F.lit(16)).alias("p")).groupBy("p").count().collect()
+    assert len(parts) == 16 and max(r["count"] for r in parts) < 400
+
+
+def test_numbered_and_small(spark):
+    rnd = random.Random(3)
+    rows = [(rnd.choice([None, "", "a", "é", "z"]), rnd.randrange(10**6)) for _ in range(5000)]
+    d = spark.createDataFrame(rows, "part string, before long")
+    got = numbered(d, "place", F.col("part").asc_nulls_last(), F.col("before")).orderBy("place").collect()
+    assert [r.place for r in got] == list(range(5000))
+    assert [(r.part, r.before) for r in got] == sorted(rows, key=lambda r: (r[0] is None, r[0] or "", r[1]))
+    assert numbered(d.limit(0), "place", F.col("part")).count() == 0
+    hinted = lambda df, most: "broadcast" in df._jdf.queryExecution().logical().toString().lower() if (df := small(df, most)) is not None else None
+    assert hinted(d, 5000) and not hinted(d, 4999)
+    long = spark.range(70).select(F.repeat(F.lit("x"), 1_000_000).alias("text"), F.array("id").alias("ids"))
+    assert not hinted(long, 5000) and hinted(long.limit(60), 5000)
+
+
 # 8: secrets
 @pytest.fixture(scope="module")
 def forest(spark):
@@ -733,6 +771,21 @@ def test_jaccard_repeated_ids(spark, more):
     assert got == {(i, len(x), root[i]) for i, x in sets}
 
 
+@pytest.mark.parametrize("top", [0, (1 << 62) + 5])
+def test_jaccard_rows_without_ids(spark, top):
+    """Each row without an id is a document: it may link others, but gives no name; ids may be as large as they come."""
+    text = lambda k, first=0: " ".join(f"w{k}x{i}" for i in range(first, 80 + first))
+    rows = [(7 + top, text(1, 5)), (9 + top, text(1, 11)), (None, text(1, 8)), (None, text(2)), (None, text(2) + " more"), (None, text(3)), (4, text(3)), (None, ""), (None, None), (12, "alone"), (-3, None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").withColumn("place", F.lit("clash"))
+    got = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_classes(d).collect())
+    made = [(i if i is not None else (1 << 62) + 100 + k, t) for k, (i, t) in enumerate(rows)]
+    want = brute_components(made, 4, 85, 100)
+    name = lambda i: None if i >= (1 << 62) + 100 else i
+    assert got == collections.Counter((name(i), n, name(root)) for i, (n, root) in want.items())
+    assert want[9 + top][1] == 7 + top  # linked by the row without an id only
+    assert collections.Counter(r.component_id for r in jaccard_join.jaccard_classes(d.where("doc_id is null")).collect()) == {None: 6}
+
+
 def shingles(text, n):
     w = re.findall(r"[^ \t-\r]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     return {tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
