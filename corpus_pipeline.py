@@ -30,7 +30,8 @@ def bounded(spark: SparkSession) -> None:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier scores 0.5 or more; a null or empty text is scored as any other."""
+    """Documents that the classifier scores 0.5 or more; a null or empty text is scored as any other. Repeated rows, and rows
+    without an id, are scored each; an empty table stays empty."""
     bounded(spark)
     model = train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return docs.where(model.score() >= 0.5)
@@ -57,12 +58,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, secrets in its text redacted."""
+    """Every document, secrets in its text redacted; null and empty texts and repeated rows stay, an empty table stays empty."""
     return redact_secrets(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each row as often as the mix takes it. Rows without an id, or with that of others, are decided one by one."""
+    """Each row as often as the mix takes it. Rows without an id, or with that of others, are decided one by one, by a hash of id and
+    text, so reruns differ in equal rows at most. Null and empty texts have size 0; an empty table stays empty."""
     row, copies, copy = taken(docs, "row", "copies", "copy")
     rows = cut(docs.withColumn(row, F.monotonically_increasing_id()))
     often = mix(rows.select("doc_id", "source", "text", F.col(row).alias("row")), keep=("row",)).where("copies > 0").select(F.col("keep_row").alias(row), F.col("copies").alias(copies))
@@ -71,7 +73,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, n_tokens and ids of every row."""
+    """doc_id, source, n_tokens and ids of every row, repeated ones and those without an id too; a null or empty text has no
+    ids, an empty table no rows."""
     bounded(spark)
     coded = encode(docs, load(), keep=("doc_id", "source"))
     return coded.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
