@@ -9,6 +9,7 @@ import pytest
 from filingloom import sources
 from filingloom.functions import sanitize_markup
 from filingloom.operators import documents, embedding, exchange, failures, markdown, markup, metadata, periodic, report, tables
+from filingloom.plans import queries
 from pyspark.sql import functions as F
 
 XML = """<DOCUMENT><DOCUMENT-NAME ACODE="1">[기재정정] Rep</DOCUMENT-NAME><COMPANY-NAME AREGCIK="9">(주) A&B</COMPANY-NAME>
@@ -650,3 +651,11 @@ def test_both_readers_make_the_same_tree():
     assert used[True] > 1000 and used[False] > 1000
     long = "<DOCUMENT><P>" + "long text é " * 20_000 + "</P></DOCUMENT>"
     assert len(markup.well_formed(long, False).kids[0].kids[0].kids) == 1
+
+
+def test_page_titles_read_ampersands_alone(spark, tmp_path):
+    titles = ["a &amp; b", "cut &amp", "&quot;q&quot; &lt", "&amp;quot; x", "R&D & more"]
+    rows = [(i, f"<html><head><title>{t}</title></head><body><h1>x &quot;</h1></body></html>") for i, t in enumerate(titles)]
+    spark.createDataFrame(rows, "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r.page_id: (r.company_name, r.report_name) for r in queries.page_titles(spark, str(tmp_path)).collect()}
+    assert got == {str(i): ("", t.replace("&amp;", "&")) for i, t in enumerate(titles)}
