@@ -659,3 +659,19 @@ def test_page_titles_read_ampersands_alone(spark, tmp_path):
     spark.createDataFrame(rows, "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
     got = {r.page_id: (r.company_name, r.report_name) for r in queries.page_titles(spark, str(tmp_path)).collect()}
     assert got == {str(i): ("", t.replace("&amp;", "&")) for i, t in enumerate(titles)}
+
+
+def test_bare_ampersands_take_the_fast_parser():
+    for text in ("<P a='x&amp;y'>A&B R&D & &amp;amp; &lt;</P>", "<P>a&</P>", "<P>&;&zz;</P>"):
+        reader = markup.Reader(False)
+        reader.feed(text)
+        reader.close()
+        fast = markup.well_formed(text, False)
+        assert fast is not None and fast.kids[0].texts() == reader.root.kids[0].texts() and fast.kids[0].attrs == reader.root.kids[0].attrs
+    assert markup.well_formed("<P>&copy 1 &nbsp;</P>", False) is None
+
+
+def test_grids_read_their_input_once(spark, tmp_path):
+    markup.filing_blocks(filings(spark, XML), "pipeline").write.parquet(str(tmp_path / "blocks"))
+    plan = tables.gridded(spark.read.parquet(str(tmp_path / "blocks")), "shared")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1
