@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filingloom.operators.metadata import embedding_candidates, keep_metadata, resume_candidates
-from filingloom.sources import append_embeddings, shared_dir
+from filingloom.sources import append_embeddings, shared_dir, small_batches
 
 Embedder = Callable[[list[str]], list[list[float]]]
 
@@ -25,6 +25,7 @@ def embed_chunks(chunks: DataFrame, embedder: Embedder, max_retries: int = 5, ba
     Texts go to the embedder in batches; a failing batch is tried again after min(2^k, 30) s, then text by text, so one
     bad text fails alone. `parallel` bounds the tasks that call the service at once.
     """
+    small_batches(chunks.sparkSession)
     rows = embedding_candidates(chunks)
     rows = rows.repartition(parallel) if parallel else rows
 

@@ -675,3 +675,9 @@ def test_grids_read_their_input_once(spark, tmp_path):
     markup.filing_blocks(filings(spark, XML), "pipeline").write.parquet(str(tmp_path / "blocks"))
     plan = tables.gridded(spark.read.parquet(str(tmp_path / "blocks")), "shared")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan parquet") == 1
+
+
+def test_long_texts_go_in_small_batches(spark):
+    rows = spark.range(3000).select(F.col("id").cast("string").alias("chunk_id"), F.repeat(F.lit("long text. "), 200).alias("text")).coalesce(1)
+    sizes = embedding.embed_chunks(rows, lambda texts: [[float(len(texts))]] * len(texts), batch=100_000)
+    assert max(r.embedding[0] for r in sizes.select("embedding").collect()) <= sources.BATCH_ROWS
