@@ -681,3 +681,11 @@ def test_long_texts_go_in_small_batches(spark):
     rows = spark.range(3000).select(F.col("id").cast("string").alias("chunk_id"), F.repeat(F.lit("long text. "), 200).alias("text")).coalesce(1)
     sizes = embedding.embed_chunks(rows, lambda texts: [[float(len(texts))]] * len(texts), batch=100_000)
     assert max(r.embedding[0] for r in sizes.select("embedding").collect()) <= sources.BATCH_ROWS
+
+
+def test_blocks_need_no_shuffle(spark):
+    docs = spark.createDataFrame([(1, "# a\n\n- x\nplain\n> q\n## b\nt"), (2, None), (None, "p")], "doc_id long, text string")
+    blocks = markdown.markdown_blocks(docs)
+    assert "Exchange" not in blocks._jdf.queryExecution().executedPlan().toString()
+    got = [(r.doc_id, r.block_no, r.type, r.text, r.level, r.heading_path) for r in blocks.collect()]
+    assert got == [(1, 1, "heading", "# a", 1, []), (1, 2, "list", "- x\nplain", None, ["a"]), (1, 3, "blockquote", "> q", None, ["a"]), (1, 4, "heading", "## b", 2, ["a"]), (1, 5, "paragraph", "t", None, ["a", "b"]), (None, 1, "paragraph", "p", None, [])]
