@@ -689,3 +689,14 @@ def test_blocks_need_no_shuffle(spark):
     assert "Exchange" not in blocks._jdf.queryExecution().executedPlan().toString()
     got = [(r.doc_id, r.block_no, r.type, r.text, r.level, r.heading_path) for r in blocks.collect()]
     assert got == [(1, 1, "heading", "# a", 1, []), (1, 2, "list", "- x\nplain", None, ["a"]), (1, 3, "blockquote", "> q", None, ["a"]), (1, 4, "heading", "## b", 2, ["a"]), (1, 5, "paragraph", "t", None, ["a", "b"]), (None, 1, "paragraph", "p", None, [])]
+
+
+def test_blocks_are_made_from_elements_in_c():
+    """Blocks of the elements in C against those of the tolerant reader's nodes."""
+    inner = "<TABLE ROWSPAN='3'><COLGROUP><COL/><COL/></COLGROUP><TR><TD>a<B>b</B>c</TD><TE ACODE='X' RowSpan='2'> v </TE></TR><TR/></TABLE>"
+    texts = [XML, f"<DOCUMENT><BODY>x<P>p<I>q</I>r</P>{inner}<TABLE-GROUP ACLASS='k'>{inner}</TABLE-GROUP><TABLE><TR><TD>{inner}</TD></TR></TABLE></BODY></DOCUMENT>", "<html><P class='a xforms_title'>t<B>u</B></P></html>", "<a/>", "<title/>"]
+    for text in texts:
+        for style, walker in markup.WALKERS.items():
+            root = markup.elements(text, style == "exchange")
+            assert style == "exchange" or root.__class__ is markup.Element  # HTML reads some elements in a way of its own
+            assert walker(root) == walker(markup.tolerant(text, style == "exchange")), (style, text)
