@@ -700,3 +700,14 @@ def test_blocks_are_made_from_elements_in_c():
             root = markup.elements(text, style == "exchange")
             assert style == "exchange" or root.__class__ is markup.Element  # HTML reads some elements in a way of its own
             assert walker(root) == walker(markup.tolerant(text, style == "exchange")), (style, text)
+
+
+def test_tidy_texts_need_no_cleaning(spark):
+    from filingloom import functions as fn
+
+    texts = ["", " ", "a", "a b", "a  b", " a", "a ", "a\tb", "a\n \nb", "a\n", "\n", "a\xa0b", "가 나", "가　나", "\x1ca", "a\x1d", "é  x", "é", "a ", "x" * 9000 + " y" * 9000, None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    c = F.col("t")
+    for made, plain in ((fn.strip(c), fn.stripped(c)), (fn.clean_text(c), F.coalesce(fn.stripped(F.regexp_replace(c, rf"(?U){fn.SPACE}+", " ")), F.lit("")))):
+        assert df.where(~made.eqNullSafe(plain)).count() == 0
+    assert [r.x for r in df.select(fn.clean_cell(c).alias("x")).collect()][:10] == ["", "", "a", "a b", "a b", "a", "a", "a b", "a\nb", "a"]
