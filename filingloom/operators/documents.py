@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +13,11 @@ from filingloom.operators.tables import table_text
 KEY = "rcept_no"
 
 
+def once(rows: DataFrame, kept: Callable[[Column], Column]) -> DataFrame:
+    """The rows of which kept is true. As a filter it would be moved below the columns' making, and make them a second time."""
+    return rows.select(F.inline(F.filter(F.array(F.struct(*rows.columns)), kept)))
+
+
 def in_order(rows: DataFrame, keys: list[str], pos: str, text: str, sep: str) -> DataFrame:
     """Texts of a group, joined in the order of pos."""
     parts = F.transform(F.sort_array(F.collect_list(F.struct(pos, text))), lambda x: x[text])
@@ -48,7 +55,7 @@ def to_markdown(meta: DataFrame, grids: DataFrame) -> DataFrame:
     b = grids.where("type in ('section', 'paragraph', 'table')").withColumn("table_text", table_text("shared"))
     text = clean_cell(F.col("text"))
     part = F.when((F.col("type") == "section") & (text != ""), F.concat(F.repeat(F.lit("#"), F.least(F.col("level") + 1, F.lit(6))), F.lit(" "), text)).when((F.col("type") == "paragraph") & (text != ""), text).when(F.col("type") == "table", F.col("table_text"))
-    parts = b.withColumn("part", part).where("part is not null")
+    parts = once(b.select(KEY, "block_no", part.alias("part")), lambda x: x["part"].isNotNull())
     bodies = in_order(parts, [KEY], "block_no", "part", "\n\n")
     head = F.concat(F.lit("# "), "document_name", F.when(F.col("is_correction"), F.lit("\n\n> ⚠️ 본 문서는 [기재정정] 정정공시입니다.")).otherwise(F.lit("")), F.lit("\n\n**제출인/회사명:** "), "company_name")
     out = meta.join(bodies, KEY, "left").select(KEY, F.concat_ws("\n\n", head, F.nullif("joined", F.lit(""))).alias("markdown"))
@@ -79,4 +86,4 @@ def periodic_texts(grids: DataFrame) -> DataFrame:
     with an error kept."""
     text = F.when(F.col("type") == "table", table_text("repeat")).otherwise(clean_text(F.col("text")))
     b = grids.where("type in ('text', 'table') or error is not null").select(KEY, "block_no", "type", "section_path", text.alias("text"), "error")
-    return b.where("coalesce(text, '') <> '' or error is not null")
+    return once(b, lambda x: (F.coalesce(x["text"], F.lit("")) != "") | x["error"].isNotNull())

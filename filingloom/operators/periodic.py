@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,8 +59,8 @@ def leading(text: str, start: int, end: int) -> int:
     return end - start - len(text[start:end].lstrip())
 
 
-def split_overlap(rows: DataFrame, most: int = MAX_CHARS, overlap: int = OVERLAP, on_error: str = "raise") -> DataFrame:
-    """rows with one row per piece of text, and its part (from 1). A null text is empty. on_error "warn" adds a column error,
+def split_overlap(rows: DataFrame, most: int = MAX_CHARS, overlap: int = OVERLAP, on_error: str = "raise", types: tuple[str, ...] = ()) -> DataFrame:
+    """rows with one row per piece of text, and its part (from 1). A null text is empty. types: rows of other types stay whole. on_error "warn" adds a column error,
     and keeps a row that can't be split with it. Only long texts go to the helper."""
 
     def cut(text: str, sentences: np.ndarray) -> list[dict]:
@@ -70,9 +72,10 @@ def split_overlap(rows: DataFrame, most: int = MAX_CHARS, overlap: int = OVERLAP
         return [{"text": whole[a:b]} for a, b in overlap_offsets(size, np.array([len(b) for b in bare], np.int64), whole, most, overlap)]
 
     text = F.coalesce("text", F.lit(""))
-    some = lambda c: F.when(F.length(text) > most, c)
+    long = (F.length(text) > most) & (F.coalesce(F.col("type").isin(*types), F.lit(False)) if types else F.lit(True))
+    some = lambda c: F.when(long, c)
     pieces = guarded(cut, on_error, "array<struct<text:string>>")(some(text), some(split_sentences(text, "periodic")))
-    made = long_ones(rows, text, most, pieces, F.struct(text.alias("text")))
+    made = long_ones(rows, long, pieces, F.struct(text.alias("text")))
     return unfolded(made, "_made", ["text"], on_error).withColumn("part", F.col("_at") + 1).drop("_at")
 
 
@@ -102,38 +105,41 @@ def buffered(blocks: DataFrame, most: int = MAX_CHARS) -> DataFrame:
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buffers, filing, before, number = Buffers(most), None, None, None
-        held: list[tuple] = []  # (rcept_no, block_no, section_path, text) of the open buffer
-
-        def closed() -> list[tuple]:
-            return [(held[0][0], held[0][1], "text", held[-1][2], "\n".join(t for *_, t in held))] if held else []
-
+        held: pa.RecordBatch | None = None  # the texts of the open buffer
         for b in batches:
-            out = []
-            for key, pos, kind, path, text in zip(*(c.to_pylist() for c in b.columns)):
+            start = held.num_rows if held is not None else 0
+            if start:
+                b = pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
+            group, groups = list(range(start)), []  # numbers of rows that make one
+            for i, (key, kind, path, length) in enumerate(zip(*(b.column(c).slice(start).to_pylist() for c in (KEY, "type", "_path", "_length"))), start):
                 if key != filing:
                     buffers, filing, before = Buffers(most), key, None
-                    out += closed()
-                    held, number = [], None
+                    groups += [group] if group else []
+                    group, number = [], None
                 if kind == "table":
-                    out.append((key, pos, kind, path, text))
+                    groups.append([i])
                 else:
-                    now = buffers.push(before != ("text", path), len(text))
+                    now = buffers.push(before != ("text", path), length)
                     if now != number:
-                        out += closed()
-                        held, number = [], now
-                    held.append((key, pos, path, text))
+                        groups += [group] if group else []
+                        group, number = [], now
+                    group.append(i)
                 before = (kind, path)
-            yield batch(out, b.schema)
-            schema = b.schema
-        if held:
-            yield batch(closed(), schema)
+            yield joined(b, groups)
+            held = b.take(pa.array(group, pa.int32())) if group else None
+        if held is not None:
+            yield joined(held, [list(range(held.num_rows))])
 
-    def batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 5, schema)], ["rcept_no", "pos", "type", "section_path", "text"])
+    def joined(b: pa.RecordBatch, groups: list[list[int]]) -> pa.RecordBatch:
+        number = lambda some: pa.array(some, pa.int32())
+        first, last, ends = number([g[0] for g in groups]), number([g[-1] for g in groups]), number([0, *accumulate(map(len, groups))])
+        texts = pa.ListArray.from_arrays(ends, b.column("text").take(number([i for g in groups for i in g])))
+        return pa.RecordBatch.from_arrays([*(b.column(c).take(first) for c in (KEY, "pos", "type")), b.column("section_path").take(last), pc.binary_join(texts, "\n")], [KEY, "pos", "type", "section_path", "text"])
 
-    rows = blocks.where("type in ('text', 'table')").select(KEY, "block_no", "type", "section_path", F.coalesce("text", F.lit("")).alias("text"))
-    kinds = f"{KEY} string, pos {rows.schema['block_no'].dataType.simpleString()}, type string, section_path array<string>, text string"
-    return rows.repartition(KEY).sortWithinPartitions(KEY, "block_no").mapInArrow(join, kinds)
+    text = F.coalesce("text", F.lit(""))
+    rows = blocks.where("type in ('text', 'table')").select(KEY, F.col("block_no").alias("pos"), "type", "section_path", text.alias("text"), F.to_json(F.struct("section_path")).alias("_path"), F.length(text).alias("_length"))
+    kinds = f"{KEY} string, pos {rows.schema['pos'].dataType.simpleString()}, type string, section_path array<string>, text string"
+    return rows.repartition(KEY).sortWithinPartitions(KEY, "pos").mapInArrow(join, kinds)
 
 
 def chunk_periodic(blocks: DataFrame, meta: DataFrame, on_error: str = "raise") -> DataFrame:
@@ -142,10 +148,7 @@ def chunk_periodic(blocks: DataFrame, meta: DataFrame, on_error: str = "raise")
     an error: see failures.isolated."""
 
     def chunks(good: DataFrame) -> DataFrame:
-        b = buffered(good)
-        texts = split_overlap(b.where("type = 'text'"), on_error=on_error).withColumn("piece", F.col("part"))
-        tables = b.where("type = 'table'").withColumn("piece", F.lit(1))
-        every = texts.drop("part").unionByName(tables, allowMissingColumns=True)
+        every = split_overlap(buffered(good), on_error=on_error, types=("text",)).withColumnRenamed("part", "piece")
         every = every.withColumn("chunk_index", F.row_number().over(Window.partitionBy(KEY).orderBy("pos", "piece")))
         large = (F.col("type") == "table") & (F.length("text") > TABLE_CHARS)
         whole = every.where(F.coalesce(~large, F.lit(True))).withColumns({"part": F.lit(None).cast("int"), "n_chars": F.length("text")})

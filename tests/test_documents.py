@@ -702,6 +702,23 @@ def test_blocks_are_made_from_elements_in_c():
             assert walker(root) == walker(markup.tolerant(text, style == "exchange")), (style, text)
 
 
+def test_texts_of_tables_are_made_once(spark, tmp_path):
+    markup.filing_blocks(filings(spark, XML), "periodic").write.parquet(str(tmp_path / "blocks"))
+    blocks = spark.read.parquet(str(tmp_path / "blocks"))
+    made = [documents.periodic_texts(tables.gridded(blocks, "repeat")), documents.to_markdown(metadata.document_meta(documents.document_header(blocks)), tables.gridded(blocks, "shared"))]
+    for df in made:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert not [line for line in plan.splitlines() if "Filter" in line and "regexp_replace" in line]
+
+
+def test_periodic_buffers_are_made_once(spark):
+    blocks = spark.createDataFrame([("a", 1, "text", ["S"], "x" * 900), ("a", 2, "text", ["S"], None), ("a", 3, "table", ["S"], "|" * 1500), ("a", 4, "text", ["S"], ""), ("a", 5, "table", ["S"], "t"), ("a", 6, "text", ["T"], "y"), ("b", 1, "text", None, "z")], "rcept_no string, block_no int, type string, section_path array<string>, text string")
+    chunks = periodic.chunk_periodic(blocks, spark.createDataFrame([("a",), ("b",)], "rcept_no string"))
+    assert chunks._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") <= 2  # one for small and one for large tables
+    got = [(r.chunk_id, r.chunk_type, r.section, r.n_chars, r.text[-2:]) for r in chunks.orderBy("chunk_id").collect()]
+    assert got == [("a_0001", "text", "S", 901, "x\n"), ("a_0002", "table", "S", 1500, "||"), ("a_0003", "text", "T", 2, "\ny"), ("a_0004", "table", "S", 1, "t"), ("b_0001", "text", None, 1, "z")]
+
+
 def test_tidy_texts_need_no_cleaning(spark):
     from filingloom import functions as fn
 
