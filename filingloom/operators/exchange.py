@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from filingloom.functions import context_text, format_row, numbered_id, section_code, section_header, split_title, strip
+from filingloom.functions import HEADER, context_text, format_row, numbered_id, section_code, section_header, split_title, strip
 from filingloom.operators.failures import isolated, parted
+from filingloom.operators.forms import MARK, OPEN
 from filingloom.operators.tables import exchange_rows
 
 KEY = "rcept_no"
@@ -19,6 +20,12 @@ def exchange_titles(blocks: DataFrame) -> DataFrame:
     return blocks.groupBy(KEY).agg(F.max(F.when(F.col("type") == "title", F.col("text"))).alias("t"), F.max("error").alias("error")).select(KEY, split_title(F.col("t")).alias("s"), "error").select(KEY, "s.*", "error")
 
 
+def marked_headers(rows: DataFrame) -> DataFrame:
+    """The keys of forms (operators.forms) in which a mark decides on a section's name: a header holds one, or may be one by it."""
+    first = F.get(F.col("cells"), F.lit(0))
+    return rows.where(F.contains(first, F.lit(OPEN)) & F.regexp_replace(first, MARK, "0").rlike(HEADER)).select(KEY).distinct()
+
+
 def carry_section(rows: DataFrame) -> DataFrame:
     """rows with section, opened (this row opens it) and line (null for a bare header): the section runs on over rows and tables."""
     first = F.get("cells", F.lit(0))

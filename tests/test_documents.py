@@ -728,3 +728,27 @@ def test_tidy_texts_need_no_cleaning(spark):
     for made, plain in ((fn.strip(c), fn.stripped(c)), (fn.clean_text(c), F.coalesce(fn.stripped(F.regexp_replace(c, rf"(?U){fn.SPACE}+", " ")), F.lit("")))):
         assert df.where(~made.eqNullSafe(plain)).count() == 0
     assert [r.x for r in df.select(fn.clean_cell(c).alias("x")).collect()][:10] == ["", "", "a", "a b", "a b", "a", "a", "a b", "a\nb", "a"]
+
+
+def test_forms_give_the_same_rows(spark):
+    from filingloom.operators import exchange, forms
+
+    odd = ["<p>a 1&frac12; 2</p>", "<p>x > 12 <b>3</b></p>", '<p class="> 5 <">6</p>', "<p>1,234.50 1.2.3 12) 3. 4,</p>", "<p> 7</p>", "<script>if (a<b) 9</script>", "<!-- 8 --><p>&#49;2 A&B 3</p>", "", "<p>5", "<p>007 8,9,10</p>"]
+    alike = [f"<html><table><tr><td>1. Sum</td></tr><tr><td>Total {n}</td><td>{n}.5</td></tr></table></html>" for n in range(20)]
+    headed = [f"<html><table><tr><td>{h}</td></tr><tr><td>k</td><td>{h}</td></tr></table></html>" for h in ("4.5", "6.7", "1. Year 2020", "1. Year 2021", "10")]
+    some = filings(spark, *odd, *alike, *headed)
+    cases, every = forms.formed(some)
+    assert cases.join(every.withColumnRenamed("rcept_no", "form"), "form").where("contains(markup, 'Total')").select("form").distinct().count() == 1
+    for style in ("pipeline", "periodic", "exchange"):
+        cols = ["rcept_no", "block_no", "type", "text", "cells.text as cells"]
+        direct = markup.filing_blocks(some, style).selectExpr(*cols)
+        again = forms.refilled(markup.filing_blocks(every, style).selectExpr(*cols), cases, ("text",), ("cells",)).select(direct.columns)
+        assert sorted(map(str, direct.collect())) == sorted(map(str, again.collect()))
+    grids = tables.gridded(markup.filing_blocks(every, "exchange"), "origin")
+    unclear = exchange.marked_headers(tables.exchange_rows(grids))
+    cases, own = forms.apart(some, cases, unclear)
+    assert own.count() == 4  # whose first cells are headers by their numbers
+    both = grids.join(unclear, "rcept_no", "left_anti").unionByName(tables.gridded(markup.filing_blocks(own, "exchange"), "origin"))
+    made = forms.refilled(exchange.exchange_sections(both)[0], cases, lists=("lines",))
+    plain = exchange.exchange_sections(tables.gridded(markup.filing_blocks(some, "exchange"), "origin"))[0]
+    assert sorted(map(str, made.select(plain.columns).collect())) == sorted(map(str, plain.collect()))
