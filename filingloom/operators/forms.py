@@ -26,14 +26,20 @@ OPEN, CLOSE, SPLIT = "\ue000", "\ue001", "\ue002"
 MARK = f"{OPEN}[0-9]+{CLOSE}"
 TAG = re.compile("<([^<>]*)>")
 #: Digits, perhaps with commas. Those before ")", "&" or a "." that ends them stay: they may number a heading, or belong to a reference.
-NUMBER = re.compile(r"((?<![0-9,])[0-9]+(?:,[0-9]+)*(?![0-9)&]|,[0-9]|\.(?![0-9])))")
+NUMBER = re.compile(r"([0-9](?<![0-9,][0-9])[0-9]*(?:,[0-9]+)*(?![0-9)&]|,[0-9]|\.(?![0-9])))")
 #: Attributes whose numbers differ between filings of one form.
-NUMBERED = re.compile(r"((?<=AUNITVALUE=\")[0-9]+(?=\")|(?<=AASSOCNOTE=\"L-)[0-9]+(?=\"))")
+NUMBERED = re.compile(r"(A(?:UNITVALUE=\"|ASSOCNOTE=\"L-))([0-9]+)(?=\")")
 REFERENCE = re.compile(rf"&[^<>&;\s{SPLIT}]*{OPEN}")
 #: Forms that a task remembers at most.
 FORMS = 20_000
 
 
+def attributes(tags: str) -> tuple[list[str], list[str]]:
+    """tags around the numbers of NUMBERED, and these. Patterns that begin with a plain character are found fastest."""
+    parts = NUMBERED.split(tags)
+    return [*map("".join, zip(parts[::3], parts[1::3])), parts[-1]], parts[2::3]
+
+
 def numbered(text: str, first: int) -> str:
     """text with a number in each mark, from first."""
     head, *rest = text.split(OPEN)
@@ -62,8 +68,8 @@ def formed(filings: DataFrame) -> tuple[DataFrame, DataFrame]:
                 numbers = []
                 if OPEN not in markup and CLOSE not in markup and SPLIT not in markup:
                     parts = TAG.split(markup)
-                    texts, tags = NUMBER.split(SPLIT.join(parts[::2])), NUMBERED.split(SPLIT.join(parts[1::2]))
-                    shape = (f"{OPEN}{CLOSE}".join(texts[::2]), f"{OPEN}{CLOSE}".join(tags[::2]))
+                    texts, (tags, values) = NUMBER.split(SPLIT.join(parts[::2])), attributes(SPLIT.join(parts[1::2]))
+                    shape = (f"{OPEN}{CLOSE}".join(texts[::2]), f"{OPEN}{CLOSE}".join(tags))
                     if shape in known:
                         key = known[shape]
                     else:
@@ -71,7 +77,7 @@ def formed(filings: DataFrame) -> tuple[DataFrame, DataFrame]:
                             known.clear()
                         form = form_of(*shape, len(texts) // 2)
                         key = known[shape] = None if form is None else hashlib.sha256(form.encode()).hexdigest()
-                    numbers = texts[1::2] + tags[1::2] if key else []
+                    numbers = texts[1::2] + values if key else []
                 if key is None:
                     form, key = markup, hashlib.sha256(markup.encode()).hexdigest()
                 keys.append(key)

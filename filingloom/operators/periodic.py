@@ -8,15 +8,19 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from filingloom.functions import numbered_id, split_sentences
 from filingloom.operators.failures import isolated
+from filingloom.operators.forms import MARK, OPEN, refilled
 from filingloom.operators.markdown import guarded, long_ones, split_table, unfolded
+from filingloom.sources import staged
 
 KEY = "rcept_no"
 MAX_CHARS, OVERLAP, TABLE_CHARS = 1400, 150, 3000
+#: A length that no text has.
+ANY = 1 << 30
 
 
 def overlap_offsets(lengths: np.ndarray, kept: np.ndarray, text: str, most: int, overlap: int) -> list[tuple[int, int]]:
@@ -142,6 +146,10 @@ def buffered(blocks: DataFrame, most: int = MAX_CHARS) -> DataFrame:
     return rows.repartition(KEY).sortWithinPartitions(KEY, "pos").mapInArrow(join, kinds)
 
 
+def chunk_ids(part: Column) -> Column:
+    return F.concat(numbered_id(F.col(KEY), F.col("chunk_index")), F.coalesce(F.concat(F.lit("_p"), part.cast("string")), F.lit("")))
+
+
 def chunk_periodic(blocks: DataFrame, meta: DataFrame, on_error: str = "raise") -> DataFrame:
     """Chunks of periodic blocks (with text). chunk_index counts tables and text pieces; parts of a table share theirs,
     and a large table without rows uses up a number. meta: document_metadata of family periodic. blocks may hold rows with
@@ -154,8 +162,42 @@ def chunk_periodic(blocks: DataFrame, meta: DataFrame, on_error: str = "raise")
         whole = every.where(F.coalesce(~large, F.lit(True))).withColumns({"part": F.lit(None).cast("int"), "n_chars": F.length("text")})
         parts = split_table(every.where(large).drop("error"), TABLE_CHARS, "periodic", on_error).drop("parts")
         c = whole.unionByName(parts, allowMissingColumns=True).join(meta, KEY)
-        cid = F.concat(numbered_id(F.col(KEY), F.col("chunk_index")), F.coalesce(F.concat(F.lit("_p"), F.col("part").cast("string")), F.lit("")))
         errors = ["error"] if on_error == "warn" else []
-        return c.select(cid.alias("chunk_id"), "chunk_index", F.col("type").alias("chunk_type"), F.array_join("section_path", " > ").alias("section"), "n_chars", "text", *meta.columns, *errors)
+        return c.select(chunk_ids(F.col("part")).alias("chunk_id"), "chunk_index", F.col("type").alias("chunk_type"), F.array_join("section_path", " > ").alias("section"), "n_chars", "text", *meta.columns, *errors)
 
     return isolated(blocks, chunks, on_error)
+
+
+def rooms(texts: DataFrame, runs: DataFrame) -> DataFrame:
+    """(form, _room): how long a filing's numbers may be for the runs of its form to stay whole. Below 0 where no length will do: a form
+    with an error, or one whose numbers decide whether two texts are of one section."""
+    limit, base = F.when(F.col("type") == "table", TABLE_CHARS).otherwise(MAX_CHARS), F.length(F.regexp_replace("text", MARK, ""))
+    marks = F.size(F.split("text", OPEN, -1)) - 1
+    room = F.when(base > limit, -1).when(marks == 0, ANY).otherwise(F.floor((limit - base) / marks))
+    before = lambda c: F.lag(c).over(Window.partitionBy(KEY).orderBy("block_no"))
+    marked = F.exists(F.concat("section_path", before("section_path")), lambda t: F.contains(t, F.lit(OPEN)))
+    other = (F.col("type") == "text") & (before("type") == "text") & ~F.col("section_path").eqNullSafe(before("section_path"))
+    unclear = F.col("error").isNotNull() | (other & F.coalesce(marked, F.lit(True)))
+    both = runs.select(KEY, room.alias("_room")).union(texts.select(KEY, F.when(unclear, -1).otherwise(ANY)))
+    return both.groupBy(F.col(KEY).alias("form")).agg(F.min("_room").alias("_room"))
+
+
+def chunk_forms(texts: DataFrame, cases: DataFrame, meta: DataFrame, on_error: str = "raise") -> DataFrame:
+    """As chunk_periodic, from the blocks (with text) of forms (operators.forms) and the filings that follow them.
+
+    Where a buffer ends depends on lengths. By its numbers' greatest length most filings are known to stay within the limits: their chunks
+    are the runs of their form, filled in. The others' blocks are filled in first, and chunked one filing at a time.
+    """
+    runs = staged(buffered(texts, ANY))
+    longest = F.coalesce(F.array_max(F.transform("numbers", F.length)), F.lit(0))
+    # a form without texts gives nothing either way
+    known = cases.join(staged(rooms(texts, runs)), "form", "left").withColumn("_fits", F.coalesce(longest <= F.col("_room"), F.lit(True))).drop("_room")
+    each = runs.select(KEY, F.row_number().over(Window.partitionBy(KEY).orderBy("pos")).alias("chunk_index"), F.col("type").alias("chunk_type"), F.array_join("section_path", " > ").alias("section"), "text")
+    kept = [c for c in meta.columns if c != KEY]
+    whole = refilled(each, known.where("_fits").join(meta, KEY), ("section", "text"), kept=tuple(kept)).withColumn("n_chars", F.length("text"))
+    errors = [F.lit(None).cast("string").alias("error")] if on_error == "warn" else []
+    whole = whole.select(chunk_ids(F.lit(None)).alias("chunk_id"), "chunk_index", "chunk_type", "section", "n_chars", "text", *meta.columns, *errors)
+    rest = known.where("not _fits").drop("_fits")
+    if rest.isEmpty():
+        return whole
+    return whole.unionByName(chunk_periodic(refilled(texts, rest, ("text",), ("section_path",)), meta, on_error))

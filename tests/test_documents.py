@@ -8,7 +8,7 @@ import pytest
 
 from filingloom import sources
 from filingloom.functions import sanitize_markup
-from filingloom.operators import documents, embedding, exchange, failures, markdown, markup, metadata, periodic, report, tables
+from filingloom.operators import documents, embedding, exchange, failures, forms, markdown, markup, metadata, periodic, report, tables
 from filingloom.plans import queries
 from pyspark.sql import functions as F
 
@@ -752,3 +752,24 @@ def test_forms_give_the_same_rows(spark):
     made = forms.refilled(exchange.exchange_sections(both)[0], cases, lists=("lines",))
     plain = exchange.exchange_sections(tables.gridded(markup.filing_blocks(some, "exchange"), "origin"))[0]
     assert sorted(map(str, made.select(plain.columns).collect())) == sorted(map(str, plain.collect()))
+
+
+def test_chunks_of_forms(spark):
+    xml = lambda body: f"<DOCUMENT><BODY>{body}</BODY></DOCUMENT>"
+    section = lambda n, *texts: f"<SECTION-1><TITLE>Line {n}</TITLE>{''.join(f'<P>{t}</P>' for t in texts)}</SECTION-1>"
+    table = lambda *cells: f"<TABLE><TR>{''.join(f'<TD>{c}</TD>' for c in cells)}</TR></TABLE>"
+    plain = [xml(section(i, f"part {i}", "same") + table(i, f"{i},000") + f"<P>end {i}</P>") for i in (7, 123, 4567)]
+    close = [xml(section(1, "a" * 1390 + f" {n} b", "more")) for n in (5, 123456, 12345678)]  # the number decides whether it is cut
+    wide = [xml(table(*["c" * 280] * 10, n)) for n in ("1", "9" * 300)]
+    same = [xml(section(i, "x") + section(j, "y")) for i, j in ((1, 1), (1, 2))]  # so do these of one buffer or two
+    bad = [xml(section(1, "kept") + table(i).replace("<TD>", '<TD ROWSPAN="x">')) for i in (1, 2)]
+    meta = lambda d: d.select("rcept_no", F.concat(F.lit("m"), "rcept_no").alias("m"))
+    got = lambda c: sorted(map(repr, c.collect()))
+    for some, how, fits in ((plain, "raise", 3), (plain + close + wide + same, "raise", 5), (plain + bad, "warn", 3)):
+        d = filings(spark, *some)
+        one_by_one = documents.periodic_texts(tables.gridded(markup.filing_blocks(d, "periodic"), "repeat"))
+        cases, every = forms.formed(d)
+        texts = documents.periodic_texts(tables.gridded(markup.filing_blocks(every, "periodic"), "repeat"))
+        assert got(periodic.chunk_forms(texts, cases, meta(d), how)) == got(periodic.chunk_periodic(one_by_one, meta(d), how))
+        room = periodic.rooms(texts, periodic.buffered(texts, periodic.ANY))
+        assert cases.join(room, "form").where(F.coalesce(F.array_max(F.transform("numbers", F.length)), F.lit(0)) <= F.col("_room")).count() == fits
