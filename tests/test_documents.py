@@ -773,3 +773,32 @@ def test_chunks_of_forms(spark):
         assert got(periodic.chunk_forms(texts, cases, meta(d), how)) == got(periodic.chunk_periodic(one_by_one, meta(d), how))
         room = periodic.rooms(texts, periodic.buffered(texts, periodic.ANY))
         assert cases.join(room, "form").where(F.coalesce(F.array_max(F.transform("numbers", F.length)), F.lit(0)) <= F.col("_room")).count() == fits
+
+
+def test_a_file_for_each_row(spark, tmp_path):
+    names = ["5", "a b+é 보", "x=1/2:%[y]{z}^'\"#*?\\", "5", "", None]  # equal names keep a file each
+    rows = spark.createDataFrame([(n, f"text {i}\nend") for i, n in enumerate(names)], "name string, value string")
+    sources.write_files(rows.coalesce(1), f"{tmp_path}/own", "name")
+    rows.write.partitionBy("name").text(f"{tmp_path}/spark")
+    folders = lambda kind: sorted(p.name for p in (tmp_path / kind).iterdir() if p.is_dir())
+    assert folders("own") == folders("spark")
+    read = sources.scan_markdown(spark, f"{tmp_path}/own", "*.txt", named_by="folder")
+    assert sorted(r.text for r in read.collect()) == [f"text {i}\nend\n" for i in range(len(names))]
+    files = sorted(p for p in (tmp_path / "own").rglob("*") if p.is_file())
+    assert len(files) == len(names) and not any(p.name.startswith(".") for p in files)
+    sources.write_files(rows.coalesce(1), f"{tmp_path}/own", "name")  # as a task that runs again
+    assert sorted(p for p in (tmp_path / "own").rglob("*") if p.is_file()) == files
+    sources.write_files(rows.limit(0), f"{tmp_path}/none", "name")
+    assert sources.scan_filings(spark, f"{tmp_path}/none", "*.txt").count() == 0
+
+
+def test_folders_are_listed_by_few_tasks(spark, tmp_path):
+    rows = spark.range(40).selectExpr("cast(id as string) as name", "'x' as value")
+    sources.write_files(rows, f"{tmp_path}/files", "name")
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before, jobs = spark.conf.get(name), spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("listing", "")
+    assert sources.listed(spark, lambda: spark.read.option("recursiveFileLookup", "true").format("binaryFile").load(f"{tmp_path}/files")).count() == 40
+    stages = [jobs.getStageInfo(s) for j in jobs.getJobIdsForGroup("listing") for s in jobs.getJobInfo(j).stageIds]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert max(s.numTasks for s in stages if s) <= 4 * spark.sparkContext.defaultParallelism and spark.conf.get(name) == before
