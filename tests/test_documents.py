@@ -802,3 +802,8 @@ def test_folders_are_listed_by_few_tasks(spark, tmp_path):
     stages = [jobs.getStageInfo(s) for j in jobs.getJobIdsForGroup("listing") for s in jobs.getJobInfo(j).stageIds]
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert max(s.numTasks for s in stages if s) <= 4 * spark.sparkContext.defaultParallelism and spark.conf.get(name) == before
+
+
+def test_pages_of_one_id_are_files_of_their_own(spark, tmp_path):
+    spark.createDataFrame([(1, "a"), (1, "bc"), (2, None)], "page_id long, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    assert sorted((r.page_id, r.bytes) for r in queries.scanned_filings(spark, str(tmp_path)).collect()) == [(1, 2), (1, 3), (2, 1)]
