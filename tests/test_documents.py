@@ -807,3 +807,21 @@ def test_folders_are_listed_by_few_tasks(spark, tmp_path):
 def test_pages_of_one_id_are_files_of_their_own(spark, tmp_path):
     spark.createDataFrame([(1, "a"), (1, "bc"), (2, None)], "page_id long, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
     assert sorted((r.page_id, r.bytes) for r in queries.scanned_filings(spark, str(tmp_path)).collect()) == [(1, 2), (1, 3), (2, 1)]
+
+
+def test_documents_are_one_paragraph_whatever_they_look_like(spark, tmp_path):
+    texts = ["4111111111111111. One\n# two\n\n| x |\n> q\n- i\r\nplain\n", "", None, " ", "a\r\n\ue000\n\ue000\n\n", "plain"]
+    rows = [(i, t, lang, source) for i, t in enumerate(texts) for lang, source in [("en", "s")]] + [(7, "- a", None, "s"), (8, "b\n\nc", "", None)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(0, 1, 5), (0, 1, 4), (2, 3, 6), (7, 1, 1)], "l_orderkey long, l_linenumber int, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    table = lambda *rows: "\n".join(["| line | part |", "| --- | --- |", *rows])
+    tables = {0: table("| 1 | 4 |", "| 1 | 5 |"), 2: table("| 3 | 6 |"), 7: table("| 1 | 1 |")}
+    want = []
+    for i, t, lang, source in rows:
+        heads = [None if x is None else s + x for s, x in (("# ", source), ("## ", lang))]
+        path = None if None in (source, lang) else f"{source} > {lang}"
+        want += [(i, 1, "heading", heads[0], ""), (i, 2, "heading", heads[1], source), (i, 3, "paragraph", t or "", path)]
+        want += [(i, 4, "table", tables[i], path)] if i in tables else []
+    assert [tuple(r) for r in queries.markdown_blocks(spark, str(tmp_path)).orderBy("doc_id", "block_no").collect()] == want
+    chunks = {r.chunk_id: r.text for r in queries.markdown_chunks(spark, str(tmp_path)).collect()}
+    assert chunks["0_0"] == f"# s\n\n## en\n\n{texts[0]}\n\n{tables[0]}" and chunks["1_0"] == "# s\n\n## en\n\n"
