@@ -200,4 +200,5 @@ def chunk_forms(texts: DataFrame, cases: DataFrame, meta: DataFrame, on_error: s
     rest = known.where("not _fits").drop("_fits")
     if rest.isEmpty():
         return whole
-    return whole.unionByName(chunk_periodic(refilled(texts, rest, ("text",), ("section_path",)), meta, on_error))
+    made = chunk_periodic(refilled(texts, rest, ("text",), ("section_path",)), meta, on_error)
+    return whole.unionByName(staged(made) if on_error == "warn" else made)  # errors are looked for in another reading

@@ -825,3 +825,37 @@ def test_documents_are_one_paragraph_whatever_they_look_like(spark, tmp_path):
     assert [tuple(r) for r in queries.markdown_blocks(spark, str(tmp_path)).orderBy("doc_id", "block_no").collect()] == want
     chunks = {r.chunk_id: r.text for r in queries.markdown_chunks(spark, str(tmp_path)).collect()}
     assert chunks["0_0"] == f"# s\n\n## en\n\n{texts[0]}\n\n{tables[0]}" and chunks["1_0"] == "# s\n\n## en\n\n"
+
+
+@pytest.fixture(scope="module")
+def few_orders(spark, tmp_path_factory):
+    """Tables of forty orders with up to three lines each."""
+    path = tmp_path_factory.mktemp("orders")
+    orders = spark.range(40).selectExpr("id as o_orderkey", "id % 3 as o_custkey", "element_at(array('F', 'O', 'P'), cast(id % 3 + 1 as int)) as o_orderstatus", "cast(1000 + id as double) as o_totalprice", "timestamp'1995-01-01' as o_orderdate", "'1-URGENT' as o_orderpriority")
+    lines = spark.range(40).selectExpr("id", "explode(sequence(0, cast(id % 4 as int))) as n").where("n > 0").selectExpr("id as l_orderkey", "id % 7 as l_partkey", "id % 5 as l_suppkey", "n as l_linenumber", "cast(n as double) as l_quantity", "cast(10 * id as double) as l_extendedprice", "timestamp'1995-02-01' as l_shipdate", "'N' as l_returnflag")
+    customers = spark.range(3).selectExpr("id as c_custkey", "concat('Customer ', id) as c_name", "'BUILDING' as c_mktsegment")
+    for name, rows in (("orders", orders), ("lineitem", lines), ("customer", customers)):
+        rows.coalesce(1).write.parquet(f"{path}/{name}.parquet")
+    return str(path)
+
+
+def test_failed_filings_are_read_once_for_each_form(spark, few_orders, monkeypatch):
+    from filingloom.plans import fixtures as fx
+
+    read, blocks_of = [], markup.filing_blocks
+
+    def counted(filings, *args, **more):
+        read.append(filings.count())
+        return blocks_of(filings, *args, **more)
+
+    monkeypatch.setattr(markup, "filing_blocks", counted)
+    got = {(r.family, r.rcept_no): (r.status, r.n_blocks, r.n_chunks, r.empty_blocks, r.error) for r in queries.failed_filings(spark, few_orders).collect()}
+    assert len(got) == 80 and max(read) < 40
+    known = metadata.attach_manifest(fx.filing_names(spark, few_orders), fx.manifest(spark, few_orders)).withColumns({"company_name": F.lit(""), "report_name": F.lit("")})
+    texts = documents.periodic_texts(tables.gridded(blocks_of(fx.damaged(fx.xml_filings(spark, few_orders), ' ROWSPAN="2"', "<BODY>"), "periodic"), "repeat"))
+    logs = {"periodic": report.run_log(known, texts, periodic.chunk_periodic(texts, metadata.document_metadata(known, "periodic"), "warn"))}
+    sections, failed = exchange.exchange_sections(tables.gridded(blocks_of(fx.damaged(fx.exchange_filings(spark, few_orders), ' rowspan="1"', "<table>"), "exchange"), "origin"))
+    sections = sections.withColumn("error", F.lit(None).cast("string")).unionByName(failed, allowMissingColumns=True)
+    chunks = exchange.chunk_exchange(sections, metadata.document_metadata(known.drop("path"), "exchange"), "warn")
+    logs["exchange"] = report.run_log(known, sections.withColumnRenamed("section_no", "block_no"), chunks, "exchange")
+    assert got == {(family, r.rcept_no): (r.status, r.n_blocks, r.n_chunks, r.empty_blocks, r.error) for family, log in logs.items() for r in log.collect()}
