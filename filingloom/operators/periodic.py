@@ -67,7 +67,7 @@ def split_overlap(rows: DataFrame, most: int = MAX_CHARS, overlap: int = OVERLAP
     """rows with one row per piece of text, and its part (from 1). A null text is empty. types: rows of other types stay whole. on_error "warn" adds a column error,
     and keeps a row that can't be split with it. Only long texts go to the helper."""
 
-    def cut(text: str, sentences: np.ndarray) -> list[dict]:
+    def cut(text: str, sentences: list[str]) -> list[dict]:
         first = next((i for i, s in enumerate(sentences) if s.strip()), len(sentences))
         some = [s.lstrip() if i == 0 else s for i, s in enumerate(sentences[first:])]
         bare = [s.rstrip() for s in some]
@@ -158,10 +158,8 @@ def chunk_periodic(blocks: DataFrame, meta: DataFrame, on_error: str = "raise")
     def chunks(good: DataFrame) -> DataFrame:
         every = split_overlap(buffered(good), on_error=on_error, types=("text",)).withColumnRenamed("part", "piece")
         every = every.withColumn("chunk_index", F.row_number().over(Window.partitionBy(KEY).orderBy("pos", "piece")))
-        large = (F.col("type") == "table") & (F.length("text") > TABLE_CHARS)
-        whole = every.where(F.coalesce(~large, F.lit(True))).withColumns({"part": F.lit(None).cast("int"), "n_chars": F.length("text")})
-        parts = split_table(every.where(large).drop("error"), TABLE_CHARS, "periodic", on_error).drop("parts")
-        c = whole.unionByName(parts, allowMissingColumns=True).join(meta, KEY)
+        large = F.coalesce((F.col("type") == "table") & (F.length("text") > TABLE_CHARS), F.lit(False))
+        c = split_table(every, TABLE_CHARS, "periodic", only=large).drop("parts").join(meta, KEY)  # in one reading: every is dear
         errors = ["error"] if on_error == "warn" else []
         return c.select(chunk_ids(F.col("part")).alias("chunk_id"), "chunk_index", F.col("type").alias("chunk_type"), F.array_join("section_path", " > ").alias("section"), "n_chars", "text", *meta.columns, *errors)
 

@@ -859,3 +859,16 @@ def test_failed_filings_are_read_once_for_each_form(spark, few_orders, monkeypat
     chunks = exchange.chunk_exchange(sections, metadata.document_metadata(known.drop("path"), "exchange"), "warn")
     logs["exchange"] = report.run_log(known, sections.withColumnRenamed("section_no", "block_no"), chunks, "exchange")
     assert got == {(family, r.rcept_no): (r.status, r.n_blocks, r.n_chunks, r.empty_blocks, r.error) for family, log in logs.items() for r in log.collect()}
+
+
+def test_long_texts_and_tables_are_split_once(spark):
+    kinds = "rcept_no string, block_no int, type string, section_path array<string>, text string"
+    rows = "\n".join(["|h|", "|-|", *[f"|{'r' * 98}|"] * 40])
+    blocks = spark.createDataFrame([("a", 1, "text", ["S"], "x" * 2000), ("a", 2, "table", ["S"], rows), ("a", 3, "table", ["S"], "w" * 3100), ("a", 4, "text", ["S"], "end"), ("a", 5, "table", ["S"], None)], kinds)
+    chunks = periodic.chunk_periodic(blocks, blocks.select("rcept_no").distinct())
+    for plan in (chunks, markdown.split_text(blocks), markdown.split_table(blocks)):
+        made = plan._jdf.queryExecution().optimizedPlan().toString()
+        assert made.count("MapInArrow") <= 1 and made.count("ArrowEvalPython") <= 1
+        assert not [line for line in made.splitlines() if "Filter" in line and ("aggregate(" in line or "split(" in line)]
+    got = [(r.chunk_id, r.n_chars, r.text[:3]) for r in chunks.orderBy("chunk_id").collect()]
+    assert got == [("a_0001", 1400, "xxx"), ("a_0002", 750, "xxx"), ("a_0003_p1", 2906, "|h|"), ("a_0003_p2", 1106, "|h|"), ("a_0005", 3, "end"), ("a_0006", 0, "")]
