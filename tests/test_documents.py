@@ -872,3 +872,21 @@ def test_long_texts_and_tables_are_split_once(spark):
         assert not [line for line in made.splitlines() if "Filter" in line and ("aggregate(" in line or "split(" in line)]
     got = [(r.chunk_id, r.n_chars, r.text[:3]) for r in chunks.orderBy("chunk_id").collect()]
     assert got == [("a_0001", 1400, "xxx"), ("a_0002", 750, "xxx"), ("a_0003_p1", 2906, "|h|"), ("a_0003_p2", 1106, "|h|"), ("a_0005", 3, "end"), ("a_0006", 0, "")]
+
+
+def test_driver_keeps_no_files(spark, tmp_path, monkeypatch):
+    made = {"a/b/c/1.md": "one", "a/b/2.md": "", "3.md": "three \xe9", "a=1/_x=2/4.md": "four"}
+    left = ["_h/5.md", ".6.md", "a/.h/7.md", "_8.md", "9.txt", "a/10.md._COPYING_"]
+    for name in [*made, *left]:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(made.get(name, "left out"))
+    plain = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.md").text(str(tmp_path), wholetext=True)
+    for most in (1000, 1):
+        monkeypatch.setattr(sources, "FOLDERS", most)
+        got = sources.scan_markdown(spark, str(tmp_path))
+        assert not got.inputFiles()  # no list of files in the driver's plan
+        assert sorted(r.text for r in got.collect()) == sorted(r.value for r in plain.collect()) == sorted(filter(None, made.values()))
+        binary = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.md").load(str(tmp_path))
+        some = sources.scan_filings(spark, str(tmp_path), "*.md")
+        assert sorted(map(tuple, some.select("path", "content").collect())) == sorted(map(tuple, binary.select("path", "content").collect()))
+        assert [r.rcept_no for r in sources.scan_filings(spark, str(tmp_path), "*.md", limit=2).orderBy("path").collect()] == ["3", "1"]
