@@ -34,6 +34,14 @@ REFERENCE = re.compile(rf"&[^<>&;\s{SPLIT}]*{OPEN}")
 FORMS = 20_000
 
 
+def parts_of(markup: str) -> list[str]:
+    """Texts and tags in turns, as TAG.split gives them. Where brackets plainly take turns, splitting by a character is several times as fast."""
+    pieces = markup.split("<")
+    if ">" not in pieces[0] and all(p.count(">") == 1 for p in pieces[1:]):
+        return markup.replace(">", "<").split("<")
+    return TAG.split(markup)
+
+
 def attributes(tags: str) -> tuple[list[str], list[str]]:
     """tags around the numbers of NUMBERED, and these. Patterns that begin with a plain character are found fastest."""
     parts = NUMBERED.split(tags)
@@ -67,7 +75,7 @@ def formed(filings: DataFrame) -> tuple[DataFrame, DataFrame]:
                 key = form = None
                 numbers = []
                 if OPEN not in markup and CLOSE not in markup and SPLIT not in markup:
-                    parts = TAG.split(markup)
+                    parts = parts_of(markup)
                     texts, (tags, values) = NUMBER.split(SPLIT.join(parts[::2])), attributes(SPLIT.join(parts[1::2]))
                     shape = (f"{OPEN}{CLOSE}".join(texts[::2]), f"{OPEN}{CLOSE}".join(tags))
                     if shape in known:
@@ -81,14 +89,15 @@ def formed(filings: DataFrame) -> tuple[DataFrame, DataFrame]:
                 if key is None:
                     form, key = markup, hashlib.sha256(markup.encode()).hexdigest()
                 keys.append(key)
-                every.append(numbers)
+                every.append(SPLIT.join(numbers))
                 new.append(form)
-            yield pa.RecordBatch.from_arrays([b.column(KEY), pa.array(keys, pa.string()), pa.array(every, pa.list_(pa.string())), pa.array(new, pa.string())], [KEY, "form", "numbers", "marked"])
+            yield pa.RecordBatch.from_arrays([b.column(KEY), pa.array(keys, pa.string()), pa.array(every, pa.string()), pa.array(new, pa.string())], [KEY, "form", "numbers", "marked"])
 
     rows = filings.select(KEY, F.coalesce("markup", F.lit("")).alias("markup"))
-    cases = staged(rows.mapInArrow(read, f"{KEY} string, form string, numbers array<string>, marked string"))
+    cases = staged(rows.mapInArrow(read, f"{KEY} string, form string, numbers string, marked string"))
     forms = cases.where("marked is not null").select(F.col("form").alias(KEY), F.col("marked").alias("markup")).distinct()
-    return cases.drop("marked"), staged(forms)
+    numbers = F.when(F.col("numbers") == "", F.array().cast("array<string>")).otherwise(F.split("numbers", SPLIT, -1))
+    return cases.select(KEY, "form", numbers.alias("numbers")), staged(forms)
 
 
 def apart(filings: DataFrame, cases: DataFrame, some: DataFrame) -> tuple[DataFrame, DataFrame]:

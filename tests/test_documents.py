@@ -890,3 +890,20 @@ def test_driver_keeps_no_files(spark, tmp_path, monkeypatch):
         some = sources.scan_filings(spark, str(tmp_path), "*.md")
         assert sorted(map(tuple, some.select("path", "content").collect())) == sorted(map(tuple, binary.select("path", "content").collect()))
         assert [r.rcept_no for r in sources.scan_filings(spark, str(tmp_path), "*.md", limit=2).orderBy("path").collect()] == ["3", "1"]
+
+
+def test_markdown_of_forms(spark, few_orders, monkeypatch):
+    from filingloom.plans import fixtures as fx
+
+    heads = lambda a, b: f"<DOCUMENT><DOCUMENT-NAME>Of {a}</DOCUMENT-NAME><COMPANY-NAME>C {b}</COMPANY-NAME><BODY><TABLE><TR><TD>{a}</TD><TD>x</TD></TR><TR><TD>{b}</TD><TD>x</TD></TR><TR><TE>{a}</TE><TE>{b}</TE></TR></TABLE><P>{a} A&B {b}</P></BODY></DOCUMENT>"
+    some = fx.xml_filings(spark, few_orders).unionByName(filings(spark, heads(1, 2), heads(5, 5), heads("1,000", "1,000"))).localCheckpoint()
+    clean = some.withColumn("markup", sanitize_markup(F.col("markup")))
+    blocks_of, read = markup.filing_blocks, []
+    blocks = blocks_of(clean, "pipeline")
+    plain = documents.to_markdown(metadata.document_meta(documents.document_header(blocks)), tables.gridded(blocks, "shared"))
+    monkeypatch.setattr(fx, "xml_filings", lambda *_: some)
+    monkeypatch.setattr(markup, "filing_blocks", lambda filings, *args, **more: (read.append(filings.count()), blocks_of(filings, *args, **more))[1])
+    got = {r.rcept_no: r.markdown for r in queries.filing_markdown(spark, few_orders).collect()}
+    assert got == {r.rcept_no: r.markdown for r in plain.collect()} and len(got) == 43
+    assert "| 5 | x |" in got["r1"] and "| 1 2 | x |" in got["r0"]
+    assert sum(read) < 43
