@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from filingloom.functions import clean_cell, clean_text
-from filingloom.operators.tables import table_text
+from filingloom.operators.tables import let, table_text
 
 KEY = "rcept_no"
 
@@ -62,23 +62,39 @@ def to_markdown(meta: DataFrame, grids: DataFrame) -> DataFrame:
     return out.withColumn("markdown", F.regexp_replace("markdown", "\n{3,}", "\n\n"))
 
 
-def changed_path(blocks: DataFrame, pos: str = "block_no") -> Column:
-    """Components of section_path after the prefix that it shares with the block before."""
-    last = F.coalesce(F.lag("section_path").over(Window.partitionBy(KEY).orderBy(pos)), F.array().cast("array<string>"))
-    same = F.zip_with("section_path", last, lambda a, b: a.eqNullSafe(b) & a.isNotNull())
-    shared = F.coalesce(F.nullif(F.array_position(same, False), F.lit(0)) - 1, F.size("section_path")).cast("int")
-    return F.slice(F.transform("section_path", lambda t, i: F.struct(i.alias("i"), t.alias("t"))), shared + 1, F.greatest(F.size("section_path") - shared, F.lit(0)))
+def changed_path(path: Column, last: Column) -> Column:
+    """Components of path after the prefix that it shares with the path before."""
+    same = F.zip_with(path, last, lambda a, b: a.eqNullSafe(b) & a.isNotNull())
+    shared = F.coalesce(F.nullif(F.array_position(same, False), F.lit(0)) - 1, F.size(path)).cast("int")
+    return F.slice(F.transform(path, lambda t, i: F.struct(i.alias("i"), t.alias("t"))), shared + 1, F.greatest(F.size(path) - shared, F.lit(0)))
+
+
+def gathered(blocks: DataFrame) -> DataFrame:
+    """(rcept_no, blocks): the periodic blocks (rendered) of a filing in order, in its row."""
+    block = F.struct("block_no", (F.col("type") == "table").alias("table"), "section_path", "text")
+    return blocks.groupBy(KEY).agg(F.sort_array(F.collect_list(block)).alias("blocks"))
+
+
+def rendered(docs: DataFrame) -> DataFrame:
+    """(rcept_no, markdown) of filings (company_name, document_name, blocks as gathered, null for none), headings only where the path changes."""
+    none = F.array().cast("array<string>")
+
+    def text(blocks: Column) -> Column:
+        def part(b: Column, i: Column) -> Column:
+            last = F.coalesce(F.when(i > 0, F.get(blocks, i - 1)["section_path"]), none)
+            heads = F.flatten(F.transform(changed_path(b["section_path"], last), lambda x: F.array(F.lit(""), F.concat(F.repeat(F.lit("#"), F.least(x["i"] + 2, F.lit(6))), F.lit(" "), x["t"]))))
+            body = F.when(b["table"], F.array(F.lit(""), b["text"], F.lit(""))).otherwise(F.array(b["text"]))
+            return F.array_join(F.concat(heads, body), "\n")
+
+        return F.array_join(F.transform(blocks, part), "\n")
+
+    title = F.concat(F.lit("# "), F.coalesce("company_name", F.lit("")), F.lit(" - "), F.coalesce("document_name", F.lit("")), F.lit("\n"))
+    return docs.select(KEY, F.concat_ws("\n", title, let(F.col("blocks"), text)).alias("markdown"))
 
 
 def render_document(names: DataFrame, blocks: DataFrame) -> DataFrame:
     """(rcept_no, markdown) of periodic blocks (text or table, rendered), headings only where the path changes."""
-    b = blocks.withColumn("new", changed_path(blocks))
-    heads = F.flatten(F.transform("new", lambda x: F.array(F.lit(""), F.concat(F.repeat(F.lit("#"), F.least(x["i"] + 2, F.lit(6))), F.lit(" "), x["t"]))))
-    body = F.when(F.col("type") == "table", F.array(F.lit(""), F.col("text"), F.lit(""))).otherwise(F.array("text"))
-    parts = b.withColumn("part", F.array_join(F.concat(heads, body), "\n"))
-    joined = in_order(parts, [KEY], "block_no", "part", "\n")
-    title = F.concat(F.lit("# "), F.coalesce("company_name", F.lit("")), F.lit(" - "), F.coalesce("document_name", F.lit("")), F.lit("\n"))
-    return names.join(joined, KEY, "left").select(KEY, F.concat_ws("\n", title, "joined").alias("markdown"))
+    return rendered(names.join(gathered(blocks), KEY, "left"))
 
 
 def periodic_texts(grids: DataFrame) -> DataFrame:

@@ -12,11 +12,12 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from filingloom.sources import staged
 
@@ -120,13 +121,23 @@ def filled(pieces: Column) -> Column:
     return F.array_join(F.transform(pieces, lambda p: F.concat(F.coalesce(F.get("numbers", p["no"] - 1), F.lit("")), p["after"])), "")
 
 
+def leaves(value: Column, kind: T.DataType, made: Callable[[Column], Column]) -> Column:
+    """value with made of each string in it."""
+    if isinstance(kind, T.StringType):
+        return made(value)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: leaves(x, kind.elementType, made))
+    if isinstance(kind, T.StructType):
+        return F.struct(*(leaves(value[f.name], f.dataType, made).alias(f.name) for f in kind))
+    return value
+
+
 def refilled(rows: DataFrame, cases: DataFrame, texts: tuple[str, ...] = (), lists: tuple[str, ...] = (), kept: tuple[str, ...] = ()) -> DataFrame:
-    """rows of forms as rows of the filings that follow them: columns texts, and arrays of texts lists, with the filing's own numbers.
-    kept: further columns of cases."""
+    """rows of forms as rows of the filings that follow them: columns texts, and arrays lists of texts, or of records with texts, with the
+    filing's own numbers. kept: further columns of cases."""
     names = [c for c in rows.columns if c != KEY]
-    cut = {c: cut_at_marks(F.col(c)) for c in texts} | {c: F.transform(c, cut_at_marks) for c in lists}
-    made = rows.select(F.col(KEY).alias("form"), F.struct(*(cut.get(c, F.col(c)).alias(c) for c in names)).alias("_row"))
+    every = lambda c, made: leaves(F.col(c), rows.schema[c].dataType, made) if c in (*texts, *lists) else F.col(c)
+    made = rows.select(F.col(KEY).alias("form"), F.struct(*(every(c, cut_at_marks).alias(c) for c in names)).alias("_row"))
     each = staged(made.groupBy("form").agg(F.collect_list("_row").alias("_rows")))  # few: Spark broadcasts them by their size
     out = cases.join(each, "form").select(KEY, "numbers", *kept, F.inline("_rows"))
-    whole = {c: filled(F.col(c)) for c in texts} | {c: F.transform(c, filled) for c in lists}
-    return out.select(KEY, *kept, *(whole.get(c, F.col(c)).alias(c) for c in names))
+    return out.select(KEY, *kept, *(every(c, filled).alias(c) for c in names))

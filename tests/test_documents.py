@@ -907,3 +907,20 @@ def test_markdown_of_forms(spark, few_orders, monkeypatch):
     assert got == {r.rcept_no: r.markdown for r in plain.collect()} and len(got) == 43
     assert "| 5 | x |" in got["r1"] and "| 1 2 | x |" in got["r0"]
     assert sum(read) < 43
+
+
+def test_periodic_markdown_is_made_in_a_filings_row(spark, few_orders, monkeypatch):
+    from filingloom.plans import fixtures as fx
+
+    section = lambda n, *texts: f"<SECTION-1><TITLE>Line {n}</TITLE>{''.join(f'<P>{t}</P>' for t in texts)}<TABLE><TR><TD>{n}</TD></TR></TABLE></SECTION-1>"
+    pair = lambda a, b: f"<DOCUMENT><COMPANY-NAME>C {a}</COMPANY-NAME><BODY>{section(a, 'x', b)}{section(b, a)}</BODY></DOCUMENT>"
+    some = fx.xml_filings(spark, few_orders).unionByName(filings(spark, pair(1, 2), pair(3, 3), "<DOCUMENT><BODY></BODY></DOCUMENT>", "<DOCUMENT><COMPANY-NAME>D</COMPANY-NAME></DOCUMENT>")).localCheckpoint()
+    blocks = markup.filing_blocks(some, "periodic").localCheckpoint()
+    monkeypatch.setattr(fx, "xml_filings", lambda *_: some)
+    made = queries.periodic_markdown(spark, few_orders)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Aggregate" not in plan  # no filing's blocks are gathered one by one
+    plain = documents.render_document(documents.document_header(blocks), documents.periodic_texts(tables.gridded(blocks, "repeat")))
+    got = {r.rcept_no: r.markdown for r in made.collect()}
+    assert got == {r.rcept_no: r.markdown for r in plain.collect()} and len(got) == 43
+    assert got["r0"] == "# C 1 - \n\n\n## Line 1\nx\n2\n\n| 1 |\n| --- |\n\n\n## Line 2\n1\n\n| 2 |\n| --- |\n" and got["r1"].count("## Line 3") == 1
