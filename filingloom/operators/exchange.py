@@ -60,16 +60,19 @@ def exchange_sections(grids: DataFrame, on_error: str = "warn") -> tuple[DataFra
     return collect_sections(carry_section(exchange_rows(good))), bad
 
 
-def chunk_exchange(sections: DataFrame, meta: DataFrame, on_error: str = "raise") -> DataFrame:
-    """One chunk per section, its text led by the document's context; meta: document_metadata of family exchange. sections may
-    hold rows with an error: see failures.isolated."""
+def chunk_exchange(sections: DataFrame, meta: DataFrame | list[str], on_error: str = "raise") -> DataFrame:
+    """One chunk per section, its text led by the document's context; meta: document_metadata of family exchange, or its columns where
+    sections have them. sections may hold rows with an error: see failures.isolated."""
     body = F.array_join("lines", "\n")
     text = context_text(F.col("corp_name"), F.col("report_nm"), F.col("rcept_dt"), F.col("section"), body)
 
+    kept = meta if isinstance(meta, list) else meta.columns
+
     def chunks(good: DataFrame) -> DataFrame:
-        return good.join(meta, KEY).withColumn("text", text).select(
+        known = good if isinstance(meta, list) else good.join(meta, KEY)
+        return known.withColumn("text", text).select(
             numbered_id(F.col(KEY), F.col("section_no")).alias("chunk_id"), F.col("section_no").alias("chunk_index"), F.lit("text").alias("chunk_type"), "section", F.col("section").alias("section_path"),
-            section_code(F.col("section"), F.col("section_no")).alias("section_code"), F.lit(None).cast("int").alias("page"), F.length("text").alias("n_chars"), "text", *meta.columns,
+            section_code(F.col("section"), F.col("section_no")).alias("section_code"), F.lit(None).cast("int").alias("page"), F.length("text").alias("n_chars"), "text", *kept,
         )
 
     return isolated(sections, chunks, on_error, pos="section_no")

@@ -924,3 +924,15 @@ def test_periodic_markdown_is_made_in_a_filings_row(spark, few_orders, monkeypat
     got = {r.rcept_no: r.markdown for r in made.collect()}
     assert got == {r.rcept_no: r.markdown for r in plain.collect()} and len(got) == 43
     assert got["r0"] == "# C 1 - \n\n\n## Line 1\nx\n2\n\n| 1 |\n| --- |\n\n\n## Line 2\n1\n\n| 2 |\n| --- |\n" and got["r1"].count("## Line 3") == 1
+
+
+def test_chunk_files_take_little_disk(spark, few_orders, monkeypatch, tmp_path):
+    monkeypatch.setattr(queries, "own_folder", lambda _: str(tmp_path / "chunks"))
+    rows = queries.chunk_files(spark, few_orders)
+    lines = spark.read.text(str(tmp_path / "chunks")).count()
+    files = [p for p in (tmp_path / "chunks").iterdir() if p.name.startswith("part-")]
+    assert files and all(p.name.endswith(".json.gz") for p in files) and lines == rows.count()
+    own = queries.exchange_chunks(spark, few_orders)
+    assert sorted((r.chunk_id, r.text, r.corp_name) for r in rows.collect()) == sorted((r.chunk_id, r.text, r.corp_name) for r in own.collect())
+    steps = [line.strip(" :+-") for line in own._jdf.queryExecution().optimizedPlan().toString().splitlines()]
+    assert steps.index(next(x for x in steps if x.startswith("Generate"))) < steps.index(next(x for x in steps if x.startswith("Join")))  # filings meet their metadata, not sections
