@@ -936,3 +936,26 @@ def test_chunk_files_take_little_disk(spark, few_orders, monkeypatch, tmp_path):
     assert sorted((r.chunk_id, r.text, r.corp_name) for r in rows.collect()) == sorted((r.chunk_id, r.text, r.corp_name) for r in own.collect())
     steps = [line.strip(" :+-") for line in own._jdf.queryExecution().optimizedPlan().toString().splitlines()]
     assert steps.index(next(x for x in steps if x.startswith("Generate"))) < steps.index(next(x for x in steps if x.startswith("Join")))  # filings meet their metadata, not sections
+
+
+def test_payload_is_made_in_a_filings_row(spark, few_orders, monkeypatch, tmp_path):
+    from filingloom.plans import fixtures as fx
+
+    row = lambda *cells: f"<TR>{''.join(cells)}</TR>"
+    td, te = lambda x: f"<TD>{x}</TD>", lambda x, more="": f"<TE{more}>{x}</TE>"
+    odd = [f"<DOCUMENT><COMPANY-NAME>C {n}</COMPANY-NAME><BODY><P>a {n}</P><TABLE>{row(td(n), td(m), te('1,234.5'), te('-'), te(' x '), te(20200102), te('d', ' AUNITVALUE=\"20210304\"'), te(''), te(m))}</TABLE><P> </P></BODY></DOCUMENT>" for n, m in ((1, 2), (5, 5), ("1,000", 7))]
+    some = fx.xml_filings(spark, few_orders).unionByName(filings(spark, *odd)).localCheckpoint()
+    blocks = markup.filing_blocks(some, "pipeline", sanitize=True).localCheckpoint()
+    by = lambda df: df.withColumn("doc_id", F.concat(F.lit("D"), "rcept_no")).drop("rcept_no")
+    fields = by(tables.table_fields(tables.gridded(blocks, "shared"))).select("doc_id", F.struct("block_no", "row", "col").alias("pos"), "label", "value", "value_type")
+    text = by(documents.paragraphs(blocks)).select("doc_id", F.col("block_no").alias("pos"), "text")
+    plain = sources.normalized_payload(by(documents.document_header(blocks)), fields, text, fx.manifest(spark, few_orders))
+    monkeypatch.setattr(fx, "xml_filings", lambda *_: some)
+    monkeypatch.setattr(queries, "own_folder", lambda _: str(tmp_path / "payload"))
+    shuffled, write = [], queries.write_normalized
+    monkeypatch.setattr(queries, "write_normalized", lambda df, path: (shuffled.append(df._jdf.queryExecution().optimizedPlan().toString()), write(df, path)))
+    assert queries.payload(spark, few_orders).count() == 43
+    assert "Aggregate" not in shuffled[0]  # fields and paragraphs of filings aren't gathered one by one
+    made = spark.read.parquet(str(tmp_path / "payload"))
+    cols = ["doc_id", "company_name", "company_regcik", "fields", "paragraphs", "manifest_corp_name"]
+    assert sorted(map(str, made.select(cols).collect())) == sorted(map(str, plain.select(cols).collect()))
